@@ -1,0 +1,40 @@
+"""Array helpers for number sets (F14, multi-hot targets)."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def _c(c) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+def number_array(cols: Sequence[str]) -> Column:
+    """Positional number columns to an int array (nulls kept in place)."""
+    return F.array(*[F.col(c).cast("int") for c in cols])
+
+
+def contains_number(arr, n) -> Column:
+    return F.array_contains(_c(arr), F.lit(n).cast("int") if isinstance(n, int) else _c(n).cast("int"))
+
+
+def last_position(arr, n) -> Column:
+    """1-based position of the last occurrence of ``n`` in ``arr`` (0 when absent)."""
+    a = _c(arr)
+    first_in_reversed = F.array_position(F.reverse(a), n)
+    return F.when(first_in_reversed == 0, F.lit(0)).otherwise(F.size(a) - first_in_reversed + 1)
+
+
+def multi_hot(arr, lo: int, hi: int) -> Column:
+    """0/1 vector over ``lo..hi``: 1 when the number is present (presence, not count)."""
+    a = _c(arr)
+    return F.transform(F.sequence(F.lit(lo), F.lit(hi)),
+                       lambda n: F.array_contains(a, n).cast("int"))
+
+
+def overlap_count(a, b) -> Column:
+    """Number of distinct values two number sets share."""
+    return F.size(F.array_intersect(_c(a), _c(b)))
