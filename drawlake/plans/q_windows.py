@@ -1 +1,120 @@
-"""placeholder"""
+"""Order-dependent queries: sequence windows, lags, window stats, targets."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from drawlake.operators.features import (
+    lag_long, multi_hot_long, sliding_features, window_stats,
+)
+from drawlake.operators.rolling import rolling_frequency
+from drawlake.plans.catalog import register
+from drawlake.plans.derived import sequenced_draws, with_draws
+from drawlake.schemas import STAR
+
+_STAR_GRID = """
+sgrid AS (
+  SELECT sd.seq, sd.draw_date, CAST(r.range AS INTEGER) AS number,
+         (SELECT count(*) FROM lg WHERE lg.seq = sd.seq AND lg.pool = 'star'
+             AND lg.number = CAST(r.range AS INTEGER)) AS c
+  FROM sd, range(1, 13) r)
+"""
+
+
+@register("rolling_star_frequency", with_draws("""
+SELECT seq, draw_date, number, frequency FROM (
+  SELECT seq, draw_date, number,
+         CAST(sum(c) OVER (PARTITION BY number ORDER BY seq
+                           ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS BIGINT) AS frequency
+  FROM sgrid)
+WHERE seq >= 50
+""", _STAR_GRID))
+def rolling_star_frequency(spark, sf_dir):
+    return rolling_frequency(sequenced_draws(spark, sf_dir), STAR, 50)
+
+
+@register("lag_features", with_draws("""
+SELECT t.seq, CAST(k.range AS INTEGER) AS lag, l.pool, l.position, l.number
+FROM sd t, range(1, 6) k, lg l
+WHERE t.seq >= 21 AND l.seq = t.seq - k.range
+"""))
+def lag_features(spark, sf_dir):
+    return lag_long(sequenced_draws(spark, sf_dir))
+
+
+_WIN_GRID = """
+wgrid AS (
+  SELECT sd.seq, dom.pool, dom.number, coalesce(h.c, 0) AS c
+  FROM sd CROSS JOIN dom
+  LEFT JOIN (SELECT seq, pool, number, count(*) AS c FROM lg GROUP BY 1, 2, 3) h
+    ON h.seq = sd.seq AND h.pool = dom.pool AND h.number = dom.number),
+wstat AS (
+  SELECT seq, pool, number,
+         CAST(coalesce(sum(c) OVER w, 0) AS BIGINT) AS frequency,
+         coalesce(seq - max(CASE WHEN c > 0 THEN seq END) OVER w - 1, 21) AS recency
+  FROM wgrid
+  WINDOW w AS (PARTITION BY pool, number ORDER BY seq ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING))
+"""
+
+
+@register("window_frequency", with_draws("""
+SELECT seq, pool, number, frequency FROM wstat WHERE seq >= 21
+""", _WIN_GRID))
+def window_frequency(spark, sf_dir):
+    return window_stats(sequenced_draws(spark, sf_dir)).select("seq", "pool", "number", "frequency")
+
+
+@register("window_recency", with_draws("""
+SELECT seq, pool, number, recency FROM wstat WHERE seq >= 21
+""", _WIN_GRID))
+def window_recency(spark, sf_dir):
+    return window_stats(sequenced_draws(spark, sf_dir)).select("seq", "pool", "number", "recency")
+
+
+@register("multi_hot", with_draws("""
+SELECT sd.seq, dom.pool, dom.number,
+       CASE WHEN EXISTS (SELECT 1 FROM lg WHERE lg.seq = sd.seq AND lg.pool = dom.pool
+                         AND lg.number = dom.number) THEN 1 ELSE 0 END AS present
+FROM sd CROSS JOIN dom
+"""))
+def multi_hot(spark, sf_dir):
+    return multi_hot_long(sequenced_draws(spark, sf_dir))
+
+
+_FEATURE_SQL = """
+fl AS (
+  SELECT t.seq, (CAST(k.range AS INTEGER) - 1) * 7
+           + CASE l.pool WHEN 'main' THEN l.position ELSE 5 + l.position END - 1 AS idx,
+         CAST(l.number AS DOUBLE) AS value
+  FROM sd t, range(1, 6) k, lg l
+  WHERE t.seq >= 21 AND l.seq = t.seq - k.range),
+fs AS (
+  SELECT seq, 35 + (CASE pool WHEN 'main' THEN number - 1 ELSE 50 + number - 1 END) * 2 AS idx,
+         CAST(frequency AS DOUBLE) AS value FROM wstat WHERE seq >= 21
+  UNION ALL
+  SELECT seq, 35 + (CASE pool WHEN 'main' THEN number - 1 ELSE 50 + number - 1 END) * 2 + 1,
+         CAST(recency AS DOUBLE) FROM wstat WHERE seq >= 21)
+"""
+
+
+@register("feature_vector", with_draws("""
+SELECT seq, CAST(idx AS INTEGER) AS idx, value FROM fl
+UNION ALL SELECT seq, CAST(idx AS INTEGER), value FROM fs
+""", _WIN_GRID, _FEATURE_SQL))
+def feature_vector(spark, sf_dir):
+    f = sliding_features(sequenced_draws(spark, sf_dir))
+    return f.select("seq", F.posexplode("features").alias("idx", "value"))
+
+
+@register("feature_targets", with_draws("""
+SELECT sd.seq, dom.pool, dom.number,
+       CASE WHEN EXISTS (SELECT 1 FROM lg WHERE lg.seq = sd.seq AND lg.pool = dom.pool
+                         AND lg.number = dom.number) THEN 1 ELSE 0 END AS present
+FROM sd CROSS JOIN dom WHERE sd.seq >= 21
+"""))
+def feature_targets(spark, sf_dir):
+    f = sliding_features(sequenced_draws(spark, sf_dir))
+    main = f.select("seq", F.lit("main").alias("pool"), F.posexplode("y_main").alias("_i", "present"))
+    star = f.select("seq", F.lit("star").alias("pool"), F.posexplode("y_star").alias("_i", "present"))
+    return (main.unionByName(star)
+                .select("seq", "pool", (F.col("_i") + 1).alias("number"), "present"))
