@@ -1,0 +1,24 @@
+"""Size-checked broadcast helpers.
+
+A side is broadcast only after counting at most ``max_rows + 1`` of its rows
+(``limit`` stops the scan early), so what is shipped to every executor has a
+measured bound instead of an estimate.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 2_000_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> tuple[DataFrame, bool]:
+    """``(broadcast(df), True)`` when it has at most ``max_rows`` rows, else ``(df, False)``."""
+    if has_at_most(df, max_rows):
+        return F.broadcast(df), True
+    return df, False

@@ -1 +1,201 @@
-"""placeholder"""
+"""Reconcile, upsert, constraint and duplicate queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from drawlake.operators.merge import upsert
+from drawlake.operators.reconcile import (
+    check_constraints, find_duplicates, only_in, reconcile, reconcile_summary,
+)
+from drawlake.plans.catalog import register
+from drawlake.plans.derived import table
+
+ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+COMPARE = ORDER_COLS[1:]
+NEW_KEY_OFFSET = 10_000_000
+
+
+def second_copy(orders):
+    """A second copy of orders that differs from the first in known ways.
+
+    Status 'P' orders are missing, '2-HIGH' prices are shifted by one,
+    '3-MEDIUM' open orders lost their customer (null, not a mismatch by
+    default), '5-LOW' orders re-appear under new keys, and 'F' orders of
+    the first day of a month with priority '4-NOT SPECIFIED' appear twice.
+    """
+    base = orders.select(*ORDER_COLS)
+    kept = (base.where(F.col("o_orderstatus") != "P")
+                .withColumn("o_totalprice", F.when(F.col("o_orderpriority") == "2-HIGH",
+                                                   F.col("o_totalprice") + 1.0)
+                                             .otherwise(F.col("o_totalprice")))
+                .withColumn("o_custkey", F.when((F.col("o_orderpriority") == "3-MEDIUM")
+                                                & (F.col("o_orderstatus") == "O"), F.lit(None))
+                                          .otherwise(F.col("o_custkey"))))
+    added = (base.where(F.col("o_orderpriority") == "5-LOW")
+                 .withColumn("o_orderkey", F.col("o_orderkey") + NEW_KEY_OFFSET))
+    doubled = base.where((F.col("o_orderpriority") == "4-NOT SPECIFIED") & (F.col("o_orderstatus") == "F")
+                         & (F.dayofmonth("o_orderdate") == 1))
+    return kept.unionByName(added).unionByName(doubled)
+
+
+_SECOND_COPY_SQL = """
+lft AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders),
+rgt AS (
+  SELECT o_orderkey,
+         CASE WHEN o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'O' THEN NULL ELSE o_custkey END AS o_custkey,
+         o_orderstatus,
+         CASE WHEN o_orderpriority = '2-HIGH' THEN o_totalprice + 1.0 ELSE o_totalprice END AS o_totalprice,
+         o_orderdate, o_orderpriority
+  FROM orders WHERE o_orderstatus <> 'P'
+  UNION ALL
+  SELECT o_orderkey + 10000000, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+  FROM orders WHERE o_orderpriority = '5-LOW'
+  UNION ALL
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+  FROM orders WHERE o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'F' AND day(o_orderdate) = 1)
+"""
+
+_AGG_COLS = ", ".join(f"max({c}) AS {c}" for c in COMPARE)
+_MATCH = ",\n  ".join(
+    f"a.{c} AS {c}_left, b.{c} AS {c}_right, "
+    f"CASE WHEN status = 'both' THEN coalesce(a.{c} = b.{c}, true) END AS {c}_match" for c in COMPARE)
+_ALL_MATCH = " AND ".join(f"coalesce(a.{c} = b.{c}, true)" for c in COMPARE)
+
+_RECON_SQL = _SECOND_COPY_SQL + f""",
+la AS (SELECT o_orderkey, count(*) AS n, {_AGG_COLS} FROM lft GROUP BY o_orderkey),
+ra AS (SELECT o_orderkey, count(*) AS n, {_AGG_COLS} FROM rgt GROUP BY o_orderkey),
+rec AS (
+  SELECT o_orderkey, left_rows, right_rows, status,
+  {_MATCH},
+  status = 'both' AND NOT ({_ALL_MATCH}) AS mismatch
+  FROM (SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey,
+               coalesce(a.n, 0) AS left_rows, coalesce(b.n, 0) AS right_rows,
+               CASE WHEN a.n IS NULL THEN 'right_only' WHEN b.n IS NULL THEN 'left_only'
+                    WHEN a.n = 1 AND b.n = 1 THEN 'both' ELSE 'duplicate' END AS status,
+               {", ".join(f"a.{c} AS a_{c}, b.{c} AS b_{c}" for c in COMPARE)}
+        FROM la a FULL OUTER JOIN ra b ON a.o_orderkey IS NOT DISTINCT FROM b.o_orderkey) x,
+       LATERAL (SELECT {", ".join(f"x.a_{c} AS {c}" for c in COMPARE)}) a,
+       LATERAL (SELECT {", ".join(f"x.b_{c} AS {c}" for c in COMPARE)}) b)
+"""
+
+
+def _recon(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    return reconcile(orders.select(*ORDER_COLS), second_copy(orders), ["o_orderkey"], COMPARE)
+
+
+@register("reconcile_summary", "WITH " + _RECON_SQL.strip() + """
+SELECT count(*) FILTER (WHERE status = 'left_only') AS left_only,
+       count(*) FILTER (WHERE status = 'right_only') AS right_only,
+       count(*) FILTER (WHERE status = 'both') AS both,
+       count(*) FILTER (WHERE status = 'duplicate') AS duplicate,
+       count(*) FILTER (WHERE mismatch) AS mismatched,
+       count(*) FILTER (WHERE status = 'both' AND NOT mismatch) AS matched
+FROM rec
+""")
+def reconcile_summary_q(spark, sf_dir):
+    return reconcile_summary(_recon(spark, sf_dir))
+
+
+@register("reconcile_mismatch", "WITH " + _RECON_SQL.strip() + """
+SELECT * FROM rec WHERE mismatch
+""")
+def reconcile_mismatch(spark, sf_dir):
+    return _recon(spark, sf_dir).where(F.col("mismatch"))
+
+
+@register("reconcile_status", "WITH " + _RECON_SQL.strip() + """
+SELECT o_orderkey, left_rows, right_rows, status FROM rec
+""")
+def reconcile_status(spark, sf_dir):
+    return _recon(spark, sf_dir).select("o_orderkey", "left_rows", "right_rows", "status")
+
+
+@register("only_left", "WITH " + _SECOND_COPY_SQL.strip() + """
+SELECT * FROM lft WHERE NOT EXISTS (SELECT 1 FROM rgt WHERE rgt.o_orderkey IS NOT DISTINCT FROM lft.o_orderkey)
+""")
+def only_left(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    return only_in(orders.select(*ORDER_COLS), second_copy(orders), ["o_orderkey"])
+
+
+@register("only_right", "WITH " + _SECOND_COPY_SQL.strip() + """
+SELECT * FROM rgt WHERE NOT EXISTS (SELECT 1 FROM lft WHERE lft.o_orderkey IS NOT DISTINCT FROM rgt.o_orderkey)
+""")
+def only_right(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    return only_in(second_copy(orders), orders.select(*ORDER_COLS), ["o_orderkey"])
+
+
+def order_updates(orders):
+    """Source rows for the upsert: re-priced '2-HIGH' orders and new '5-LOW' orders."""
+    base = orders.select(*ORDER_COLS)
+    changed = (base.where(F.col("o_orderpriority") == "2-HIGH")
+                   .withColumn("o_totalprice", F.col("o_totalprice") + 1.0))
+    added = (base.where(F.col("o_orderpriority") == "5-LOW")
+                 .withColumn("o_orderkey", F.col("o_orderkey") + NEW_KEY_OFFSET))
+    return changed.unionByName(added)
+
+
+_UPSERT_SQL = f"""
+WITH src AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1.0 AS o_totalprice, o_orderdate, o_orderpriority
+  FROM orders WHERE o_orderpriority = '2-HIGH'
+  UNION ALL
+  SELECT o_orderkey + 10000000, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+  FROM orders WHERE o_orderpriority = '5-LOW')
+SELECT coalesce(s.o_orderkey, t.o_orderkey) AS o_orderkey,
+  {", ".join(f"CASE WHEN s.o_orderkey IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}" for c in COMPARE)}
+FROM (SELECT {", ".join(ORDER_COLS)} FROM orders) t FULL OUTER JOIN src s ON t.o_orderkey = s.o_orderkey
+"""
+
+
+@register("upsert_orders", _UPSERT_SQL)
+def upsert_orders(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    return upsert(orders.select(*ORDER_COLS), order_updates(orders), ["o_orderkey"])
+
+
+@register("upsert_orders_shuffle", _UPSERT_SQL)
+def upsert_orders_shuffle(spark, sf_dir):
+    """Same merge through the large-source shape (union + per-key max_by)."""
+    orders = table(spark, sf_dir, "orders")
+    return upsert(orders.select(*ORDER_COLS), order_updates(orders), ["o_orderkey"],
+                  max_broadcast_rows=0)
+
+
+@register("constraint_report", """
+SELECT 'customer' AS table_name, 'not_null' AS rule, 'c_custkey' AS columns,
+       count(*) FILTER (WHERE c_custkey IS NULL) AS violations FROM customer
+UNION ALL SELECT 'customer', 'not_null', 'c_name', count(*) FILTER (WHERE c_name IS NULL) FROM customer
+UNION ALL SELECT 'customer', 'not_null', 'c_nationkey', count(*) FILTER (WHERE c_nationkey IS NULL) FROM customer
+UNION ALL SELECT 'customer', 'unique', 'c_custkey', count(*) FROM
+  (SELECT c_custkey FROM customer GROUP BY c_custkey HAVING count(*) > 1)
+UNION ALL SELECT 'lineitem', 'not_null', 'l_orderkey', count(*) FILTER (WHERE l_orderkey IS NULL) FROM lineitem
+UNION ALL SELECT 'lineitem', 'not_null', 'l_linenumber', count(*) FILTER (WHERE l_linenumber IS NULL) FROM lineitem
+UNION ALL SELECT 'lineitem', 'unique', 'l_orderkey,l_linenumber', count(*) FROM
+  (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1)
+""")
+def constraint_report(spark, sf_dir):
+    c = check_constraints(table(spark, sf_dir, "customer"), "customer",
+                          not_null=["c_custkey", "c_name", "c_nationkey"], unique=[["c_custkey"]])
+    li = check_constraints(table(spark, sf_dir, "lineitem"), "lineitem",
+                           not_null=["l_orderkey", "l_linenumber"], unique=[["l_orderkey", "l_linenumber"]])
+    return c.unionByName(li)
+
+
+@register("duplicate_keys", """
+SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1
+""")
+def duplicate_keys(spark, sf_dir):
+    return find_duplicates(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register("latest_duplicate_keys", """
+SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1
+ORDER BY l_orderkey DESC, l_linenumber DESC LIMIT 2000
+""")
+def latest_duplicate_keys(spark, sf_dir):
+    """The investigation report: newest 2000 duplicated keys (top-k is the feature)."""
+    return find_duplicates(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], limit=2000)
