@@ -26,8 +26,7 @@ def parse_date(c, fmt: str | None = None) -> Column:
     c = _c(c)
     if fmt is None:
         return F.to_date(F.try_to_timestamp(c))
-    return F.try_to_date(c, F.lit(fmt)) if hasattr(F, "try_to_date") else F.to_date(
-        F.try_to_timestamp(c, F.lit(fmt)))
+    return F.try_to_date(c, fmt)
 
 
 def normalize_date(c) -> Column:
