@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from drawlake.operators.features import (
-    lag_long, multi_hot_long, sliding_features, window_stats,
+    lag_long, multi_hot_long, sliding_features, start_index, window_stats,
 )
+from drawlake.operators.ml import (
+    class_weights, fit_multilabel_forest, fit_multilabel_logistic, targets_long,
+)
+from drawlake.operators.picks import pick_top_k, score_picks, ticket
 from drawlake.operators.rolling import rolling_frequency
 from drawlake.plans.catalog import register
 from drawlake.plans.derived import sequenced_draws, with_draws
@@ -113,8 +117,76 @@ SELECT sd.seq, dom.pool, dom.number,
 FROM sd CROSS JOIN dom WHERE sd.seq >= 21
 """))
 def feature_targets(spark, sf_dir):
-    f = sliding_features(sequenced_draws(spark, sf_dir))
-    main = f.select("seq", F.lit("main").alias("pool"), F.posexplode("y_main").alias("_i", "present"))
-    star = f.select("seq", F.lit("star").alias("pool"), F.posexplode("y_star").alias("_i", "present"))
-    return (main.unionByName(star)
-                .select("seq", "pool", (F.col("_i") + 1).alias("number"), "present"))
+    return targets_long(sliding_features(sequenced_draws(spark, sf_dir)))
+
+
+@register("class_weights", with_draws("""
+SELECT pool, number, positives, total_rows,
+       total_rows / (2.0 * positives) AS weight_pos,
+       total_rows / (2.0 * (total_rows - positives)) AS weight_neg,
+       (sum(total_rows) OVER (PARTITION BY pool) - sum(positives) OVER (PARTITION BY pool)) * 1.0
+         / sum(positives) OVER (PARTITION BY pool) AS pool_pos_weight
+FROM (
+  SELECT dom.pool, dom.number,
+         CAST(count(DISTINCT CASE WHEN lg.seq IS NOT NULL THEN sd.seq END) AS BIGINT) AS positives,
+         CAST((SELECT count(*) FROM sd WHERE seq >= 21) AS BIGINT) AS total_rows
+  FROM sd CROSS JOIN dom
+  LEFT JOIN lg ON lg.seq = sd.seq AND lg.pool = dom.pool AND lg.number = dom.number
+  WHERE sd.seq >= 21
+  GROUP BY dom.pool, dom.number)
+"""))
+def class_weights_q(spark, sf_dir):
+    """Balanced per-label weights and the pool positive weight over the training targets."""
+    sd = sequenced_draws(spark, sf_dir)
+    return class_weights(multi_hot_long(sd).where(F.col("seq") >= start_index()))
+
+
+_BACKTEST_SQL = """
+picks AS (
+  SELECT seq, pool, number FROM (
+    SELECT seq, pool, number,
+           row_number() OVER (PARTITION BY seq, pool ORDER BY frequency DESC, number) AS r
+    FROM wstat WHERE seq >= 21)
+  WHERE r <= CASE pool WHEN 'main' THEN 5 ELSE 2 END)
+"""
+
+
+@register("backtest_hot_picks", with_draws("""
+SELECT sd.seq,
+       CAST(count(DISTINCT CASE WHEN p.pool = 'main' AND l.number IS NOT NULL THEN p.number END) AS INTEGER) AS main_matches,
+       CAST(count(DISTINCT CASE WHEN p.pool = 'star' AND l.number IS NOT NULL THEN p.number END) AS INTEGER) AS star_matches
+FROM sd JOIN picks p ON p.seq = sd.seq
+LEFT JOIN lg l ON l.seq = p.seq AND l.pool = p.pool AND l.number = p.number
+WHERE sd.seq >= 21
+GROUP BY sd.seq
+""", _WIN_GRID, _BACKTEST_SQL))
+def backtest_hot_picks(spark, sf_dir):
+    """Back-test: each draw's 5 + 2 hottest numbers of the previous 20 draws, scored
+    against that draw (O57 per draw, O63)."""
+    sd = sequenced_draws(spark, sf_dir)
+    picks = pick_top_k(window_stats(sd), "frequency", by=["seq"])
+    tickets = ticket(picks, by=["seq"])
+    wide = (tickets.groupBy("seq")
+                   .agg(*[F.max(F.when(F.col("pool") == p, F.col("numbers"))).alias(f"{p}_numbers")
+                          for p in ("main", "star")]))
+    return score_picks(wide, sd, "seq").select("seq", "main_matches", "star_matches")
+
+
+@register("forest_scores")
+def forest_scores(spark, sf_dir):
+    """Per-label random-forest probability for the held-out last draw."""
+    return fit_multilabel_forest(sliding_features(sequenced_draws(spark, sf_dir)))
+
+
+@register("logistic_scores")
+def logistic_scores(spark, sf_dir):
+    """Per-label weighted logistic probability for the held-out last draw."""
+    return fit_multilabel_logistic(sliding_features(sequenced_draws(spark, sf_dir)))
+
+
+@register("ml_picks")
+def ml_picks(spark, sf_dir):
+    """Top 5 + 2 labels by forest probability for the next, unseen draw (O59, D3 next mode)."""
+    scores = fit_multilabel_forest(sliding_features(sequenced_draws(spark, sf_dir), mode="next"),
+                                   mode="next")
+    return pick_top_k(scores, "probability")
