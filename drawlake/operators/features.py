@@ -61,33 +61,50 @@ def lag_long(seq_draws: DataFrame, lags: int = LAGS, window: int = WINDOW,
 
 def window_stats(seq_draws: DataFrame, window: int = WINDOW, lags: int = LAGS,
                  pools: Sequence[Pool] = DEFAULT_POOLS, seq_col: str = "seq",
-                 mode: str = "holdout") -> DataFrame:
+                 mode: str = "holdout", include_current: bool = False) -> DataFrame:
     """Frequency and recency of every pool number in the ``window`` draws before each target.
 
     ``frequency`` counts occurrences; ``recency`` is 0 when the number is in
     the previous draw, j-1 when last seen j draws back, and ``window + 1`` when
-    absent. Output is dense: ``seq, pool, number, frequency, recency``.
+    absent. Output is dense: ``seq, pool, number, frequency, recency`` and,
+    with ``include_current``, ``present`` (0/1: the number is in the target
+    draw itself), all from the same single aggregation.
+
+    Picks scatter to the ``window`` draws after them; one grid row per
+    (target, domain number) keeps the output dense. Both go through one
+    partially aggregated groupBy: one shuffle, groups bounded by
+    ``window x picks per draw``.
     """
     first = start_index(lags, window)
-    last = _last_target(seq_draws, seq_col, mode)
-    hits = scatter(to_long(seq_draws, pools, keep=[seq_col]), seq_col, 1, window,
+    n = seq_draws.select(F.max(seq_col)).scalar()
+    last = n + 1 if mode == "next" else n
+    if mode not in ("holdout", "next"):
+        raise ValueError("mode must be 'holdout' or 'next'")
+    hits = scatter(to_long(seq_draws, pools, keep=[seq_col]), seq_col,
+                   0 if include_current else 1, window,
                    target_col="_t", min_target=first, max_target=last)
-    hits = hits.select("_t", "pool", "number", F.lit(1).alias("_hit"), "k")
+    hits = hits.select("_t", "pool", "number", "k")
     # Grid rows: every target draw x every domain number (a generator per row).
-    targets = seq_draws.select(F.col(seq_col).alias("_t"))
+    t = F.col(seq_col)
     if mode == "next":
-        targets = targets.select(F.explode(F.array(F.col("_t"), F.col("_t") + 1)).alias("_t"))
-    targets = targets.where((F.col("_t") >= first) & (F.col("_t") <= last))
+        t_list = F.when(t == n, F.array(t, t + 1)).otherwise(F.array(t))
+    else:
+        t_list = F.array(t)
+    targets = (seq_draws.select(F.explode(t_list).alias("_t"))
+                        .where((F.col("_t") >= first) & (F.col("_t") <= last)))
     cells = F.array(*[F.struct(F.lit(p.name).alias("pool"), F.sequence(F.lit(p.lo), F.lit(p.hi)).alias("ns"))
                       for p in pools])
     grid = (targets.select("_t", F.inline(cells))
                    .select("_t", "pool", F.explode("ns").alias("number"),
-                           F.lit(0).alias("_hit"), F.lit(None).cast("int").alias("k")))
-    return (hits.unionByName(grid)
-                .groupBy("_t", "pool", "number")
-                .agg(F.sum("_hit").cast("long").alias("frequency"), F.min("k").alias("_k"))
-                .select(F.col("_t").alias(seq_col), "pool", "number", "frequency",
-                        F.coalesce(F.col("_k") - 1, F.lit(window + 1)).alias("recency")))
+                           F.lit(None).cast("int").alias("k")))
+    k = F.col("k")
+    aggs = [F.count(F.when(k >= 1, k)).alias("frequency"), F.min(F.when(k >= 1, k)).alias("_k")]
+    out = [F.col("_t").alias(seq_col), "pool", "number", "frequency",
+           F.coalesce(F.col("_k") - 1, F.lit(window + 1)).alias("recency")]
+    if include_current:
+        aggs.append(F.count(F.when(k == 0, k)).alias("_cur"))
+        out.append(F.least(F.col("_cur"), F.lit(1)).cast("int").alias("present"))
+    return (hits.unionByName(grid).groupBy("_t", "pool", "number").agg(*aggs).select(*out))
 
 
 def _presence(arr: Column, lo: int, hi: int, pool_name: str | None = None) -> Column:
@@ -130,34 +147,37 @@ def sliding_features(seq_draws: DataFrame, lags: int = LAGS, window: int = WINDO
     ``holdout``: targets run to the last known draw (it is the hold-out row).
     ``next``: one more row, seq N+1, whose features use the last ``window``
     known draws including the latest one.
+
+    Plan: the window statistics aggregate (one shuffle) and the lag rows
+    (each draw sent to itself and its next ``lags`` draws) meet in one
+    groupBy on the target: a second shuffle, no join. Each target collects
+    ``lags + 1`` lag rows and one stats row per domain number.
     """
     first = start_index(lags, window)
     last = _last_target(seq_draws, seq_col, mode)
     cols = [c for p in pools for c in p.columns]
-    wide = seq_draws.select(seq_col, F.array(*[F.col(c).cast("double") for c in cols]).alias("_nums"),
-                            *[F.col(c) for c in cols])
-    lag_rows = scatter(wide, seq_col, 0, lags, target_col="_t", min_target=first, max_target=last)
-    per_target = lag_rows.groupBy("_t").agg(
-        F.sort_array(F.collect_list(F.struct("k", "_nums", *cols))).alias("_lags"))
-    lagged = F.flatten(F.transform(F.filter("_lags", lambda s: s["k"] > 0), lambda s: s["_nums"]))
-    current = F.filter("_lags", lambda s: s["k"] == 0)
-    sel = [F.col("_t").alias(seq_col), lagged.alias("_lagged")]
-    for p in pools:
-        arr = F.array(*[current[0][c].cast("int") for c in p.columns])
-        hot = _presence(arr, p.lo, p.hi)
-        sel.append(F.when(F.size(current) > 0, hot).alias(f"y_{p.name}"))
-    lag_part = per_target.select(*sel)
-
     order = F.when(F.col("pool") == pools[0].name, F.lit(0))
     for i, p in enumerate(pools[1:], 1):
         order = order.when(F.col("pool") == p.name, F.lit(i))
+    stat_t = F.struct(order.alias("o"), F.col("number").alias("n"),
+                      F.col("frequency").cast("double").alias("f"),
+                      F.col("recency").cast("double").alias("r"))
+    lag_t = F.struct(F.col("k"), F.array(*[F.col(c).cast("double") for c in cols]).alias("nums"),
+                     *[F.col(c).cast("int").alias(c) for c in cols])
     stats = (window_stats(seq_draws, window, lags, pools, seq_col, mode)
-             .groupBy(seq_col)
-             .agg(F.sort_array(F.collect_list(F.struct(order.alias("_o"), "number",
-                                                       "frequency", "recency"))).alias("_st")))
-    stat_vals = F.flatten(F.transform("_st", lambda s: F.array(s["frequency"].cast("double"),
-                                                               s["recency"].cast("double"))))
-    stat_part = stats.select(seq_col, stat_vals.alias("_stats"))
-    return (lag_part.join(stat_part, seq_col)
-                    .select(seq_col, F.concat("_lagged", "_stats").alias("features"),
-                            *[f"y_{p.name}" for p in pools]))
+             .select(F.col(seq_col).alias("_t"), stat_t.alias("_st"), F.lit(None).alias("_lag")))
+    lag_rows = scatter(seq_draws.select(seq_col, *cols), seq_col, 0, lags, target_col="_t",
+                       min_target=first, max_target=last)
+    lag_rows = lag_rows.select("_t", F.lit(None).alias("_st"), lag_t.alias("_lag"))
+    per_target = (stats.unionByName(lag_rows, allowMissingColumns=False)
+                  .groupBy("_t")
+                  .agg(F.sort_array(F.collect_list("_st")).alias("_st"),
+                       F.sort_array(F.collect_list("_lag")).alias("_lags")))
+    lagged = F.flatten(F.transform(F.filter("_lags", lambda s: s["k"] > 0), lambda s: s["nums"]))
+    stat_vals = F.flatten(F.transform("_st", lambda s: F.array(s["f"], s["r"])))
+    current = F.filter("_lags", lambda s: s["k"] == 0)
+    sel = [F.col("_t").alias(seq_col), F.concat(lagged, stat_vals).alias("features")]
+    for p in pools:
+        arr = F.array(*[current[0][c] for c in p.columns])
+        sel.append(F.when(F.size(current) > 0, _presence(arr, p.lo, p.hi)).alias(f"y_{p.name}"))
+    return per_target.select(*sel)

@@ -74,3 +74,34 @@ def score_picks(picks: DataFrame, draws: DataFrame, key: str,
         j = j.withColumn(f"{p.name}_matches",
                          F.size(F.array_intersect(F.col(f"{p.name}_numbers"), F.col(f"_{p.name}_actual"))))
     return j.drop(*[f"_{p.name}_actual" for p in pools])
+
+
+def backtest_window_picks(seq_draws: DataFrame, stat: str = "frequency", largest: bool = True,
+                          k: Mapping[str, int] = DEFAULT_K, pools: Sequence[Pool] = DEFAULT_POOLS,
+                          window: int = 20, seq_col: str = "seq") -> DataFrame:
+    """Back-test a windowed pick strategy on every draw (O57 per draw, O63).
+
+    For each draw with full history: pick the k numbers per pool with the
+    largest (or smallest) ``stat`` over the previous ``window`` draws (ties
+    to the smaller number) and count how many are in that draw. Output
+    ``seq, <pool>_matches...``.
+
+    The window statistics and the draw's own presence come from one
+    aggregation; one more groupBy per draw (bounded: one entry per domain
+    number) ranks and scores. No join, no per-pool window sort.
+    """
+    from drawlake.operators.features import window_stats
+
+    ws = window_stats(seq_draws, window=window, pools=pools, seq_col=seq_col, include_current=True)
+    sign = -1 if largest else 1
+    entry = F.struct(F.col("pool"), (F.col(stat) * sign).alias("s"), F.col("number"), F.col("present"))
+    g = ws.groupBy(seq_col).agg(F.sort_array(F.collect_list(entry)).alias("_e"))
+    out = [F.col(seq_col)]
+    for p in pools:
+        chosen = F.slice(F.filter("_e", _is_pool(p.name)), 1, k[p.name])
+        out.append(F.aggregate(chosen, F.lit(0), lambda acc, e: acc + e["present"]).alias(f"{p.name}_matches"))
+    return g.select(*out)
+
+
+def _is_pool(name: str):
+    return lambda e: e["pool"] == F.lit(name)

@@ -235,9 +235,12 @@ def random_tickets_q(spark, sf_dir):
     """One seeded random ticket per draw, in long form."""
     d = load_draws(spark, sf_dir).select(F.col("draw_number").alias("ticket_id"))
     t = random_tickets(d)
-    main = t.select("ticket_id", F.lit("main").alias("pool"), F.posexplode("main_numbers").alias("pos", "number"))
-    star = t.select("ticket_id", F.lit("star").alias("pool"), F.posexplode("star_numbers").alias("pos", "number"))
-    return main.unionByName(star)
+    cells = [F.transform(f"{p}_numbers", _ticket_cell(p)) for p in ("main", "star")]
+    return t.select("ticket_id", F.inline(F.concat(*cells)))
+
+
+def _ticket_cell(pool: str):
+    return lambda n, i: F.struct(F.lit(pool).alias("pool"), i.alias("pos"), n.alias("number"))
 
 
 @register("sparse_nonnull", """

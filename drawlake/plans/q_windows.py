@@ -10,7 +10,7 @@ from drawlake.operators.features import (
 from drawlake.operators.ml import (
     class_weights, fit_multilabel_forest, fit_multilabel_logistic, targets_long,
 )
-from drawlake.operators.picks import pick_top_k, score_picks, ticket
+from drawlake.operators.picks import backtest_window_picks, pick_top_k
 from drawlake.operators.rolling import rolling_frequency
 from drawlake.plans.catalog import register
 from drawlake.plans.derived import sequenced_draws, with_draws
@@ -163,13 +163,7 @@ GROUP BY sd.seq
 def backtest_hot_picks(spark, sf_dir):
     """Back-test: each draw's 5 + 2 hottest numbers of the previous 20 draws, scored
     against that draw (O57 per draw, O63)."""
-    sd = sequenced_draws(spark, sf_dir)
-    picks = pick_top_k(window_stats(sd), "frequency", by=["seq"])
-    tickets = ticket(picks, by=["seq"])
-    wide = (tickets.groupBy("seq")
-                   .agg(*[F.max(F.when(F.col("pool") == p, F.col("numbers"))).alias(f"{p}_numbers")
-                          for p in ("main", "star")]))
-    return score_picks(wide, sd, "seq").select("seq", "main_matches", "star_matches")
+    return backtest_window_picks(sequenced_draws(spark, sf_dir), "frequency")
 
 
 @register("forest_scores")
