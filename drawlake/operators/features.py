@@ -134,6 +134,16 @@ def multi_hot_arrays(df: DataFrame, pools: Sequence[Pool] = DEFAULT_POOLS) -> Da
     return out
 
 
+def _targets(seq_draws: DataFrame, first: int, seq_col: str, mode: str) -> DataFrame:
+    """One row ``_t`` per target draw: ``first..N`` (holdout) or ``first..N+1`` (next)."""
+    n = seq_draws.select(F.max(seq_col)).scalar()
+    t = F.col(seq_col)
+    t_list = F.when(t == n, F.array(t, t + 1)).otherwise(F.array(t)) if mode == "next" else F.array(t)
+    last = n + 1 if mode == "next" else n
+    return (seq_draws.select(F.explode(t_list).alias("_t"))
+                     .where((F.col("_t") >= first) & (F.col("_t") <= last)))
+
+
 def sliding_features(seq_draws: DataFrame, lags: int = LAGS, window: int = WINDOW,
                      pools: Sequence[Pool] = DEFAULT_POOLS, seq_col: str = "seq",
                      mode: str = "holdout") -> DataFrame:
@@ -148,36 +158,45 @@ def sliding_features(seq_draws: DataFrame, lags: int = LAGS, window: int = WINDO
     ``next``: one more row, seq N+1, whose features use the last ``window``
     known draws including the latest one.
 
-    Plan: the window statistics aggregate (one shuffle) and the lag rows
-    (each draw sent to itself and its next ``lags`` draws) meet in one
-    groupBy on the target: a second shuffle, no join. Each target collects
-    ``lags + 1`` lag rows and one stats row per domain number.
+    Plan: window hits are pivoted per target over the fixed domain keys
+    (count and min lag per key, a hash aggregate with fixed-width buffers;
+    absent keys come out null and are filled with 0 / window+1), lag rows are
+    pivoted per target over k = 0..lags, and the two target-keyed results are
+    joined. No grid of zero rows is shuffled.
     """
+    if mode not in ("holdout", "next"):
+        raise ValueError("mode must be 'holdout' or 'next'")
     first = start_index(lags, window)
     last = _last_target(seq_draws, seq_col, mode)
     cols = [c for p in pools for c in p.columns]
-    order = F.when(F.col("pool") == pools[0].name, F.lit(0))
-    for i, p in enumerate(pools[1:], 1):
-        order = order.when(F.col("pool") == p.name, F.lit(i))
-    stat_t = F.struct(order.alias("o"), F.col("number").alias("n"),
-                      F.col("frequency").cast("double").alias("f"),
-                      F.col("recency").cast("double").alias("r"))
-    lag_t = F.struct(F.col("k"), F.array(*[F.col(c).cast("double") for c in cols]).alias("nums"),
-                     *[F.col(c).cast("int").alias(c) for c in cols])
-    stats = (window_stats(seq_draws, window, lags, pools, seq_col, mode)
-             .select(F.col(seq_col).alias("_t"), stat_t.alias("_st"), F.lit(None).alias("_lag")))
+    key = None
+    for i, p in enumerate(pools):
+        v = F.lit(i * 1000) + F.col("number")
+        key = F.when(F.col("pool") == p.name, v) if key is None else key.when(F.col("pool") == p.name, v)
+    keys = [i * 1000 + n for i, p in enumerate(pools) for n in range(p.lo, p.hi + 1)]
+
+    hits = scatter(to_long(seq_draws, pools, keep=[seq_col]), seq_col, 1, window,
+                   target_col="_t", min_target=first, max_target=last)
+    hits = hits.select("_t", key.alias("_key"), "k")
+    markers = _targets(seq_draws, first, seq_col, mode).select(
+        "_t", F.lit(None).cast("int").alias("_key"), F.lit(None).cast("int").alias("k"))
+    stats = (hits.unionByName(markers).groupBy(F.col("_t").alias(seq_col))
+                 .pivot("_key", keys).agg(F.count("k").alias("f"), F.min("k").alias("r")))
+
     lag_rows = scatter(seq_draws.select(seq_col, *cols), seq_col, 0, lags, target_col="_t",
                        min_target=first, max_target=last)
-    lag_rows = lag_rows.select("_t", F.lit(None).alias("_st"), lag_t.alias("_lag"))
-    per_target = (stats.unionByName(lag_rows, allowMissingColumns=False)
-                  .groupBy("_t")
-                  .agg(F.sort_array(F.collect_list("_st")).alias("_st"),
-                       F.sort_array(F.collect_list("_lag")).alias("_lags")))
-    lagged = F.flatten(F.transform(F.filter("_lags", lambda s: s["k"] > 0), lambda s: s["nums"]))
-    stat_vals = F.flatten(F.transform("_st", lambda s: F.array(s["f"], s["r"])))
-    current = F.filter("_lags", lambda s: s["k"] == 0)
-    sel = [F.col("_t").alias(seq_col), F.concat(lagged, stat_vals).alias("features")]
+    lagged = (lag_rows.groupBy(F.col("_t").alias(seq_col)).pivot("k", list(range(0, lags + 1)))
+                      .agg(*[F.first(c).alias(c) for c in cols]))
+
+    feats = [F.col(f"{k}_{c}").cast("double") for k in range(1, lags + 1) for c in cols]
+    for kk in keys:
+        feats.append(F.coalesce(F.col(f"{kk}_f"), F.lit(0)).cast("double"))
+        feats.append(F.coalesce(F.col(f"{kk}_r") - 1, F.lit(window + 1)).cast("double"))
+    sel = [F.col(seq_col), F.array(*feats).alias("features")]
     for p in pools:
-        arr = F.array(*[current[0][c] for c in p.columns])
-        sel.append(F.when(F.size(current) > 0, _presence(arr, p.lo, p.hi)).alias(f"y_{p.name}"))
-    return per_target.select(*sel)
+        arr = F.array(*[F.col(f"0_{c}").cast("int") for c in p.columns])
+        known = F.lit(False)
+        for c in p.columns:
+            known = known | F.col(f"0_{c}").isNotNull()
+        sel.append(F.when(known, _presence(arr, p.lo, p.hi)).alias(f"y_{p.name}"))
+    return lagged.join(stats, seq_col, "right").select(*sel)

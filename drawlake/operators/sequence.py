@@ -12,6 +12,10 @@ rows differently. The numbered partitions are therefore written once with a
 reliable checkpoint (``spark.checkpoint.dir``) before counts and offsets are
 read from them; a lost executor then re-reads that copy instead of
 re-deriving a different split.
+
+The per-partition offsets then come from one count over that copy: a table
+with one row per partition, so it is bounded by the partition count and is
+carried into the plan as a literal map.
 """
 
 from __future__ import annotations
@@ -34,6 +38,10 @@ def global_sequence(df: DataFrame, order_cols: Sequence[str | Column],
     the numbers are still a permutation of 1..N but tied rows may swap.
     Range partitioning samples the key, so a hot leading value (one date with a
     third of the rows) is still split across partitions by the later columns.
+
+    After the checkpoint, the per-partition counts (one row per partition,
+    a bounded table) are turned into an offset literal, so ``seq`` is a plain
+    projection over the checkpointed rows: downstream plans carry no join.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -41,15 +49,19 @@ def global_sequence(df: DataFrame, order_cols: Sequence[str | Column],
                 .sortWithinPartitions(*order_cols)
                 .withColumn("_rowid", F.monotonically_increasing_id()))
     tagged = cut_lineage(tagged)
-    tagged = (tagged.withColumn("_part", F.shiftright("_rowid", _LOCAL_BITS))
-                    .withColumn("_local", F.col("_rowid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))))
-    counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per partition: this window is over a bounded, tiny table.
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    return (tagged.join(F.broadcast(offsets), "_part")
-                  .withColumn(seq_col, F.col("_offset") + F.col("_local") + 1)
-                  .drop("_rowid", "_part", "_local", "_offset"))
+    part = F.shiftright("_rowid", _LOCAL_BITS)
+    local = F.col("_rowid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
+    counts = sorted((r[0], r[1]) for r in tagged.groupBy(part.alias("p")).count().collect())
+    offsets, acc = {}, 0
+    for p, c in counts:
+        offsets[p] = acc
+        acc += c
+    if offsets:
+        offset = F.element_at(F.create_map(*[F.lit(x) for kv in offsets.items() for x in kv]), part)
+    else:
+        offset = F.lit(0).cast("long")
+    return (tagged.withColumn(seq_col, offset + local + F.lit(1))
+                  .drop("_rowid"))
 
 
 def scatter(df: DataFrame, seq_col: str, k_from: int, k_to: int,
