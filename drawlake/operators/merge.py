@@ -51,7 +51,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
     Matched keys: ``update_cols`` (default: every non-key target column) take
     the source value, other columns keep the target value. Unmatched source
-    keys are inserted (columns the source lacks become null). ``order_col``
+    keys are inserted with all their values (columns the source lacks
+    become null). ``order_col``
     picks the last of several source rows per key.
     """
     tcols = target.columns
@@ -67,7 +68,11 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
         unchanged = target.join(src_keys, list(keys), "left_anti")
         if keep:
             old = target.join(src_keys, list(keys), "left_semi").select(*keys, *keep)
-            changed = src.join(old, list(keys), "left")
+            old = old.select(*keys, F.struct(*keep).alias("_old"))
+            j = src.join(old, list(keys), "left")
+            changed = j.select(*keys, *[
+                (F.when(F.col("_old").isNotNull(), F.col(f"_old.{c}")).otherwise(F.col(c)) if c in keep
+                 else F.col(c)).alias(c) for c in src.columns if c not in keys])
         else:
             changed = src
         merged = unchanged.unionByName(changed, allowMissingColumns=True)
@@ -82,7 +87,9 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
         g = u.where(~_has_null_key(keys)).groupBy(*keys).agg(*agg)
         sel = [F.col(k) for k in keys]
         for c in others:
-            sel.append((F.col(f"_old.{c}") if c in keep else F.col(f"_win.{c}")).alias(c))
+            val = (F.when(F.col("_old").isNotNull(), F.col(f"_old.{c}")).otherwise(F.col(f"_win.{c}"))
+                   if c in keep else F.col(f"_win.{c}"))
+            sel.append(val.alias(c))
         merged = g.select(*sel).unionByName(target.where(_has_null_key(keys)))
     return merged.unionByName(null_src, allowMissingColumns=True).select(*tcols)
 
