@@ -24,7 +24,7 @@ def draws_df(spark, rows):
               "ball_5 int, lucky_star_1 int, lucky_star_2 int")
 
 
-def random_draws(n, seed=7, null_every=0, repeat_every=0):
+def random_draws(n, seed=7, null_every=0, repeat_every=0, unique_dates=False):
     import datetime as dt
     import random
     rnd = random.Random(seed)
@@ -38,6 +38,6 @@ def random_draws(n, seed=7, null_every=0, repeat_every=0):
         if null_every and i % null_every == 3:
             stars[1] = None              # null number
         # dates repeat (two draws share a date sometimes); draw_number breaks ties
-        d = base + dt.timedelta(days=(i // 2) * 3)
+        d = base + dt.timedelta(days=(i if unique_dates else i // 2) * 3)
         out.append((10_000 - i, d.isoformat(), *balls, *stars))
     return out
