@@ -162,7 +162,10 @@ def sliding_features(seq_draws: DataFrame, lags: int = LAGS, window: int = WINDO
     (count and min lag per key, a hash aggregate with fixed-width buffers;
     absent keys come out null and are filled with 0 / window+1), lag rows are
     pivoted per target over k = 0..lags, and the two target-keyed results are
-    joined. No grid of zero rows is shuffled.
+    joined. Both sides are hash-partitioned on the target once, so the
+    pivots' two aggregation steps and the join reuse that partitioning
+    (each target holds at most window x picks + lags + 1 rows). No grid of
+    zero rows is shuffled.
     """
     if mode not in ("holdout", "next"):
         raise ValueError("mode must be 'holdout' or 'next'")
@@ -180,12 +183,14 @@ def sliding_features(seq_draws: DataFrame, lags: int = LAGS, window: int = WINDO
     hits = hits.select("_t", key.alias("_key"), "k")
     markers = _targets(seq_draws, first, seq_col, mode).select(
         "_t", F.lit(None).cast("int").alias("_key"), F.lit(None).cast("int").alias("k"))
-    stats = (hits.unionByName(markers).groupBy(F.col("_t").alias(seq_col))
+    parts = int(seq_draws.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stats = (hits.unionByName(markers).repartition(parts, "_t").groupBy(F.col("_t").alias(seq_col))
                  .pivot("_key", keys).agg(F.count("k").alias("f"), F.min("k").alias("r")))
 
     lag_rows = scatter(seq_draws.select(seq_col, *cols), seq_col, 0, lags, target_col="_t",
                        min_target=first, max_target=last)
-    lagged = (lag_rows.groupBy(F.col("_t").alias(seq_col)).pivot("k", list(range(0, lags + 1)))
+    lagged = (lag_rows.repartition(parts, "_t").groupBy(F.col("_t").alias(seq_col))
+                      .pivot("k", list(range(0, lags + 1)))
                       .agg(*[F.first(c).alias(c) for c in cols]))
 
     feats = [F.col(f"{k}_{c}").cast("double") for k in range(1, lags + 1) for c in cols]

@@ -82,26 +82,38 @@ def backtest_window_picks(seq_draws: DataFrame, stat: str = "frequency", largest
     """Back-test a windowed pick strategy on every draw (O57 per draw, O63).
 
     For each draw with full history: pick the k numbers per pool with the
-    largest (or smallest) ``stat`` over the previous ``window`` draws (ties
-    to the smaller number) and count how many are in that draw. Output
-    ``seq, <pool>_matches...``.
-
-    The window statistics and the draw's own presence come from one
-    aggregation; one more groupBy per draw (bounded: one entry per domain
-    number) ranks and scores. No join, no per-pool window sort.
+    largest (or smallest) ``stat`` (``frequency`` or ``recency``) over the
+    previous ``window`` draws (ties to the smaller number) and count how
+    many are in that draw. Output ``seq, <pool>_matches...``.
+
+    Plan: the scattered picks (k = 0 marks the draw itself), plus one zero
+    row per domain number, are hash-partitioned on the target draw once.
+    The per-number statistics, the rank within (draw, pool) and the match
+    count all keep that partitioning, so the whole back-test is one shuffle
+    with at most (window + 1) x picks-per-draw + domain rows per draw.
     """
-    from drawlake.operators.features import window_stats
-
-    ws = window_stats(seq_draws, window=window, pools=pools, seq_col=seq_col, include_current=True)
-    sign = -1 if largest else 1
-    entry = F.struct(F.col("pool"), (F.col(stat) * sign).alias("s"), F.col("number"), F.col("present"))
-    g = ws.groupBy(seq_col).agg(F.sort_array(F.collect_list(entry)).alias("_e"))
-    out = [F.col(seq_col)]
-    for p in pools:
-        chosen = F.slice(F.filter("_e", _is_pool(p.name)), 1, k[p.name])
-        out.append(F.aggregate(chosen, F.lit(0), lambda acc, e: acc + e["present"]).alias(f"{p.name}_matches"))
-    return g.select(*out)
-
-
-def _is_pool(name: str):
-    return lambda e: e["pool"] == F.lit(name)
+    from drawlake.operators.features import start_index, _targets
+    from drawlake.operators.reshape import to_long
+    from drawlake.operators.sequence import scatter
+
+    first = start_index(window=window)
+    n = seq_draws.select(F.max(seq_col)).scalar()
+    hits = scatter(to_long(seq_draws, pools, keep=[seq_col]), seq_col, 0, window, target_col="_t",
+                   min_target=first, max_target=n).select("_t", "pool", "number", "k")
+    cells = F.array(*[F.struct(F.lit(p.name).alias("pool"), F.sequence(F.lit(p.lo), F.lit(p.hi)).alias("ns"))
+                      for p in pools])
+    grid = (_targets(seq_draws, first, seq_col, "holdout").select("_t", F.inline(cells))
+            .select("_t", "pool", F.explode("ns").alias("number"), F.lit(None).cast("int").alias("k")))
+    kk = F.col("k")
+    stats = (hits.unionByName(grid).repartition("_t")
+                 .groupBy("_t", "pool", "number")
+                 .agg(F.count(F.when(kk >= 1, kk)).alias("frequency"),
+                      F.coalesce(F.min(F.when(kk >= 1, kk)) - 1, F.lit(window + 1)).alias("recency"),
+                      F.count(F.when(kk == 0, kk)).alias("_cur")))
+    order = F.col(stat).desc() if largest else F.col(stat).asc()
+    rank = F.row_number().over(Window.partitionBy("_t", "pool").orderBy(order, F.col("number")))
+    picked = stats.withColumn("_rank", rank).where(F.col("_rank") <= _k_expr(k))
+    hit = F.least(F.col("_cur"), F.lit(1))
+    return picked.groupBy(F.col("_t").alias(seq_col)).agg(
+        *[F.sum(F.when(F.col("pool") == p.name, hit).otherwise(0)).cast("int").alias(f"{p.name}_matches")
+          for p in pools])

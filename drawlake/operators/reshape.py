@@ -40,9 +40,9 @@ def densify(stats: DataFrame, pools: Sequence[Pool] = DEFAULT_POOLS,
     """Reindex per-(pool, number) stats onto the full domain, filling gaps.
 
     ``stats`` has at most one row per (pool, number), so both sides are bounded
-    by the domain size (tens of rows) and the domain side is broadcast.
+    by the domain size (tens of rows); AQE plans the tiny join.
     """
-    dom = F.broadcast(domain(stats.sparkSession, pools))
+    dom = domain(stats.sparkSession, pools)
     out = dom.join(stats, ["pool", "number"], "left")
     for c, v in (fill or {}).items():
         out = out.withColumn(c, F.coalesce(F.col(c), v if hasattr(v, "_jc") else F.lit(v)))
