@@ -37,6 +37,19 @@ def rolling_star_frequency(spark, sf_dir):
     return rolling_frequency(sequenced_draws(spark, sf_dir), STAR, 50)
 
 
+@register("rolling_star_frequency_chunked", with_draws("""
+SELECT seq, draw_date, number, frequency FROM (
+  SELECT seq, draw_date, number,
+         CAST(sum(c) OVER (PARTITION BY number ORDER BY seq
+                           ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS BIGINT) AS frequency
+  FROM sgrid)
+WHERE seq >= 50
+""", _STAR_GRID))
+def rolling_star_frequency_chunked(spark, sf_dir):
+    """The same rolling frequency through the chunk-overlap plan used for long windows."""
+    return rolling_frequency(sequenced_draws(spark, sf_dir), STAR, 50, method="chunk", chunk=1000)
+
+
 @register("lag_features", with_draws("""
 SELECT t.seq, CAST(k.range AS INTEGER) AS lag, l.pool, l.position, l.number
 FROM sd t, range(1, 6) k, lg l
