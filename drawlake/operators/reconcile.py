@@ -67,12 +67,18 @@ def reconcile_summary(recon: DataFrame) -> DataFrame:
 
 
 def only_in(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``left`` whose key has no null-safe match in ``right``."""
+    """Rows of ``left`` whose key has no null-safe match in ``right``.
+
+    The right side is reduced to its distinct keys first (partial
+    aggregation), so a key repeated many times on the right is one row
+    before it reaches the join.
+    """
+    rk = right.select(*keys).distinct()
     cond = None
     for k in keys:
-        c = left[k].eqNullSafe(right[k])
+        c = left[k].eqNullSafe(rk[k])
         cond = c if cond is None else cond & c
-    return left.join(right.select(*keys), cond, "left_anti")
+    return left.join(rk, cond, "left_anti")
 
 
 def find_duplicates(df: DataFrame, keys: Sequence[str], count_col: str = "n",

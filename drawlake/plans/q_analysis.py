@@ -30,7 +30,7 @@ def frequency_share_q(spark, sf_dir):
 
 
 @register("top15_with_others", with_draws("""
-SELECT year, pool, label, sum(frequency) AS frequency FROM (
+SELECT year, pool, label, CAST(sum(frequency) AS BIGINT) AS frequency FROM (
   SELECT year, pool, frequency,
          CASE WHEN row_number() OVER (PARTITION BY year, pool ORDER BY frequency DESC, number) <= 15
               THEN CAST(number AS VARCHAR) ELSE 'Others' END AS label
@@ -44,7 +44,7 @@ def top15_with_others(spark, sf_dir):
 
 
 @register("overall_top15_with_others", with_draws("""
-SELECT pool, label, sum(frequency) AS frequency FROM (
+SELECT pool, label, CAST(sum(frequency) AS BIGINT) AS frequency FROM (
   SELECT pool, frequency,
          CASE WHEN row_number() OVER (PARTITION BY pool ORDER BY frequency DESC, number) <= 15
               THEN CAST(number AS VARCHAR) ELSE 'Others' END AS label
@@ -94,7 +94,7 @@ def _pick_sql(stat_sql: str, stat: str, direction: str) -> str:
     return f"""
 SELECT pool, pick_rank, number, {stat} FROM (
   SELECT pool, number, {stat},
-         row_number() OVER (PARTITION BY pool ORDER BY {stat} {direction}, number) AS pick_rank
+         CAST(row_number() OVER (PARTITION BY pool ORDER BY {stat} {direction}, number) AS INTEGER) AS pick_rank
   FROM ({stat_sql}))
 WHERE pick_rank <= CASE pool WHEN 'main' THEN 5 WHEN 'star' THEN 2 ELSE 0 END
 """

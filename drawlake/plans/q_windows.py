@@ -68,7 +68,7 @@ wgrid AS (
 wstat AS (
   SELECT seq, pool, number,
          CAST(coalesce(sum(c) OVER w, 0) AS BIGINT) AS frequency,
-         coalesce(seq - max(CASE WHEN c > 0 THEN seq END) OVER w - 1, 21) AS recency
+         CAST(coalesce(seq - max(CASE WHEN c > 0 THEN seq END) OVER w - 1, 21) AS INTEGER) AS recency
   FROM wgrid
   WINDOW w AS (PARTITION BY pool, number ORDER BY seq ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING))
 """
