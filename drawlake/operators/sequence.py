@@ -15,7 +15,7 @@ re-deriving a different split.
 
 The per-partition offsets then come from one count over that copy: a table
 with one row per partition, so it is bounded by the partition count and is
-carried into the plan as a literal map.
+carried into the plan as a literal array.
 """
 
 from __future__ import annotations
@@ -40,8 +40,9 @@ def global_sequence(df: DataFrame, order_cols: Sequence[str | Column],
     third of the rows) is still split across partitions by the later columns.
 
     After the checkpoint, the per-partition counts (one row per partition,
-    a bounded table) are turned into an offset literal, so ``seq`` is a plain
-    projection over the checkpointed rows: downstream plans carry no join.
+    a bounded table) are turned into an offset array literal indexed by
+    partition id, so ``seq`` is a plain projection over the checkpointed rows:
+    downstream plans carry no join.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -51,13 +52,15 @@ def global_sequence(df: DataFrame, order_cols: Sequence[str | Column],
     tagged = cut_lineage(tagged)
     part = F.shiftright("_rowid", _LOCAL_BITS)
     local = F.col("_rowid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
-    counts = sorted((r[0], r[1]) for r in tagged.groupBy(part.alias("p")).count().collect())
-    offsets, acc = {}, 0
-    for p, c in counts:
-        offsets[p] = acc
-        acc += c
+    counts = dict((r[0], r[1]) for r in tagged.groupBy(part.alias("p")).count().collect())
+    # Offsets indexed by partition id (ids are dense 0..n-1; empty ones add 0):
+    # an array literal gives an O(1) lookup per row.
+    offsets, acc = [], 0
+    for p in range(max(counts) + 1 if counts else 0):
+        offsets.append(acc)
+        acc += counts.get(p, 0)
     if offsets:
-        offset = F.element_at(F.create_map(*[F.lit(x) for kv in offsets.items() for x in kv]), part)
+        offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), (part + 1).cast("int"))
     else:
         offset = F.lit(0).cast("long")
     return (tagged.withColumn(seq_col, offset + local + F.lit(1))
