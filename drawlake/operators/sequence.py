@@ -2,9 +2,7 @@
 
 ``Window.orderBy`` with no partition sends every row to one task. The global
 sequence here is range-partitioned on the full ordering key, numbered inside
-each partition, and offset by a prefix sum over the per-partition counts: a
-table with one row per partition, so its size is bounded by the partition
-count and it is safe to broadcast.
+each partition, and offset by a prefix sum over the per-partition counts.
 
 Range bounds come from sampling, and the sample depends on the row order the
 upstream shuffle delivers, so two evaluations of the same plan can split the
@@ -22,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from drawlake.session import cut_lineage

@@ -1,5 +1,3 @@
-import pytest
-from pyspark.sql import functions as F
 
 from drawlake.operators.connector import mask_columns, sensitivity_of, sparse_nonnull, with_sensitivity, xml_values
 from drawlake.schemas import DRAW_TABLE_SCHEMA

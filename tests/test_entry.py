@@ -1,6 +1,5 @@
 """The driver contract: entry(), queries() and oracle_sql() agree with DuckDB at sf0.001."""
 
-import math
 import os
 
 import duckdb

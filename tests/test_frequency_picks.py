@@ -1,5 +1,4 @@
 import pandas as pd
-import pytest
 from pyspark.sql import functions as F
 
 from drawlake.operators.frequency import (

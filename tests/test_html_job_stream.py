@@ -1,8 +1,5 @@
-import datetime as dt
-import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from drawlake.plans.job import JobConfig, run_draw_job
 from drawlake.sources.html import html_table_rows, nav_links, page_manifest, parse_draw_table, scraped_rows_to_draws

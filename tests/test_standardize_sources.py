@@ -1,6 +1,4 @@
-import json
 import os
-import tempfile
 
 import pytest
 from pyspark.sql import functions as F
