@@ -164,11 +164,21 @@ def html_table_rows(pages: DataFrame, id_col: str = "page_id", html_col: str = "
     """Scraped draw rows (all text) from every page, with ``_reason`` for skips.
 
     Good rows have a null ``_reason``; skipped pages yield one row with a
-    reason and no data, so nothing disappears silently. Work is spread
-    like the pages table is; pages are parsed inside the executors.
+    reason and no data, so nothing disappears silently. Pages whose text
+    does not even contain the container class name are answered JVM-side
+    (``no results table``); only the rest go through the Python parser, in
+    Arrow batches inside the executors.
     """
     src = pages.select(F.col(id_col).cast("long").alias(id_col), F.col(html_col))
-    return src.mapInPandas(lambda it: _pages_to_rows(it, id_col, html_col), SCRAPED_ROW_SCHEMA)
+    candidate = F.coalesce(F.instr(F.col(html_col), TABLE_CONTAINER_CLASS) > 0, F.lit(False))
+    parsed = src.where(candidate).mapInPandas(lambda it: _pages_to_rows(it, id_col, html_col),
+                                              SCRAPED_ROW_SCHEMA)
+    skipped = src.where(~candidate).select(
+        F.col(id_col).alias("page_id"), F.lit(None).cast("int").alias("row_idx"),
+        *[F.lit(None).cast("string").alias(c) for c in
+          ["draw_date"] + [f"ball_{i}" for i in range(1, 6)] + ["lucky_star_1", "lucky_star_2", "jackpot", "winners"]],
+        F.lit("no results table").alias("_reason"))
+    return parsed.unionByName(skipped)
 
 
 def scraped_rows_to_draws(rows: DataFrame) -> DataFrame:
