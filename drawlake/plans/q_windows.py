@@ -197,3 +197,30 @@ def ml_picks(spark, sf_dir):
     scores = fit_multilabel_forest(sliding_features(sequenced_draws(spark, sf_dir), mode="next"),
                                    mode="next")
     return pick_top_k(scores, "probability")
+
+
+@register("next_draw_features", with_draws("""
+SELECT seq, CAST(idx AS INTEGER) AS idx, value FROM fl
+UNION ALL SELECT seq, CAST(idx AS INTEGER), value FROM fs
+""", """
+nx AS (SELECT max(seq) + 1 AS t FROM sd)""", """
+fl AS (
+  SELECT nx.t AS seq, (CAST(k.range AS INTEGER) - 1) * 7
+           + CASE l.pool WHEN 'main' THEN l.position ELSE 5 + l.position END - 1 AS idx,
+         CAST(l.number AS DOUBLE) AS value
+  FROM nx, range(1, 6) k, lg l WHERE l.seq = nx.t - k.range)""", """
+st AS (
+  SELECT dom.pool, dom.number, count(l.seq) AS f, max(l.seq) AS ms
+  FROM dom CROSS JOIN nx
+  LEFT JOIN lg l ON l.pool = dom.pool AND l.number = dom.number AND l.seq BETWEEN nx.t - 20 AND nx.t - 1
+  GROUP BY dom.pool, dom.number)""", """
+fs AS (
+  SELECT nx.t AS seq, 35 + (CASE pool WHEN 'main' THEN number - 1 ELSE 50 + number - 1 END) * 2 AS idx,
+         CAST(f AS DOUBLE) AS value FROM st, nx
+  UNION ALL
+  SELECT nx.t, 35 + (CASE pool WHEN 'main' THEN number - 1 ELSE 50 + number - 1 END) * 2 + 1,
+         CAST(coalesce(nx.t - ms - 1, 21) AS DOUBLE) FROM st, nx)"""))
+def next_draw_features(spark, sf_dir):
+    """Feature vector of the unseen next draw from the latest 20 known draws (O52, D3 next mode)."""
+    f = sliding_features(sequenced_draws(spark, sf_dir), mode="next")
+    return f.where(F.col("y_main").isNull()).select("seq", F.posexplode("features").alias("idx", "value"))
