@@ -8,7 +8,7 @@ from drawlake.operators.frequency import (
     frequency, frequency_matrix, frequency_share, recency, top_n_with_others,
 )
 from drawlake.operators.picks import pick_top_k
-from drawlake.operators.reshape import to_long
+from drawlake.operators.reshape import densify, to_long
 from drawlake.plans.catalog import register
 from drawlake.plans.derived import load_draws, sequenced_draws, with_draws
 from drawlake.schemas import MAIN, STAR
@@ -113,6 +113,20 @@ def picks_least_frequent(spark, sf_dir):
     return pick_top_k(frequency(to_long(load_draws(spark, sf_dir))), "frequency", largest=False)
 
 
+_FREQ_DOMAIN = """
+SELECT dom.pool, dom.number, coalesce(c.frequency, 0) AS frequency
+FROM dom LEFT JOIN (SELECT pool, number, count(*) AS frequency FROM lg GROUP BY pool, number) c
+  ON dom.pool = c.pool AND dom.number = c.number
+"""
+
+
+@register("picks_least_frequent_domain", with_draws(_pick_sql(_FREQ_DOMAIN, "frequency", "ASC")))
+def picks_least_frequent_domain(spark, sf_dir):
+    """Least frequent picks counting never-drawn numbers as zero (D7 ``domain`` option)."""
+    counts = densify(frequency(to_long(load_draws(spark, sf_dir))), fill={"frequency": 0})
+    return pick_top_k(counts, "frequency", largest=False)
+
+
 @register("picks_most_overdue", with_draws(_pick_sql("SELECT * FROM rec", "draws_since", "DESC"), _RECENCY_SQL))
 def picks_most_overdue(spark, sf_dir):
     return pick_top_k(recency(sequenced_draws(spark, sf_dir)), "draws_since", largest=True)
