@@ -183,13 +183,12 @@ def sliding_features(seq_draws: DataFrame, lags: int = LAGS, window: int = WINDO
     hits = hits.select("_t", key.alias("_key"), "k")
     markers = _targets(seq_draws, first, seq_col, mode).select(
         "_t", F.lit(None).cast("int").alias("_key"), F.lit(None).cast("int").alias("k"))
-    parts = int(seq_draws.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    stats = (hits.unionByName(markers).repartition(parts, "_t").groupBy(F.col("_t").alias(seq_col))
+    stats = (hits.unionByName(markers).repartition("_t").groupBy(F.col("_t").alias(seq_col))
                  .pivot("_key", keys).agg(F.count("k").alias("f"), F.min("k").alias("r")))
 
     lag_rows = scatter(seq_draws.select(seq_col, *cols), seq_col, 0, lags, target_col="_t",
                        min_target=first, max_target=last)
-    lagged = (lag_rows.repartition(parts, "_t").groupBy(F.col("_t").alias(seq_col))
+    lagged = (lag_rows.repartition("_t").groupBy(F.col("_t").alias(seq_col))
                       .pivot("k", list(range(0, lags + 1)))
                       .agg(*[F.first(c).alias(c) for c in cols]))
 
