@@ -43,6 +43,18 @@ def top15_with_others(spark, sf_dir):
     return top_n_with_others(frequency(long_df, by=["year"]), 15, by=["year"])
 
 
+@register("yearly_star_share", with_draws("""
+SELECT year, pool, number, frequency,
+       frequency * 100.0 / sum(frequency) OVER (PARTITION BY year, pool) AS share_pct
+FROM (SELECT CAST(year(draw_date) AS INTEGER) AS year, pool, number, count(*) AS frequency
+      FROM lg WHERE pool = 'star' GROUP BY 1, 2, 3)
+"""))
+def yearly_star_share(spark, sf_dir):
+    """Per-year star distribution with shares (the per-year pie table, no top-N)."""
+    long_df = to_long(load_draws(spark, sf_dir), [STAR], keep=[F.year("draw_date").alias("year")])
+    return frequency_share(frequency(long_df, by=["year"]), by=["year"])
+
+
 @register("overall_top15_with_others", with_draws("""
 SELECT pool, label, CAST(sum(frequency) AS BIGINT) AS frequency FROM (
   SELECT pool, frequency,
