@@ -2,14 +2,17 @@
 import pytest
 
 from drawlake.plans.job import JobConfig, run_draw_job
-from drawlake.sources.html import html_table_rows, nav_links, page_manifest, parse_draw_table, scraped_rows_to_draws
+from drawlake.sources.html import (
+    MAIN_SPAN_CLASS, STAR_SPAN_CLASS, html_table_rows, nav_links, page_manifest, parse_draw_table,
+    scraped_rows_to_draws,
+)
 from drawlake.streaming.incremental import read_latest, start_incremental_upsert
 from tests.conftest import draws_df, random_draws
 
 
 def _row(date, balls, stars, jackpot="£1,000", winners="0"):
-    b = "".join(f'<span class="ball-euromillions">{x}</span>' for x in balls)
-    s = "".join(f'<span class="ball-euromillions-lucky-star">{x}</span>' for x in stars)
+    b = "".join(f'<span class="{MAIN_SPAN_CLASS}">{x}</span>' for x in balls)
+    s = "".join(f'<span class="{STAR_SPAN_CLASS}">{x}</span>' for x in stars)
     return f"<tr><td>{date}</td><td>{b}{s}</td><td>{jackpot}</td><td>{winners}</td></tr>"
 
 
