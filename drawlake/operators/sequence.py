@@ -6,10 +6,11 @@ each partition, and offset by a prefix sum over the per-partition counts.
 
 Range bounds come from sampling, and the sample depends on the row order the
 upstream shuffle delivers, so two evaluations of the same plan can split the
-rows differently. The numbered partitions are therefore written once with a
-reliable checkpoint (``spark.checkpoint.dir``) before counts and offsets are
-read from them; a lost executor then re-reads that copy instead of
-re-deriving a different split.
+rows differently. The numbered partitions are therefore written once as
+parquet in the shared checkpoint folder (``spark.checkpoint.dir``) before
+counts and offsets are read from them; a lost executor then re-reads that
+copy instead of re-deriving a different split, and later scans read only
+the columns they need.
 
 The per-partition offsets then come from one count over that copy: a table
 with one row per partition, so it is bounded by the partition count and is
@@ -23,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from drawlake.session import cut_lineage
+from drawlake.session import write_and_reread
 
 _LOCAL_BITS = 33  # monotonically_increasing_id packs (partition << 33) + row
 
@@ -47,7 +48,7 @@ def global_sequence(df: DataFrame, order_cols: Sequence[str | Column],
     tagged = (df.repartitionByRange(n, *order_cols)
                 .sortWithinPartitions(*order_cols)
                 .withColumn("_rowid", F.monotonically_increasing_id()))
-    tagged = cut_lineage(tagged)
+    tagged = write_and_reread(tagged, "sequence")
     part = F.shiftright("_rowid", _LOCAL_BITS)
     local = F.col("_rowid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
     counts = dict((r[0], r[1]) for r in tagged.groupBy(part.alias("p")).count().collect())

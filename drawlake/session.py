@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -62,3 +63,16 @@ def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint into the shared checkpoint folder (never local)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def write_and_reread(df, name: str = "stage"):
+    """Cut lineage by writing ``df`` as parquet under the shared checkpoint folder.
+
+    One job writes the rows (a plain ``checkpoint()`` runs the plan a second
+    time to save it); later scans read only the columns they need, and the
+    files outlive any executor.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/drawlake-{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
