@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -76,3 +78,30 @@ def write_and_reread(df, name: str = "stage"):
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/drawlake-{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``drawlake`` importable in the Python workers (once per application).
+
+    Only operators that run Python inside tasks need it (the HTML page
+    parser). The package's .py files are zipped on the driver and handed to
+    ``SparkContext.addPyFile``, the same as ``--py-files`` at submit time; it
+    is harmless when the package is already installed on the workers.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import drawlake
+    pkg_dir = os.path.dirname(os.path.abspath(drawlake.__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="drawlake-pyfiles-"), "drawlake.zip")
+    with zipfile.ZipFile(out, "w") as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)

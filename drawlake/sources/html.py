@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from drawlake.session import ship_package
+
 # Fixed values of the scraped page layout: the results table sits in a
 # div with class "table-responsive"; header names (trimmed, lower-cased)
 # "draw date", "jackpot", "winners"; number spans carry these classes.
@@ -169,6 +171,7 @@ def html_table_rows(pages: DataFrame, id_col: str = "page_id", html_col: str = "
     (``no results table``); only the rest go through the Python parser, in
     Arrow batches inside the executors.
     """
+    ship_package(pages.sparkSession)
     src = pages.select(F.col(id_col).cast("long").alias(id_col), F.col(html_col))
     candidate = F.coalesce(F.instr(F.col(html_col), TABLE_CONTAINER_CLASS) > 0, F.lit(False))
     parsed = src.where(candidate).mapInPandas(lambda it: _pages_to_rows(it, id_col, html_col),
