@@ -92,3 +92,16 @@ def test_incremental_upsert_stream(spark, tmp_path):
     q.awaitTermination(120)
     got = {r.k: r.v for r in read_latest(spark, table).collect()}
     assert got == {1: "a", 2: "B", 3: "c"}
+
+
+def test_draw_job_weekday_filter(spark, tmp_path):
+    import datetime as dt
+    rows = random_draws(70, unique_dates=True)
+    cfg = JobConfig(output_dir=str(tmp_path / "out"), target=draws_df(spark, rows),
+                    strategy="least_frequent", weekday="tuesday")
+    res = run_draw_job(spark, cfg)
+    tuesdays = [r for r in rows if dt.date.fromisoformat(r[1]).weekday() == 1]
+    freq = spark.read.parquet(res["outputs"]["frequency"])
+    assert freq.where("pool = 'main'").groupBy().sum("frequency").first()[0] == 5 * len(tuesdays)
+    picks = spark.read.parquet(res["outputs"]["picks"]).collect()
+    assert sorted(r.pool for r in picks) == ["main"] * 5 + ["star"] * 2
