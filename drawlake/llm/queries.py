@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from drawlake.llm import bpe, packing
+from drawlake.llm import bpe, chat, minhash, packing, sharding, topk
 from drawlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,55 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op4_minhash_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op5_exact_top_k", """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id,
+             list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]))::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+WHERE rank <= 5""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), topk.integer_vector(F.col("embedding")).alias("vector"))
+    return topk.top_k(vectors, vectors.where(F.col("id") % 50 == 0), 5)
+
+
+@query("op6_chat_formatting", r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+           UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+f AS (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS prev,
+             replace(replace(replace(text, '\', '\\'), '### ', '#\## '), '</turn>', '<\/turn>') AS safe FROM t),
+k AS (SELECT *, CASE WHEN prev IS NULL THEN role IN ('system', 'user') WHEN prev = 'user' THEN role = 'assistant'
+                ELSE prev IN ('system', 'assistant') AND role = 'user' END AS ok FROM f)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+       sum(4 + length(role) + 2 + length(safe) + 9)::BIGINT AS formatted_chars, bool_and(ok) AS valid
+FROM k GROUP BY conv_id""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = r"\### Assistant: </turn> ok"
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                  F.lit(said).alias("text"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
+    return chat.read_back(chat.format_turns(turns.unionByName(extra)))
+
+
+@query("op7_sharding")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.document_shards(table(spark, sf_dir, "documents"), 40).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
