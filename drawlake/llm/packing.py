@@ -7,6 +7,8 @@ Two operators: :func:`token_pieces` turns documents into pieces of at most
 
 from __future__ import annotations
 
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,16 +19,59 @@ from pyspark.sql import functions as F
 
 from drawlake.llm.common import broadcast_file, id_and_text, prepare, write_and_reread
 
-#: Bound of the per-worker memo of encoded words.
+#: Bound of each of a worker's two memos: of words between spaces and of pre-tokens.
 MEMO_WORDS = 400_000
 
-_MEMO: dict[str, dict[str, bytes]] = {}
+#: Fixed value: the vocabulary's pre-token pattern, restricted to lower-case ASCII.
+_ASCII_PRE_TOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 
+_MEMOS: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {}
 
-def _encode_new(tokenizer, new: list[str], memo: dict[str, bytes]) -> None:
-    """Encode words not seen yet; ids are kept as little-endian unsigned 32-bit bytes."""
-    for word, enc in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-        memo[word] = np.asarray(enc.ids, dtype="<u4").tobytes()
+
+class _WordEncoder:
+    """Ids (as little-endian unsigned 32-bit bytes) of the words between a text's spaces.
+
+    The vocabulary lower-cases, drops white space and never joins ids across
+    it, so a word has the same ids wherever it stands. New words are cut into
+    pre-tokens - printable ASCII by the pattern above, others by the
+    tokenizer's own normaliser and pre-tokenizer - and each new pre-token goes
+    through the tokenizer's model once.
+    """
+
+    def __init__(self, tokenizer, memos):
+        self.normalise = tokenizer.normalizer.normalize_str
+        self.pre_tokens = tokenizer.pre_tokenizer.pre_tokenize_str
+        self.model = tokenizer.model
+        self.words, self.pieces = memos
+
+    def _piece(self, piece: str) -> bytes:
+        got = self.pieces.get(piece)
+        if got is None:
+            if len(self.pieces) >= MEMO_WORDS:
+                self.pieces.clear()
+            got = self.pieces[piece] = array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+        return got
+
+    def _word(self, word: str) -> bytes:
+        if word.isascii() and word.isprintable():
+            cut = _ASCII_PRE_TOKEN.findall(word.lower())
+        else:
+            cut = [piece for piece, _ in self.pre_tokens(self.normalise(word))]
+        return b"".join(map(self._piece, cut))
+
+    def encode(self, text: str) -> bytes:
+        words = self.words
+        if len(words) >= MEMO_WORDS:
+            words.clear()
+        if text.isascii():
+            text = text.lower()
+        out = []
+        for w in text.replace("\n", " ").split(" "):
+            got = words.get(w)
+            if got is None:
+                got = words[w] = self._word(w)
+            out.append(got)
+        return b"".join(out)
 
 
 def token_pieces(docs: DataFrame, vocab_path: str, max_tokens: int = 4096, end_id: int = 1,
@@ -36,10 +81,8 @@ def token_pieces(docs: DataFrame, vocab_path: str, max_tokens: int = 4096, end_i
     Returns ``doc_id, piece, start, length, ids`` (``ids``: binary of
     little-endian unsigned 32-bit ids); the document's ids are its text's ids
     and then ``end_id``. Only documents longer than ``max_tokens`` are cut.
-
-    The vocabulary lower-cases, drops white space and never joins ids across a
-    space, so a text is split at spaces and each distinct word is encoded once
-    per worker (memo of at most ``MEMO_WORDS`` words).
+    Every distinct word is encoded once per worker, up to the memos' bound
+    (see :class:`_WordEncoder`).
 
     Null or empty text: one piece holding only ``end_id``. Null or repeated
     ``doc_id``: each row is a document of its own. Extra columns are ignored.
@@ -52,19 +95,13 @@ def token_pieces(docs: DataFrame, vocab_path: str, max_tokens: int = 4096, end_i
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tokenizers import Tokenizer
-        tokenizer = Tokenizer.from_str(vocab.value.decode())
-        tokenizer.encode_special_tokens = True
-        memo = _MEMO.setdefault(vocab_path, {})
+        encoder = _WordEncoder(Tokenizer.from_str(vocab.value.decode()), _MEMOS.setdefault(vocab_path, ({}, {})))
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                split = [t.split(" ") for t in part.column("text").to_pylist()]
-                if len(memo) > MEMO_WORDS:
-                    memo.clear()
-                _encode_new(tokenizer, list({w for ws in split for w in ws if w not in memo}), memo)
                 out: list[tuple] = []
-                for doc_id, ws in zip(part.column("doc_id").to_pylist(), split, strict=True):
-                    ids = b"".join([memo[w] for w in ws]) + end
+                for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
+                    ids = encoder.encode(text) + end
                     out.extend((doc_id, k, at // 4, min(step, len(ids) - at) // 4, ids[at:at + step])
                                for k, at in enumerate(range(0, len(ids), step)))
                 cols = list(zip(*out, strict=True))
