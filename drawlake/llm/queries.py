@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from drawlake.llm import bpe, chat, minhash, packing, quality, sharding, topk, toxicity
+from drawlake.llm import bpe, chat, minhash, packing, pii, quality, secrets, sharding, topk, toxicity
 from drawlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,7 +108,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_toxicity")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).select(
         "doc_id", toxicity.held_out_column().alias("held_out"), "score",
@@ -120,3 +120,26 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     return quality.judge(docs, model).select("doc_id", "quality_rules.*")
+
+
+@query("op9_personal_data")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    told = lambda kind, s: F.concat_ws(":", kind, s["start"].cast("string"), s["end"].cast("string"))
+    base = F.transform("base", lambda s: told(s["kind"], s))
+    added = F.transform("added", lambda s: told(F.lit("term"), s))
+    return found.select(
+        "doc_id", *(count(k).alias(f"n_{k}") for k in pii.KINDS), F.sha2(F.array_join(base, ","), 256).alias("base_sha256"),
+        F.array_join(F.concat(base, added), ",").alias("spans"))
+
+
+@query("op10_secret_scan")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.fit(docs))
+    kept = F.filter("secrets", lambda s: s["kept"])
+    return found.select("doc_id", F.size("secrets").cast("long").alias("n_candidates"),
+                        F.size(kept).cast("long").alias("n_secrets"),
+                        F.array_join(F.transform(kept, lambda s: F.concat_ws(
+                            ":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias("spans"))

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from drawlake.llm.common import id_and_text, prepare
 
@@ -308,34 +308,31 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1200, max_chars: in
                  n_landmarks=n_landmarks)
 
 
-def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text",
-          keep: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id, score`` and the columns of ``keep``, one row per input row.
+def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", out_col: str = "score") -> DataFrame:
+    """All columns of ``docs`` and ``out_col`` (0 to 1), one row per input row.
 
     The score depends on the whole text alone. Null or empty text: the score of
     a text without words. Each worker remembers the margins of words it has
-    met, up to a bound; long words are compared in overlapping windows.
+    met, up to a bound; long words are compared in overlapping windows. A
+    column named ``out_col`` is replaced.
     """
     spark = docs.sparkSession
     prepare(spark)
     sent = spark.sparkContext.broadcast(model)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("text"), *keep)
-    schema = StructType([StructField("doc_id", LongType()), StructField("score", DoubleType()),
-                         *(rows.schema[c] for c in keep)])
+    docs = docs.drop(out_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, memo = sent.value, {}
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
-                split = [terms(t) for t in part.column("text").to_pylist()]
+            out: list[float] = []
+            for lo in range(0, batch.num_rows, 256):
+                split = [terms(t or "") for t in batch.slice(lo, 256).column(text_col).to_pylist()]
                 if len(memo) > MEMO_WORDS:
                     memo.clear()
                 new = list({w for ws in split for w in ws if w not in memo})
                 memo.update(zip(new, model.margins(new).tolist(), strict=True))
-                out = [model.probability(np.array([memo[w] for w in ws])) for ws in split]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(out, pa.float64()),
-                                                  *(part.column(c) for c in keep)], names=["doc_id", "score", *keep])
+                out.extend(model.probability(np.array([memo[w] for w in ws])) for ws in split)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())],
+                                             names=[*batch.schema.names, out_col])
 
-    return rows.mapInArrow(run, schema)
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(out_col, DoubleType())]))
