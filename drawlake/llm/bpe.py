@@ -2,14 +2,18 @@
 
 Shape of :func:`encode`:
 
-1. Each input task cuts its documents into blocks of some megabytes, splits
-   them into pre-tokens and keeps, per block, the distinct words and the
-   positions as numbers into them. One row per (block, word bucket) goes to
-   the bucket's task, so a word that is everywhere travels once per block and
-   no bucket is hot.
+1. Input tasks cut their documents into blocks of some megabytes, split them
+   into pre-tokens and keep, per block, the distinct words, and the positions
+   as numbers into them. One row per (block, word bucket) goes to the bucket's
+   task, so a word that is everywhere travels once per block and no bucket is hot.
 2. A bucket's task meets every word of the corpus that hashes to it, encodes
    each distinct one once and answers every block that asked.
-3. Answers and positions meet again by block, where ids are laid out by position.
+3. Answers and positions meet by block, where ids are laid out by position.
+
+Words and positions come from two scans of the same input partitions, which
+costs less than keeping the positions on disk in between. A block's key is a
+digest of its content and place; should a scan ever cut its blocks differently
+from the other, those blocks find no answer and encode their words themselves.
 """
 
 from __future__ import annotations
@@ -23,13 +27,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from drawlake.llm.common import broadcast_file, id_and_text, partitions, prepare, write_and_reread
+from drawlake.llm.common import broadcast_file, id_and_text, partitions, prepare
 
 #: A block ends after so many characters or documents.
-BLOCK_CHARS, BLOCK_DOCS = 12_000_000, 8_192
+BLOCK_CHARS, BLOCK_DOCS = 5_000_000, 4_096
 #: More distinct words than this in one bucket's task and its memo starts afresh (words are then encoded again).
 MEMO_WORDS = 2_000_000
 #: Word buckets are as many as shuffle partitions, up to this number.
@@ -111,20 +114,29 @@ class _Block:
         self.codes.append(np.array(codes, dtype=np.uint32))
         self.chars += len(text)
 
-    def rows(self, block: int, buckets: int) -> list[tuple]:
+    def finish(self, place: int, buckets: int, positions: bool) -> list[tuple]:
+        """Either the row of positions or the rows of words, one per bucket."""
+        import xxhash
         codes = np.concatenate(self.codes) if self.codes else np.empty(0, np.uint32)
         by_rank = np.argsort(-np.bincount(codes, minlength=len(self.words)), kind="stable")
-        rank = np.empty(len(by_rank), dtype=np.uint32)
-        rank[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
-        spelled = [w.encode("utf-8", "surrogatepass") for w in self.words]
+        spelled = [w.encode() for w in self.words]
         spelled = [spelled[k] for k in by_rank.tolist()]
+        lengths = np.array(list(map(len, spelled)), dtype="<u4")
+        blob = b"".join(spelled)
+        block = xxhash.xxh64(codes.tobytes() + blob, seed=place).intdigest() >> 1
+        if positions:
+            rank = np.empty(len(by_rank), dtype=np.uint32)
+            rank[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
+            void = np.array([d is None for d in self.doc_ids], dtype=np.uint8)
+            ids = np.array([d or 0 for d in self.doc_ids], dtype="<i8").view("<u8")
+            return [(block, -1, _pack(rank[codes], np.array(self.counts, dtype="<u4"), ids, void, lengths,
+                                      np.frombuffer(blob, np.uint8)))]
         bucket = np.array([zlib.crc32(w) % buckets for w in spelled], dtype=np.uint16)
-        void = np.array([d is None for d in self.doc_ids], dtype=np.uint8)
-        ids = np.array([d or 0 for d in self.doc_ids], dtype="<i8").view("<u8")
-        out = [(block, -1, _pack(rank[codes], np.array(self.counts, dtype="<u4"), ids, void, bucket))]
+        out = []
         for b in np.unique(bucket).tolist():
-            own = [spelled[k] for k in np.flatnonzero(bucket == b).tolist()]
-            out.append((block, b, _pack(np.array(list(map(len, own)), dtype="<u4"), np.frombuffer(b"".join(own), np.uint8))))
+            own = np.flatnonzero(bucket == b)
+            words = b"".join([spelled[k] for k in own.tolist()])
+            out.append((block, b, _pack(lengths[own], np.frombuffer(words, np.uint8))))
         return out
 
 
@@ -150,25 +162,32 @@ def encode(docs: DataFrame, vocab_path: str, pattern: str, id_col: str = "doc_id
     vocab = broadcast_file(spark, vocab_path)
     buckets = min(partitions(spark), MAX_BUCKETS)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
-        from pyspark import TaskContext
-        find_all = regex.compile(pattern).findall
-        number, block = TaskContext.get().partitionId() << 32, _Block(find_all)
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                block.add(doc_id, text)
-                if block.chars >= BLOCK_CHARS or len(block.doc_ids) >= BLOCK_DOCS:
-                    yield _to_batch(block.rows(number, buckets))
-                    number, block = number + 1, _Block(find_all)
-        if block.doc_ids:
-            yield _to_batch(block.rows(number, buckets))
-
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(positions: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            import regex
+            from pyspark import TaskContext
+            find_all = regex.compile(pattern).findall
+            place, block = TaskContext.get().partitionId() << 24, _Block(find_all)
+            for batch in batches:
+                for lo in range(0, batch.num_rows, 256):
+                    part = batch.slice(lo, 256)
+                    for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
+                        block.add(doc_id, text)
+                        if block.chars >= BLOCK_CHARS or len(block.doc_ids) >= BLOCK_DOCS:
+                            yield _to_batch(block.finish(place, buckets, positions))
+                            place, block = place + 1, _Block(find_all)
+            if block.doc_ids:
+                yield _to_batch(block.finish(place, buckets, positions))
+        return run
+
+    def encoder():
         import tiktoken
         # A pre-token alone matches the pattern as a whole again, so this encodes one piece.
-        piece = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=read_ranks(vocab.value),
-                                  special_tokens={}).encode_ordinary
+        return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=read_ranks(vocab.value),
+                                 special_tokens={}).encode_ordinary
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        piece = encoder()
         memo: dict[bytes, list[int]] = {}
         for batch in batches:
             for block, bucket, payload in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -186,29 +205,38 @@ def encode(docs: DataFrame, vocab_path: str, pattern: str, id_col: str = "doc_id
 
     def lay_out(pdf: pd.DataFrame) -> pd.DataFrame:
         by_bucket = dict(zip(pdf["bucket"], pdf["payload"], strict=True))
-        codes, counts, doc_ids, void, bucket = _unpack(by_bucket.pop(-1))
-        n_ids, found = np.zeros(len(bucket), dtype=np.int64), {}
-        for b, payload in by_bucket.items():
+        if -1 not in by_bucket:  # answers to a block that no longer exists
+            return pd.DataFrame({"doc_id": pd.array([], dtype="Int64"), "ids": []})
+        codes, counts, doc_ids, void, lengths, blob = _unpack(by_bucket.pop(-1))
+        spelled = _split_words(blob.tobytes(), lengths)
+        n_ids, found = np.zeros(len(spelled), dtype=np.int64), []
+        bucket = np.array([zlib.crc32(w) % buckets for w in spelled], dtype=np.int64)
+        for b in np.unique(bucket).tolist():
             own = np.flatnonzero(bucket == b)
-            n_ids[own], ids = _unpack(payload)
-            found[b] = (own, ids)
+            if b in by_bucket:
+                n_ids[own], ids = _unpack(by_bucket[b])
+            else:
+                piece = encoder()
+                got = [piece(spelled[k].decode()) for k in own.tolist()]
+                n_ids[own], ids = list(map(len, got)), np.array([i for g in got for i in g], dtype=np.int32)
+            found.append((own, ids))
+        del spelled, by_bucket
         starts = np.cumsum(n_ids) - n_ids  # where each word's ids lie in ``flat``
         flat = np.empty(int(n_ids.sum()), dtype=np.int32)
-        for own, ids in found.values():
+        for own, ids in found:
             flat[_ragged(starts[own], n_ids[own])] = ids
-        codes = codes.astype(np.int64)
         ends = np.cumsum(counts.astype(np.int64))
         out = []
         for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
-            own = codes[a:b]
+            own = codes[a:b].astype(np.int64)
             out.append(flat[_ragged(starts[own], n_ids[own])])
         doc_id = pd.array(doc_ids.view("<i8"), dtype="Int64")
         doc_id[void.astype(bool)] = pd.NA
         return pd.DataFrame({"doc_id": doc_id, "ids": out})
 
-    cuts = write_and_reread(id_and_text(docs, id_col, text_col).mapInArrow(cut, _ROWS), "bpe")
-    answers = (cuts.where(F.col("bucket") >= 0).repartition(buckets, "bucket").mapInArrow(answer, _ROWS))
-    return (cuts.where(F.col("bucket") < 0).unionByName(answers)
+    docs = id_and_text(docs, id_col, text_col)
+    answers = docs.mapInArrow(cut(False), _ROWS).repartition(buckets, "bucket").mapInArrow(answer, _ROWS)
+    return (docs.mapInArrow(cut(True), _ROWS).unionByName(answers)
             .groupBy("block").applyInPandas(lay_out, "doc_id long, ids array<int>"))
 
 
