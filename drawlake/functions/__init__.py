@@ -1,18 +1,6 @@
 """Scalar column functions (all built-in Spark expressions, codegen-friendly)."""
 
-from drawlake.functions.arrays import (
-    contains_number, last_position, multi_hot, number_array, overlap_count,
-)
-from drawlake.functions.dates import (
-    day_name, is_weekday, mon_date_text, normalize_date, parse_date, year_of,
-)
-from drawlake.functions.text import (
-    blank_to_null, clean_text, money_to_decimal, sigmoid, split_codes, url_from_template,
-)
+from drawlake.functions.dates import day_name, is_weekday, mon_date_text, normalize_date, parse_date
+from drawlake.functions.text import money_to_decimal, split_codes
 
-__all__ = [
-    "parse_date", "normalize_date", "day_name", "mon_date_text", "year_of", "is_weekday",
-    "clean_text", "blank_to_null", "money_to_decimal", "split_codes", "url_from_template",
-    "sigmoid", "number_array", "contains_number", "last_position", "multi_hot",
-    "overlap_count",
-]
+__all__ = ["parse_date", "normalize_date", "day_name", "mon_date_text", "is_weekday", "money_to_decimal", "split_codes"]

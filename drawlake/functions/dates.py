@@ -51,10 +51,6 @@ def mon_date_text(c) -> Column:
     return F.upper(F.date_format(_c(c), "yyyy-MMM-dd"))
 
 
-def year_of(c) -> Column:
-    return F.year(_c(c))
-
-
 def is_weekday(c, name: str | None) -> Column:
     """True when the date falls on ``name`` ('Tuesday', ...); ``None``/'all' keeps all."""
     if name is None or name.lower() == "all":

@@ -1,44 +1,26 @@
-"""Text helpers: trim/lower, blank to null, money parse, code lists, URL template."""
+"""Text helpers: money parse and code lists."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: The whole text of an amount: an optional currency sign, digits (plain or in groups of three), decimals.
+MONEY = r"^\s*[£€$]?\s*([0-9]{1,3}(,[0-9]{3})+|[0-9]+)(\.[0-9]+)?\s*$"
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def clean_text(c, lower: bool = True) -> Column:
-    """Trim, and lower-case unless told otherwise (F8)."""
-    t = F.trim(_c(c))
-    return F.lower(t) if lower else t
-
-
-def blank_to_null(c) -> Column:
-    """Empty or whitespace-only text to null."""
-    c = _c(c)
-    return F.when(F.trim(c) == "", F.lit(None)).otherwise(c)
-
-
 def money_to_decimal(c, precision: int = 18, scale: int = 2) -> Column:
-    """``£14,773,000`` to a decimal; anything unparsable gives null."""
-    digits = F.regexp_replace(_c(c).cast("string"), r"[^0-9.]", "")
-    return F.nullif(digits, F.lit("")).try_cast(f"decimal({precision},{scale})")
+    """``£14,773,000`` to a decimal; any text that is not wholly an amount gives null."""
+    text = _c(c).cast("string")
+    digits = F.regexp_replace(text, r"[^0-9.]", "")
+    return F.when(text.rlike(MONEY), digits.try_cast(f"decimal({precision},{scale})"))
 
 
 def split_codes(c, sep: str = ",") -> Column:
     """Comma-joined code cell to a trimmed array of non-empty codes."""
     parts = F.split(_c(c), sep)
     return F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != "")
-
-
-def url_from_template(template: str, *cols) -> Column:
-    """``format_string`` URL from a printf template."""
-    return F.format_string(template, *[_c(c) for c in cols])
-
-
-def sigmoid(c) -> Column:
-    """Logistic function of a logit column."""
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-_c(c)))

@@ -1,9 +1,8 @@
 """Sliding-window features and multi-label targets.
 
-All trailing windows use the scatter shape: a draw sends itself to the
-later draws whose window it falls in, and a groupBy on the target draw does
-the counting. Per-target groups are bounded by the window and the pool
-domain, never by the data size.
+The windows are computed by chunks of the sequence
+(:mod:`drawlake.operators.windows`): one shuffle of the wide draws, no copies
+per window position.
 """
 
 from __future__ import annotations
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 
 from drawlake.operators.reshape import to_long
 from drawlake.operators.sequence import scatter
+from drawlake.operators.windows import CHUNK, domain_cells, window_arrays
 from drawlake.schemas import DEFAULT_POOLS, Pool
 
 LAGS = 5
@@ -26,12 +26,13 @@ def start_index(lags: int = LAGS, window: int = WINDOW) -> int:
     return max(lags, window) + 1
 
 
-def history_guard(seq_draws: DataFrame, lags: int = LAGS, window: int = WINDOW) -> None:
+def history_guard(seq_draws: DataFrame, lags: int = LAGS, window: int = WINDOW, mode: str = "holdout") -> None:
     """Raise when there are too few draws to build one training row plus one to predict.
 
-    Reads at most ``need`` rows (``limit`` before ``count``), never the table.
+    In ``holdout`` mode the last known draw is the one to predict, so it needs
+    one more. Reads at most ``need`` rows (``limit`` before ``count``), never the table.
     """
-    need = max(lags, window) + 1
+    need = max(lags, window) + (2 if mode == "holdout" else 1)
     have = seq_draws.limit(need).count()
     if have < need:
         raise ValueError(f"need at least {need} draws for lag {lags} / window {window}, have {have}")
@@ -59,52 +60,42 @@ def lag_long(seq_draws: DataFrame, lags: int = LAGS, window: int = WINDOW,
     return out.select(F.col("_t").alias(seq_col), "lag", "pool", "position", "number")
 
 
+def _with_next(seq_draws: DataFrame, columns: Sequence[str], seq_col: str, mode: str) -> DataFrame:
+    """The draws and, in ``next`` mode, one row N + 1 without numbers."""
+    rows = seq_draws.select(F.col(seq_col).cast("long").alias(seq_col), *columns)
+    if mode == "holdout":
+        return rows
+    if mode != "next":
+        raise ValueError("mode must be 'holdout' or 'next'")
+    after = rows.agg((F.max(seq_col) + 1).alias(seq_col)).where(F.col(seq_col).isNotNull())
+    return rows.unionByName(after, allowMissingColumns=True)
+
+
 def window_stats(seq_draws: DataFrame, window: int = WINDOW, lags: int = LAGS,
                  pools: Sequence[Pool] = DEFAULT_POOLS, seq_col: str = "seq",
-                 mode: str = "holdout", include_current: bool = False) -> DataFrame:
+                 mode: str = "holdout", include_current: bool = False, chunk: int = CHUNK) -> DataFrame:
     """Frequency and recency of every pool number in the ``window`` draws before each target.
 
     ``frequency`` counts occurrences; ``recency`` is 0 when the number is in
     the previous draw, j-1 when last seen j draws back, and ``window + 1`` when
     absent. Output is dense: ``seq, pool, number, frequency, recency`` and,
     with ``include_current``, ``present`` (0/1: the number is in the target
-    draw itself), all from the same single aggregation.
-
-    Picks scatter to the ``window`` draws after them; one grid row per
-    (target, domain number) keeps the output dense. Both go through one
-    partially aggregated groupBy: one shuffle, groups bounded by
-    ``window x picks per draw``.
+    draw itself).
     """
-    first = start_index(lags, window)
-    n = seq_draws.select(F.max(seq_col)).scalar()
-    last = n + 1 if mode == "next" else n
-    if mode not in ("holdout", "next"):
-        raise ValueError("mode must be 'holdout' or 'next'")
-    hits = scatter(to_long(seq_draws, pools, keep=[seq_col]), seq_col,
-                   0 if include_current else 1, window,
-                   target_col="_t", min_target=first, max_target=last)
-    hits = hits.select("_t", "pool", "number", "k")
-    # Grid rows: every target draw x every domain number (a generator per row).
-    t = F.col(seq_col)
-    if mode == "next":
-        t_list = F.when(t == n, F.array(t, t + 1)).otherwise(F.array(t))
-    else:
-        t_list = F.array(t)
-    targets = (seq_draws.select(F.explode(t_list).alias("_t"))
-                        .where((F.col("_t") >= first) & (F.col("_t") <= last)))
-    cells = F.array(*[F.struct(F.lit(p.name).alias("pool"), F.sequence(F.lit(p.lo), F.lit(p.hi)).alias("ns"))
-                      for p in pools])
-    grid = (targets.select("_t", F.inline(cells))
-                   .select("_t", "pool", F.explode("ns").alias("number"),
-                           F.lit(None).cast("int").alias("k")))
-    k = F.col("k")
-    aggs = [F.count(F.when(k >= 1, k)).alias("frequency"), F.min(F.when(k >= 1, k)).alias("_k")]
-    out = [F.col("_t").alias(seq_col), "pool", "number", "frequency",
-           F.coalesce(F.col("_k") - 1, F.lit(window + 1)).alias("recency")]
+    cols = [c for p in pools for c in p.columns]
+    rows = window_arrays(_with_next(seq_draws, cols, seq_col, mode), window, pools, seq_col, chunk=chunk)
+    arrays = ["frequency", "recency"]
     if include_current:
-        aggs.append(F.count(F.when(k == 0, k)).alias("_cur"))
-        out.append(F.least(F.col("_cur"), F.lit(1)).cast("int").alias("present"))
-    return (hits.unionByName(grid).groupBy("_t", "pool", "number").agg(*aggs).select(*out))
+        rows = rows.withColumn("present", F.concat(*[_presence(_numbers(p), p.lo, p.hi) for p in pools]))
+        arrays.append("present")
+    return (rows.where(F.col(seq_col) >= start_index(lags, window))
+                .select(seq_col, F.inline(domain_cells(pools, *arrays)))
+                .withColumn("frequency", F.col("frequency").cast("long")))
+
+
+def _numbers(p: Pool) -> Column:
+    """The known numbers of a pool's columns."""
+    return F.array_compact(F.array(*[F.col(c).cast("int") for c in p.columns]))
 
 
 def _presence(arr: Column, lo: int, hi: int, pool_name: str | None = None) -> Column:
@@ -120,87 +111,41 @@ def _presence(arr: Column, lo: int, hi: int, pool_name: str | None = None) -> Co
 def multi_hot_long(seq_draws: DataFrame, pools: Sequence[Pool] = DEFAULT_POOLS,
                    seq_col: str = "seq") -> DataFrame:
     """0/1 presence of every domain number in each draw (O53), long form, no shuffle."""
-    cells = [_presence(F.array(*[F.col(c).cast("int") for c in p.columns]), p.lo, p.hi, p.name)
-             for p in pools]
+    cells = [_presence(_numbers(p), p.lo, p.hi, p.name) for p in pools]
     return seq_draws.select(seq_col, F.inline(F.flatten(F.array(*cells))))
 
 
-def multi_hot_arrays(df: DataFrame, pools: Sequence[Pool] = DEFAULT_POOLS) -> DataFrame:
-    """Add ``y_<pool>`` 0/1 arrays over each pool domain (O53, wide form)."""
-    out = df
-    for p in pools:
-        arr = F.array(*[F.col(c).cast("int") for c in p.columns])
-        out = out.withColumn(f"y_{p.name}", _presence(arr, p.lo, p.hi))
-    return out
-
-
-def _targets(seq_draws: DataFrame, first: int, seq_col: str, mode: str) -> DataFrame:
-    """One row ``_t`` per target draw: ``first..N`` (holdout) or ``first..N+1`` (next)."""
-    n = seq_draws.select(F.max(seq_col)).scalar()
-    t = F.col(seq_col)
-    t_list = F.when(t == n, F.array(t, t + 1)).otherwise(F.array(t)) if mode == "next" else F.array(t)
-    last = n + 1 if mode == "next" else n
-    return (seq_draws.select(F.explode(t_list).alias("_t"))
-                     .where((F.col("_t") >= first) & (F.col("_t") <= last)))
-
-
 def sliding_features(seq_draws: DataFrame, lags: int = LAGS, window: int = WINDOW,
                      pools: Sequence[Pool] = DEFAULT_POOLS, seq_col: str = "seq",
-                     mode: str = "holdout") -> DataFrame:
+                     mode: str = "holdout", chunk: int = CHUNK) -> DataFrame:
     """One feature row per target draw (O52): ``seq, features, y_<pool>...``.
 
-    ``features`` is ``lags x (all pool columns)`` lagged numbers, then
-    (frequency, recency) for every number of every pool in domain order:
-    5 x 7 + 2 x 50 + 2 x 12 = 159 values for the default pools. ``y_<pool>``
-    are the target draw's 0/1 vectors (null for the unseen ``next`` row).
+    ``features`` is ``lags x (all pool columns)`` lagged numbers (null where a
+    draw lacks one), then (frequency, recency) for every number of every pool
+    in domain order: 5 x 7 + 2 x 50 + 2 x 12 = 159 values for the default
+    pools. ``y_<pool>`` are the target draw's 0/1 vectors (null for the unseen
+    ``next`` row).
 
     ``holdout``: targets run to the last known draw (it is the hold-out row).
     ``next``: one more row, seq N+1, whose features use the last ``window``
     known draws including the latest one.
-
-    Plan: window hits are pivoted per target over the fixed domain keys
-    (count and min lag per key, a hash aggregate with fixed-width buffers;
-    absent keys come out null and are filled with 0 / window+1), lag rows are
-    pivoted per target over k = 0..lags, and the two target-keyed results are
-    joined. Both sides are hash-partitioned on the target once, so the
-    pivots' two aggregation steps and the join reuse that partitioning
-    (each target holds at most window x picks + lags + 1 rows). No grid of
-    zero rows is shuffled.
     """
-    if mode not in ("holdout", "next"):
-        raise ValueError("mode must be 'holdout' or 'next'")
-    first = start_index(lags, window)
-    last = _last_target(seq_draws, seq_col, mode)
     cols = [c for p in pools for c in p.columns]
-    key = None
-    for i, p in enumerate(pools):
-        v = F.lit(i * 1000) + F.col("number")
-        key = F.when(F.col("pool") == p.name, v) if key is None else key.when(F.col("pool") == p.name, v)
-    keys = [i * 1000 + n for i, p in enumerate(pools) for n in range(p.lo, p.hi + 1)]
-
-    hits = scatter(to_long(seq_draws, pools, keep=[seq_col]), seq_col, 1, window,
-                   target_col="_t", min_target=first, max_target=last)
-    hits = hits.select("_t", key.alias("_key"), "k")
-    markers = _targets(seq_draws, first, seq_col, mode).select(
-        "_t", F.lit(None).cast("int").alias("_key"), F.lit(None).cast("int").alias("k"))
-    stats = (hits.unionByName(markers).repartition("_t").groupBy(F.col("_t").alias(seq_col))
-                 .pivot("_key", keys).agg(F.count("k").alias("f"), F.min("k").alias("r")))
-
-    lag_rows = scatter(seq_draws.select(seq_col, *cols), seq_col, 0, lags, target_col="_t",
-                       min_target=first, max_target=last)
-    lagged = (lag_rows.repartition("_t").groupBy(F.col("_t").alias(seq_col))
-                      .pivot("k", list(range(0, lags + 1)))
-                      .agg(*[F.first(c).alias(c) for c in cols]))
-
-    feats = [F.col(f"{k}_{c}").cast("double") for k in range(1, lags + 1) for c in cols]
-    for kk in keys:
-        feats.append(F.coalesce(F.col(f"{kk}_f"), F.lit(0)).cast("double"))
-        feats.append(F.coalesce(F.col(f"{kk}_r") - 1, F.lit(window + 1)).cast("double"))
-    sel = [F.col(seq_col), F.array(*feats).alias("features")]
-    for p in pools:
-        arr = F.array(*[F.col(f"0_{c}").cast("int") for c in p.columns])
-        known = F.lit(False)
-        for c in p.columns:
-            known = known | F.col(f"0_{c}").isNotNull()
-        sel.append(F.when(known, _presence(arr, p.lo, p.hi)).alias(f"y_{p.name}"))
-    return lagged.join(stats, seq_col, "right").select(*sel)
+    rows = window_arrays(_with_next(seq_draws, cols, seq_col, mode), window, pools, seq_col, lags=lags, chunk=chunk)
+    lagged = F.transform("lagged", lambda x: F.when(~F.isnan(x), x))
+    both = F.flatten(F.zip_with("frequency", "recency", lambda f, r: F.array(f.cast("double"), r.cast("double"))))
+    known = F.coalesce(*[F.col(c) for c in cols]).isNotNull()
+    return (rows.where(F.col(seq_col) >= start_index(lags, window))
+                .select(seq_col, F.concat(lagged, both).alias("features"),
+                        *[F.when(known, _presence(_numbers(p), p.lo, p.hi)).alias(f"y_{p.name}") for p in pools]))
+
+
+def next_features(seq_draws: DataFrame, lags: int = LAGS, window: int = WINDOW,
+                  pools: Sequence[Pool] = DEFAULT_POOLS, seq_col: str = "seq") -> DataFrame:
+    """The one feature row of the unseen draw N + 1, from the last draws alone.
+
+    Only as many draws as a window or lag reaches back are read into it.
+    """
+    n = seq_draws.agg(F.max(seq_col)).first()[0]
+    recent = seq_draws.where(F.col(seq_col) > (n or 0) - max(lags, window))
+    return sliding_features(recent, lags, window, pools, seq_col, mode="next").where(F.col(seq_col) == (n or 0) + 1)

@@ -1,6 +1,6 @@
 """Counting operators: frequency, share, top-N + Others, year matrix, recency.
 
-O38-O42, O51, O56 (and O35b through ``densify``). Every aggregation is a
+O38-O42, O51, O56. Every aggregation is a
 partial + final hash aggregate; windows only run over already-aggregated
 tables whose groups are bounded by the pool domain.
 """
@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from drawlake.operators.reshape import densify, to_long
+from drawlake.operators.reshape import to_long
 from drawlake.schemas import DEFAULT_POOLS, Pool
 
 
@@ -67,16 +67,26 @@ def frequency_matrix(long_df: DataFrame, pool: Pool, row_col: str | Column,
     return pivoted.select(row_name, *[F.col(str(v)).alias(f"{prefix}{v}") for v in values])
 
 
-def recency(seq_draws: DataFrame, seq_col: str = "seq",
+def recency(draws: DataFrame, order_cols: str | Sequence[str] = "seq",
             pools: Sequence[Pool] = DEFAULT_POOLS) -> DataFrame:
     """Draws since each number was last seen (O51): 0 = in the latest draw.
 
-    ``seq_draws`` carries a dense 1..N sequence. Never-seen numbers get N.
-    No window: one aggregate of max(seq) per number plus the scalar N.
+    ``order_cols`` order the draws (together unique, null first). Never-seen
+    numbers get the number of draws. No global order is built: one aggregate finds each
+    number's last draw, a second counts, for all numbers at once, the draws after
+    it. What passes through the driver is one row per number of the pools.
     """
-    total = seq_draws.select(F.count(F.lit(1))).scalar()
-    last = (to_long(seq_draws, pools, keep=[seq_col])
-            .groupBy("pool", "number").agg(F.max(seq_col).alias("_last")))
-    return (densify(last, pools)
-            .select("pool", "number",
-                    F.coalesce(total - F.col("_last"), total).alias("draws_since")))
+    order = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+    key = F.struct(*order)
+    last = (to_long(draws, pools, keep=[key.alias("_at")])
+            .groupBy("pool", "number").agg(F.max("_at").alias("_last")).collect())
+    types = {f.name: f.dataType for f in draws.select(*order).schema.fields}
+    after = {}
+    for r in last:
+        at = F.struct(*[F.lit(r["_last"][c]).cast(types[c]).alias(c) for c in order])
+        after[(r["pool"], r["number"])] = F.count(F.when(key > at, 1))
+    cells = [(p.name, n) for p in pools for n in range(p.lo, p.hi + 1)]
+    counted = draws.agg(F.array(*[F.struct(F.lit(pool).alias("pool"), F.lit(n).alias("number"),
+                                           after.get((pool, n), F.count(F.lit(1))).alias("draws_since"))
+                                  for pool, n in cells]).alias("cells"))
+    return counted.select(F.inline("cells"))

@@ -1,13 +1,10 @@
 """Upsert (MERGE) keyed on columns, conditional update and delete.
 
-Two physical shapes, chosen by a measured size bound on the source:
-
-* small source (the usual increment): the source keys are broadcast and the
-  target passes through a map-only anti-join; matched target rows are
-  replaced by source rows. The target is never shuffled.
-* large source: target and source are unioned and reduced per key with
-  ``max_by`` on a (source-wins, order) priority: one shuffle, partial
-  aggregation, and a hot key never produces pairs.
+One shape for every size: the source is reduced to one row per key, the target
+is left-joined with it (no pairs: a target row meets at most one source row),
+and source rows without a target are appended. Spark picks broadcast or
+shuffled joins by the bytes it measures, and may split a hot target key. The
+answer does not depend on that choice.
 
 Rows whose key has a null are never matched (SQL MERGE semantics) and pass
 through unchanged (target) or are inserted (source).
@@ -20,8 +17,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from drawlake.operators.joins import DEFAULT_MAX_ROWS, has_at_most
-
 
 def _has_null_key(keys: Sequence[str]) -> Column:
     cond = F.lit(False)
@@ -33,65 +28,44 @@ def _has_null_key(keys: Sequence[str]) -> Column:
 def dedupe_latest(df: DataFrame, keys: Sequence[str], order_col: str | None) -> DataFrame:
     """One row per key: the one with the greatest ``order_col`` (last wins).
 
-    ``max_by`` over a struct keeps it a partial + final hash aggregate. With
-    no order column, ties are broken on the full row so the result is stable.
+    Rows are compared by ``order_col`` (null first) and then by all their
+    columns, so a null order never hides a row and ties are settled.
     """
     cols = [c for c in df.columns if c not in keys]
     if not cols:
         return df.dropDuplicates(list(keys))
-    order = F.col(order_col) if order_col else F.struct(*[F.col(c) for c in cols])
+    order = F.struct(*([F.col(order_col).alias("_order")] if order_col else []), *[F.col(c) for c in cols])
     return (df.groupBy(*keys).agg(F.max_by(F.struct(*cols), order).alias("_row"))
               .select(*keys, "_row.*"))
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
-           update_cols: Sequence[str] | None = None, order_col: str | None = None,
-           max_broadcast_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+           update_cols: Sequence[str] | None = None, order_col: str | None = None) -> DataFrame:
     """MERGE ``source`` into ``target`` on ``keys``; returns the merged table.
 
-    Matched keys: ``update_cols`` (default: every non-key target column) take
-    the source value, other columns keep the target value. Unmatched source
-    keys are inserted with all their values (columns the source lacks
-    become null). ``order_col``
-    picks the last of several source rows per key.
+    Matched target rows (all of them, also when the target repeats a key):
+    ``update_cols`` (default: every non-key target column that the source has)
+    take the source value, other columns keep theirs. Source keys without a
+    target row are inserted; columns the source lacks are null there.
+    ``order_col`` picks the last of several source rows per key.
     """
     tcols = target.columns
-    update = list(update_cols) if update_cols is not None else [c for c in tcols if c not in keys]
     src_cols = [c for c in tcols if c in source.columns]
+    update = list(update_cols) if update_cols is not None else [c for c in src_cols if c not in keys]
+    lacking = [c for c in update if c not in src_cols]
+    if lacking:
+        raise ValueError(f"the source has no column {lacking}")
     src = source.select(*src_cols, *([order_col] if order_col and order_col not in src_cols else []))
     null_src = src.where(_has_null_key(keys)).select(*src_cols)
     src = dedupe_latest(src.where(~_has_null_key(keys)), keys, order_col).select(*src_cols)
-    keep = [c for c in tcols if c not in keys and c not in update]
-
-    if has_at_most(src, max_broadcast_rows):
-        src_keys = F.broadcast(src.select(*keys))
-        unchanged = target.join(src_keys, list(keys), "left_anti")
-        if keep:
-            old = target.join(src_keys, list(keys), "left_semi").select(*keys, *keep)
-            old = old.select(*keys, F.struct(*keep).alias("_old"))
-            j = src.join(old, list(keys), "left")
-            changed = j.select(*keys, *[
-                (F.when(F.col("_old").isNotNull(), F.col(f"_old.{c}")).otherwise(F.col(c)) if c in keep
-                 else F.col(c)).alias(c) for c in src.columns if c not in keys])
-        else:
-            changed = src
-        merged = unchanged.unionByName(changed, allowMissingColumns=True)
-    else:
-        t = target.select("*", F.lit(0).alias("_prio"))
-        s = src.select("*", F.lit(1).alias("_prio"))
-        u = t.unionByName(s, allowMissingColumns=True)
-        others = [c for c in tcols if c not in keys]
-        agg = [F.max_by(F.struct(*[F.col(c) for c in others]), F.col("_prio")).alias("_win")]
-        if keep:
-            agg.append(F.max(F.when(F.col("_prio") == 0, F.struct(*[F.col(c) for c in keep]))).alias("_old"))
-        g = u.where(~_has_null_key(keys)).groupBy(*keys).agg(*agg)
-        sel = [F.col(k) for k in keys]
-        for c in others:
-            val = (F.when(F.col("_old").isNotNull(), F.col(f"_old.{c}")).otherwise(F.col(f"_win.{c}"))
-                   if c in keep else F.col(f"_win.{c}"))
-            sel.append(val.alias(c))
-        merged = g.select(*sel).unionByName(target.where(_has_null_key(keys)))
-    return merged.unionByName(null_src, allowMissingColumns=True).select(*tcols)
+
+    new = src.select(*keys, F.struct(*[F.col(c) for c in update], F.lit(True).alias("_hit")).alias("_new"))
+    found = F.col("_new").isNotNull()
+    updated = target.join(new, list(keys), "left").select(*[
+        (F.when(found, F.col("_new").getField(c)).otherwise(F.col(c)) if c in update else F.col(c)).alias(c)
+        for c in tcols])
+    inserted = src.join(target.select(*keys), list(keys), "left_anti").unionByName(null_src)
+    return updated.unionByName(inserted, allowMissingColumns=True).select(*tcols)
 
 
 def update_where(df: DataFrame, condition: Column | str, assignments: dict) -> DataFrame:

@@ -12,7 +12,6 @@ brought to the driver.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -58,23 +57,23 @@ def _by_pool():
 
 def split_last(features: DataFrame, mode: str = "holdout", seq_col: str = "seq",
                y_col: str = "y_main") -> tuple[DataFrame, DataFrame]:
-    """(train, predict) rows.
+    """(train, predict) rows (O66): the row of the highest sequence number is predicted.
 
-    ``holdout``: the last known draw is predicted from earlier ones (the
-    reference behaviour). ``next``: every known draw trains and the extra
-    unseen row (no targets) is predicted.
+    ``holdout``: that is the last known draw, predicted from earlier ones (the
+    reference behaviour). ``next``: it is the extra unseen row, and every known
+    draw trains.
     """
-    if mode == "holdout":
-        last = features.select(F.max(seq_col)).scalar()
-        return features.where(F.col(seq_col) < last), features.where(F.col(seq_col) == last)
-    if mode == "next":
-        return features.where(F.col(y_col).isNotNull()), features.where(F.col(y_col).isNull())
-    raise ValueError("mode must be 'holdout' or 'next'")
+    if mode not in ("holdout", "next"):
+        raise ValueError("mode must be 'holdout' or 'next'")
+    last = features.select(F.max(seq_col)).scalar()
+    return (features.where((F.col(seq_col) < last) & F.col(y_col).isNotNull()),
+            features.where(F.col(seq_col) == last))
 
 
-def _scaled(train: DataFrame, predict: DataFrame) -> tuple[DataFrame, DataFrame]:
-    tr = train.withColumn("_raw", array_to_vector("features"))
-    pr = predict.withColumn("_raw", array_to_vector("features"))
+def _scaled(train: DataFrame, predict: DataFrame, missing: float) -> tuple[DataFrame, DataFrame]:
+    filled = F.transform("features", lambda x: F.coalesce(x, F.lit(float(missing))))
+    tr = train.withColumn("_raw", array_to_vector(filled))
+    pr = predict.withColumn("_raw", array_to_vector(filled))
     scaler = StandardScaler(inputCol="_raw", outputCol="vec", withMean=True, withStd=True).fit(tr)
     return scaler.transform(tr), scaler.transform(pr)
 
@@ -88,7 +87,9 @@ def _fit_all(spark: SparkSession, train: DataFrame, predict_rows: list, labels,
     a plan that carries every fitted model into the tasks.
     """
     def run(label):
-        pool, number, idx, w_pos, w_neg = label
+        pool, number, idx, w_pos, w_neg, prior = label
+        if prior in (0.0, 1.0):  # one class only: nothing to fit
+            return [(seq, pool, number, prior) for seq, _ in predict_rows]
         y = F.col(f"y_{pool}")[idx].cast("double")
         data = train.select("vec", y.alias("label"),
                             F.when(y == 1.0, F.lit(w_pos)).otherwise(F.lit(w_neg)).alias("w"))
@@ -111,26 +112,26 @@ def _labels(train: DataFrame, pools: Sequence[Pool], weighting: str):
                 wp, wn = (r["weight_pos"] or 1.0, r["weight_neg"] or 1.0) if r else (1.0, 1.0)
             else:  # positive weight for the pool, negatives 1
                 wp, wn = ((r["pool_pos_weight"] or 1.0) if r else 1.0), 1.0
-            labels.append((p.name, n, n - p.lo, float(wp), float(wn)))
+            prior = float(r["positives"] / r["total_rows"]) if r and r["total_rows"] else 0.0
+            labels.append((p.name, n, n - p.lo, float(wp), float(wn), prior))
     return labels
 
 
 def _fit_multilabel(features: DataFrame, pools: Sequence[Pool], mode: str, weighting: str,
-                    make_model, parallelism: int, rows_per_partition: int = 50_000) -> DataFrame:
+                    make_model, parallelism: int, max_rows: int, missing: float, train_partitions: int = 4) -> DataFrame:
     feats = features.persist()
     held = []
     try:
         train, predict = split_last(feats, mode)
-        train, predict = _scaled(train, predict)
-        # Size partitions by rows: each label's fit runs one job per iteration or
-        # tree level, so tiny partitions only add scheduling, and the thread pool
-        # supplies the parallelism across labels.
-        n_parts = max(1, math.ceil(train.count() / rows_per_partition))
+        # A bounded sample by hash, the same rows at every run and size of cluster; one
+        # partition count and row order, so that a forest's bootstrap samples repeat too.
+        train = train.orderBy(F.xxhash64("seq"), "seq").limit(max_rows)
+        train, predict = _scaled(train, predict, missing)
         train = (train.select("seq", "vec", *[f"y_{p.name}" for p in pools])
-                      .repartition(n_parts).persist())
+                      .repartition(train_partitions, "seq").sortWithinPartitions("seq").persist())
         held.append(train)
-        # The rows to predict: one row in either mode (bounded, fetched once).
-        predict_rows = [(r["seq"], r["vec"]) for r in predict.select("seq", "vec").take(16)]
+        # One row: the highest sequence number.
+        predict_rows = [(r["seq"], r["vec"]) for r in predict.select("seq", "vec").collect()]
         labels = _labels(train, pools, weighting)
         return _fit_all(features.sparkSession, train, predict_rows, labels, make_model, parallelism)
     finally:
@@ -139,12 +140,19 @@ def _fit_multilabel(features: DataFrame, pools: Sequence[Pool], mode: str, weigh
         feats.unpersist()
 
 
+#: Training rows of one fit at most (the first by hash of ``seq``).
+MAX_TRAINING_ROWS = 5_000
+
+
 def fit_multilabel_forest(features: DataFrame, pools: Sequence[Pool] = DEFAULT_POOLS,
                           mode: str = "holdout", num_trees: int = 100, seed: int = 42,
-                          max_depth: int = 10, parallelism: int = 8) -> DataFrame:
+                          max_depth: int = 10, parallelism: int = 8, max_rows: int = MAX_TRAINING_ROWS,
+                          missing: float = 0.0) -> DataFrame:
     """One random forest per label with balanced class weights.
 
-    Returns ``seq, pool, number, probability`` for the predicted row(s).
+    Returns ``seq, pool, number, probability`` for the predicted row. At most
+    ``max_rows`` draws train (by hash, never the first ones); a null lag number
+    counts as ``missing``; a label with one class only gets that class's rate.
     MLlib trees are depth-limited (30 at most) where sklearn grows them
     fully, so probabilities are not bit-equal to a sklearn run.
     """
@@ -153,16 +161,17 @@ def fit_multilabel_forest(features: DataFrame, pools: Sequence[Pool] = DEFAULT_P
                                       numTrees=num_trees, seed=seed, maxDepth=max_depth,
                                       featureSubsetStrategy="sqrt", maxMemoryInMB=1024,
                                       cacheNodeIds=True)
-    return _fit_multilabel(features, pools, mode, "balanced", make, parallelism)
+    return _fit_multilabel(features, pools, mode, "balanced", make, parallelism, max_rows, missing)
 
 
 def fit_multilabel_logistic(features: DataFrame, pools: Sequence[Pool] = DEFAULT_POOLS,
                             mode: str = "holdout", max_iter: int = 100, reg_param: float = 0.0,
-                            parallelism: int = 8) -> DataFrame:
+                            parallelism: int = 8, max_rows: int = MAX_TRAINING_ROWS, missing: float = 0.0) -> DataFrame:
     """One weighted logistic regression per label: positives weighted by the
-    pool's (cells - positives) / positives, a one-layer BCE-with-pos-weight model (O67)."""
+    pool's (cells - positives) / positives, a one-layer BCE-with-pos-weight model (O67).
+    ``max_rows``, ``missing`` and one-class labels as in the forest."""
     def make():
         return LogisticRegression(featuresCol="vec", labelCol="label", weightCol="w",
                                   maxIter=max_iter, regParam=reg_param)
-    return _fit_multilabel(features, pools, mode, "pos_weight", make, parallelism)
+    return _fit_multilabel(features, pools, mode, "pos_weight", make, parallelism, max_rows, missing)
 

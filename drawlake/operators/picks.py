@@ -46,15 +46,18 @@ def random_tickets(tickets: DataFrame, pools: Sequence[Pool] = DEFAULT_POOLS,
     """k of n without replacement per pool, sorted, for every ticket row.
 
     ``tickets`` holds one row per wanted ticket (any id column); every row is
-    independent, so M tickets are generated in parallel. The per-row random
-    permutation comes from a hash of (seed, ticket id, number), so the same
-    ticket id gives the same numbers on any partitioning or retry.
+    independent, so M tickets are generated in parallel. Numbers are drawn in
+    the order of the md5 of ``seed:pool:id:number``, so the same ticket id
+    gives the same numbers on any partitioning, retry or engine.
     """
+    def key(p: Pool):
+        return lambda n: F.struct(
+            F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit(p.name), F.col(id_col).cast("string"), n.cast("string"))).alias("h"),
+            n.alias("n"))
+
     out = tickets
     for p in pools:
-        keyed = F.transform(F.sequence(F.lit(p.lo), F.lit(p.hi)),
-                            lambda n: F.struct(F.xxhash64(F.lit(seed), F.lit(p.name), F.col(id_col), n).alias("h"),
-                                               n.alias("n")))
+        keyed = F.transform(F.sequence(F.lit(p.lo), F.lit(p.hi)), key(p))
         chosen = F.slice(F.array_sort(keyed), 1, k[p.name])
         out = out.withColumn(f"{p.name}_numbers", F.array_sort(F.transform(chosen, lambda s: s["n"])))
     return out
@@ -86,34 +89,21 @@ def backtest_window_picks(seq_draws: DataFrame, stat: str = "frequency", largest
     previous ``window`` draws (ties to the smaller number) and count how
     many are in that draw. Output ``seq, <pool>_matches...``.
 
-    Plan: the scattered picks (k = 0 marks the draw itself), plus one zero
-    row per domain number, are hash-partitioned on the target draw once.
-    The per-number statistics, the rank within (draw, pool) and the match
-    count all keep that partitioning, so the whole back-test is one shuffle
-    with at most (window + 1) x picks-per-draw + domain rows per draw.
+    Plan: the windows' arrays (one shuffle of the wide draws); ranking and
+    matching then stay inside each row.
     """
-    from drawlake.operators.features import start_index, _targets
-    from drawlake.operators.reshape import to_long
-    from drawlake.operators.sequence import scatter
-
-    first = start_index(window=window)
-    n = seq_draws.select(F.max(seq_col)).scalar()
-    hits = scatter(to_long(seq_draws, pools, keep=[seq_col]), seq_col, 0, window, target_col="_t",
-                   min_target=first, max_target=n).select("_t", "pool", "number", "k")
-    cells = F.array(*[F.struct(F.lit(p.name).alias("pool"), F.sequence(F.lit(p.lo), F.lit(p.hi)).alias("ns"))
-                      for p in pools])
-    grid = (_targets(seq_draws, first, seq_col, "holdout").select("_t", F.inline(cells))
-            .select("_t", "pool", F.explode("ns").alias("number"), F.lit(None).cast("int").alias("k")))
-    kk = F.col("k")
-    stats = (hits.unionByName(grid).repartition("_t")
-                 .groupBy("_t", "pool", "number")
-                 .agg(F.count(F.when(kk >= 1, kk)).alias("frequency"),
-                      F.coalesce(F.min(F.when(kk >= 1, kk)) - 1, F.lit(window + 1)).alias("recency"),
-                      F.count(F.when(kk == 0, kk)).alias("_cur")))
-    order = F.col(stat).desc() if largest else F.col(stat).asc()
-    rank = F.row_number().over(Window.partitionBy("_t", "pool").orderBy(order, F.col("number")))
-    picked = stats.withColumn("_rank", rank).where(F.col("_rank") <= _k_expr(k))
-    hit = F.least(F.col("_cur"), F.lit(1))
-    return picked.groupBy(F.col("_t").alias(seq_col)).agg(
-        *[F.sum(F.when(F.col("pool") == p.name, hit).otherwise(0)).cast("int").alias(f"{p.name}_matches")
-          for p in pools])
+    from drawlake.operators.features import start_index
+    from drawlake.operators.windows import window_arrays
+
+    rows = window_arrays(seq_draws, window, pools, seq_col).where(F.col(seq_col) >= start_index(window=window))
+    def ranked_cell(p: Pool):
+        return lambda v, i: F.struct((-v if largest else v).alias("v"), (i + p.lo).alias("number"))
+
+    out, at = [F.col(seq_col)], 0
+    for p in pools:
+        ranked = F.array_sort(F.transform(F.slice(stat, at + 1, p.size), ranked_cell(p)))
+        picked = F.transform(F.slice(ranked, 1, k[p.name]), lambda s: s["number"])
+        actual = F.array_compact(F.array(*[F.col(c) for c in p.columns]))
+        out.append(F.size(F.array_intersect(picked, actual)).alias(f"{p.name}_matches"))
+        at += p.size
+    return rows.select(*out)

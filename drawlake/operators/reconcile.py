@@ -3,9 +3,9 @@
 O33, O34, O36, O40, O69.
 
 The reconcile is a union of both copies followed by one groupBy on the key,
-not a full outer join: a key repeated on both sides (or holding a large share
-of the rows) is aggregated map-side instead of producing every left x right
-pair. Keys seen more than once on a side are reported as ``duplicate``.
+not a full outer join: a key repeated on both sides is aggregated instead of
+producing every left x right pair, and each task sends at most one partial row
+per key. With text columns Spark sorts for that aggregation rather than hashing. Keys seen more than once on a side are reported as ``duplicate``.
 Null keys group together, so null meets null as in a pandas outer merge.
 """
 
@@ -29,7 +29,7 @@ def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
     ``null_mismatch=False`` (compatible): a null on either side is not a
     mismatch. ``True`` (strict): null-safe equality, so null vs value differs.
-    Match flags are only set for ``both`` rows.
+    Match flags are only set for ``both`` rows; ``duplicate`` rows show no values.
     """
     ls, rs = suffixes
     side = F.col("_side")
@@ -46,6 +46,9 @@ def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str],
                .when((F.col("left_rows") == 1) & (F.col("right_rows") == 1), F.lit("both"))
                .otherwise(F.lit("duplicate")))
     g = g.withColumn("status", status)
+    # The extremes of several rows may belong to no single row, so a repeated key shows no values.
+    single = F.col("status") != "duplicate"
+    g = g.withColumns({c + x: F.when(single, F.col(c + x)) for c in compare_cols for x in suffixes})
     matches = []
     for c in compare_cols:
         a, b = F.col(c + ls), F.col(c + rs)

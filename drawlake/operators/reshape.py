@@ -49,16 +49,6 @@ def densify(stats: DataFrame, pools: Sequence[Pool] = DEFAULT_POOLS,
     return out
 
 
-def pool_key(pools: Sequence[Pool] = DEFAULT_POOLS):
-    """Column expression giving each (pool, number) a unique int key (pool block * 1000 + n)."""
-    expr = None
-    for i, p in enumerate(pools):
-        cond = F.col("pool") == p.name
-        val = F.lit(i * 1000) + F.col("number")
-        expr = F.when(cond, val) if expr is None else expr.when(cond, val)
-    return expr
-
-
 def indicator_counts(df: DataFrame, key: str, pool: Pool) -> DataFrame:
     """Per draw key, how often each number of ``pool`` occurs (O43), dense over the domain.
 

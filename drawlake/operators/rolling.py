@@ -2,64 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from drawlake.operators.reshape import to_long
-from drawlake.operators.sequence import chunk_overlap, scatter
+from drawlake.operators.windows import CHUNK, domain_cells, window_arrays
 from drawlake.schemas import STAR, Pool
 
-# Above this window length the chunk shape copies fewer rows than scattering.
-SCATTER_MAX_WINDOW = 200
-
 
 def rolling_frequency(seq_draws: DataFrame, pool: Pool = STAR, window: int = 50,
-                      seq_col: str = "seq", date_col: str = "draw_date",
-                      method: str = "auto", chunk: int = 10_000) -> DataFrame:
+                      seq_col: str = "seq", date_col: str = "draw_date", chunk: int = CHUNK) -> DataFrame:
     """Occurrences of every pool number in draws ``seq-window+1 .. seq``, for seq >= window.
 
     Same result as a per-draw indicator matrix rolled with a full window and
     the incomplete first ``window-1`` rows dropped, melted to
-    ``(seq, draw_date, number, frequency)`` with zero rows kept.
-
-    ``scatter`` (short windows): each pick is sent to the ``window`` later
-    draws it falls into; a zero row per (draw, number) keeps the grid dense
-    and marks which targets exist; one partially aggregated groupBy does the
-    rest. Cost: ``window`` copies per pick, one shuffle.
-
-    ``chunk`` (long windows): dense per-draw counts are copied to every
-    chunk of ``chunk`` draws they can reach (about ``window / chunk`` extra
-    copies), and a row-frame window runs per (chunk, number): parallelism is
-    chunks x numbers, never just the pool size, and each window partition
-    holds at most ``chunk + window`` rows. Output does not depend on ``chunk``.
+    ``(seq, draw_date, number, frequency)`` with zero rows kept. One plan for
+    every window length (see :mod:`drawlake.operators.windows`).
     """
-    if method == "auto":
-        method = "scatter" if window <= SCATTER_MAX_WINDOW else "chunk"
-    if method == "scatter":
-        hits = scatter(to_long(seq_draws, [pool], keep=[seq_col]), seq_col, 0, window - 1,
-                       target_col="_t", min_target=window)
-        hits = hits.select(F.col("_t").alias(seq_col), "number", F.lit(1).alias("_hit"),
-                           F.lit(0).alias("_grid"), F.lit(None).cast("date").alias(date_col))
-        grid = (seq_draws.where(F.col(seq_col) >= window)
-                         .select(seq_col, F.explode(F.sequence(F.lit(pool.lo), F.lit(pool.hi))).alias("number"),
-                                 F.lit(0).alias("_hit"), F.lit(1).alias("_grid"), date_col))
-        return (hits.unionByName(grid)
-                    .groupBy(seq_col, "number")
-                    .agg(F.sum("_hit").cast("long").alias("frequency"),
-                         F.max("_grid").alias("_grid"), F.max(date_col).alias(date_col))
-                    .where(F.col("_grid") == 1)
-                    .select(seq_col, date_col, "number", "frequency"))
-    if method != "chunk":
-        raise ValueError("method must be 'auto', 'scatter' or 'chunk'")
-    hits = to_long(seq_draws, [pool], keep=[seq_col]).select(
-        seq_col, "number", F.lit(1).alias("_hit"), F.lit(None).cast("date").alias(date_col))
-    zeros = seq_draws.select(seq_col, F.explode(F.sequence(F.lit(pool.lo), F.lit(pool.hi))).alias("number"),
-                             F.lit(0).alias("_hit"), date_col)
-    counts = (hits.unionByName(zeros).groupBy(seq_col, "number")
-                  .agg(F.sum("_hit").cast("long").alias("_cnt"), F.max(date_col).alias(date_col)))
-    copies = chunk_overlap(counts, seq_col, window - 1, chunk)
-    frame = (Window.partitionBy("_chunk", "number").orderBy(seq_col)
-             .rowsBetween(-(window - 1), Window.currentRow))
-    return (copies.withColumn("frequency", F.sum("_cnt").over(frame))
-                  .where(F.col("_home") & (F.col(seq_col) >= window))
-                  .select(seq_col, date_col, "number", "frequency"))
+    rows = window_arrays(seq_draws, window, [pool], seq_col, inclusive=True, keep=[date_col], chunk=chunk)
+    return (rows.where(F.col(seq_col) >= window)
+                .select(seq_col, date_col, F.inline(domain_cells([pool], "frequency")))
+                .select(seq_col, date_col, "number", F.col("frequency").cast("long").alias("frequency")))

@@ -1,9 +1,10 @@
 """Draw-shaped view derived from lineitem x orders, and table loading.
 
-Every order with at least five line items becomes one "draw": its first five
-lines (by line number, with further tie-break columns) give the five main
-numbers from the quantity, the first two lines give the two stars from the
-ship month, and the order key/date give draw number/date.
+Every five line items of an order (by line number, with further tie-break
+columns) become one "draw", the rest of an order a short one: the quantities
+give the main numbers, the ship months of the first two lines the stars, and
+order key, date and the number of the five (``part``) identify it. Missing
+numbers of a short draw are null. Every line item lands in exactly one draw.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from drawlake.operators.sequence import global_sequence
 from drawlake.schemas import ORDER_COLUMNS
 
+DERIVED_ORDER = (*ORDER_COLUMNS, "part")
 _LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
 
 
@@ -22,28 +24,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def derived_draws(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    """``draw_number, draw_date, ball_1..5, lucky_star_1..2`` per qualifying order.
+    """``draw_number, draw_date, part, ball_1..5, lucky_star_1..2``, one row per five lines of an order.
 
-    ``row_number() <= 5`` per order becomes a WindowGroupLimit that also runs
-    before the shuffle, so even an order key holding a third of all lines
-    ships at most five rows per map task. The aggregate then reuses the
-    window's partitioning and only the join adds the orders-side exchange.
+    One shuffle by order numbers the lines and groups them; only the join adds
+    the orders-side exchange.
     """
     w = Window.partitionBy("l_orderkey").orderBy(*_LINE_ORDER)
+    at = F.row_number().over(w) - 1
     r = (lineitem.select("l_orderkey", *_LINE_ORDER[:-1], "l_extendedprice", "l_shipdate")
-                 .withColumn("_rn", F.row_number().over(w))
-                 .where(F.col("_rn") <= 5)
-                 .select("l_orderkey", "_rn",
+                 .withColumn("_at", at)
+                 .select("l_orderkey", F.floor(F.col("_at") / 5).cast("int").alias("part"), (F.col("_at") % 5).alias("_pos"),
                          F.col("l_quantity").cast("int").alias("_q"),
                          F.month("l_shipdate").alias("_m")))
-    aggs = [F.max(F.when(F.col("_rn") == i, F.col("_q"))).alias(f"ball_{i}") for i in range(1, 6)]
-    aggs += [F.max(F.when(F.col("_rn") == i, F.col("_m"))).alias(f"lucky_star_{i}") for i in (1, 2)]
-    per_order = (r.groupBy("l_orderkey").agg(*aggs, F.count(F.lit(1)).alias("_n"))
-                  .where(F.col("_n") == 5).drop("_n"))
+    aggs = [F.max(F.when(F.col("_pos") == i, F.col("_q"))).alias(f"ball_{i + 1}") for i in range(5)]
+    aggs += [F.max(F.when(F.col("_pos") == i, F.col("_m"))).alias(f"lucky_star_{i + 1}") for i in (0, 1)]
+    drawn = r.groupBy("l_orderkey", "part").agg(*aggs)
     o = orders.select("o_orderkey", F.col("o_orderdate").cast("date").alias("draw_date"))
-    return (per_order.join(o, per_order["l_orderkey"] == o["o_orderkey"])
-                     .select(F.col("o_orderkey").alias("draw_number"), "draw_date",
-                             *[f"ball_{i}" for i in range(1, 6)], "lucky_star_1", "lucky_star_2"))
+    return (drawn.join(o, drawn["l_orderkey"] == o["o_orderkey"])
+                 .select(F.col("o_orderkey").alias("draw_number"), "draw_date", "part",
+                         *[f"ball_{i}" for i in range(1, 6)], "lucky_star_1", "lucky_star_2"))
 
 
 def load_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,8 +50,8 @@ def load_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sequenced_draws(spark: SparkSession, sf_dir: str, seq_col: str = "seq") -> DataFrame:
-    """Derived draws with a dense 1..N sequence ordered by (draw_date, draw_number)."""
-    return global_sequence(load_draws(spark, sf_dir), list(ORDER_COLUMNS), seq_col)
+    """Derived draws with a dense 1..N sequence ordered by (draw_date, draw_number, part)."""
+    return global_sequence(load_draws(spark, sf_dir), list(DERIVED_ORDER), seq_col)
 
 
 # DuckDB form of the same derivation, shared by the oracle SQL strings.
@@ -63,14 +62,14 @@ r_ AS (
                             ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS rn
   FROM lineitem),
 dd AS (
-  SELECT o_orderkey AS draw_number, CAST(o_orderdate AS DATE) AS draw_date,
-         max(CASE WHEN rn = 1 THEN q END) AS ball_1, max(CASE WHEN rn = 2 THEN q END) AS ball_2,
-         max(CASE WHEN rn = 3 THEN q END) AS ball_3, max(CASE WHEN rn = 4 THEN q END) AS ball_4,
-         max(CASE WHEN rn = 5 THEN q END) AS ball_5,
-         max(CASE WHEN rn = 1 THEN m END) AS lucky_star_1, max(CASE WHEN rn = 2 THEN m END) AS lucky_star_2
+  SELECT o_orderkey AS draw_number, CAST(o_orderdate AS DATE) AS draw_date, CAST((rn - 1) // 5 AS INTEGER) AS part,
+         max(CASE WHEN rn % 5 = 1 THEN q END) AS ball_1, max(CASE WHEN rn % 5 = 2 THEN q END) AS ball_2,
+         max(CASE WHEN rn % 5 = 3 THEN q END) AS ball_3, max(CASE WHEN rn % 5 = 4 THEN q END) AS ball_4,
+         max(CASE WHEN rn % 5 = 0 THEN q END) AS ball_5,
+         max(CASE WHEN rn % 5 = 1 THEN m END) AS lucky_star_1, max(CASE WHEN rn % 5 = 2 THEN m END) AS lucky_star_2
   FROM r_ JOIN orders ON l_orderkey = o_orderkey
-  WHERE rn <= 5 GROUP BY 1, 2 HAVING count(*) = 5),
-sd AS (SELECT *, row_number() OVER (ORDER BY draw_date, draw_number) AS seq FROM dd),
+  GROUP BY 1, 2, 3),
+sd AS (SELECT *, row_number() OVER (ORDER BY draw_date, draw_number, part) AS seq FROM dd),
 lng AS (
   SELECT seq, draw_date, draw_number, 'main' AS pool, 1 AS position, ball_1 AS number FROM sd
   UNION ALL SELECT seq, draw_date, draw_number, 'main', 2, ball_2 FROM sd

@@ -1,9 +1,9 @@
-"""The draw-history job: ingest, merge, validate, gate, analyse, pick.
+"""The draw-history job: ingest, merge, validate, gate, publish, analyse, pick, export.
 
 One parameterised function composes the stages as DataFrames; the only
 hand-offs through storage are the inputs, the merged table and the results.
-The sequenced draw table is built once (checkpointed) and shared by every
-order-dependent stage.
+The sequenced draw table is built once and shared by every order-dependent
+stage. Nothing is published before the gate has passed.
 """
 
 from __future__ import annotations
@@ -15,22 +15,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from drawlake.functions.dates import is_weekday
-from drawlake.operators.features import sliding_features
+from drawlake.operators.features import history_guard, next_features, sliding_features
 from drawlake.operators.frequency import (
     frequency, frequency_matrix, frequency_share, recency, top_n_with_others,
 )
 from drawlake.operators.merge import upsert
-from drawlake.operators.ml import fit_multilabel_forest
+from drawlake.operators.ml import fit_multilabel_forest, fit_multilabel_logistic
 from drawlake.operators.picks import pick_top_k, random_tickets
 from drawlake.operators.reconcile import quality_gate, reconcile, reconcile_summary
-from drawlake.operators.reshape import densify, to_long
+from drawlake.operators.reshape import to_long
 from drawlake.operators.rolling import rolling_frequency
 from drawlake.operators.sequence import global_sequence
-from drawlake.operators.standardize import drop_null_rows, standardize
-from drawlake.schemas import CORE_COLUMNS, DEFAULT_POOLS, MAIN, NUMBER_COLUMNS, ORDER_COLUMNS, STAR
+from drawlake.operators.standardize import drop_null_rows, lower_case_columns, standardize
+from drawlake.schemas import CORE_COLUMNS, DEFAULT_POOLS, MAIN, NUMBER_COLUMNS, STAR
+from drawlake.session import write_and_reread
+from drawlake.sources.sinks import export_table
 
-STRATEGIES = ("most_frequent", "least_frequent", "most_overdue", "random", "ml")
+STRATEGIES = ("most_frequent", "least_frequent", "most_overdue", "random", "forest", "logistic")
 WEEKDAYS = ("all", "tuesday", "friday")
+DRAW_KEY = "draw_date"
 
 
 @dataclass
@@ -48,6 +51,7 @@ class JobConfig:
     top_n: int = 15
     rolling_window: int = 50
     seed: int = 42
+    export_format: str | None = None         # also export the history as csv, json or parquet
 
     def validate(self) -> None:
         if self.strategy not in STRATEGIES:
@@ -58,14 +62,31 @@ class JobConfig:
             raise ValueError("need a target table or updates")
 
 
-def _core(df: DataFrame) -> DataFrame:
-    return drop_null_rows(standardize(df, CORE_COLUMNS), ["ball_1"])
+def load_draws(df: DataFrame) -> DataFrame:
+    """A draw source in the warehouse shape, with every further column it has.
+
+    Names in lower case, date and numbers typed, rows without a first number
+    left out. ``draw_number`` is not read: :func:`numbered` derives it.
+    """
+    df = lower_case_columns(df).drop("draw_number")
+    core = [c for c in CORE_COLUMNS if c != "draw_number"]
+    extra = [c for c in df.columns if c not in core]
+    typed = standardize(df, [*core, *extra], int_columns=core)
+    return drop_null_rows(typed, ["ball_1"])
+
+
+def numbered(draws: DataFrame) -> DataFrame:
+    """``draw_number`` 1..N by date, in front of all columns."""
+    rest = F.xxhash64(*[c for c in draws.columns if c != DRAW_KEY])
+    order = [F.col(DRAW_KEY), rest]
+    return global_sequence(draws, order, "draw_number").select("draw_number", *draws.columns)
 
 
 def run_draw_job(spark: SparkSession, cfg: JobConfig) -> dict:
     """Run every stage; write each result as parquet under ``cfg.output_dir``.
 
-    Returns the reconcile summary, the gate verdict and the output paths.
+    Returns the reconcile summary, the gate verdict and the output paths. A
+    failed gate raises before anything is written there.
     """
     cfg.validate()
     out: dict = {"outputs": {}}
@@ -75,54 +96,56 @@ def run_draw_job(spark: SparkSession, cfg: JobConfig) -> dict:
         df.write.mode("overwrite").parquet(path)
         out["outputs"][name] = path
 
-    # Merge (O13): updates win on draw_date; draw_number is re-derived later.
+    # Merge (O13): updates win on the draw date; columns that they lack keep their values.
     if cfg.target is not None and cfg.updates is not None:
-        merged = upsert(_core(cfg.target), _core(cfg.updates), ["draw_date"])
+        target, updates = load_draws(cfg.target), load_draws(cfg.updates)
+        for c in updates.columns:
+            if c not in target.columns:
+                target = target.withColumn(c, F.lit(None).cast(updates.schema[c].dataType))
+        merged = upsert(target, updates, [DRAW_KEY])
     else:
-        merged = _core(cfg.target if cfg.target is not None else cfg.updates)
-    save("draw_history", merged)
-    merged = spark.read.parquet(out["outputs"]["draw_history"])
+        merged = load_draws(cfg.target if cfg.target is not None else cfg.updates)
+    merged = numbered(write_and_reread(merged, "merged"))
 
     # Validate + gate.
     if cfg.reference_copy is not None:
-        rec = reconcile(merged, _core(cfg.reference_copy), ["draw_date"],
-                        ["draw_number", *NUMBER_COLUMNS])
+        rec = reconcile(merged, load_draws(cfg.reference_copy), [DRAW_KEY], list(NUMBER_COLUMNS))
         summary = reconcile_summary(rec)
         out["summary"] = summary.first().asDict()
         out["gate"] = quality_gate(summary, cfg.gate_limits)
+    save("draw_history", merged)
+    merged = spark.read.parquet(out["outputs"]["draw_history"])
+    if cfg.export_format:
+        path = os.path.join(cfg.output_dir, f"export_{cfg.export_format}")
+        if export_table(merged, path, cfg.export_format):
+            out["outputs"]["export"] = path
 
     # Analyse (O38-O47, O51, O56) on the weekday-filtered history.
-    draws = merged.where(is_weekday("draw_date", cfg.weekday))
-    sd = global_sequence(draws, list(ORDER_COLUMNS))
-    long_df = to_long(sd, DEFAULT_POOLS, keep=["seq", "draw_date"]).cache()
+    draws = merged.select(*CORE_COLUMNS).where(is_weekday(DRAW_KEY, cfg.weekday))
+    sd = global_sequence(draws, ["draw_number"])
+    long_df = to_long(sd, DEFAULT_POOLS, keep=["seq", DRAW_KEY])
     counts = frequency(long_df)
     save("frequency", frequency_share(counts))
-    yearly = frequency(long_df.withColumn("year", F.year("draw_date")), by=["year"])
+    yearly = frequency(long_df.withColumn("year", F.year(DRAW_KEY)), by=["year"])
     save("top_with_others", top_n_with_others(yearly.where(F.col("pool") == MAIN.name), cfg.top_n, by=["year"]))
-    save("yearly_matrix_main", frequency_matrix(long_df, MAIN, F.year("draw_date")))
-    save("yearly_matrix_star", frequency_matrix(long_df, STAR, F.year("draw_date")))
+    save("yearly_matrix_main", frequency_matrix(long_df, MAIN, F.year(DRAW_KEY)))
+    save("yearly_matrix_star", frequency_matrix(long_df, STAR, F.year(DRAW_KEY)))
     save("rolling_star_frequency", rolling_frequency(sd, STAR, cfg.rolling_window))
     rec_df = recency(sd)
     save("recency", rec_df)
 
     # Pick (O57-O60, O65).
-    if cfg.strategy == "most_frequent":
-        picks = pick_top_k(counts, "frequency", largest=True)
-    elif cfg.strategy == "least_frequent":
-        picks = pick_top_k(counts, "frequency", largest=False)
+    if cfg.strategy in ("most_frequent", "least_frequent"):
+        picks = pick_top_k(counts, "frequency", largest=cfg.strategy == "most_frequent")
     elif cfg.strategy == "most_overdue":
         picks = pick_top_k(rec_df, "draws_since", largest=True)
     elif cfg.strategy == "random":
-        t = random_tickets(spark.range(1).withColumnRenamed("id", "ticket_id"), seed=cfg.seed)
-        picks = t
+        picks = random_tickets(spark.range(1).withColumnRenamed("id", "ticket_id"), seed=cfg.seed)
     else:
-        scores = fit_multilabel_forest(sliding_features(sd, mode="next"), mode="next", seed=cfg.seed)
+        history_guard(sd, mode="next")
+        features = sliding_features(sd).unionByName(next_features(sd))
+        scores = (fit_multilabel_forest(features, mode="next", seed=cfg.seed) if cfg.strategy == "forest"
+                  else fit_multilabel_logistic(features, mode="next"))
         picks = pick_top_k(scores, "probability")
     save("picks", picks)
-    long_df.unpersist()
     return out
-
-
-def densified_frequency(long_df: DataFrame) -> DataFrame:
-    """Frequency including never-drawn numbers as zero (D7 ``domain`` option)."""
-    return densify(frequency(long_df), DEFAULT_POOLS, {"frequency": 0})

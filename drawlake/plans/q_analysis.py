@@ -10,7 +10,7 @@ from drawlake.operators.frequency import (
 from drawlake.operators.picks import pick_top_k
 from drawlake.operators.reshape import densify, to_long
 from drawlake.plans.catalog import register
-from drawlake.plans.derived import load_draws, sequenced_draws, with_draws
+from drawlake.plans.derived import DERIVED_ORDER, load_draws, sequenced_draws, with_draws
 from drawlake.schemas import MAIN, STAR
 
 
@@ -99,7 +99,7 @@ rec AS (
 
 @register("recency_overdue", with_draws("SELECT pool, number, draws_since FROM rec", _RECENCY_SQL))
 def recency_overdue(spark, sf_dir):
-    return recency(sequenced_draws(spark, sf_dir))
+    return recency(load_draws(spark, sf_dir), DERIVED_ORDER)
 
 
 def _pick_sql(stat_sql: str, stat: str, direction: str) -> str:
@@ -141,11 +141,11 @@ def picks_least_frequent_domain(spark, sf_dir):
 
 @register("picks_most_overdue", with_draws(_pick_sql("SELECT * FROM rec", "draws_since", "DESC"), _RECENCY_SQL))
 def picks_most_overdue(spark, sf_dir):
-    return pick_top_k(recency(sequenced_draws(spark, sf_dir)), "draws_since", largest=True)
+    return pick_top_k(recency(load_draws(spark, sf_dir), DERIVED_ORDER), "draws_since", largest=True)
 
 
 @register("draw_sequence", with_draws("""
-SELECT seq, draw_number, draw_date FROM sd
+SELECT seq, draw_number, draw_date, part FROM sd
 """))
 def draw_sequence(spark, sf_dir):
-    return sequenced_draws(spark, sf_dir).select("seq", "draw_number", "draw_date")
+    return sequenced_draws(spark, sf_dir).select("seq", "draw_number", "draw_date", "part")

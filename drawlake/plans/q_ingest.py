@@ -14,12 +14,14 @@ from drawlake.functions.dates import DMY_ABBR, day_name, is_weekday, mon_date_te
 from drawlake.functions.text import money_to_decimal
 from drawlake.operators.connector import mask_columns, sparse_nonnull, with_sensitivity
 from drawlake.operators.picks import random_tickets
-from drawlake.operators.standardize import align_columns, split_valid, tolerant_int, union_aligned
+from drawlake.operators.standardize import align_columns, filter_not_in, split_valid, tolerant_int, union_aligned
 from drawlake.plans.catalog import register
 from drawlake.plans.derived import load_draws, table, with_draws
 from drawlake.session import ensure_checkpoint_dir
-from drawlake.sources.files import read_json_table
-from drawlake.sources.html import html_table_rows, nav_links, page_manifest
+from drawlake.sources.files import read_csv_table, read_json_table
+from drawlake.sources.html import (
+    MAIN_SPAN_CLASS, STAR_SPAN_CLASS, TABLE_CONTAINER_CLASS, html_table_rows, nav_links, page_manifest,
+)
 from drawlake.sources.sinks import JSON_TIMESTAMP_FORMAT, export_table
 
 SPLIT_DATE = "1995-01-01"
@@ -139,7 +141,7 @@ def not_in_days(spark, sf_dir):
     """Rows whose derived weekday is not an expected draw day."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate",
                                               day_name("o_orderdate").alias("day_name"))
-    return o.where(~F.col("day_name").isin("Tuesday", "Friday"))
+    return filter_not_in(o, "day_name", ["Tuesday", "Friday"])
 
 
 @register("draw_count", with_draws("SELECT count(*) AS n FROM dd"))
@@ -150,14 +152,14 @@ def draw_count(spark, sf_dir):
 
 @register("latest_draws", with_draws("""
 SELECT dayname(draw_date) AS day_name, upper(strftime(draw_date, '%Y-%b-%d')) AS date_text, *
-FROM dd ORDER BY draw_date DESC, draw_number DESC LIMIT 2000
+FROM dd ORDER BY draw_date DESC, draw_number DESC, part DESC LIMIT 2000
 """))
 def latest_draws(spark, sf_dir):
     """Investigation view: newest 2000 draws with day name and date text."""
     d = load_draws(spark, sf_dir)
     return (d.select(day_name("draw_date").alias("day_name"),
                      mon_date_text("draw_date").alias("date_text"), "*")
-             .orderBy(F.col("draw_date").desc(), F.col("draw_number").desc()).limit(2000))
+             .orderBy(F.col("draw_date").desc(), F.col("draw_number").desc(), F.col("part").desc()).limit(2000))
 
 
 _EXPORT_SCHEMA = T.StructType([
@@ -191,7 +193,7 @@ def export_csv_roundtrip(spark, sf_dir):
     export_table(o, out, "csv")
     schema = T.StructType([T.StructField(f.name, f.dataType if f.name != "o_orderdate" else T.StringType())
                            for f in o.schema.fields])
-    back = spark.read.option("header", True).schema(schema).csv(out)
+    back = read_csv_table(spark, out, schema)
     return back.withColumn("o_orderdate", F.try_to_timestamp("o_orderdate", F.lit("yyyy-MM-dd HH:mm:ss"))
                            .cast("timestamp_ntz"))
 
@@ -224,16 +226,60 @@ def page_manifest_q(spark, sf_dir):
     return page_manifest(table(spark, sf_dir, "pages"), MANIFEST_YEARS)
 
 
-@register("page_table_rows")
+@register("page_table_rows", """
+SELECT page_id, CAST(NULL AS INTEGER) AS row_idx, NULL AS draw_date, NULL AS ball_1, NULL AS ball_2, NULL AS ball_3,
+       NULL AS ball_4, NULL AS ball_5, NULL AS lucky_star_1, NULL AS lucky_star_2, NULL AS jackpot, NULL AS winners,
+       'no results table' AS _reason
+FROM pages
+""")
 def page_table_rows(spark, sf_dir):
-    """Results-table rows scraped from every page, skip reasons included."""
+    """Results-table rows scraped from every page, skip reasons included (O6); the given pages hold none."""
     return html_table_rows(table(spark, sf_dir, "pages"))
 
 
-@register("random_tickets")
+def order_pages(spark, sf_dir):
+    """One results page per order: a table row for each draw derived from its lines."""
+    span = lambda c, cls: F.when(F.col(c).isNotNull(), F.concat(
+        F.lit(f'<span class="{cls}">'), F.col(c).cast("string"), F.lit("</span>"))).otherwise(F.lit(""))
+    balls = F.concat(*[span(f"ball_{i}", MAIN_SPAN_CLASS) for i in range(1, 6)],
+                     *[span(f"lucky_star_{i}", STAR_SPAN_CLASS) for i in (1, 2)])
+    row = F.concat(F.lit("<tr><td>"), F.date_format("draw_date", "d MMM yyyy"), F.lit("<td>"), balls,
+                   F.lit("</td><td>&pound;"), F.col("draw_number").cast("string"), F.lit("</td><td>0</td></tr>"))
+    body = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("part", row.alias("row")))), lambda r: r["row"]), "")
+    html = F.concat(F.lit(f'<html><p>Draws<p>of one order<div class="{TABLE_CONTAINER_CLASS}"><table><thead><tr><th>Draw Date</th>'
+                          "<th>Numbers</th><th>Jackpot</th><th>Winners</th></tr></thead><tbody>"), body,
+                    F.lit("</tbody></table></div></html>"))
+    return load_draws(spark, sf_dir).groupBy(F.col("draw_number").alias("page_id")).agg(html.alias("html"))
+
+
+@register("html_table_roundtrip", with_draws("""
+SELECT draw_number AS page_id, part AS row_idx, strftime(draw_date, '%-d %b %Y') AS draw_date,
+       CAST(ball_1 AS VARCHAR) AS ball_1, CAST(ball_2 AS VARCHAR) AS ball_2, CAST(ball_3 AS VARCHAR) AS ball_3,
+       CAST(ball_4 AS VARCHAR) AS ball_4, CAST(ball_5 AS VARCHAR) AS ball_5,
+       CAST(lucky_star_1 AS VARCHAR) AS lucky_star_1, CAST(lucky_star_2 AS VARCHAR) AS lucky_star_2,
+       '£' || CAST(draw_number AS VARCHAR) AS jackpot, '0' AS winners,
+       CASE WHEN ball_5 IS NULL THEN 'expected 5 + 2 numbers, found '
+            || CAST((ball_1 IS NOT NULL)::INT + (ball_2 IS NOT NULL)::INT + (ball_3 IS NOT NULL)::INT + (ball_4 IS NOT NULL)::INT AS VARCHAR)
+            || ' + ' || CAST((lucky_star_1 IS NOT NULL)::INT + (lucky_star_2 IS NOT NULL)::INT AS VARCHAR) END AS _reason
+FROM dd
+"""))
+def html_table_roundtrip(spark, sf_dir):
+    """Result pages built from every order (with unclosed cells and paragraphs), parsed back."""
+    return html_table_rows(order_pages(spark, sf_dir))
+
+
+@register("random_tickets", with_draws("""
+SELECT ticket_id, pool, CAST(row_number() OVER (PARTITION BY ticket_id, pool ORDER BY number) - 1 AS INTEGER) AS pos, number
+FROM (SELECT d.draw_number * 100 + d.part AS ticket_id, dom.pool, dom.number,
+             row_number() OVER (PARTITION BY d.draw_number, d.part, dom.pool ORDER BY
+               md5('42:' || dom.pool || ':' || CAST(d.draw_number * 100 + d.part AS VARCHAR) || ':' || CAST(dom.number AS VARCHAR)),
+               dom.number) AS r
+      FROM dd d CROSS JOIN dom)
+WHERE r <= CASE pool WHEN 'main' THEN 5 ELSE 2 END
+"""))
 def random_tickets_q(spark, sf_dir):
     """One seeded random ticket per draw, in long form."""
-    d = load_draws(spark, sf_dir).select(F.col("draw_number").alias("ticket_id"))
+    d = load_draws(spark, sf_dir).select((F.col("draw_number") * 100 + F.col("part")).alias("ticket_id"))
     t = random_tickets(d)
     cells = [F.transform(f"{p}_numbers", _ticket_cell(p)) for p in ("main", "star")]
     return t.select("ticket_id", F.inline(F.concat(*cells)))

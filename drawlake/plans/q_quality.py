@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from drawlake.operators.merge import upsert
 from drawlake.operators.reconcile import (
-    check_constraints, find_duplicates, only_in, reconcile, reconcile_summary,
+    check_constraints, find_duplicates, gate_status, only_in, reconcile, reconcile_summary,
 )
 from drawlake.plans.catalog import register
 from drawlake.plans.derived import table
@@ -159,10 +159,56 @@ def upsert_orders(spark, sf_dir):
 
 @register("upsert_orders_shuffle", _UPSERT_SQL)
 def upsert_orders_shuffle(spark, sf_dir):
-    """Same merge through the large-source shape (union + per-key max_by)."""
+    """The same merge with joins that may not broadcast: the answer is the same."""
     orders = table(spark, sf_dir, "orders")
-    return upsert(orders.select(*ORDER_COLS), order_updates(orders), ["o_orderkey"],
-                  max_broadcast_rows=0)
+    return upsert(orders.select(*ORDER_COLS), order_updates(orders).hint("merge"), ["o_orderkey"])
+
+
+@register("upsert_lines", """
+WITH src AS (
+  SELECT o_orderkey AS l_orderkey, arg_max(o_totalprice, (coalesce(ord, -1), price)) AS l_extendedprice
+  FROM (SELECT o_orderkey, o_totalprice, o_totalprice AS price,
+               CASE WHEN o_orderpriority = '1-URGENT' THEN NULL ELSE o_custkey END AS ord
+        FROM orders WHERE o_orderstatus = 'F'
+        UNION ALL SELECT o_orderkey, o_totalprice + 1, o_totalprice + 1, NULL FROM orders WHERE o_orderstatus = 'F'
+        UNION ALL SELECT o_orderkey + 10000000, o_totalprice, o_totalprice, NULL FROM orders WHERE o_orderpriority = '5-LOW')
+  GROUP BY 1)
+SELECT l.l_orderkey, l.l_linenumber, l.l_quantity, coalesce(s.l_extendedprice, l.l_extendedprice) AS l_extendedprice
+FROM lineitem l LEFT JOIN src s ON s.l_orderkey = l.l_orderkey
+UNION ALL
+SELECT l_orderkey, NULL, NULL, l_extendedprice FROM src WHERE l_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
+""")
+def upsert_lines(spark, sf_dir):
+    """Merge where target keys repeat (lines of an order), the source lacks columns of the
+    target, repeats keys and has null order values (O13)."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    o = table(spark, sf_dir, "orders")
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    price = F.col("o_totalprice")
+    first = o.where("o_orderstatus = 'F'").select(
+        F.col("o_orderkey").alias("l_orderkey"), price.alias("l_extendedprice"),
+        F.when(~urgent, F.col("o_custkey")).alias("ord"))
+    again = o.where("o_orderstatus = 'F'").select(
+        F.col("o_orderkey").alias("l_orderkey"), (price + 1).alias("l_extendedprice"), F.lit(None).cast("long").alias("ord"))
+    new = o.where("o_orderpriority = '5-LOW'").select(
+        (F.col("o_orderkey") + NEW_KEY_OFFSET).alias("l_orderkey"), price.alias("l_extendedprice"),
+        F.lit(None).cast("long").alias("ord"))
+    return upsert(lines, first.unionByName(again).unionByName(new), ["l_orderkey"], order_col="ord")
+
+
+@register("quality_gate", "WITH " + _RECON_SQL.strip() + """
+SELECT count(*) FILTER (WHERE status = 'left_only') AS left_only,
+       count(*) FILTER (WHERE status = 'right_only') AS right_only,
+       count(*) FILTER (WHERE status = 'both') AS both,
+       count(*) FILTER (WHERE status = 'duplicate') AS duplicate,
+       count(*) FILTER (WHERE mismatch) AS mismatched,
+       count(*) FILTER (WHERE status = 'both' AND NOT mismatch) AS matched,
+       count(*) FILTER (WHERE status = 'left_only') <= 0 AND count(*) FILTER (WHERE mismatch) <= 1000000 AS passed
+FROM rec
+""")
+def quality_gate_q(spark, sf_dir):
+    """The gate's verdict on the reconcile summary (O69); it fails here, for orders missing on one side."""
+    return gate_status(reconcile_summary(_recon(spark, sf_dir)), {"left_only": 0, "mismatched": 1_000_000})
 
 
 @register("constraint_report", """

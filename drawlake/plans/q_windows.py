@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from drawlake.operators.features import (
-    lag_long, multi_hot_long, sliding_features, start_index, window_stats,
-)
-from drawlake.operators.ml import (
-    class_weights, fit_multilabel_forest, fit_multilabel_logistic, targets_long,
+    lag_long, multi_hot_long, next_features, sliding_features, start_index, window_stats,
 )
+from drawlake.operators.ml import class_weights, fit_multilabel_forest, fit_multilabel_logistic
 from drawlake.operators.picks import backtest_window_picks, pick_top_k
 from drawlake.operators.rolling import rolling_frequency
 from drawlake.plans.catalog import register
@@ -46,8 +44,8 @@ SELECT seq, draw_date, number, frequency FROM (
 WHERE seq >= 50
 """, _STAR_GRID))
 def rolling_star_frequency_chunked(spark, sf_dir):
-    """The same rolling frequency through the chunk-overlap plan used for long windows."""
-    return rolling_frequency(sequenced_draws(spark, sf_dir), STAR, 50, method="chunk", chunk=1000)
+    """The same rolling frequency with smaller chunks: the result does not depend on them."""
+    return rolling_frequency(sequenced_draws(spark, sf_dir), STAR, 50, chunk=1000)
 
 
 @register("lag_features", with_draws("""
@@ -103,7 +101,7 @@ fl AS (
   SELECT t.seq, (CAST(k.range AS INTEGER) - 1) * 7
            + CASE l.pool WHEN 'main' THEN l.position ELSE 5 + l.position END - 1 AS idx,
          CAST(l.number AS DOUBLE) AS value
-  FROM sd t, range(1, 6) k, lg l
+  FROM sd t, range(1, 6) k, lng l
   WHERE t.seq >= 21 AND l.seq = t.seq - k.range),
 fs AS (
   SELECT seq, 35 + (CASE pool WHEN 'main' THEN number - 1 ELSE 50 + number - 1 END) * 2 AS idx,
@@ -130,7 +128,7 @@ SELECT sd.seq, dom.pool, dom.number,
 FROM sd CROSS JOIN dom WHERE sd.seq >= 21
 """))
 def feature_targets(spark, sf_dir):
-    return targets_long(sliding_features(sequenced_draws(spark, sf_dir)))
+    return multi_hot_long(sequenced_draws(spark, sf_dir)).where(F.col("seq") >= start_index())
 
 
 @register("class_weights", with_draws("""
@@ -208,7 +206,7 @@ fl AS (
   SELECT nx.t AS seq, (CAST(k.range AS INTEGER) - 1) * 7
            + CASE l.pool WHEN 'main' THEN l.position ELSE 5 + l.position END - 1 AS idx,
          CAST(l.number AS DOUBLE) AS value
-  FROM nx, range(1, 6) k, lg l WHERE l.seq = nx.t - k.range)""", """
+  FROM nx, range(1, 6) k, lng l WHERE l.seq = nx.t - k.range)""", """
 st AS (
   SELECT dom.pool, dom.number, count(l.seq) AS f, max(l.seq) AS ms
   FROM dom CROSS JOIN nx
@@ -222,5 +220,5 @@ fs AS (
          CAST(coalesce(nx.t - ms - 1, 21) AS DOUBLE) FROM st, nx)"""))
 def next_draw_features(spark, sf_dir):
     """Feature vector of the unseen next draw from the latest 20 known draws (O52, D3 next mode)."""
-    f = sliding_features(sequenced_draws(spark, sf_dir), mode="next")
-    return f.where(F.col("y_main").isNull()).select("seq", F.posexplode("features").alias("idx", "value"))
+    f = next_features(sequenced_draws(spark, sf_dir))
+    return f.select("seq", F.posexplode("features").alias("idx", "value"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -46,8 +47,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting names a folder every executor can reach and is
-    left alone. Only when it is unset (local tests) a fresh scratch folder is
-    created and registered.
+    left alone; without it a cluster run raises, since a folder of the driver's
+    machine would lose rows. Only a local master gets a scratch folder.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -55,16 +56,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="drawlake-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
     return path
 
 
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+_SCRATCH: list[str] = []
 
 
 def write_and_reread(df, name: str = "stage"):
@@ -72,12 +72,39 @@ def write_and_reread(df, name: str = "stage"):
 
     One job writes the rows (a plain ``checkpoint()`` runs the plan a second
     time to save it); later scans read only the columns they need, and the
-    files outlive any executor.
+    files outlive any executor. They go when the driver ends, or with
+    :func:`drop_scratch`.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/drawlake-{name}-{uuid.uuid4().hex}"
+    if not _SCRATCH:
+        atexit.register(_drop_at_exit, spark)
+    _SCRATCH.append(path)
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in the file system that it belongs to."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the folders that :func:`write_and_reread` wrote; returns how many.
+
+    Call it when no DataFrame that was built on them is needed any more.
+    """
+    n = 0
+    while _SCRATCH:
+        p = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        n += bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True))
+    return n
+
+
+def _drop_at_exit(spark: SparkSession) -> None:
+    if spark.sparkContext._jsc is not None:  # still running
+        drop_scratch(spark)
 
 
 _SHIPPED: set[str] = set()

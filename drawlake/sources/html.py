@@ -27,36 +27,58 @@ STAR_SPAN_CLASS = "ball-euromillions-lucky-star"
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
          "source", "track", "wbr"}
+# Elements whose end tag may be left out: an opening tag of the first set ends an open one
+# of the second, unless an element of the third lies between.
+_IMPLIED_END = {
+    "p": ({"p"}, {"table", "td", "th", "div", "li"}),
+    "li": ({"li", "p"}, {"ul", "ol"}),
+    "tr": ({"tr", "td", "th", "p"}, {"table"}),
+    "td": ({"td", "th", "p"}, {"table", "tr"}),
+    "th": ({"td", "th", "p"}, {"table", "tr"}),
+    "tbody": ({"thead", "tbody", "tr", "td", "th", "p"}, {"table"}),
+    "thead": ({"thead", "tbody", "tr", "td", "th", "p"}, {"table"}),
+}
+# Deeper open elements are closed: no real page nests so far.
+_MAX_DEPTH = 512
+
+MAIN_NUMBERS, STAR_NUMBERS = 5, 2
 
 
 class _Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
+    __slots__ = ("tag", "attrs", "children", "parent", "depth")
 
     def __init__(self, tag, attrs, parent):
         self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
+        self.depth = parent.depth + 1 if parent else 0
 
     @property
     def classes(self) -> set[str]:
         return set((self.attrs.get("class") or "").split())
 
+    def walk(self):
+        """Everything below this node in page order, nodes and texts, without recursion."""
+        todo = list(reversed(self.children))
+        while todo:
+            c = todo.pop()
+            yield c
+            if isinstance(c, _Node):
+                todo.extend(reversed(c.children))
+
     def text(self) -> str:
-        return "".join(c if isinstance(c, str) else c.text() for c in self.children)
+        return "".join(c for c in self.walk() if isinstance(c, str))
 
-    def iter(self):
-        for c in self.children:
-            if isinstance(c, _Node):
-                yield c
-                yield from c.iter()
+    def find(self, tag: str, cls: str | None = None):
+        return (n for n in self.walk() if isinstance(n, _Node) and n.tag == tag and (cls is None or cls in n.classes))
 
     def find_all(self, tag: str, cls: str | None = None):
-        return [n for n in self.iter() if n.tag == tag and (cls is None or cls in n.classes)]
+        return list(self.find(tag, cls))
 
     def first(self, tag: str, cls: str | None = None):
-        return next((n for n in self.iter() if n.tag == tag and (cls is None or cls in n.classes)), None)
+        return next(self.find(tag, cls), None)
 
 
 class _TreeBuilder(HTMLParser):
-    """Lenient tree builder: closes the nearest open element with the same tag."""
+    """Lenient tree builder: adds left-out end tags, closes the nearest open element of a tag."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -64,9 +86,15 @@ class _TreeBuilder(HTMLParser):
         self.cur = self.root
 
     def handle_starttag(self, tag, attrs):
+        ends, within = _IMPLIED_END.get(tag, ((), ()))
+        n = self.cur
+        while n.parent is not None and n.tag not in within:
+            if n.tag in ends:
+                self.cur = n.parent
+            n = n.parent
         node = _Node(tag, {k: (v or "") for k, v in attrs}, self.cur)
         self.cur.children.append(node)
-        if tag not in _VOID:
+        if tag not in _VOID and node.depth < _MAX_DEPTH:
             self.cur = node
 
     def handle_startendtag(self, tag, attrs):
@@ -88,16 +116,21 @@ def parse_draw_table(html: str | None) -> tuple[str | None, list[dict]]:
 
     The first ``table`` inside the first ``div.table-responsive``; its first
     ``thead tr`` gives the column map; each ``tbody tr`` with enough cells
-    gives date, jackpot, winners and the main/star span texts. Pages with no
-    table, no header or a missing required header are skipped with a reason;
-    rows without main or star numbers carry their own reason.
+    gives date, jackpot, winners and the main/star span texts. Pages that
+    cannot be parsed, or have no table, no header or not every required
+    header, are skipped with a reason; rows without 5 main and 2 star numbers
+    carry a reason of their own.
     """
-    b = _TreeBuilder()
     try:
-        b.feed(html or "")
-        b.close()
-    except Exception as e:  # malformed beyond what the lenient builder takes
+        return _parse_draw_table(html)
+    except Exception as e:  # a page may be anything: say why and go on with the next
         return f"unparsable page: {e}", []
+
+
+def _parse_draw_table(html: str | None) -> tuple[str | None, list[dict]]:
+    b = _TreeBuilder()
+    b.feed(html or "")
+    b.close()
     box = b.root.first("div", TABLE_CONTAINER_CLASS)
     table = box.first("table") if box is not None else None
     if table is None:
@@ -120,11 +153,15 @@ def parse_draw_table(html: str | None) -> tuple[str | None, list[dict]]:
             continue
         balls = [s.text().strip() for s in tr.find_all("span", MAIN_SPAN_CLASS)]
         stars = [s.text().strip() for s in tr.find_all("span", STAR_SPAN_CLASS)]
-        rec = {"row_idx": i, "draw_date": cells[idx["draw date"]].text().strip(),
-               "jackpot": cells[idx["jackpot"]].text().strip(),
-               "winners": cells[idx["winners"]].text().strip(), "balls": balls, "stars": stars,
-               "reason": None if balls and stars else "no numbers"}
-        rows.append(rec)
+        reason = None
+        if not balls or not stars:
+            reason = "no numbers"
+        elif (len(balls), len(stars)) != (MAIN_NUMBERS, STAR_NUMBERS):
+            reason = f"expected {MAIN_NUMBERS} + {STAR_NUMBERS} numbers, found {len(balls)} + {len(stars)}"
+        rows.append({"row_idx": i, "draw_date": cells[idx["draw date"]].text().strip(),
+                     "jackpot": cells[idx["jackpot"]].text().strip(),
+                     "winners": cells[idx["winners"]].text().strip(), "balls": balls, "stars": stars,
+                     "reason": reason})
     return None, rows
 
 
@@ -150,10 +187,9 @@ def _pages_to_rows(batches: Iterator[pd.DataFrame], id_col: str, html_col: str)
                 rec = {"page_id": pid, "row_idx": r["row_idx"], "_reason": r["reason"],
                        "draw_date": r.get("draw_date"), "jackpot": r.get("jackpot"),
                        "winners": r.get("winners")}
-                for j, v in enumerate((r.get("balls") or [])[:5], 1):
-                    rec[f"ball_{j}"] = v
-                for j, v in enumerate((r.get("stars") or [])[:2], 1):
-                    rec[f"lucky_star_{j}"] = v
+                # A row with more numbers than columns has a reason; its surplus is counted there.
+                rec.update({f"ball_{j}": v for j, v in zip(range(1, MAIN_NUMBERS + 1), r.get("balls") or [])})
+                rec.update({f"lucky_star_{j}": v for j, v in zip(range(1, STAR_NUMBERS + 1), r.get("stars") or [])})
                 out.append(rec)
         frame = pd.DataFrame(out, columns=cols)
         frame["page_id"] = frame["page_id"].astype("int64")

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 CSV_DATE_FORMAT = "yyyy-MM-dd"
 JSON_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS"
+JSON_DATE_FORMAT = "yyyy-MM-dd'T00:00:00.000'"  # a date exports as its midnight
 
 
 def export_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite",
@@ -35,7 +36,7 @@ def export_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwr
     elif fmt == "json":
         (w.option("timestampFormat", JSON_TIMESTAMP_FORMAT)
           .option("timestampNTZFormat", JSON_TIMESTAMP_FORMAT)
-          .option("dateFormat", JSON_TIMESTAMP_FORMAT)
+          .option("dateFormat", JSON_DATE_FORMAT)
           .option("ignoreNullFields", False).json(path))
     elif fmt == "parquet":
         w.parquet(path)

@@ -3,64 +3,36 @@
 Files landing in a folder are read with ``readStream`` under a declared
 schema; ``trigger(availableNow=True)`` processes everything new and stops,
 which is what a scheduled load does, with the streaming checkpoint
-remembering which files were already merged. Each micro-batch is merged
-into the table with the same ``upsert`` as the batch path and written as a
-new numbered snapshot folder; readers take the newest complete one.
+remembering which files were already merged. Each micro-batch goes through
+the same snapshot merge as the batch path.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from drawlake.operators.merge import upsert
+from drawlake.sources.snapshots import latest_snapshot_id, merge_into, read_latest
 
-_SNAP = "snapshot="
-_LOG = "_commits"
-
-
-def latest_snapshot_id(spark: SparkSession, table_path: str, at_most: int | None = None) -> int | None:
-    """Newest committed snapshot number (optionally not above ``at_most``), from the
-    small commit log table (one row per merge)."""
-    try:
-        log = spark.read.schema("snapshot long").json(os.path.join(table_path, _LOG))
-        if at_most is not None:
-            log = log.where(log.snapshot <= at_most)
-        row = log.agg({"snapshot": "max"}).first()
-    except Exception:  # no commit log yet
-        return None
-    return row[0] if row is not None else None
-
-
-def read_latest(spark: SparkSession, table_path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """The newest committed snapshot (or an empty frame / None when nothing is committed)."""
-    sid = latest_snapshot_id(spark, table_path)
-    if sid is None:
-        return None if schema is None else spark.createDataFrame([], schema)
-    return spark.read.parquet(os.path.join(table_path, f"{_SNAP}{sid}"))
+__all__ = ["latest_snapshot_id", "merge_batch", "read_latest", "start_incremental_upsert"]
 
 
 def merge_batch(table_path: str, keys: Sequence[str], prepare: Callable[[DataFrame], DataFrame] | None = None,
                 order_col: str | None = None):
-    """``foreachBatch`` function: upsert the batch into the latest snapshot, write the next one.
+    """``foreachBatch`` function: merge the batch into the snapshot table.
 
-    The new snapshot is numbered batch id + 1 and committed (a row in the
-    commit log) only after its files are written; a retried batch rewrites
-    the same folder instead of adding a second copy.
+    The commit log remembers the query's id (kept in its checkpoint) and the
+    batch, so a batch tried again is merged once, and a query with a new
+    checkpoint, which counts its batches from 0 again, still adds snapshots
+    after the existing ones.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        src = prepare(batch) if prepare else batch
-        base = latest_snapshot_id(spark, table_path, at_most=batch_id)
-        current = spark.read.parquet(os.path.join(table_path, f"{_SNAP}{base}")) if base is not None else None
-        merged = src if current is None else upsert(current, src, keys, order_col=order_col)
-        merged.write.mode("overwrite").parquet(os.path.join(table_path, f"{_SNAP}{batch_id + 1}"))
-        (spark.createDataFrame([(batch_id + 1,)], "snapshot long").coalesce(1)
-              .write.mode("append").json(os.path.join(table_path, _LOG)))
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
+        merge_into(table_path, prepare(batch) if prepare else batch, keys, order_col=order_col,
+                   writer=(query, batch_id))
     return run
 
 

@@ -2,11 +2,16 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 from drawlake.operators.features import sliding_features, window_stats
 from drawlake.operators.merge import upsert
+from drawlake.operators.picks import backtest_window_picks
 from drawlake.operators.reconcile import reconcile
-from drawlake.operators.sequence import global_sequence
+from drawlake.operators.rolling import rolling_frequency
+from drawlake.operators.sequence import chunk_overlap, global_sequence
 from drawlake.plans.derived import derived_draws, table
+from drawlake.schemas import MAIN
 from tests.conftest import draws_df, random_draws
 
 SF = "/root/testdata/sf0.001"
@@ -24,12 +29,14 @@ def _data_exchanges(plan):
             and "BroadcastExchange" not in l]
 
 
-def test_derivation_limits_before_shuffle_and_prunes(spark, capsys):
+def test_derivation_prunes_and_shuffles_lines_once(spark, capsys):
     d = derived_draws(table(spark, SF, "lineitem"), table(spark, SF, "orders"))
     plan = _plan(d, capsys, "formatted")
-    assert "WindowGroupLimit" in plan and "Partial" in plan
     li_schema = [l for l in plan.splitlines() if "ReadSchema" in l and "l_orderkey" in l][0]
     assert "l_tax" not in li_schema and "l_discount" not in li_schema and "l_returnflag" not in li_schema
+    lines = table(spark, SF, "lineitem").count()
+    numbers = F.size(F.array_compact(F.array(*MAIN.columns)))
+    assert d.select(F.sum(numbers)).first()[0] == lines  # every line item lands in a draw
 
 
 def test_sequence_is_a_projection_after_checkpoint(spark, capsys):
@@ -38,27 +45,23 @@ def test_sequence_is_a_projection_after_checkpoint(spark, capsys):
     assert "Exchange" not in plan and "Window" not in plan and "Join" not in plan
 
 
-def test_window_stats_one_shuffle_no_window(spark, capsys):
-    sd = global_sequence(draws_df(spark, random_draws(50)), ["draw_date", "draw_number"])
-    plan = _plan(window_stats(sd), capsys)
-    assert len(_data_exchanges(plan)) == 1
-    assert not re.search(r"\bWindow\b", plan)
-
-
-def test_features_pivot_shuffles_once_per_side(spark, capsys):
-    sd = global_sequence(draws_df(spark, random_draws(50)), ["draw_date", "draw_number"])
-    plan = _plan(sliding_features(sd), capsys)
-    # one repartition by target on each side; the pivot aggregations and the join reuse it
-    assert len(_data_exchanges(plan)) == 2
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+def test_windows_shuffle_the_wide_rows_once(spark, capsys):
+    sd = global_sequence(draws_df(spark, random_draws(200)), ["draw_date", "draw_number"])
+    for df in (window_stats(sd), sliding_features(sd), backtest_window_picks(sd), rolling_frequency(sd)):
+        plan = _plan(df, capsys)
+        assert len(_data_exchanges(plan)) == 1 and not re.search(r"\bWindow\b|Join", plan)
+    copies = chunk_overlap(sd, "seq", 20, 10_000).count()
+    assert copies <= 1.01 * 200  # rows shuffled per draw
 
 
-def test_upsert_small_source_does_not_shuffle_target(spark, capsys):
+def test_upsert_reads_the_source_once_and_never_pairs(spark, capsys, tmp_path):
     target = spark.range(1000).selectExpr("id AS k", "id * 2 AS v")
-    source = spark.range(10).selectExpr("id * 100 AS k", "-1L AS v")
-    plan = _plan(upsert(target, source, ["k"]), capsys)
-    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
-    assert "SortMergeJoin" not in plan
+    spark.range(10).selectExpr("id * 100 AS k", "-1L AS v").write.parquet(str(tmp_path / "s"))
+    df = upsert(target, spark.read.parquet(str(tmp_path / "s")).where("k is not null"), ["k"])
+    df.collect()
+    plan = _plan(df, capsys)
+    final = plan.split("Initial Plan")[0]
+    assert "FullOuter" not in final and "CartesianProduct" not in final and "LeftOuter" in final and "LeftAnti" in final
 
 
 def test_reconcile_is_an_aggregate_not_a_full_join(spark, capsys):
@@ -66,3 +69,6 @@ def test_reconcile_is_an_aggregate_not_a_full_join(spark, capsys):
     plan = _plan(reconcile(a, a, ["draw_date"], ["ball_1", "ball_2"]), capsys)
     assert "FullOuter" not in plan and "HashAggregate" in plan
     assert len(_data_exchanges(plan)) == 1
+    text = a.withColumn("t", F.lit("x"))
+    plan = _plan(reconcile(text, text, ["draw_date"], ["t"]), capsys)
+    assert "FullOuter" not in plan and "SortAggregate" in plan and len(_data_exchanges(plan)) == 1

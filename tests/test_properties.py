@@ -1,16 +1,15 @@
-"""Property tests: operators vs a pandas brute force over random draw histories."""
+"""Property tests: operators vs a plain Python form over random draw histories."""
 
 import datetime as dt
 
-import pandas as pd
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from drawlake.operators.frequency import recency
 from drawlake.operators.features import window_stats
 from drawlake.operators.sequence import global_sequence
-from drawlake.schemas import MAIN, NUMBER_COLUMNS, STAR
 from tests.conftest import draws_df
+from tests.test_windows import DOMAIN, ordered, window_table
 
 _draw = st.tuples(st.lists(st.integers(1, 50), min_size=5, max_size=5),
                   st.lists(st.one_of(st.none(), st.integers(1, 12)), min_size=2, max_size=2),
@@ -30,22 +29,10 @@ def _rows(draws):
 def test_window_stats_property(spark, draws, window):
     rows = _rows(draws)
     sd = global_sequence(draws_df(spark, rows), ["draw_date", "draw_number"], num_partitions=3)
-    got = {(r.seq, r.pool, r.number): (r.frequency, r.recency)
-           for r in window_stats(sd, window=window, lags=1).collect()}
-    p = pd.DataFrame(rows, columns=["draw_number", "draw_date"] + list(NUMBER_COLUMNS))
-    p = p.sort_values(["draw_date", "draw_number"]).reset_index(drop=True)
-    first = max(1, window)
-    want = {}
-    for i in range(first, len(p)):
-        hist = p.iloc[i - window:i]
-        for pool in (MAIN, STAR):
-            vals = [hist[c].tolist() for c in pool.columns]
-            for n in range(pool.lo, pool.hi + 1):
-                freq = sum(v == n for col in vals for v in col)
-                seen = [j for j in range(len(hist)) if n in hist.iloc[j][list(pool.columns)].tolist()]
-                rec = len(hist) - 1 - seen[-1] if seen else window + 1
-                want[(i + 1, pool.name, n)] = (freq, rec)
-    assert got == want
+    got = {}
+    for r in window_stats(sd, window=window, lags=1, chunk=5).collect():
+        got.setdefault(r.seq, {})[(r.pool, r.number)] = (r.frequency, r.recency)
+    assert got == window_table(ordered(rows), window)
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
@@ -54,9 +41,8 @@ def test_recency_property(spark, draws):
     rows = _rows(draws)
     sd = global_sequence(draws_df(spark, rows), ["draw_date", "draw_number"], num_partitions=2)
     got = {(r.pool, r.number): r.draws_since for r in recency(sd).collect()}
-    p = pd.DataFrame(rows, columns=["draw_number", "draw_date"] + list(NUMBER_COLUMNS))
-    p = p.sort_values(["draw_date", "draw_number"], ascending=False).reset_index(drop=True)
-    for pool in (MAIN, STAR):
-        for n in range(pool.lo, pool.hi + 1):
-            hit = [i for i in range(len(p)) if n in p.loc[i, list(pool.columns)].tolist()]
-            assert got[(pool.name, n)] == (hit[0] if hit else len(p))
+    assert got == {(r.pool, r.number): r.draws_since
+                   for r in recency(draws_df(spark, rows), ["draw_date", "draw_number"]).collect()}
+    newest_first = ordered(rows)[::-1]
+    for c in DOMAIN:
+        assert got[c] == next((i for i, picks in enumerate(newest_first) if c in picks), len(newest_first))

@@ -9,6 +9,8 @@ from drawlake.operators.reconcile import (
     reconcile_summary,
 )
 
+from drawlake.sources.snapshots import merge_into, read_latest
+
 SCHEMA = "draw_date date, draw_number int, ball_1 int, ball_2 int"
 
 
@@ -44,6 +46,7 @@ def test_reconcile_cases(spark, two_copies):
     assert rec[_d("2021-01-05")].status == "left_only"
     assert rec[_d("2021-01-22")].status == "right_only"
     assert rec[_d("2021-01-19")].status == "duplicate" and rec[_d("2021-01-19")].right_rows == 2
+    assert rec[_d("2021-01-19")].ball_1_left is None and rec[_d("2021-01-19")].ball_1_right is None
     assert rec[None].status == "both" and not rec[None].mismatch          # null meets null
     assert rec[_d("2021-01-08")].mismatch and rec[_d("2021-01-08")].ball_2_match is False
     assert not rec[_d("2021-01-12")].mismatch                             # compatible null rule
@@ -72,19 +75,62 @@ def test_constraints_and_duplicates(spark, two_copies):
     assert find_duplicates(right, ["draw_date"], limit=0).count() == 0
 
 
-@pytest.mark.parametrize("max_rows", [0, 1000])
-def test_upsert_both_shapes(spark, max_rows):
+@pytest.mark.parametrize("join", ["broadcast", "merge"])
+def test_upsert_cases(spark, join):
     target = spark.createDataFrame([(1, "a", 10), (2, "b", 20), (None, "n", 0)], "k int, s string, v int")
     source = spark.createDataFrame([(2, "B", 21, 1), (2, "BB", 22, 2), (3, "c", 30, 1), (None, "m", 1, 1)],
-                                   "k int, s string, v int, ts int")
-    out = sorted(upsert(target, source, ["k"], order_col="ts", max_broadcast_rows=max_rows).collect(),
+                                   "k int, s string, v int, ts int").hint(join)
+    out = sorted(upsert(target, source, ["k"], order_col="ts").collect(),
                  key=lambda r: (r.k is None, r.k or 0, r.s))
     assert [tuple(r) for r in out] == [(1, "a", 10), (2, "BB", 22), (3, "c", 30), (None, "m", 1), (None, "n", 0)]
-    part = upsert(target, source, ["k"], update_cols=["v"], order_col="ts", max_broadcast_rows=max_rows)
+    part = upsert(target, source, ["k"], update_cols=["v"], order_col="ts")
     got = {r.k: (r.s, r.v) for r in part.where("k is not null").collect()}
     assert got[2] == ("b", 22) and got[3] == ("c", 30)
 
 
+def _rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_upsert_keeps_what_the_source_does_not_touch(spark):
+    target = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (3, "d")], "k int, s string")
+    source = spark.createDataFrame([(2, "Z")], "k int, s string")
+    assert _rows(upsert(target, source, ["k"])) == [(1, "a"), (1, "b"), (2, "Z"), (3, "d")]
+    # both rows of a repeated target key are updated
+    assert _rows(upsert(target, spark.createDataFrame([(1, "Y")], "k int, s string"), ["k"])) == \
+        [(1, "Y"), (1, "Y"), (2, "c"), (3, "d")]
+
+
+def test_upsert_source_lacks_a_column(spark):
+    target = spark.createDataFrame([(1, "a", 10), (2, "b", 20)], "k int, v string, w int")
+    source = spark.createDataFrame([(2, "Z"), (3, "n")], "k int, v string")
+    assert _rows(upsert(target, source, ["k"])) == [(1, "a", 10), (2, "Z", 20), (3, "n", None)]
+    with pytest.raises(ValueError):
+        upsert(target, source, ["k"], update_cols=["w"])
+
+
+def test_upsert_null_order_and_ties(spark):
+    target = spark.createDataFrame([(2, "b", 20)], "k int, s string, v int")
+    source = spark.createDataFrame([(2, "x", 1, None), (2, "y", 2, None)], "k int, s string, v int, ts int")
+    assert _rows(upsert(target, source, ["k"], order_col="ts")) == [(2, "y", 2)]
+    assert _rows(upsert(target.limit(0), source.limit(0), ["k"], order_col="ts")) == []
+
+
+def test_batch_snapshots(spark, tmp_path):
+    table = str(tmp_path / "t")
+    assert read_latest(spark, table) is None
+    first = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "c", 1), (None, "n", 1)], "k int, s string, ts int")
+    assert merge_into(table, first, ["k"], order_col="ts") == 1
+    assert _rows(read_latest(spark, table)) == [(1, "b", 2), (2, "c", 1), (None, "n", 1)]
+    assert merge_into(table, spark.createDataFrame([(2, "C", 2)], "k int, s string, ts int"), ["k"]) == 2
+    assert _rows(read_latest(spark, table).where("k is not null")) == [(1, "b", 2), (2, "C", 2)]
+
+
+def test_unreadable_commit_log_is_not_an_empty_table(spark):
+    with pytest.raises(Exception, match="nosuchfs"):
+        merge_into("nosuchfs://host/table", spark.createDataFrame([(1, "a")], "k int, s string"), ["k"])
+
+
 def test_update_delete(spark):
     df = spark.createDataFrame([(1, 5), (2, 6), (3, None)], "k int, v int")
     up = {r.k: r.v for r in update_where(df, "v > 5", {"v": 0}).collect()}
