@@ -49,3 +49,8 @@ def xml_values(df: DataFrame, xml_col: str, paths: Mapping[str, str]) -> DataFra
     for name, path in paths.items():
         out = out.withColumn(name, F.xpath_string(F.col(xml_col), F.lit(path)))
     return out
+
+
+def with_xml(df: DataFrame, xml_col: str, cols: Sequence[str], row_tag: str = "row") -> DataFrame:
+    """Add ``xml_col``: the named columns as one XML element (V5); null columns are left out."""
+    return df.withColumn(xml_col, F.to_xml(F.struct(*cols), {"rowTag": row_tag}))

@@ -141,7 +141,7 @@ def _fit_multilabel(features: DataFrame, pools: Sequence[Pool], mode: str, weigh
 
 
 #: Training rows of one fit at most (the first by hash of ``seq``).
-MAX_TRAINING_ROWS = 5_000
+MAX_TRAINING_ROWS = 2_000
 
 
 def fit_multilabel_forest(features: DataFrame, pools: Sequence[Pool] = DEFAULT_POOLS,

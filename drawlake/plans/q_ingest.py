@@ -10,11 +10,16 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from drawlake.functions.dates import DMY_ABBR, day_name, is_weekday, mon_date_text, parse_date
-from drawlake.functions.text import money_to_decimal
-from drawlake.operators.connector import mask_columns, sparse_nonnull, with_sensitivity
-from drawlake.operators.picks import random_tickets
-from drawlake.operators.standardize import align_columns, filter_not_in, split_valid, tolerant_int, union_aligned
+from drawlake.functions.dates import D_MON_Y, DMY_ABBR, ISO_DATE, day_name, is_weekday, mon_date_text, parse_date
+from drawlake.functions.text import (
+    blank_to_null, clean_text, last_position, money_to_decimal, sigmoid, split_codes,
+)
+from drawlake.operators.connector import mask_columns, sparse_nonnull, with_sensitivity, with_xml, xml_values
+from drawlake.operators.merge import delete_keys
+from drawlake.operators.picks import random_tickets, score_picks
+from drawlake.operators.standardize import (
+    align_columns, drop_null_rows, filter_not_in, split_valid, standardize, tolerant_int, union_aligned,
+)
 from drawlake.plans.catalog import register
 from drawlake.plans.derived import load_draws, table, with_draws
 from drawlake.session import ensure_checkpoint_dir
@@ -311,3 +316,82 @@ def masked_customer(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     c = with_sensitivity(c, {"c_name": {"label": "Confidential", "information_type": "Name"}})
     return mask_columns(c)
+
+
+@register("xml_roundtrip", "SELECT c_custkey, c_name, c_mktsegment FROM customer")
+def xml_roundtrip(spark, sf_dir):
+    """Columns written to an XML column, and read back from it by XPath (V5)."""
+    c = with_xml(table(spark, sf_dir, "customer"), "x", ["c_name", "c_mktsegment"])
+    return xml_values(c.select("c_custkey", "x"), "x", {"c_name": "row/c_name", "c_mktsegment": "row/c_mktsegment"}).drop("x")
+
+
+@register("scalar_functions", """
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS iso_date, CAST(o_orderdate AS DATE) AS mon_date,
+       lower(o_orderpriority) AS priority, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END AS status,
+       1.0 / (1.0 + exp(-(o_totalprice / 100000.0))) AS logistic,
+       CASE WHEN o_orderstatus = 'O' THEN 3 WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS last_at,
+       CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 2 END AS n_codes
+FROM orders
+""")
+def scalar_functions(spark, sf_dir):
+    """Dates in two text forms, trim and lower, blank to null, sigmoid, last position, code lists."""
+    o = table(spark, sf_dir, "orders")
+    status = F.col("o_orderstatus")
+    codes = F.when(status == "P", F.lit(" P, ")).otherwise(F.concat(F.lit("A , "), status))
+    return o.select(
+        "o_orderkey", parse_date(F.date_format("o_orderdate", ISO_DATE), ISO_DATE).alias("iso_date"),
+        parse_date(F.date_format("o_orderdate", D_MON_Y), D_MON_Y).alias("mon_date"),
+        clean_text(F.concat(F.lit("  "), F.col("o_orderpriority"), F.lit(" "))).alias("priority"),
+        blank_to_null(F.when(status == "P", F.lit("  ")).otherwise(status)).alias("status"),
+        sigmoid(F.col("o_totalprice") / 100000.0).alias("logistic"),
+        last_position(F.array(F.lit("F"), F.lit("O"), F.lit("O")), status).cast("int").alias("last_at"),
+        F.size(split_codes(codes)).alias("n_codes"))
+
+
+@register("standardize_draws", with_draws("""
+SELECT draw_date, draw_number, ball_1, ball_2, ball_3, ball_4, ball_5, lucky_star_1, lucky_star_2 FROM dd
+"""))
+def standardize_draws(spark, sf_dir):
+    """Upper-case names, timestamp text and numbers as text, brought to the core columns."""
+    d = load_draws(spark, sf_dir)
+    raw = d.select(F.date_format("draw_date", "yyyy-MM-dd HH:mm:ss").alias("DRAW_DATE"), F.lit("x").alias("OTHER"),
+                   *[F.concat(F.col(c).cast("string"), F.lit(".0")).alias(c.upper()) for c in d.columns
+                     if c not in ("draw_date", "part")])
+    return standardize(raw).withColumn("draw_number", F.col("draw_number").cast("long"))
+
+
+@register("complete_draws", with_draws("SELECT * FROM dd WHERE ball_5 IS NOT NULL"))
+def complete_draws(spark, sf_dir):
+    """Draws without a missing main number."""
+    return drop_null_rows(load_draws(spark, sf_dir), ["ball_5"])
+
+
+@register("delete_keys", """
+SELECT o_orderkey, o_orderstatus FROM orders
+WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 45)
+""")
+def delete_keys_q(spark, sf_dir):
+    """Rows whose key is in another table removed."""
+    gone = table(spark, sf_dir, "lineitem").where("l_quantity > 45").select(F.col("l_orderkey").alias("o_orderkey"))
+    return delete_keys(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), gone, ["o_orderkey"])
+
+
+@register("score_picks", with_draws("""
+SELECT ticket_id,
+       CAST(count(DISTINCT CASE WHEN t.pool = 'main' AND l.number IS NOT NULL THEN t.number END) AS INTEGER) AS main_matches,
+       CAST(count(DISTINCT CASE WHEN t.pool = 'star' AND l.number IS NOT NULL THEN t.number END) AS INTEGER) AS star_matches
+FROM (SELECT d.draw_number * 100 + d.part AS ticket_id, d.draw_number, d.part, dom.pool, dom.number,
+             row_number() OVER (PARTITION BY d.draw_number, d.part, dom.pool ORDER BY
+               md5('42:' || dom.pool || ':' || CAST(d.draw_number * 100 + d.part AS VARCHAR) || ':' || CAST(dom.number AS VARCHAR)),
+               dom.number) AS r
+      FROM dd d CROSS JOIN dom) t
+LEFT JOIN (SELECT DISTINCT sd.draw_number, sd.part, lg.pool, lg.number FROM lg JOIN sd ON sd.seq = lg.seq) l
+  ON l.draw_number = t.draw_number AND l.part = t.part AND l.pool = t.pool AND l.number = t.number
+WHERE r <= CASE t.pool WHEN 'main' THEN 5 ELSE 2 END
+GROUP BY ticket_id
+"""))
+def score_picks_q(spark, sf_dir):
+    """Every random ticket scored against its draw."""
+    d = load_draws(spark, sf_dir).withColumn("ticket_id", F.col("draw_number") * 100 + F.col("part"))
+    scored = score_picks(random_tickets(d.select("ticket_id")), d, "ticket_id")
+    return scored.select("ticket_id", "main_matches", "star_matches")

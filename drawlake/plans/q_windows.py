@@ -9,6 +9,7 @@ from drawlake.operators.features import (
 )
 from drawlake.operators.ml import class_weights, fit_multilabel_forest, fit_multilabel_logistic
 from drawlake.operators.picks import backtest_window_picks, pick_top_k
+from drawlake.operators.reshape import indicator_counts
 from drawlake.operators.rolling import rolling_frequency
 from drawlake.plans.catalog import register
 from drawlake.plans.derived import sequenced_draws, with_draws
@@ -48,6 +49,12 @@ def rolling_star_frequency_chunked(spark, sf_dir):
     return rolling_frequency(sequenced_draws(spark, sf_dir), STAR, 50, chunk=1000)
 
 
+@register("star_indicator_counts", with_draws("SELECT seq, number, c AS cnt FROM sgrid", _STAR_GRID))
+def star_indicator_counts(spark, sf_dir):
+    """How often each star stands in each draw, zeros included."""
+    return indicator_counts(sequenced_draws(spark, sf_dir), "seq", STAR)
+
+
 @register("lag_features", with_draws("""
 SELECT t.seq, CAST(k.range AS INTEGER) AS lag, l.pool, l.position, l.number
 FROM sd t, range(1, 6) k, lg l
@@ -189,6 +196,18 @@ def logistic_scores(spark, sf_dir):
     return fit_multilabel_logistic(sliding_features(sequenced_draws(spark, sf_dir)))
 
 
+@register("logistic_shape", """
+SELECT 'main' AS pool, CAST(50 AS BIGINT) AS labels, true AS in_range, CAST(1 AS BIGINT) AS draws
+UNION ALL SELECT 'star', 12, true, 1
+""")
+def logistic_shape(spark, sf_dir):
+    """Shape of the model scores: one probability in [0, 1] per label, for one draw."""
+    p = F.col("probability")
+    return logistic_scores(spark, sf_dir).groupBy("pool").agg(
+        F.countDistinct("number").alias("labels"), F.every(p.between(0.0, 1.0)).alias("in_range"),
+        F.countDistinct("seq").alias("draws"))
+
+
 @register("ml_picks")
 def ml_picks(spark, sf_dir):
     """Top 5 + 2 labels by forest probability for the next, unseen draw (O59, D3 next mode)."""

@@ -10,7 +10,6 @@ import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-SLOW = {"forest_scores", "logistic_scores", "ml_picks"}
 
 
 def _norm(v):
