@@ -15,7 +15,9 @@ document its highest sentences, until the choice settles (multiple instances).
 
 from __future__ import annotations
 
+import pickle
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,7 +37,8 @@ LANDMARK, DECAY, ORDER = 10, 0.6, 4
 #: Marks both ends of a word, so that a stem at its beginning differs from the same letters inside.
 EDGE = "\x02"
 #: Pairs compared at a time; words remembered per worker.
-CHUNK, MEMO_WORDS = 4_096, 300_000
+CHUNK, MEMO_WORDS = 512, 500_000
+_MEMO: dict[str, dict[str, float]] = {}
 #: Cost of margin violations, summed over a class.
 COST = 50_000.0
 
@@ -88,20 +91,25 @@ def subsequence_kernel(s: np.ndarray, t: np.ndarray) -> np.ndarray:
     """
     out = np.zeros(s.shape[1], dtype=np.float32)
     d = np.float32(DECAY)
-    for at in range(0, s.shape[1], CHUNK):
-        a, b = s[:, at:at + CHUNK], t[:, at:at + CHUNK]
-        a, b = a[:int((a != 0).any(axis=1).sum())], b[:int((b != 0).any(axis=1).sum())]
+    ls, lt = (s != 0).sum(axis=0), (t != 0).sum(axis=0)
+    order = np.lexsort((lt, ls))  # like lengths together, so that little padding is computed
+    for at in range(0, len(order), CHUNK):
+        own = order[at:at + CHUNK]
+        a, b = s[:ls[own].max(), own], t[:lt[own].max(), own]
         match = ((a[:, None, :] == b[None, :, :]) & (a[:, None, :] != 0)).astype(np.float32) * (d * d)
-        level = match
+        level, total = match, np.zeros(len(own), dtype=np.float32)
         for _ in range(ORDER - 1):
             gap = np.zeros_like(level)
             for i in range(1, len(a)):
-                gap[i] = d * gap[i - 1] + level[i - 1]
+                np.multiply(gap[i - 1], d, out=gap[i])
+                gap[i] += level[i - 1]
             far = np.zeros_like(level)
             for j in range(1, len(b)):
-                far[:, j] = d * far[:, j - 1] + gap[:, j - 1]
+                np.multiply(far[:, j - 1], d, out=far[:, j])
+                far[:, j] += gap[:, j - 1]
             level = match * far
-            out[at:at + CHUNK] += level.sum(axis=(0, 1))
+            total += level.sum(axis=(0, 1))
+        out[own] = total
     return out
 
 
@@ -158,32 +166,44 @@ class ToxicityModel:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def _landmarks(docs: list[set[str]], toxic: np.ndarray, n: int) -> list[str]:
-    """Substrings that best tell toxic documents apart, chosen one after another by what they newly explain."""
+def _substrings(words: list[str]) -> list[str]:
+    return list({w[a:a + k] for w in words for k in range(4, LANDMARK + 1) for a in range(len(w) - k + 1)})
+
+
+def _landmarks(docs: list[list[str]], toxic: np.ndarray, n: int) -> list[str]:
+    """Substrings that best tell toxic documents apart, chosen one after another by what they newly explain.
+
+    ``docs`` holds each document's distinct words. A substring of too few toxic
+    documents cannot be chosen; those are found first, by hashes alone, so that
+    only the others are kept as text.
+    """
+    n_toxic, n_clean = int(toxic.sum()), max(1, int((~toxic).sum()))
+    rate, least = n_toxic / n_clean, max(1.0, 0.005 * n_toxic)
+    sick = np.flatnonzero(toxic).tolist()
+    hashes = [np.fromiter(map(hash, _substrings(docs[d])), np.int64) for d in sick]
+    key, count = np.unique(np.concatenate(hashes), return_counts=True)
+    key = set(key[count >= max(2, least)].tolist())
+    del hashes
     where: dict[str, set[int]] = {}
+    for d in sick:
+        for g in _substrings(docs[d]):
+            if hash(g) in key:
+                where.setdefault(g, set()).add(d)
     seen: Counter[str] = Counter()
-    grams = [{w[a:a + k] for w in ws for k in range(4, LANDMARK + 1) for a in range(len(w) - k + 1)} for ws in docs]
-    for d in np.flatnonzero(toxic).tolist():
-        for g in grams[d]:
-            where.setdefault(g, set()).add(d)
-    where = {g: ds for g, ds in where.items() if len(ds) >= 2}
     for d in np.flatnonzero(~toxic).tolist():
-        seen.update(g for g in grams[d] if g in where)
-    n_toxic, n_clean = int(toxic.sum()), max(1, int((~toxic).sum()))
-    rate = n_toxic / n_clean
+        seen.update(g for g in _substrings(docs[d]) if g in where)
     cost = {g: 5 * seen[g] * rate for g in where}
     where = {g: ds for g, ds in where.items() if len(ds) > cost[g]}
     chosen: list[str] = []
     covered: Counter[int] = Counter()
     while where and len(chosen) < n:
-        # Every toxic document may be explained three times, so that each insult gets its landmark.
+        # A toxic document counts less the more landmarks explain it, so that each insult gets its own.
         gain = {g: sum(1 / (1 + covered[d]) ** 2 for d in ds) - cost[g] for g, ds in where.items()}
         best = max(gain, key=lambda g: (round(gain[g], 6), len(g), g))
-        if gain[best] < max(1.0, 0.005 * n_toxic):
+        if gain[best] < least:
             break
         chosen.append(best)
-        for d in where[best]:
-            covered[d] += 1
+        covered.update(where[best])
         where = {g: ds for g, ds in where.items() if g not in best and best not in g and gain[g] > 0.25}
     return chosen
 
@@ -218,19 +238,19 @@ def train(texts: list[str], labels: list[int], n_landmarks: int = 48, rounds: in
     if not toxic.any() or toxic.all():
         return flat
     rng = np.random.default_rng(seed)
-    sentences = [[ts for s in _SENTENCE.split(t) if (ts := [p for w in terms(s) for p in windows(w)])] for t in texts]
-    words = [{w for s in ss for w in s} for ss in sentences]
-    landmarks = _landmarks(words, toxic, n_landmarks)
+    number: dict[str, int] = {}
+    bags = [[np.array([number.setdefault(p, len(number)) for p in ps], dtype=np.int32)
+             for s in _SENTENCE.split(t) if (ps := [p for w in terms(s) for p in windows(w)])] for t in texts]
+    every = list(number)
+    landmarks = _landmarks([[every[k] for k in np.unique(np.concatenate(ss)).tolist()] if ss else [] for ss in bags],
+                           toxic, n_landmarks)
     if not landmarks:
         return flat
     gram = similarities(landmarks, landmarks).astype(float)
     gram = (gram + gram.T) / 2
     value, vector = np.linalg.eigh(gram + 1e-6 * np.eye(len(gram)))
     root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-4))) @ vector.T  # the Nyström map is k(x, landmarks) @ root
-    every = sorted(set().union(*words))
-    number = {w: k for k, w in enumerate(every)}
-    sim = np.concatenate([similarities(every[a:a + 50_000], landmarks) for a in range(0, len(every), 50_000)]).astype(float)
-    bags = [[np.array([number[w] for w in s]) for s in ss] for ss in sentences]
+    sim = np.concatenate([similarities(every[a:a + 20_000], landmarks) for a in range(0, len(every), 20_000)])
     score = sim.max(axis=1)
     bar, before = 0.9, None
     worst: dict[tuple[int, int], int] = {}  # clean sentences put forward so far, so that no round forgets another's
@@ -251,7 +271,7 @@ def train(texts: list[str], labels: list[int], n_landmarks: int = 48, rounds: in
         bent = [b for k in up for b in _stretched(every[k], rng) if len(b) <= WIDTH]
         own = np.concatenate([sim[up], similarities(bent, landmarks) if bent else np.empty((0, len(landmarks)))])
         # A word without any likeness (all zeros) is as clean as all that were put forward together.
-        x = np.concatenate([own, sim[down], np.zeros((1, len(landmarks)))]) @ root
+        x = np.concatenate([own, sim[down], np.zeros((1, len(landmarks)))]).astype(float) @ root
         y = np.concatenate([np.ones(len(own)), -np.ones(len(down) + 1)])
         cost = np.where(y > 0, COST / len(own), COST / max(1, len(down)))
         cost[-1] = COST
@@ -276,19 +296,17 @@ def _logistic(features: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     return w
 
 
-def training_texts(docs: DataFrame, labels: DataFrame, held_out: Column, per_class: int, max_chars: int) -> tuple[list, list]:
-    """A bounded sample of labelled texts, the same at every run: per class the first ``per_class``
-    ids by hash, whose texts have at most ``max_chars`` characters."""
+def training_sample(docs: DataFrame, labels: DataFrame, held_out: Column, per_class: int, max_chars: int) -> DataFrame:
+    """``doc_id, toxic, text`` of a bounded sample, the same at every run: per class the first
+    ``per_class`` ids by hash, whose texts have at most ``max_chars`` characters."""
     spark = docs.sparkSession
     one = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
            .where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out)
            .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     chosen = [one.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for k in (0, 1)]
     ids = spark.createDataFrame([(r[0], r[1]) for c in chosen for r in c.collect()], "doc_id long, toxic int")
-    rows = (docs.where(F.length("text") <= max_chars).join(F.broadcast(ids), "doc_id")
-            .groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).collect())
-    rows.sort(key=lambda r: r["doc_id"])
-    return [r["text"] for r in rows], [r["toxic"] for r in rows]
+    return (docs.where(F.length("text") <= max_chars).join(F.broadcast(ids), "doc_id")
+            .groupBy("doc_id", "toxic").agg(F.min("text").alias("text")))
 
 
 def held_out_column(id_col: str = "doc_id") -> Column:
@@ -296,16 +314,28 @@ def held_out_column(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1200, max_chars: int = 20_000,
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1000, max_chars: int = 12_000,
         n_landmarks: int = 48) -> ToxicityModel:
     """Train on a sample of at most ``2 * per_class`` labelled documents that are not held out.
 
     ``labels`` has ``doc_id, toxic``; of several labels of one id the higher
     counts, null labels none. The bounds are the only limit on what is read for
-    training; scoring always covers every row and whole texts.
+    training; scoring always covers every row and whole texts. The sample is
+    small enough for one task, which trains there and returns the model alone.
     """
-    return train(*training_texts(id_and_text(docs), labels, held_out_column(), per_class, max_chars),
-                 n_landmarks=n_landmarks)
+    prepare(docs.sparkSession)
+    sample = training_sample(id_and_text(docs), labels, held_out_column(), per_class, max_chars)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, toxic = [], []
+        for batch in batches:
+            texts += batch.column("text").to_pylist()
+            toxic += batch.column("toxic").to_pylist()
+        model = pickle.dumps(train(texts, toxic, n_landmarks=n_landmarks))
+        yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], names=["model"])
+
+    found = sample.repartition(1).sortWithinPartitions("doc_id").mapInArrow(run, "model binary").collect()
+    return pickle.loads(found[0]["model"]) if found else train([], [])
 
 
 def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", out_col: str = "score") -> DataFrame:
@@ -318,20 +348,23 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", out_col
     """
     spark = docs.sparkSession
     prepare(spark)
-    sent = spark.sparkContext.broadcast(model)
+    sent, key = spark.sparkContext.broadcast(model), uuid.uuid4().hex
     docs = docs.drop(out_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, memo = sent.value, {}
+        model = sent.value
+        if key not in _MEMO:  # a worker keeps the memo of one model
+            _MEMO.clear()
+        memo = _MEMO.setdefault(key, {})
         for batch in batches:
             out: list[float] = []
-            for lo in range(0, batch.num_rows, 256):
-                split = [terms(t or "") for t in batch.slice(lo, 256).column(text_col).to_pylist()]
+            for lo in range(0, batch.num_rows, 512):
+                split = [terms(t or "") for t in batch.slice(lo, 512).column(text_col).to_pylist()]
                 if len(memo) > MEMO_WORDS:
                     memo.clear()
-                new = list({w for ws in split for w in ws if w not in memo})
+                new = list(set().union(*split).difference(memo))
                 memo.update(zip(new, model.margins(new).tolist(), strict=True))
-                out.extend(model.probability(np.array([memo[w] for w in ws])) for ws in split)
+                out.extend(model.probability(np.fromiter(map(memo.__getitem__, ws), float, len(ws))) for ws in split)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())],
                                              names=[*batch.schema.names, out_col])
 
