@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from drawlake.llm.common import id_and_text, prepare
+from drawlake.llm.common import id_and_text, prepare, write_and_reread
 
 #: What a candidate is, and words that speak for or against a secret beside it.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/=_-]{16,}")
@@ -37,7 +37,7 @@ _KEY = re.compile("|".join(KEY_WORDS))
 _PLAIN = re.compile("|".join(PLAIN_WORDS))
 _WORD = re.compile(r"[a-z]{3,}")
 
-#: Words of the dictionary (the most frequent of the corpus), and their lengths.
+#: Words of the dictionary at most (the most frequent of the corpus), and their lengths.
 DICTIONARY_WORDS, SHORTEST, LONGEST = 20_000, 3, 10
 
 
@@ -51,7 +51,7 @@ class CorpusStatistics:
 
 def statistics(docs: DataFrame) -> CorpusStatistics:
     """Counted over every whole text of ``doc_id, text``; at most 128 x 128 pairs and
-    ``DICTIONARY_WORDS`` words reach the driver."""
+    ``DICTIONARY_WORDS`` words (those that occur at least so often) reach the driver."""
     prepare(docs.sparkSession)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,10 +69,20 @@ def statistics(docs: DataFrame) -> CorpusStatistics:
     for r in text.mapInArrow(pairs, "pair long, n long").where("n > 0").groupBy("pair").agg(F.sum("n").alias("n")).collect():
         count[r["pair"]] += r["n"]
     count = count.reshape(128, 128)
-    words = (text.select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("word"))
-             .where(F.length("word").between(SHORTEST, LONGEST)).groupBy("word").agg(F.count("*").alias("n"))
-             .where("n > 1").orderBy(F.desc("n"), "word").limit(DICTIONARY_WORDS).collect())
-    return CorpusStatistics(np.log(count / count.sum(axis=1, keepdims=True)), frozenset(r["word"] for r in words))
+    words = write_and_reread(
+        text.select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("word"))
+        .where(F.length("word").between(SHORTEST, LONGEST)).groupBy("word").agg(F.count("*").alias("n"))
+        .where("n > 1"), "words")
+    # The lowest power of two that few enough words reach, from one count per power.
+    power = F.floor(F.log2("n")).cast("int")
+    least, reached = 64, 0
+    for r in sorted(words.groupBy(power.alias("k")).agg(F.count("*").alias("n")).collect(), reverse=True):
+        reached += r["n"]
+        if reached > DICTIONARY_WORDS:
+            break
+        least = r["k"]
+    chosen = words.where(F.col("n") >= F.lit(2.0) ** least).select("word").collect()
+    return CorpusStatistics(np.log(count / count.sum(axis=1, keepdims=True)), frozenset(r["word"] for r in chosen))
 
 
 def _coverage(token: str, dictionary: frozenset[str]) -> float:
@@ -146,7 +156,12 @@ def made_up_findings(n: int = 300) -> list[tuple[str, str, str, int]]:
 
 
 def labelled_findings(docs: DataFrame, per_class: int = 5_000) -> list[tuple[str, str, str, int]]:
-    """At most ``per_class`` findings of either label in the corpus, the first by hash of the finding."""
+    """About ``per_class`` different findings of either label in the corpus, the first by hash.
+
+    Equal findings count once, so copies cannot crowd out others. How far by hash the
+    bound reaches is read off a histogram of 1024 hash ranges; only findings
+    below that come to the driver.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -161,12 +176,19 @@ def labelled_findings(docs: DataFrame, per_class: int = 5_000) -> list[tuple[str
                 yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.string()) for c in cols[:3]), pa.array(cols[3], pa.int32())],
                                                  names=["token", "before", "after", "label"])
 
-    found = docs.select("text").mapInArrow(run, "token string, before string, after string, label int")
+    found = write_and_reread(docs.select("text").mapInArrow(
+        run, "token string, before string, after string, label int").distinct(), "findings")
+    part = F.pmod(F.xxhash64("token", "before", "after"), F.lit(1024)).cast("int")
+    counts = {(r["label"], r["part"]): r["n"] for r in
+              found.groupBy("label", part.alias("part")).agg(F.count("*").alias("n")).collect()}
     out = []
     for k in (1, 0):
-        rows = (found.where(F.col("label") == k).withColumn("h", F.xxhash64("token", "before", "after"))
-                .orderBy("h", "token", "before", "after").limit(per_class).collect())
-        out += [(r["token"], r["before"], r["after"], k) for r in rows]
+        reach, n = 0, 0
+        while reach < 1024 and n < per_class:
+            n += counts.get((k, reach), 0)
+            reach += 1
+        rows = found.where((F.col("label") == k) & (part < reach)).collect()
+        out += sorted((r["token"], r["before"], r["after"], k) for r in rows)
     return out
 
 
