@@ -130,11 +130,10 @@ def find(docs: DataFrame, threshold: float = 0.95, support: int = 5, shortest: i
         F.filter(F.split(F.lower("text"), r"[^\p{L}\p{M}\p{N}]+"), lambda w: F.length(w) >= shortest),
         lambda w: F.xxhash64(w)))
     frequency = docs.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
-    n = found.agg(F.count("*").alias("n_docs"))
-    info = F.log(F.col("n_docs") / F.col("n_e"))
-    share = F.when(info > 0, F.log(F.col("n_docs") * F.col("n_te") / (F.col("n_t") * F.col("n_e"))) / info)
-    telling = (together.join(frequency, "term").crossJoin(F.broadcast(n))  # a single row
-               .where(share > threshold).select("entity", "term"))
+    n_docs = F.lit(float(found.count()))
+    info = F.log(n_docs / F.col("n_e"))
+    share = F.when(info > 0, F.log(n_docs * F.col("n_te") / (F.col("n_t") * F.col("n_e"))) / info)
+    telling = together.join(frequency, "term").where(share > threshold).select("entity", "term")
     spans = (mention.join(telling, ["entity", "term"])
              .groupBy("row").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("added")))
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
