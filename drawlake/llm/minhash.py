@@ -3,12 +3,19 @@
 The unit of work is a *class*: all documents with the same shingle set. Only one
 member of a class is hashed into bands and compared, so copies never form pairs.
 
-Links are found in two rounds that together lose none of the banding's
-candidates. Round one compares every class of a band bucket with the bucket's
-smallest class and joins components. Most buckets then lie inside one
-component and need nothing more. Round two compares, in the buckets that still
-hold several components, every pair of classes from different components,
-block of rows by block of rows.
+Links are found in two rounds that together lose none of the banding's candidates.
+
+1. Every class of a band bucket is compared with a few centres of the bucket,
+   and what is linked is joined into components. Most buckets then lie inside
+   one component and need nothing more.
+2. In the buckets that still hold several components, every class outside the
+   bucket's main component is compared with all classes of other components by
+   signature and by a sample of the sets (small sets: the whole set), block of
+   rows by block of rows inside tasks. What may reach the threshold and was not
+   checked before is checked on full sets.
+
+The first round is linear in the classes. The second compares signatures of all
+pairs of different components in one bucket, and emits only likely links.
 """
 
 from __future__ import annotations
@@ -18,15 +25,21 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from drawlake.llm.common import id_and_text, prepare, write_and_reread
 
 #: 40 bands of 5 minima: a pair at similarity 0.8 shares no band with probability (1 - 0.8^5)^40 = 1.2e-7.
 BANDS, ROWS = 40, 5
-#: Rows of one bucket compared at a time in round two.
+#: Centres of a bucket in the first round.
+CENTRES = 3
+#: Rows of one bucket compared at a time in the later rounds.
 BLOCK = 256
+#: Shingles of a set up to which its sample is the whole set.
+SAMPLE = 256
+#: Word hashes remembered per task.
+MEMO_WORDS = 500_000
 #: Shingles hashed at a time (bounds the memory of one long document).
 CHUNK = 512
 
@@ -86,7 +99,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
         for batch in batches:
             n, keys, sigs = [], [], []
             for text in batch.column("text").cast(pa.binary()).to_pylist():
-                if len(memo) > 500_000:
+                if len(memo) > MEMO_WORDS:
                     memo.clear()
                 if len(done) > 20_000:
                     done.clear()
@@ -112,11 +125,11 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _band_rows(classes: DataFrame) -> DataFrame:
-    """One row (bucket, node) per class and band."""
+    """One row (band, bucket, node) per class and band."""
     width = 2 * ROWS
     keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
                        lambda k: F.xxhash64(k, F.substring("signature", k * width + 1, F.lit(width))))
-    return classes.select("node", F.explode(keys).alias("bucket"))
+    return classes.select("node", F.posexplode(keys).alias("band", "bucket"))
 
 
 def _agreement(x: pd.Series, y: pd.Series) -> np.ndarray:
@@ -132,39 +145,41 @@ def _least_agreement(percent: int) -> int:
     return max(0, int(n * p - 5.5 * (n * p * (1 - p)) ** 0.5))
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets reach the similarity; sets come from the texts again."""
+def _class_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """``node, shingles``: the full sets of the given classes, from the text of one member each."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
         memo: dict[bytes, int] = {}
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 part = batch.slice(lo, 64)
-                nodes, out = [], []
+                own, out = [], []
                 for node, key, text in zip(part.column("node").to_pylist(), part.column("set_key").to_pylist(),
                                            part.column("text").cast(pa.binary()).to_pylist(), strict=True):
-                    if len(memo) > 500_000:
+                    if len(memo) > MEMO_WORDS:
                         memo.clear()
                     s = shingle_hashes(text, size, memo)
                     if xxhash.xxh3_128_digest(s.tobytes()) == key:
-                        nodes.append(node)
+                        own.append(node)
                         out.append(s.view(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(out, pa.list_(pa.int64()))],
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(out, pa.list_(pa.int64()))],
                                                  names=["node", "shingles"])
 
-    wanted = (pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-              .join(classes.select("node", "first_id", "first_hash", "set_key"), "node"))
+    wanted = nodes.join(classes.select("node", "first_id", "first_hash", "set_key"), "node")
     texts = (docs.withColumn("row_hash", F.md5(F.col("text").cast("binary")))
              .join(wanted, (F.col("doc_id") == F.col("first_id")) & (F.col("row_hash") == F.col("first_hash")))
              .select("node", "set_key", "text"))
-    found = write_and_reread(texts.mapInArrow(sets, "node long, shingles array<bigint>")
-                             .dropDuplicates(["node"]), "sets")
-    left = found.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    right = found.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    union = F.size("sa") + F.size("sb") - both
-    return (pairs.join(left, "a").join(right, "b")
-            .where(both.cast("long") * 100 >= union.cast("long") * percent).select("a", "b"))
+    return texts.mapInArrow(sets, "node long, shingles array<bigint>").dropDuplicates(["node"])
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets reach the similarity."""
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+    counted = pairs.join(left, "a").join(right, "b").select(
+        "a", "b", F.size("sa").cast("long").alias("na"), F.size("sb").cast("long").alias("nb"),
+        F.size(F.array_intersect("sa", "sb")).cast("long").alias("both"))
+    return counted.where(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * percent).select("a", "b")
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -208,43 +223,123 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 def _shared_buckets(bands: DataFrame) -> DataFrame:
-    """``bucket, node, a`` of the buckets with several classes; ``a`` is the bucket's smallest."""
-    least = bands.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z").drop("z")
-    return bands.join(least, "bucket").select("bucket", "node", "a")
+    """``bucket, band, node, centres`` of the buckets with several classes; the centres are the first
+    of the bucket in a few fixed orders."""
+    orders = [F.col("node"), *(F.xxhash64("node", F.lit(k)) for k in range(1, CENTRES))]
+    firsts = bands.groupBy("bucket").agg(F.max("node").alias("z"), F.min("node").alias("a"),
+                                         *[F.min_by("node", o).alias(f"c{k}") for k, o in enumerate(orders)])
+    firsts = firsts.where("a < z").select("bucket", F.array_distinct(
+        F.array(*[f"c{k}" for k in range(CENTRES)])).alias("centres"))
+    return bands.join(firsts, "bucket").select("bucket", "band", "node", "centres")
+
+
+def _ordered(a: Column, b: Column) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
 
+def _mixed_rows(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """``bucket, band, node, root, main, n`` of the buckets that hold several components: ``main`` is
+    the root of the bucket's largest component, ``n`` the bucket's size."""
+    placed = (shared.select("bucket", "band", "node").join(roots, "node", "left")
+              .select("bucket", "band", "node", F.coalesce("root", "node").alias("root")))
+    sizes = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    mixed = (sizes.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.sum("n").alias("n"),
+                                         F.count("*").alias("parts")).where("parts > 1").select("bucket", "main", "n"))
+    return write_and_reread(placed.join(mixed, "bucket"), "mixed")
 
-def _cross_pairs(shared: DataFrame, classes: DataFrame, roots: DataFrame, least: int) -> DataFrame:
-    """Pairs of different components in one bucket whose signatures agree enough, each once."""
-    placed = (shared.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root")))
-    mixed = (placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
-                                          F.count("*").alias("n")).where("lo < hi").select("bucket", "n"))
-    rows = (placed.join(mixed, "bucket").join(classes.select("node", "signature"), "node")
+
+def _samples(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """``node, level, sample``: of each undecided class' set the upper hash words that 2^level divides.
+
+    A set of at most ``SAMPLE`` shingles is kept whole (level 0), a larger one
+    down to about that many. Two samples compare at the higher of their levels.
+    """
+    n = F.size("shingles")
+    level = F.when(n <= SAMPLE, F.lit(0)).otherwise(F.ceil(F.log2(n / F.lit(SAMPLE)))).cast("int")
+    own = sets.join(rows.select("node").distinct(), "node", "left_semi").withColumn("level", level)
+    words = F.transform("shingles", lambda h: F.shiftrightunsigned(h, 32))
+    return own.select("node", "level", F.sort_array(F.filter(
+        words, lambda w: w % F.pow(F.lit(2.0), F.col("level")).cast("long") == 0)).alias("sample"))
+
+
+class _Block:
+    """The rows of one block, as arrays."""
+
+    def __init__(self, rows: pa.StructArray):
+        column = lambda name: rows.field(name).to_numpy(zero_copy_only=False)
+        self.node, self.root, self.main, self.level = map(column, ("node", "root", "main", "level"))
+        self.signature = np.frombuffer(b"".join(rows.field("signature").to_pylist()), "<u2").reshape(-1, BANDS * ROWS)
+        lists = rows.field("sample")
+        self.words = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        self.count = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+        self.start = np.cumsum(self.count) - self.count
+
+    def sample(self, i: int) -> np.ndarray:
+        return self.words[self.start[i]:self.start[i] + self.count[i]]
+
+    def first_band(self, picked: np.ndarray, signature: np.ndarray) -> np.ndarray:
+        """The first band that each picked row has in common with a signature."""
+        same = (self.signature[picked] == signature).reshape(len(picked), BANDS, ROWS)
+        return same.all(axis=2).argmax(axis=1)
+
+    def may_reach(self, picked: np.ndarray, words: np.ndarray, level: int, percent: int) -> np.ndarray:
+        """Which of the picked rows may be as similar as ``percent`` to a set with this sample.
+
+        Whole sets (level 0) are compared as they are; samples with a margin of
+        5.5 standard deviations.
+        """
+        p, out = percent / 100, np.zeros(len(picked), dtype=bool)
+        for own in np.unique(self.level[picked]).tolist():
+            at = np.flatnonzero(self.level[picked] == own)
+            t = max(level, own)
+            mine = words[words % (1 << t) == 0]
+            count = self.count[picked[at]]
+            ends = np.cumsum(count)
+            theirs = self.words[np.arange(ends[-1]) + np.repeat(self.start[picked[at]] - (ends - count), count)]
+            kept = theirs % (1 << t) == 0
+            hit = kept & (mine[np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)] == theirs) if len(mine) else kept & False
+            bound = np.concatenate([[0], ends])
+            total = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[bound])
+            both = total(hit)
+            union = np.maximum(len(mine) + total(kept) - both, 1)
+            margin = 5.5 * np.sqrt(p * (1 - p) / union) if t else 0.0
+            out[at] = (both + 1) / union >= p - margin  # one more for words that coincide by chance
+        return out
+
+
+def _cross_pairs(rows: DataFrame, classes: DataFrame, samples: DataFrame, least: int, percent: int) -> DataFrame:
+    """Pairs ``a < b`` of different components in one bucket that may be similar, each once.
+
+    Their signatures agree enough, and so do the samples of their sets.
+    """
+    rows = (rows.join(classes.select("node", "signature"), "node").join(samples, "node")
             .withColumn("blocks", F.ceil(F.col("n") / BLOCK))
             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))))
-    blocks = (rows.groupBy("bucket", "block", "blocks")
-              .agg(F.collect_list(F.struct("node", "root", "signature")).alias("own")))
-    blocks = write_and_reread(blocks, "blocks")
+    blocks = write_and_reread(rows.groupBy("bucket", "band", "block").agg(F.collect_list(F.struct(  # about BLOCK rows
+        "node", "root", (F.col("root") == F.col("main")).alias("main"), "level", "sample", "signature")).alias("own")), "blocks")
     # A block meets itself and every later block of its bucket.
     ahead = blocks.select("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.col("block"))).alias("block"),
-                          F.col("block").alias("later"), F.col("own").alias("other"))
-    met = blocks.join(ahead, ["bucket", "block"]).select("own", "other", (F.col("block") == F.col("later")).alias("same"))
+                          F.col("own").alias("other"))
+    met = blocks.join(ahead, ["bucket", "block"]).select("band", "own", "other")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = BANDS * ROWS
         for batch in batches:
             for k in range(batch.num_rows):
-                own, other = (batch.column(c)[k].values for c in ("own", "other"))
-                node, root = ([x.field(f).to_numpy(False) for x in (own, other)] for f in ("node", "root"))
-                sig = [np.frombuffer(b"".join(x.field("signature").to_pylist()), "<u2").reshape(-1, n)
-                       for x in (own, other)]
-                a, b = [], []
-                for i in range(len(node[0])):
-                    good = ((sig[1] == sig[0][i]).sum(axis=1) >= least) & (root[1] != root[0][i])
-                    hit = np.flatnonzero(good)
-                    a.append(np.minimum(node[0][i], node[1][hit]))
-                    b.append(np.maximum(node[0][i], node[1][hit]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(a), pa.int64()), pa.array(np.concatenate(b), pa.int64())], names=["a", "b"])
+                sides = [_Block(batch.column(side)[k].values) for side in ("own", "other")]
+                band = batch.column("band")[k].as_py()
+                # Only classes outside the main component look for a match; each pair has such a one.
+                for one, other in (sides, sides[::-1]):
+                    for i in np.flatnonzero(~one.main).tolist():
+                        agree = (other.signature == one.signature[i]).sum(axis=1)
+                        good = np.flatnonzero((agree >= least) & (other.root != one.root[i]))
+                        if len(good):  # a pair that shares several buckets is compared in the first
+                            good = good[other.first_band(good, one.signature[i]) == band]
+                        if len(good):
+                            good = good[other.may_reach(good, one.sample(i), int(one.level[i]), percent)]
+                        if len(good):
+                            x, y = np.full(len(good), one.node[i]), other.node[good]
+                            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))],
+                                                             names=["a", "b"])
 
     return met.mapInArrow(compare, "a long, b long").distinct()
 
@@ -274,18 +369,24 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         F.col("first.row_hash").alias("first_hash"), "signature"), "classes")
     least = _least_agreement(percent)
     shared = write_and_reread(_shared_buckets(_band_rows(classes)), "buckets")
-    stars = shared.where("node > a").select("a", F.col("node").alias("b")).distinct()
+    stars = (shared.select("node", F.explode("centres").alias("centre")).where("node <> centre")
+             .select(*_ordered(F.col("node"), F.col("centre"))).distinct())
+    sets = write_and_reread(_class_sets(shared.select("node").distinct(), classes, docs, size), "sets")
 
     agree = F.pandas_udf(lambda x, y: pd.Series(_agreement(x, y)), "long")
     sig = classes.select("node", "signature")
-    pairs = (stars.join(sig.select(F.col("node").alias("a"), F.col("signature").alias("x")), "a")
-             .join(sig.select(F.col("node").alias("b"), F.col("signature").alias("y")), "b")
-             .where(agree("x", "y") >= least).select("a", "b"))
-    edges = write_and_reread(_verified(write_and_reread(pairs, "pairs"), classes, docs, size, percent), "links")
+    tried = write_and_reread(
+        stars.join(sig.select(F.col("node").alias("a"), F.col("signature").alias("x")), "a")
+        .join(sig.select(F.col("node").alias("b"), F.col("signature").alias("y")), "b")
+        .where(agree("x", "y") >= least).select("a", "b"), "pairs")
+    edges = write_and_reread(_verified(tried, sets, percent), "links")
     roots = write_and_reread(connected_components(edges), "roots")
-    more = write_and_reread(_cross_pairs(shared, classes, roots, least), "pairs")
-    if not more.isEmpty():
-        links = _verified(more, classes, docs, size, percent)
+    rows = _mixed_rows(shared, roots)
+    samples = write_and_reread(_samples(rows, sets), "samples")
+    more = write_and_reread(_cross_pairs(rows, classes, samples, least, percent)
+                            .join(tried, ["a", "b"], "left_anti"), "pairs")
+    links = write_and_reread(_verified(more, sets, percent), "links")
+    if not links.isEmpty():
         roots = connected_components(edges.union(links))
 
     named = classes.join(roots, "node", "left").select("set_key", "first_id", F.coalesce("root", "node").alias("root"))
