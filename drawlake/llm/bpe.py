@@ -35,8 +35,6 @@ from drawlake.llm.common import broadcast_file, id_and_text, partitions, prepare
 BLOCK_CHARS, BLOCK_DOCS = 5_000_000, 4_096
 #: More distinct words than this in one bucket's task and its memo starts afresh (words are then encoded again).
 MEMO_WORDS = 2_000_000
-#: Pieces between spaces whose cut into words a task remembers.
-MEMO_PIECES = 200_000
 #: Word buckets are as many as shuffle partitions, up to this number.
 MAX_BUCKETS = 4_096
 
@@ -89,58 +87,37 @@ class _Block:
     A text is cut at its single spaces first: a space between two characters
     that are not white space always begins a pre-token, so the pattern runs
     once per distinct piece. A text with neighbouring white space goes through
-    the pattern whole. ``cuts`` remembers pieces from block to block.
+    the pattern whole.
     """
 
-    def __init__(self, find_all, cuts: dict[str, list[str]]):
-        self.find_all, self.cuts = find_all, cuts
-        self.words: dict[str, int] = {}
-        self.pieces: dict[str, int] = {}  # piece -> its number in the two lists
-        self.codes, self.sizes = [], []
-        self.doc_ids, self.docs, self.chars = [], [], 0
-
-    def _enter(self, piece: str, text: str) -> None:
-        found = self.cuts.get(piece)
-        if found is None:
-            found = self.find_all(text)
-            if len(piece) < 64:
-                if len(self.cuts) >= MEMO_PIECES:
-                    self.cuts.clear()
-                self.cuts[piece] = found
+    def __init__(self, find_all):
+        self.find_all, self.words, self.pieces = find_all, {}, {}
+        self.doc_ids, self.counts, self.codes, self.chars = [], [], [], 0
+
+    def _numbers(self, text: str) -> list[int]:
         words = self.words
-        self.codes.extend([words.setdefault(w, len(words)) for w in found])
-        self.sizes.append(len(found))
-        self.pieces[piece] = len(self.pieces)
+        return [words.setdefault(w, len(words)) for w in self.find_all(text)]
 
     def add(self, doc_id, text: str) -> None:
         if _BESIDE_SPACE.search(text):
-            parts = [text]  # holds white space side by side, as no other piece does
-            if text not in self.pieces:
-                self._enter(text, text)
+            codes = self._numbers(text)
         else:
-            parts = text.split(" ")
-            parts[0] += " "  # no space goes before it; other pieces hold none
-            pieces = self.pieces
-            for p in parts:
-                if p not in pieces:
-                    self._enter(p, p[:-1] if p[-1:] == " " else " " + p)
+            first, *rest = text.split(" ")
+            pieces, codes = self.pieces, self._numbers(first)
+            for p in rest:
+                got = pieces.get(p)
+                if got is None:
+                    got = pieces[p] = tuple(self._numbers(" " + p))
+                codes.extend(got)
         self.doc_ids.append(doc_id)
-        self.docs.append(np.fromiter(map(self.pieces.__getitem__, parts), np.int64, len(parts)))
+        self.counts.append(len(codes))
+        self.codes.append(np.array(codes, dtype=np.uint32))
         self.chars += len(text)
 
-    def numbers(self) -> tuple[np.ndarray, np.ndarray]:
-        """Word numbers of all documents, one after another, and how many each has."""
-        sizes = np.array(self.sizes, dtype=np.int64)
-        every = np.concatenate(self.docs)
-        codes = np.array(self.codes, dtype=np.uint32)[_ragged((np.cumsum(sizes) - sizes)[every], sizes[every])]
-        total = np.concatenate([[0], np.cumsum(sizes[every])])
-        ends = np.cumsum([len(d) for d in self.docs])
-        return codes, np.diff(total[np.concatenate([[0], ends])]).astype("<u4")
-
     def finish(self, place: int, buckets: int, positions: bool) -> list[tuple]:
         """Either the row of positions or the rows of words, one per bucket."""
         import xxhash
-        codes, counts = self.numbers()
+        codes = np.concatenate(self.codes) if self.codes else np.empty(0, np.uint32)
         by_rank = np.argsort(-np.bincount(codes, minlength=len(self.words)), kind="stable")
         spelled = [w.encode() for w in self.words]
         spelled = [spelled[k] for k in by_rank.tolist()]
@@ -152,7 +129,7 @@ class _Block:
             rank[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
             void = np.array([d is None for d in self.doc_ids], dtype=np.uint8)
             ids = np.array([d or 0 for d in self.doc_ids], dtype="<i8").view("<u8")
-            return [(block, -1, _pack(rank[codes], counts, ids, void, lengths,
+            return [(block, -1, _pack(rank[codes], np.array(self.counts, dtype="<u4"), ids, void, lengths,
                                       np.frombuffer(blob, np.uint8)))]
         bucket = np.array([zlib.crc32(w) % buckets for w in spelled], dtype=np.uint16)
         out = []
@@ -190,8 +167,7 @@ def encode(docs: DataFrame, vocab_path: str, pattern: str, id_col: str = "doc_id
             import regex
             from pyspark import TaskContext
             find_all = regex.compile(pattern).findall
-            cuts: dict[str, list[str]] = {}
-            place, block = TaskContext.get().partitionId() << 24, _Block(find_all, cuts)
+            place, block = TaskContext.get().partitionId() << 24, _Block(find_all)
             for batch in batches:
                 for lo in range(0, batch.num_rows, 256):
                     part = batch.slice(lo, 256)
@@ -199,7 +175,7 @@ def encode(docs: DataFrame, vocab_path: str, pattern: str, id_col: str = "doc_id
                         block.add(doc_id, text)
                         if block.chars >= BLOCK_CHARS or len(block.doc_ids) >= BLOCK_DOCS:
                             yield _to_batch(block.finish(place, buckets, positions))
-                            place, block = place + 1, _Block(find_all, cuts)
+                            place, block = place + 1, _Block(find_all)
             if block.doc_ids:
                 yield _to_batch(block.finish(place, buckets, positions))
         return run

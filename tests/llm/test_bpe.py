@@ -45,7 +45,7 @@ def test_several_blocks(spark, library, monkeypatch):
 
 def test_blocks_without_answers_are_encoded_in_place(library):
     find_all = __import__("regex").compile(public.PATTERN).findall
-    block = bpe._Block(find_all, {})
+    block = bpe._Block(find_all)
     block.add(1, "some words here")
     (key, _, positions), = block.finish(0, 7, True)
     words = block.finish(0, 7, False)
