@@ -8,8 +8,11 @@ frequencies n over N documents, the share of the entity's information
     PMI(term; entity) / IC(entity) = log(N n(t, e) / (n(t) n(e))) / log(N / n(e))
 
 is 1 when the term never occurs without the entity and 0 when both are
-independent. Terms above a threshold become spans of the kind ``term`` beside
-every mention of their entity.
+independent. Small counts are discounted: n(t, e) / n(t) enters by its lower
+confidence bound, and the coincidence must be unlikely among all terms tried.
+A value seen too rarely to tell anything about is also looked at as one of its
+group (domain, network, issuer, area). Terms above a threshold become spans of
+the kind ``term`` beside every mention of their entity.
 """
 
 from __future__ import annotations
@@ -35,6 +38,8 @@ HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 TERM_PATTERN = r"[\p{L}\p{M}\p{N}]+"
 #: Code points on either side of a mention in which terms are looked at.
 CONTEXT = 60
+#: Square of the normal quantile of the lower bound's confidence (80 %, one-sided).
+Z2 = 0.8416 ** 2
 
 SPAN = "struct<kind:string,start:bigint,end:bigint,value:string>"
 
@@ -89,16 +94,45 @@ def _near_terms(text: Column, span: Column) -> Column:
     return F.concat(before, after)
 
 
-def find(docs: DataFrame, threshold: float = 0.95, support: int = 5, shortest: int = 4, id_col: str = "doc_id",
+def _entities(span: Column) -> Column:
+    """Keys of what a span mentions: its value, and the group that the value belongs to."""
+    value = F.lower(span["value"])
+    digits = F.regexp_replace(value, "[^0-9]", "")
+    group = (F.when(span["kind"] == "email", F.substring_index(value, "@", -1))
+             .when(span["kind"] == "ip", F.substring_index(value, ".", 3))
+             .when(span["kind"] == "card", F.substring(digits, 1, 6)).otherwise(F.substring(digits, 1, 4)))
+    return F.array(F.xxhash64(span["kind"], value), F.xxhash64(span["kind"], F.lit("group"), group))
+
+
+def _least_share(n_te: Column, n_t: Column, n_e: Column, n_docs: Column) -> Column:
+    """Share of the entity's information that the term tells, with Wilson's lower bound of n_te / n_t."""
+    p = n_te / n_t
+    low = (p + Z2 / (2 * n_t) - F.sqrt(Z2 * (p * (1 - p) / n_t + Z2 / (4 * n_t * n_t)))) / (1 + Z2 / n_t)
+    info = F.log(n_docs / n_e)
+    return F.when((info > 0) & (low > 0), 1 + F.log(low) / info)
+
+
+def _evidence(n_te: Column, n_t: Column, n_e: Column, n_docs: Column) -> Column:
+    """Minus the log of the chance (Chernoff's bound) that so many of the term's other documents hold
+    the entity too. The first one is why the pair is looked at at all, and so no evidence."""
+    k, n, q = n_te - 1, n_t - 1, n_e / n_docs
+    missed = F.when(n > k, (n - k) * F.log((n - k) / (n * (1 - q)))).otherwise(0.0)
+    return F.when((q < 1) & (k > n * q), k * F.log(k / (n * q)) + missed).otherwise(0.0)
+
+
+def find(docs: DataFrame, threshold: float = 0.95, support: int = 1, shortest: int = 4, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
     """``doc_id, base`` and ``added``: the spans of every whole text, one row per input row.
 
     ``base`` holds the pattern spans with their values, ``added`` the spans of
     terms of at least ``shortest`` characters whose disclosure of a neighbouring
-    entity exceeds ``threshold``, with both seen together in at least
-    ``support`` documents; sorted by start and without repeats. Frequencies
-    count all documents and their whole texts. Copies are documents like any
-    other.
+    entity or of its group surely exceeds ``threshold``: by the lower bound of
+    its estimate, and with fewer than one such coincidence expected among the
+    terms near that entity. ``support`` can ask for more documents that hold
+    both. Sorted by start and without repeats. Frequencies count all documents
+    and their whole texts. Copies are documents like any other. A term seen
+    with an entity in a single document tells no more than any other word used
+    once, so a value of one document is covered by its group alone.
 
     Null or empty text: no spans. Null and repeated ids stay rows of their own.
     Extra columns are ignored. Empty table: empty result.
@@ -109,21 +143,23 @@ def find(docs: DataFrame, threshold: float = 0.95, support: int = 5, shortest: i
     # Row numbers and mentions are written once; the texts themselves are not.
     seen = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), "text",
                        let(base_spans(F.col("text")), lambda s: s).alias("base"))
-    near = F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), s["value"].alias("value"),
-                                                  _near_terms(F.col("text"), s).alias("terms")))
+    near = F.transform("base", lambda s: F.struct(_entities(s).alias("entities"), _near_terms(F.col("text"), s).alias("terms")))
     found = write_and_reread(seen.select("doc_id", "row", "base", near.alias("near")), "mentions")
 
     mention = (found.where(F.size("near") > 0).select("row", F.explode("near").alias("m"))
-               .select("row", F.xxhash64("m.kind", F.lower("m.value")).alias("entity"), F.explode("m.terms").alias("t"))
+               .select("row", F.explode("m.entities").alias("entity"), "m.terms")
+               .select("row", "entity", F.explode("terms").alias("t"))
                .where(F.length("t.term") >= shortest)
                .select("row", "entity", F.xxhash64("t.term").alias("term"), F.col("t.start").alias("start"),
                        F.col("t.end").alias("end")))
-    entities = (found.where(F.size("base") > 0)
-                .select("row", F.explode(F.array_distinct(F.transform(
-                    "base", lambda s: F.xxhash64(s["kind"], F.lower(s["value"]))))).alias("entity"))
-                .groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= support))
+    # Terms tried per entity: those near its mentions, repeats included.
+    entities = (found.where(F.size("near") > 0).select("row", F.explode("near").alias("m"))
+                .select("row", F.explode("m.entities").alias("entity"), F.size("m.terms").alias("tried"))
+                .groupBy("row", "entity").agg(F.sum("tried").alias("tried"))
+                .groupBy("entity").agg(F.count("*").alias("n_e"), F.sum("tried").alias("tried")))
+    # Pairs of one document only are left out: they have no evidence.
     together = (mention.select("row", "entity", "term").distinct().groupBy("entity", "term")
-                .agg(F.count("*").alias("n_te")).where(F.col("n_te") >= support).join(entities, "entity"))
+                .agg(F.count("*").alias("n_te")).where(F.col("n_te") >= max(2, support)).join(entities, "entity"))
     together = write_and_reread(together, "together")
     # Document frequency of every term of the corpus: summed per task before it is dealt out by term.
     terms = F.array_distinct(F.transform(
@@ -131,9 +167,9 @@ def find(docs: DataFrame, threshold: float = 0.95, support: int = 5, shortest: i
         lambda w: F.xxhash64(w)))
     frequency = docs.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
     n_docs = F.lit(float(found.count()))
-    info = F.log(n_docs / F.col("n_e"))
-    share = F.when(info > 0, F.log(n_docs * F.col("n_te") / (F.col("n_t") * F.col("n_e"))) / info)
-    telling = together.join(frequency, "term").where(share > threshold).select("entity", "term")
+    counts = F.col("n_te"), F.greatest("n_t", "n_te"), F.col("n_e"), n_docs
+    telling = together.join(frequency, "term").where(
+        (_least_share(*counts) > threshold) & (_evidence(*counts) > F.log("tried"))).select("entity", "term")
     spans = (mention.join(telling, ["entity", "term"])
              .groupBy("row").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("added")))
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")

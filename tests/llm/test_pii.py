@@ -97,6 +97,19 @@ def test_disclosing_terms(spark):
     assert not any(r.added for r in plain)
 
 
+def test_rare_entities(spark):
+    """A name beside a card of two documents, and one beside many single addresses of a domain."""
+    rows = [(k, prose(k, 12)) for k in range(1200)]
+    rows[7] = (7, "Quillfeather pays by 4111 1111 1111 1111 " + prose(7, 12))
+    rows[8] = (8, "Quillfeather again: 4111 1111 1111 1111 " + prose(8, 12))
+    for k in range(100, 108):
+        rows[k] = (k, f"Umbrellaworks: u{k}@umbrella.example " + prose(k, 12))
+    got = {r.doc_id: {rows[r.doc_id][1][s.start:s.end] for s in r.added} for r in pii.find(docs(spark, rows)).collect()}
+    assert got[7] == got[8] == {"Quillfeather"}
+    assert all(got[k] == {"Umbrellaworks"} for k in range(100, 108))
+    assert not any(w for i, w in got.items() if i not in (7, 8) and not 100 <= i < 108)
+
+
 def test_sanitise(spark):
     frame = docs(spark, leaking() + [(900, "call +1 555 555 0100 or 1.2.3.4"), (901, "nothing"), (902, None)], extra=False)
     found = pii.find(frame)
