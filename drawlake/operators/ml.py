@@ -12,6 +12,7 @@ brought to the driver.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -117,42 +118,52 @@ def _labels(train: DataFrame, pools: Sequence[Pool], weighting: str):
     return labels
 
 
-def _fit_multilabel(features: DataFrame, pools: Sequence[Pool], mode: str, weighting: str,
-                    make_model, parallelism: int, max_rows: int, missing: float, train_partitions: int = 4) -> DataFrame:
+def _fit_multilabel(features: DataFrame, pools: Sequence[Pool], mode: str, weighting: str, make_model,
+                    parallelism: int, max_rows: int | None, missing: float, rows_per_partition: int = 10_000) -> DataFrame:
     feats = features.persist()
     held = []
     try:
         train, predict = split_last(feats, mode)
-        # A bounded sample by hash, the same rows at every run and size of cluster; one
-        # partition count and row order, so that a forest's bootstrap samples repeat too.
-        train = train.orderBy(F.xxhash64("seq"), "seq").limit(max_rows)
         train, predict = _scaled(train, predict, missing)
-        train = (train.select("seq", "vec", *[f"y_{p.name}" for p in pools])
-                      .repartition(train_partitions, "seq").sortWithinPartitions("seq").persist())
+        train = train.select("seq", "vec", *[f"y_{p.name}" for p in pools])
+        # Weights, rates and the one-class decision count every row, whatever the classifiers see.
+        labels = _labels(train, pools, weighting)
+        if max_rows is not None:
+            train = train.orderBy(F.xxhash64("seq"), "seq").limit(max_rows)
+        # Partitions by the number of rows and one row order, so that a forest's bootstrap
+        # samples repeat at every run and size of cluster.
+        train = (train.repartition(max(4, math.ceil(train.count() / rows_per_partition)), "seq")
+                      .sortWithinPartitions("seq").persist())
         held.append(train)
+        if max_rows is not None:  # a label with one class in the sample has nothing to fit either: its rate over all rows
+            mixed = {(r[0], r[1]) for r in targets_long(train, pools).groupBy("pool", "number")
+                     .agg(F.min("present").alias("lo"), F.max("present").alias("hi")).where("lo < hi").collect()}
+            fitted = [label for label in labels if label[:2] in mixed or label[-1] in (0.0, 1.0)]
+            rates = [label for label in labels if label not in fitted]
+        else:
+            fitted, rates = labels, []
         # One row: the highest sequence number.
         predict_rows = [(r["seq"], r["vec"]) for r in predict.select("seq", "vec").collect()]
-        labels = _labels(train, pools, weighting)
-        return _fit_all(features.sparkSession, train, predict_rows, labels, make_model, parallelism)
+        spark = features.sparkSession
+        out = _fit_all(spark, train, predict_rows, fitted, make_model, parallelism)
+        return out.union(spark.createDataFrame([(seq, pool, number, prior) for pool, number, *_, prior in rates
+                                                for seq, _ in predict_rows], out.schema)) if rates else out
     finally:
         for d in held:
             d.unpersist()
         feats.unpersist()
 
 
-#: Training rows of one fit at most (the first by hash of ``seq``).
-MAX_TRAINING_ROWS = 2_000
-
-
 def fit_multilabel_forest(features: DataFrame, pools: Sequence[Pool] = DEFAULT_POOLS,
                           mode: str = "holdout", num_trees: int = 100, seed: int = 42,
-                          max_depth: int = 10, parallelism: int = 8, max_rows: int = MAX_TRAINING_ROWS,
+                          max_depth: int = 10, parallelism: int = 8, max_rows: int | None = None,
                           missing: float = 0.0) -> DataFrame:
     """One random forest per label with balanced class weights.
 
-    Returns ``seq, pool, number, probability`` for the predicted row. At most
-    ``max_rows`` draws train (by hash, never the first ones); a null lag number
-    counts as ``missing``; a label with one class only gets that class's rate.
+    Returns ``seq, pool, number, probability`` for the predicted row. Every draw
+    trains; ``max_rows`` can bound the draws that the trees see (the first by
+    hash), while scaling, class weights and rates still count all. A null lag
+    number counts as ``missing``; a label with one class only gets its rate.
     MLlib trees are depth-limited (30 at most) where sklearn grows them
     fully, so probabilities are not bit-equal to a sklearn run.
     """
@@ -166,7 +177,7 @@ def fit_multilabel_forest(features: DataFrame, pools: Sequence[Pool] = DEFAULT_P
 
 def fit_multilabel_logistic(features: DataFrame, pools: Sequence[Pool] = DEFAULT_POOLS,
                             mode: str = "holdout", max_iter: int = 100, reg_param: float = 0.0,
-                            parallelism: int = 8, max_rows: int = MAX_TRAINING_ROWS, missing: float = 0.0) -> DataFrame:
+                            parallelism: int = 8, max_rows: int | None = None, missing: float = 0.0) -> DataFrame:
     """One weighted logistic regression per label: positives weighted by the
     pool's (cells - positives) / positives, a one-layer BCE-with-pos-weight model (O67).
     ``max_rows``, ``missing`` and one-class labels as in the forest."""

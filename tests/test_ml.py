@@ -1,6 +1,7 @@
 """Model fits on small tables: one-class labels, null lags, which row is predicted, bounded samples."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from drawlake.operators.features import sliding_features
 from drawlake.operators.ml import fit_multilabel_forest, fit_multilabel_logistic, split_last
@@ -36,6 +37,19 @@ def test_forest_and_bounded_sample(spark, sequence):
     assert sorted(small) == sorted(again) and len(small) == 5
 
 
+def test_every_draw_trains(spark):
+    """A number drawn only outside the first 2,000 draws by hash is neither impossible nor unweighted."""
+    n = 2_100
+    late = {r.id for r in spark.range(1, n + 1).orderBy(F.xxhash64("id"), "id").collect()[-20:]}
+    rows = [(k, d, 3 if k in late else 1 + k % 2, 1, 1, 1, 1, 2, 1)
+            for k, (_, d, *_) in enumerate(random_draws(n, unique_dates=True), 1)]
+    pools = (Pool("main", ("ball_1",), 1, 3),)
+    features = sliding_features(global_sequence(draws_df(spark, rows), ["draw_date", "draw_number"]), lags=1, window=2, pools=pools)
+    for bound in ({}, {"max_rows": 2_000}):
+        got = {r.number: r.probability for r in fit_multilabel_logistic(features, pools, max_iter=3, parallelism=2, **bound).collect()}
+        assert set(got) == {1, 2, 3} and 0 < got[3] < 1, bound
+
+
 def test_split(spark, sequence):
     features = sliding_features(sequence, lags=1, window=2, pools=FEW, mode="next")
     train, predict = split_last(features, "next")
