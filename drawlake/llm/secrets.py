@@ -1,6 +1,7 @@
 """Secret scan: a random forest keeps the likely secrets among long tokens and drops false alarms.
 
-Candidates are long unbroken tokens. Each is described by its length, how
+Candidates are long unbroken tokens, and of any length and characters the values
+assigned to a telling key and the credentials of a URL. Each is described by its length, how
 likely its character transitions are in the corpus, how much of it dictionary
 words cover, whether it looks like a path, and the words beside it. The forest
 is fitted by MLlib on labelled findings; its trees are then applied inside the
@@ -32,8 +33,16 @@ PLAIN_WORDS = ("example", "sample", "placeholder", "commit", "checksum", "sha1",
 BEFORE, AFTER = 32, 8
 
 FEATURES = ("length", "transitions", "dictionary", "digits", "upper", "switches", "entropy", "distinct", "slashes",
-            "dashes", "path", "key_word", "assigned", "quoted", "plain_word")
+            "dashes", "path", "key_word", "assigned", "quoted", "plain_word", "said", "in_url")
 _KEY = re.compile("|".join(KEY_WORDS))
+#: A value after "=" or ":" (and after the scheme of a header), the end of a telling name before
+#: that, the credentials in a URL, and what stands before a value given without a sign.
+_VALUE = re.compile(r"""[=:](?=>?[ \t]*(?:(?:[Bb]earer|[Bb]asic|[Tt]oken)[ \t]+)?(?:"([^"\n]+)"|'([^'\n]+)'"""
+                    r"""|["']?((?:(?![,;&][ \t]*[\w.-]+[ \t]*[=:])[^\s"'])+)))""")
+_KEY_END = re.compile(f"(?:{'|'.join(KEY_WORDS)})[a-z0-9_.-]*[\"'\\]]*[ \\t]*[:=]?$")
+_URL = re.compile(r"//(?:[^\s/@:]*:)?([^\s/@]+)@")
+_URL_BEFORE = re.compile(r"//[^\s/@]*$")
+_SAID = re.compile(f"(?:bearer|basic|{'|'.join(KEY_WORDS)})[\"']?\\s+[\"']?$")
 _PLAIN = re.compile("|".join(PLAIN_WORDS))
 _WORD = re.compile(r"[a-z]{3,}")
 
@@ -104,37 +113,73 @@ def _coverage(token: str, dictionary: frozenset[str]) -> float:
 def describe(token: str, before: str, after: str, stats: CorpusStatistics) -> list[float]:
     """The features of one candidate, in the order of ``FEATURES``."""
     n = len(token)
-    code = np.frombuffer(token.encode(), np.uint8)
+    code = np.minimum(np.frombuffer(token.encode(errors="replace"), np.uint8), 127)  # all beyond ASCII counts as one sign
     kind = np.select([(code >= 48) & (code < 58), (code >= 65) & (code < 91), (code >= 97) & (code < 123)], [0, 1, 2], 3)
     counts = np.array(list(Counter(token).values())) / n
     before = before.lower()
     near = before.rstrip("\"' ")
-    return [float(n), float(stats.transitions[code[:-1], code[1:]].mean()), _coverage(token, stats.dictionary),
-            float((kind == 0).mean()), float((kind == 1).mean()), float((kind[1:] != kind[:-1]).mean()),
+    steps = stats.transitions[code[:-1], code[1:]] if len(code) > 1 else np.array([-np.log(128)])
+    return [float(n), float(steps.mean()), _coverage(token, stats.dictionary),
+            float((kind == 0).mean()), float((kind == 1).mean()), float((kind[1:] != kind[:-1]).mean()) if len(code) > 1 else 0.0,
             float(-(counts * np.log2(counts)).sum()), len(counts) / n, float(token.count("/")),
             float(token.count("-") + token.count("_")),
             float(token.startswith("/") or token.count("/") > 1 or before.endswith((".", "/", ":")) or after.startswith((".", ":"))),
             float(bool(_KEY.search(before))), float(near.endswith(("=", ":"))), float(before.endswith(("\"", "'"))),
-            float(bool(_PLAIN.search(before) or _PLAIN.search(token.lower())))]
+            float(bool(_PLAIN.search(before) or _PLAIN.search(token.lower()))), float(_said(before)),
+            float(_in_url(before, after))]
+
+
+def _said(before: str) -> bool:
+    """Whether a value stands right after a telling word without a sign between."""
+    return bool(_SAID.search(before.lower()))
+
+
+def _in_url(before: str, after: str) -> bool:
+    """Whether a value stands in a URL before its host."""
+    return after.startswith("@") and bool(_URL_BEFORE.search(before))
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    return [m.span() for m in CANDIDATE.finditer(text)]
+    """Spans in their order, without overlaps: what is assigned to a telling key counts whole, and of
+    long tokens around it what is left."""
+    given = [m.span(1) for m in _URL.finditer(text)]
+    for m in _VALUE.finditer(text):
+        if _KEY_END.search(text[max(0, m.start() - BEFORE):m.start()].lower()):
+            start, end = m.span(m.lastindex)
+            if m.lastindex == 3:
+                end = start + len(text[start:end].rstrip(".,;:)]}>"))
+            if start < end:
+                given.append((start, end))
+    if not given:
+        return [m.span() for m in CANDIDATE.finditer(text)]
+    out, done = [], 0
+    for start, end in sorted(given):
+        if end > done:
+            out.append((max(start, done), end))
+            done = end
+    edges = [0, *(e for span in out for e in span), len(text)]
+    for lo, hi in zip(edges[::2], edges[1::2], strict=True):
+        out += [m.span() for m in CANDIDATE.finditer(text, lo, hi)]
+    return sorted(out)
 
 
 def _beside(text: str, start: int, end: int) -> tuple[str, str, str]:
     return text[start:end], text[max(0, start - BEFORE):start], text[end:end + AFTER]
 
 
-def rule_label(token: str, before: str) -> int | None:
+def rule_label(token: str, before: str, after: str = "") -> int | None:
     """Label of a finding by rule: 1 for a mixed, uneven value assigned to a telling key; 0 for a
     word, a number or anything that no key is near; None where neither is sure."""
     near = before.lower().rstrip("\"' ")
     mixed = any(c.isdigit() for c in token) and any(c.isalpha() for c in token)
     counts = np.array(list(Counter(token).values())) / len(token)
+    key = bool(_KEY.search(before.lower()) or _KEY.search(after.lower()))
     if _KEY.search(before.lower()) and near.endswith(("=", ":")):
-        return 1 if mixed and -(counts * np.log2(counts)).sum() >= 3 else None
-    return 0 if not mixed or not near.endswith(("=", ":")) else None
+        whole = CANDIDATE.fullmatch(token) or (before.endswith(("\"", "'")) and not re.search(r"\s", token))
+        return 1 if whole and mixed and -(counts * np.log2(counts)).sum() >= 3 else None
+    if key or near.endswith(("=", ":")) or _said(before) or _in_url(before, after):
+        return None if mixed else 0
+    return 0
 
 
 def made_up_findings(n: int = 300) -> list[tuple[str, str, str, int]]:
@@ -152,6 +197,16 @@ def made_up_findings(n: int = 300) -> list[tuple[str, str, str, int]]:
                  (f"your_{key}_placeholder_here", f'{key} = "', '"'), (str(int(d[:16], 16))[:16].zfill(16), " ", " "),
                  ("example_" + d[:12], f'{key}: "', '"')][k % 7]
         out.append((*plain, 0))
+        signs = "".join(c + "!#$%&*?@^~"[int(d[i], 16) % 10] * (i % 5 == 2) for i, c in enumerate(mixed[:8 + k % 8]))
+        forms = [(d[:size], "Authorization: Bearer ", " "), (mixed[:size], f" {key} ", " "),
+                 ("ghp_" + (d if k % 2 else mixed)[:size], " https://", "@host/"), (signs, " https://user:", "@host/"),
+                 (signs, f'{key} = "', '"'), (signs, f"{key}: ", " "), (mixed[:8 + k % 8], f"{key}=", "\n")]
+        out += [(*forms[k % 7], 1), (*forms[(k + 2 + k // 7 % 2) % 7], 1)]
+        word = ("string", "none", "true", "the", "required", "value", "required;", "a", "<hidden>", "user", "null")[k % 11]
+        forms = [(word, f"{key}: ", " "), (word, f'{key} = "', '"'), (f"self.{word}", f"{key}=", ","),
+                 (f"get_{word}()", f"{key} = ", "\n"), ("internationalization", f" {key} ", " "),
+                 (f"see the {word}", f'{key}: "', '"'), (str(k), f"{key}: ", " ")]
+        out += [(*forms[k % 7], 0), (*forms[(k + 2 + k // 7 % 2) % 7], 0)]
     return out
 
 
@@ -168,7 +223,7 @@ def labelled_findings(docs: DataFrame, per_class: int = 5_000) -> list[tuple[str
             for text in batch.column("text").to_pylist():
                 for s, e in candidates(text):
                     token, before, after = _beside(text, s, e)
-                    label = rule_label(token, before)
+                    label = rule_label(token, before, after)
                     if label is not None and len(token) <= 256:
                         out.append((token, before, after, label))
             if out:

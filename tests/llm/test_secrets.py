@@ -44,6 +44,25 @@ def test_finds_secrets_and_drops_false_alarms(spark, model):
     assert out[502] == out[503] == out[504] == out[505] == []
 
 
+def test_secrets_of_other_forms(spark, model):
+    """Headers, URLs, values without a sign and short values; and words in the same places."""
+    hidden = {600: (f"Authorization: Bearer {hexes(8001)} sent", hexes(8001)), 601: (f"the auth token {hexes(8002)} is", hexes(8002)),
+              602: (f"clone https://ghp_{hexes(8003, 30)}@host/x", f"ghp_{hexes(8003, 30)}"),
+              603: ('password = "S3cr!t#2024" here', "S3cr!t#2024"), 604: (f"set token={hexes(8004)}\nnext", hexes(8004))}
+    plain = {605: "password: string", 606: "the token: the word", 607: 'secret = "none"', 608: "a secret: é"}
+    rows = [(i, t) for i, (t, _) in hidden.items()] + list(plain.items())
+    out = {r.doc_id: [(s.start, s.end) for s in r.secrets if s.kept] for r in secrets.scan(docs(spark, rows), model).collect()}
+    assert {i: [t[s:e] for s, e in out[i]] for i, (t, _) in hidden.items()} == {i: [v] for i, (_, v) in hidden.items()}
+    assert not any(out[i] for i in plain)
+
+
+def test_rule_is_unsure_beside_a_key():
+    token = hexes(8005)
+    assert secrets.rule_label(token, " commit ") == 0 and secrets.rule_label(token, 'token = "') == 1
+    for before, after in (("Authorization: Bearer ", ""), ("auth token ", ""), ("https://", "@host"), ("", " token")):
+        assert secrets.rule_label(token, before, after) is None
+
+
 def test_trees_vote_as_the_forest_does(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(300, 3))
