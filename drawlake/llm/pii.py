@@ -1,7 +1,7 @@
 """Personal data: pattern spans, and terms that disclose them by corpus co-occurrence.
 
 In DataFrame functions alone. The protected entities are the values that the
-patterns find (a certain e-mail address, card number, ...). A term near an
+patterns find (a certain e-mail address, card number, ...). A term beside an
 entity discloses it as far as it tells the entity's presence: with document
 frequencies n over N documents, the share of the entity's information
 
@@ -11,8 +11,9 @@ is 1 when the term never occurs without the entity and 0 when both are
 independent. Small counts are discounted: n(t, e) / n(t) enters by its lower
 confidence bound, and the coincidence must be unlikely among all terms tried.
 A value seen too rarely to tell anything about is also looked at as one of its
-group (domain, network, issuer, area). Terms above a threshold become spans of
-the kind ``term`` beside every mention of their entity.
+group (domain, network, issuer, area). Counts are of whole documents, and
+every occurrence of a term above the threshold becomes a span of the kind
+``term`` in each document that holds its entity.
 """
 
 from __future__ import annotations
@@ -36,8 +37,6 @@ PATTERNS = {
 #: A text without this cannot match.
 HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 TERM_PATTERN = r"[\p{L}\p{M}\p{N}]+"
-#: Code points on either side of a mention in which terms are looked at.
-CONTEXT = 60
 #: Square of the normal quantile of the lower bound's confidence (80 %, one-sided).
 Z2 = 0.8416 ** 2
 
@@ -79,19 +78,10 @@ def base_spans(text: Column) -> Column:
     return F.concat(*map(of, KINDS))
 
 
-def _near_terms(text: Column, span: Column) -> Column:
-    """array<struct<term, start, end>> of whole terms within the context on both sides of a span.
-
-    A term cut by the edge of the context is left out.
-    """
-    first = F.greatest(span["start"] - CONTEXT, F.lit(0).cast("long"))
-    left = F.substring(text, (first + 1).cast("int"), (span["start"] - first).cast("int"))
-    right = F.substring(text, (span["end"] + 1).cast("int"), F.lit(CONTEXT))
-    lowered = lambda base: lambda m: F.struct(F.lower(m["value"]).alias("term"), (m["start"] + base).alias("start"),
-                                              (m["end"] + base).alias("end"))
-    before = F.transform(F.filter(matches(left, TERM_PATTERN), lambda m: (m["start"] > 0) | (first == 0)), lowered(first))
-    after = F.transform(F.filter(matches(right, TERM_PATTERN), lambda m: (m["end"] < CONTEXT)), lowered(span["end"]))
-    return F.concat(before, after)
+def _terms(text: Column, shortest: int) -> Column:
+    """Hashes of the different terms of a whole text."""
+    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}]+"), lambda w: F.length(w) >= shortest)
+    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
 
 
 def _entities(span: Column) -> Column:
@@ -125,10 +115,11 @@ def find(docs: DataFrame, threshold: float = 0.95, support: int = 1, shortest: i
     """``doc_id, base`` and ``added``: the spans of every whole text, one row per input row.
 
     ``base`` holds the pattern spans with their values, ``added`` the spans of
-    terms of at least ``shortest`` characters whose disclosure of a neighbouring
-    entity or of its group surely exceeds ``threshold``: by the lower bound of
+    terms of at least ``shortest`` characters whose disclosure of an entity in
+    the same document, or of its group, surely exceeds ``threshold``: by the lower bound of
     its estimate, and with fewer than one such coincidence expected among the
-    terms near that entity. ``support`` can ask for more documents that hold
+    terms of that entity's documents. Every occurrence counts that is not inside
+    a pattern span, however far from the entity. ``support`` can ask for more documents that hold
     both. Sorted by start and without repeats. Frequencies count all documents
     and their whole texts. Copies are documents like any other. A term seen
     with an entity in a single document tells no more than any other word used
@@ -140,38 +131,35 @@ def find(docs: DataFrame, threshold: float = 0.95, support: int = 1, shortest: i
     spark = docs.sparkSession
     prepare(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    # Row numbers and mentions are written once; the texts themselves are not.
+    # Row numbers and spans are written once, with the texts that hold an entity and no others.
     seen = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), "text",
                        let(base_spans(F.col("text")), lambda s: s).alias("base"))
-    near = F.transform("base", lambda s: F.struct(_entities(s).alias("entities"), _near_terms(F.col("text"), s).alias("terms")))
-    found = write_and_reread(seen.select("doc_id", "row", "base", near.alias("near")), "mentions")
-
-    mention = (found.where(F.size("near") > 0).select("row", F.explode("near").alias("m"))
-               .select("row", F.explode("m.entities").alias("entity"), "m.terms")
-               .select("row", "entity", F.explode("terms").alias("t"))
-               .where(F.length("t.term") >= shortest)
-               .select("row", "entity", F.xxhash64("t.term").alias("term"), F.col("t.start").alias("start"),
-                       F.col("t.end").alias("end")))
-    # Terms tried per entity: those near its mentions, repeats included.
-    entities = (found.where(F.size("near") > 0).select("row", F.explode("near").alias("m"))
-                .select("row", F.explode("m.entities").alias("entity"), F.size("m.terms").alias("tried"))
-                .groupBy("row", "entity").agg(F.sum("tried").alias("tried"))
-                .groupBy("entity").agg(F.count("*").alias("n_e"), F.sum("tried").alias("tried")))
-    # Pairs of one document only are left out: they have no evidence.
-    together = (mention.select("row", "entity", "term").distinct().groupBy("entity", "term")
+    found = write_and_reread(seen.select("doc_id", "row", "base", F.when(F.size("base") > 0, F.col("text")).alias("text")),
+                             "mentions")
+    held = found.where(F.size("base") > 0)
+    holds = held.select("row", F.explode(F.array_distinct(F.flatten(F.transform("base", _entities)))).alias("entity"),
+                        F.size(_terms(F.col("text"), shortest)).alias("tried"))
+    # Terms tried per entity: those of its documents, repeats included. An entity of one document
+    # has no pair with evidence, and a pair of one document only has none either.
+    entities = (holds.groupBy("entity").agg(F.count("*").alias("n_e"), F.sum("tried").alias("tried"))
+                .where(F.col("n_e") >= max(2, support)))
+    holds = holds.select("row", "entity").join(entities.select("entity"), "entity")
+    together = (holds.join(held.select("row", _terms(F.col("text"), shortest).alias("terms")), "row")
+                .select("entity", F.explode("terms").alias("term")).groupBy("entity", "term")
                 .agg(F.count("*").alias("n_te")).where(F.col("n_te") >= max(2, support)).join(entities, "entity"))
     together = write_and_reread(together, "together")
     # Document frequency of every term of the corpus: summed per task before it is dealt out by term.
-    terms = F.array_distinct(F.transform(
-        F.filter(F.split(F.lower("text"), r"[^\p{L}\p{M}\p{N}]+"), lambda w: F.length(w) >= shortest),
-        lambda w: F.xxhash64(w)))
-    frequency = docs.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    frequency = docs.select(F.explode(_terms(F.col("text"), shortest)).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
     n_docs = F.lit(float(found.count()))
     counts = F.col("n_te"), F.greatest("n_t", "n_te"), F.col("n_e"), n_docs
     telling = together.join(frequency, "term").where(
         (_least_share(*counts) > threshold) & (_evidence(*counts) > F.log("tried"))).select("entity", "term")
-    spans = (mention.join(telling, ["entity", "term"])
-             .groupBy("row").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("added")))
+    told = holds.join(telling, "entity").select("row", "term").distinct()
+    outside = lambda m: ~F.exists("base", lambda s: (s["start"] <= m["start"]) & (m["end"] <= s["end"]))
+    places = (held.join(told.select("row").distinct(), "row", "left_semi")
+              .select("row", F.explode(F.filter(matches(F.col("text"), TERM_PATTERN), outside)).alias("m"))
+              .select("row", F.xxhash64(F.lower("m.value")).alias("term"), F.struct("m.start", "m.end").alias("place")))
+    spans = places.join(told, ["row", "term"]).groupBy("row").agg(F.sort_array(F.collect_set("place")).alias("added"))
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
     return (found.select("doc_id", "row", "base").join(spans, "row", "left")
             .select("doc_id", "base", F.coalesce("added", none).alias("added")))

@@ -110,6 +110,16 @@ def test_rare_entities(spark):
     assert not any(w for i, w in got.items() if i not in (7, 8) and not 100 <= i < 108)
 
 
+def test_whole_documents(spark):
+    """A name in the salutation, far from the address at the end, and each of its repeats."""
+    rows = [(k, prose(k, 40)) for k in range(60)]
+    for k in range(0, 60, 10):
+        rows[k] = (k, f"Dear Zebulon, {prose(k, 40)} Zebulon {prose(k, 40)} zeb@mail.example")
+    assert all(len(t) - t.index("Zebulon", 20) > 100 for i, t in rows if i % 10 == 0)
+    got = {r.doc_id: [rows[r.doc_id][1][s.start:s.end] for s in r.added] for r in pii.find(docs(spark, rows)).collect()}
+    assert all(got[i] == (["Dear", "Zebulon", "Zebulon"] if i % 10 == 0 else []) for i, _ in rows)
+
+
 def test_sanitise(spark):
     frame = docs(spark, leaking() + [(900, "call +1 555 555 0100 or 1.2.3.4"), (901, "nothing"), (902, None)], extra=False)
     found = pii.find(frame)
