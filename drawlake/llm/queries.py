@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from drawlake.llm import bpe, chat, minhash, packing, pii, quality, secrets, sharding, topk, toxicity
+from drawlake.llm import (bpe, chat, decontaminate, minhash, packing, pii, quality, resample, secrets, sharding, topk,
+                          toxicity, whiten)
 from drawlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +144,64 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size(kept).cast("long").alias("n_secrets"),
                         F.array_join(F.transform(kept, lambda s: F.concat_ws(
                             ":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias("spans"))
+
+
+#: Lower-case words of ASCII letters, digits and characters beyond ASCII.
+_PLAIN_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+
+@query("op11_decontamination", f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_PLAIN_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_PLAIN_WORDS} AS w FROM benchmark),
+p AS (SELECT DISTINCT item_id, len(x) AS n, array_to_string(x, ' ') AS words FROM
+        (SELECT item_id, unnest(CASE WHEN len(w) <= 10 THEN [w] ELSE list_transform(range(1, len(w) - 8), lambda k: w[k:k + 9]) END) AS x
+         FROM b WHERE len(w) > 0)),
+u AS (SELECT r, n, k, array_to_string(w[k:k + n - 1], ' ') AS words FROM
+        (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d CROSS JOIN (SELECT DISTINCT n FROM p) WHERE len(w) >= n)),
+m AS (SELECT r, n, k, item_id FROM u JOIN p USING (n, words)),
+h AS (SELECT r, count(DISTINCT word) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS word FROM m) GROUP BY r),
+i AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM m) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (r) LEFT JOIN i USING (r)""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", F.size("hits").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"))
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_importance_resampling", f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_PLAIN_WORDS} AS w FROM documents),
+b AS (SELECT {_PLAIN_WORDS} AS w FROM benchmark),
+f AS (SELECT r, unnest(list_concat(w, list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1]))) AS x FROM d),
+g AS (SELECT unnest(list_concat(w, list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1]))) AS x FROM b),
+bytes AS (SELECT list_transform(range(0, 256), lambda k: list_reduce(list_concat([k], [0, 0, 0, 0, 0, 0, 0, 0]),
+            lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc_of),
+x AS (SELECT x, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(0, octet_length(encode(x))),
+            lambda k: ('0x' || substr(hex(encode(x)), 2 * k + 1, 2))::BIGINT)),
+            lambda c, v: xor(c >> 8, crc_of[(xor(c, v) & 255) + 1])), 4294967295) % 10000 AS bucket
+      FROM (SELECT x FROM f UNION SELECT x FROM g), bytes),
+s AS (SELECT bucket, count(*) AS s FROM f JOIN x USING (x) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM g JOIN x USING (x) GROUP BY bucket),
+gain AS (SELECT k.bucket, floor(1000 * ln((coalesce(t, 0)::DOUBLE + 1) * ((SELECT count(*) FROM f)::DOUBLE + 10000)
+                / ((coalesce(s, 0)::DOUBLE + 1) * ((SELECT count(*) FROM g)::DOUBLE + 10000))))::BIGINT AS gain
+         FROM (SELECT DISTINCT bucket FROM x) k LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)),
+m AS (SELECT r, count(*) AS n_features, sum(gain)::BIGINT AS total FROM f JOIN x USING (x) JOIN gain USING (bucket) GROUP BY r),
+o AS (SELECT r, doc_id, len(w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features,
+             coalesce((total - (((total % n_features) + n_features) % n_features)) // n_features, 0)::BIGINT AS weight,
+             ('0x' || substr(sha256('7:' || doc_id), 1, 8))::BIGINT AS h FROM d LEFT JOIN m USING (r)),
+c AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM o),
+k AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS place FROM c WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN place <= (25 * (SELECT count(*) FROM k)) // 100 THEN place END AS rank
+FROM c LEFT JOIN k USING (r)""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
