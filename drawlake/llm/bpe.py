@@ -24,8 +24,8 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StructField, StructType
 
@@ -39,6 +39,7 @@ MEMO_WORDS = 2_000_000
 MAX_BUCKETS = 4_096
 
 _BESIDE_SPACE = re.compile(r"\s\s")
+_SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -81,43 +82,60 @@ def _split_words(words: bytes, lengths: np.ndarray) -> list[bytes]:
     return [words[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)] if ends else []
 
 
+class _Pieces(dict):
+    """Piece of text to its number in a block."""
+
+    def __init__(self, number):
+        super().__init__()
+        self.number = number
+
+    def __missing__(self, piece: str) -> int:
+        got = self[piece] = self.number(piece)
+        return got
+
+
 class _Block:
     """Pre-tokens of some documents: distinct words, and each document's words as numbers.
 
     A text is cut at its single spaces first: a space between two characters
-    that are not white space always begins a pre-token, so the pattern runs
-    once per distinct piece. A text with neighbouring white space goes through
-    the pattern whole.
+    that are not white space always begins a pre-token, and what follows a
+    piece's last character, which is no white space, never changes the
+    pre-tokens before, so the pattern runs once per distinct piece. Documents
+    keep piece numbers; these become word numbers for the whole block at once.
     """
 
     def __init__(self, find_all):
-        self.find_all, self.words, self.pieces = find_all, {}, {}
-        self.doc_ids, self.counts, self.codes, self.chars = [], [], [], 0
+        self.find_all, self.words, self.spelt = find_all, {}, []
+        self.heads, self.pieces = _Pieces(self._number), _Pieces(lambda p: self._number(" " + p))
+        self.doc_ids, self.numbers, self.chars = [], [], 0
 
-    def _numbers(self, text: str) -> list[int]:
+    def _number(self, piece: str) -> int:
         words = self.words
-        return [words.setdefault(w, len(words)) for w in self.find_all(text)]
+        self.spelt.append([words.setdefault(w, len(words)) for w in self.find_all(piece)])
+        return len(self.spelt) - 1
 
     def add(self, doc_id, text: str) -> None:
-        if _BESIDE_SPACE.search(text):
-            codes = self._numbers(text)
-        else:
-            first, *rest = text.split(" ")
-            pieces, codes = self.pieces, self._numbers(first)
-            for p in rest:
-                got = pieces.get(p)
-                if got is None:
-                    got = pieces[p] = tuple(self._numbers(" " + p))
-                codes.extend(got)
+        first, *rest = _SINGLE_SPACE.split(text) if _BESIDE_SPACE.search(text) else text.split(" ")
+        numbers = np.empty(1 + len(rest), dtype=np.int64)
+        numbers[0] = self.heads[first]
+        numbers[1:] = np.fromiter(map(self.pieces.__getitem__, rest), dtype=np.int64, count=len(rest))
         self.doc_ids.append(doc_id)
-        self.counts.append(len(codes))
-        self.codes.append(np.array(codes, dtype=np.uint32))
+        self.numbers.append(numbers)
         self.chars += len(text)
 
+    def _codes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Word numbers of all documents, one after another, and how many each has."""
+        lengths = np.fromiter(map(len, self.spelt), dtype=np.int64, count=len(self.spelt))
+        flat = np.array([w for piece in self.spelt for w in piece], dtype=np.uint32)
+        numbers = np.concatenate(self.numbers) if self.numbers else np.empty(0, np.int64)
+        total = np.concatenate([[0], np.cumsum(lengths[numbers])])
+        ends = np.cumsum([0, *map(len, self.numbers)])
+        return flat[_ragged((np.cumsum(lengths) - lengths)[numbers], lengths[numbers])], np.diff(total[ends])
+
     def finish(self, place: int, buckets: int, positions: bool) -> list[tuple]:
         """Either the row of positions or the rows of words, one per bucket."""
         import xxhash
-        codes = np.concatenate(self.codes) if self.codes else np.empty(0, np.uint32)
+        codes, counts = self._codes()
         by_rank = np.argsort(-np.bincount(codes, minlength=len(self.words)), kind="stable")
         spelled = [w.encode() for w in self.words]
         spelled = [spelled[k] for k in by_rank.tolist()]
@@ -129,7 +147,7 @@ class _Block:
             rank[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
             void = np.array([d is None for d in self.doc_ids], dtype=np.uint8)
             ids = np.array([d or 0 for d in self.doc_ids], dtype="<i8").view("<u8")
-            return [(block, -1, _pack(rank[codes], np.array(self.counts, dtype="<u4"), ids, void, lengths,
+            return [(block, -1, _pack(rank[codes], counts.astype("<u4"), ids, void, lengths,
                                       np.frombuffer(blob, np.uint8)))]
         bucket = np.array([zlib.crc32(w) % buckets for w in spelled], dtype=np.uint16)
         out = []
@@ -203,10 +221,10 @@ def encode(docs: DataFrame, vocab_path: str, pattern: str, id_col: str = "doc_id
                     counts.append(len(got))
                 yield _to_batch([(block, bucket, _pack(np.array(counts, dtype="<u4"), np.array(ids, dtype="<u4")))])
 
-    def lay_out(pdf: pd.DataFrame) -> pd.DataFrame:
-        by_bucket = dict(zip(pdf["bucket"], pdf["payload"], strict=True))
+    def lay_out(rows: pa.Table) -> pa.Table:
+        by_bucket = dict(zip(rows.column("bucket").to_pylist(), rows.column("payload").to_pylist(), strict=True))
         if -1 not in by_bucket:  # answers to a block that no longer exists
-            return pd.DataFrame({"doc_id": pd.array([], dtype="Int64"), "ids": []})
+            return pa.table({"doc_id": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int32()))})
         codes, counts, doc_ids, void, lengths, blob = _unpack(by_bucket.pop(-1))
         spelled = _split_words(blob.tobytes(), lengths)
         n_ids, found = np.zeros(len(spelled), dtype=np.int64), []
@@ -225,39 +243,89 @@ def encode(docs: DataFrame, vocab_path: str, pattern: str, id_col: str = "doc_id
         flat = np.empty(int(n_ids.sum()), dtype=np.int32)
         for own, ids in found:
             flat[_ragged(starts[own], n_ids[own])] = ids
-        ends = np.cumsum(counts.astype(np.int64))
-        out = []
-        for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
-            own = codes[a:b].astype(np.int64)
-            out.append(flat[_ragged(starts[own], n_ids[own])])
-        doc_id = pd.array(doc_ids.view("<i8"), dtype="Int64")
-        doc_id[void.astype(bool)] = pd.NA
-        return pd.DataFrame({"doc_id": doc_id, "ids": out})
+        codes = codes.astype(np.int64)
+        total = np.concatenate([[0], np.cumsum(n_ids[codes])])
+        ends = np.concatenate([[0], np.cumsum(counts.astype(np.int64))])
+        return pa.table({
+            "doc_id": pa.array(doc_ids.view("<i8"), pa.int64(), mask=void.astype(bool)),
+            "ids": pa.ListArray.from_arrays(pa.array(total[ends], pa.int32()), pa.array(flat[_ragged(starts[codes], n_ids[codes])]))})
 
     docs = id_and_text(docs, id_col, text_col)
     answers = docs.mapInArrow(cut(False), _ROWS).repartition(buckets, "bucket").mapInArrow(answer, _ROWS)
     return (docs.mapInArrow(cut(True), _ROWS).unionByName(answers)
-            .groupBy("block").applyInPandas(lay_out, "doc_id long, ids array<int>"))
-
-
-def decode(encoded: DataFrame, vocab_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
+            .groupBy("block").applyInArrow(lay_out, "doc_id long, ids array<int>"))
+
+
+class _Strings:
+    """Byte strings by number, gathered for many numbers at once."""
+
+    def __init__(self, by_id: dict[int, bytes]):
+        size = max(by_id, default=-1) + 1
+        self.lengths = np.full(size, -1, dtype=np.int64)
+        for k, v in by_id.items():
+            self.lengths[k] = len(v)
+        room = np.maximum(self.lengths, 0)
+        self.starts = np.cumsum(room) - room
+        self.blob = np.frombuffer(b"".join(by_id.get(k, b"") for k in range(size)), np.uint8)
+
+    def gather(self, ids: np.ndarray, counts: np.ndarray, cut: int = 0) -> pa.Array:
+        """One binary per row of ``counts[row]`` ids: their strings joined, less ``cut`` bytes at the end."""
+        wrong = (ids < 0) | (ids >= len(self.lengths))
+        if wrong.any() or (self.lengths[ids] < 0).any():
+            raise KeyError(int(ids[wrong | (self.lengths[np.where(wrong, 0, ids)] < 0)][0]))
+        lengths = self.lengths[ids]
+        ends = np.cumsum(counts)
+        if cut:
+            lengths = lengths.copy()
+            lengths[ends[counts > 0] - 1] -= cut
+        total = np.concatenate([[0], np.cumsum(lengths)])
+        data = self.blob[_ragged(self.starts[ids], lengths)]
+        offsets = np.concatenate([[0], total[ends]]).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+_STRINGS: dict[tuple, tuple[_Strings, _Strings]] = {}
+
+
+def _worker_strings(key: tuple, vocab) -> tuple[_Strings, _Strings]:
+    """The worker's tables of token bytes and of ids in decimal with a comma (kept from task to task)."""
+    if key not in _STRINGS:
+        ranks = read_ranks(vocab.value)
+        _STRINGS.clear()
+        _STRINGS[key] = _Strings({r: t for t, r in ranks.items()}), _Strings({r: b"%d," % r for r in ranks.values()})
+    return _STRINGS[key]
+
+
+def decode(encoded: DataFrame, vocab_path: str, ids_col: str = "ids", out_col: str = "decoded",
+           decimal_col: str | None = None) -> DataFrame:
     """Add ``out_col`` (binary): the bytes of each row's ids, by the token-byte table.
 
-    The table is one row per token of the vocabulary file, so its size is
-    known before it is sent to the tasks. An id outside the table raises. Null
-    ids: null; empty ids: empty bytes.
+    ``decimal_col`` names a further column (binary): the ids in decimal, joined
+    by commas. The table is one row per token of the vocabulary file, so its
+    size is known before it is sent to the tasks. An id outside the table
+    raises, and so does a null among the ids. Null ids: null; empty ids: empty bytes.
     """
     spark = encoded.sparkSession
     prepare(spark)
     vocab = broadcast_file(spark, vocab_path)
-    schema = StructType([*encoded.schema.fields, StructField(out_col, BinaryType())])
+    added = [out_col, *([decimal_col] if decimal_col else [])]
+    schema = StructType([*encoded.schema.fields, *(StructField(c, BinaryType()) for c in added)])
+    key = (vocab_path, zlib.crc32(vocab.value))
 
     def to_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_id = {rank: token for token, rank in read_ranks(vocab.value).items()}
+        token_bytes, decimals = _worker_strings(key, vocab)
         for batch in batches:
-            out = [b"".join(map(by_id.__getitem__, ids.values.to_pylist())) if ids.is_valid else None
-                   for ids in batch.column(ids_col)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())],
-                                             names=[*batch.schema.names, out_col])
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                lists = part.column(ids_col)
+                counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+                flat = lists.flatten()
+                if flat.null_count:
+                    raise KeyError(None)
+                ids = flat.to_numpy(zero_copy_only=False).astype(np.int64)
+                out = [token_bytes.gather(ids, counts), *([decimals.gather(ids, counts, cut=1)] if decimal_col else [])]
+                if lists.null_count:
+                    out = [pc.if_else(lists.is_valid(), o, pa.scalar(None, pa.binary())) for o in out]
+                yield pa.RecordBatch.from_arrays([*part.columns, *out], names=[*part.schema.names, *added])
 
     return encoded.mapInArrow(to_bytes, schema)

@@ -8,6 +8,7 @@ Two operators: :func:`token_pieces` turns documents into pieces of at most
 from __future__ import annotations
 
 import re
+import zlib
 from array import array
 from collections.abc import Iterator
 
@@ -24,8 +25,32 @@ MEMO_WORDS = 400_000
 
 #: Fixed value: the vocabulary's pre-token pattern, restricted to lower-case ASCII.
 _ASCII_PRE_TOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+#: Characters up to U+00FF that are neither white space nor letter, number or control.
+_MARKS = "".join(c for c in map(chr, range(256)) if c.isprintable() and not c.isalnum() and not c.isspace())
 
-_MEMOS: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {}
+
+def _byte_letters() -> dict[int, int]:
+    """Byte-level alphabet: bytes that are no visible Latin-1 character stand as the code points from 256 on."""
+    hidden = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+    return {b: 256 + k for k, b in enumerate(hidden)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
+class _Memo(dict):
+    """Remembered results of a function, started afresh beyond the bound."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key):
+        got = self.make(key)
+        if len(self) >= MEMO_WORDS:
+            self.clear()
+        self[key] = got
+        return got
 
 
 class _WordEncoder:
@@ -33,49 +58,67 @@ class _WordEncoder:
 
     The vocabulary lower-cases, drops white space and never joins ids across
     it, so a word has the same ids wherever it stands. New words are cut into
-    pre-tokens - printable ASCII by the pattern above, others by the
-    tokenizer's own normaliser and pre-tokenizer - and each new pre-token goes
-    through the tokenizer's model once.
+    pre-tokens - a run of Latin-1 letters and the marks behind it at once,
+    printable ASCII by the pattern above, others by the tokenizer's own
+    normaliser and pre-tokenizer - and each new pre-token goes through the
+    tokenizer's model once. (Latin-1 needs no normalising, and lower-cases
+    character by character.)
+
+    The tokenizer matches its added tokens, special ones too, in the raw text
+    unless ``encode_special_tokens`` is set; a text that may hold one goes
+    through the tokenizer as a whole.
     """
 
-    def __init__(self, tokenizer, memos):
+    def __init__(self, tokenizer, encode_special_tokens: bool = False):
+        tokenizer.encode_special_tokens = encode_special_tokens
+        self.whole = tokenizer.encode
         self.normalise = tokenizer.normalizer.normalize_str
         self.pre_tokens = tokenizer.pre_tokenizer.pre_tokenize_str
         self.model = tokenizer.model
-        self.words, self.pieces = memos
+        self.words, self.pieces = _Memo(self._word), _Memo(self._piece)
+        added = [t.content for t in tokenizer.get_added_tokens_decoder().values()
+                 if not (t.special and encode_special_tokens)]
+        self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE).search if added else lambda text: None
 
     def _piece(self, piece: str) -> bytes:
-        got = self.pieces.get(piece)
-        if got is None:
-            if len(self.pieces) >= MEMO_WORDS:
-                self.pieces.clear()
-            got = self.pieces[piece] = array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
-        return got
+        return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
 
     def _word(self, word: str) -> bytes:
-        if word.isascii() and word.isprintable():
-            cut = _ASCII_PRE_TOKEN.findall(word.lower())
-        else:
-            cut = [piece for piece, _ in self.pre_tokens(self.normalise(word))]
-        return b"".join(map(self._piece, cut))
+        ascii_only = word.isascii()
+        if ascii_only or max(word) < "\u0100":
+            low = word.lower()
+            core = low.rstrip(_MARKS)
+            if core.isalpha() or not core:
+                marks, own = low[len(core):], core
+                if not ascii_only:
+                    own, marks = (x.encode().decode("latin-1").translate(_BYTE_LETTERS) for x in (core, marks))
+                return (self.pieces[own] if own else b"") + (self.pieces[marks] if marks else b"")
+            if ascii_only and word.isprintable():
+                return b"".join(map(self.pieces.__getitem__, _ASCII_PRE_TOKEN.findall(low)))
+        return b"".join([self.pieces[piece] for piece, _ in self.pre_tokens(self.normalise(word))])
 
     def encode(self, text: str) -> bytes:
-        words = self.words
-        if len(words) >= MEMO_WORDS:
-            words.clear()
+        if self.added(text):
+            return array("I", self.whole(text, add_special_tokens=False).ids).tobytes()
         if text.isascii():
             text = text.lower()
-        out = []
-        for w in text.replace("\n", " ").split(" "):
-            got = words.get(w)
-            if got is None:
-                got = words[w] = self._word(w)
-            out.append(got)
-        return b"".join(out)
+        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
+
+
+_ENCODERS: dict[tuple, _WordEncoder] = {}
+
+
+def _worker_encoder(key: tuple, vocab) -> _WordEncoder:
+    """The worker's encoder of a vocabulary; it outlives a task (a module's function is not copied with one)."""
+    if key not in _ENCODERS:
+        from tokenizers import Tokenizer
+        _ENCODERS.clear()
+        _ENCODERS[key] = _WordEncoder(Tokenizer.from_str(vocab.value.decode()), key[-1])
+    return _ENCODERS[key]
 
 
 def token_pieces(docs: DataFrame, vocab_path: str, max_tokens: int = 4096, end_id: int = 1,
-                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                 id_col: str = "doc_id", text_col: str = "text", encode_special_tokens: bool = False) -> DataFrame:
     """Token ids of every whole document, cut into pieces of at most ``max_tokens``.
 
     Returns ``doc_id, piece, start, length, ids`` (``ids``: binary of
@@ -84,6 +127,10 @@ def token_pieces(docs: DataFrame, vocab_path: str, max_tokens: int = 4096, end_i
     Every distinct word is encoded once per worker, up to the memos' bound
     (see :class:`_WordEncoder`).
 
+    The ids are the library's: the strings of the vocabulary's added tokens in
+    a text become their ids, unless ``encode_special_tokens`` (as the library
+    calls it) makes ordinary text of special ones.
+
     Null or empty text: one piece holding only ``end_id``. Null or repeated
     ``doc_id``: each row is a document of its own. Extra columns are ignored.
     """
@@ -93,9 +140,10 @@ def token_pieces(docs: DataFrame, vocab_path: str, max_tokens: int = 4096, end_i
     step = 4 * max_tokens
     end = int(end_id).to_bytes(4, "little")
 
+    key = (vocab_path, zlib.crc32(vocab.value), encode_special_tokens)
+
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-        encoder = _WordEncoder(Tokenizer.from_str(vocab.value.decode()), _MEMOS.setdefault(vocab_path, ({}, {})))
+        encoder = _worker_encoder(key, vocab)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)

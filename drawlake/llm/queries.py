@@ -49,9 +49,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     vocab = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ids = bpe.encode(table(spark, sf_dir, "documents"), vocab, public_tokenizers.PATTERN)
-    return bpe.decode(ids, vocab).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+    return bpe.decode(ids, vocab, decimal_col="ids_text").select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2("ids_text", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

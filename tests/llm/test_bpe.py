@@ -28,7 +28,7 @@ def check(spark, library, rows):
 
 def test_equals_the_library(spark, library):
     odd = [" a", "a ", "  a  b ", "a\n b", "a \nb", "\n\n", "\t x", "don't I'LL 'tis ''s", "a b  c\x1c d\x85e",
-           "a  b a b", " ", "", "12.50€ <|endoftext|>", "x" * 3000]
+           "a  b a b", "one\n\ntwo  three \n four five\tsix", " ", "", "12.50€ <|endoftext|>", "x" * 3000]
     check(spark, library, EDGE_ROWS + [(100 + k, t) for k, t in enumerate(odd)])
 
 
@@ -53,6 +53,12 @@ def test_blocks_without_answers_are_encoded_in_place(library):
     assert bpe._unpack(positions)[1].tolist() == [3]
 
 
+def test_decimal_ids(spark):
+    frame = spark.createDataFrame([(1, None), (2, []), (3, [7]), (4, [50, 0, 1234])], "doc_id long, ids array<int>")
+    got = bpe.decode(frame, VOCAB, decimal_col="d").orderBy("doc_id").collect()
+    assert [r.d for r in got] == [None, b"", b"7", b"50,0,1234"]
+
+
 def test_empty_and_bad_ids(spark):
     assert bpe.decode(bpe.encode(docs(spark, []), VOCAB, public.PATTERN), VOCAB).count() == 0
     frame = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")

@@ -14,16 +14,13 @@ public = pytest.importorskip("public_tokenizers")
 VOCAB = public.path("word_bpe_49k.json")
 
 
-@pytest.fixture(scope="module")
-def tokenizer():
-    t = tokenizers.Tokenizer.from_file(VOCAB)
-    t.encode_special_tokens = True
-    return t
-
-
-def test_pieces_equal_the_library(spark, tokenizer):
-    rows = EDGE_ROWS + [(10, "I'll say \"it's\" 12.5%... <|endoftext|> A\x1cB a b ΣΑΣ ὈΔΥΣΣΕΎΣ İ"), (11, "x" * 5000)]
-    got = token_pieces(docs(spark, rows), VOCAB, max_tokens=64).collect()
+@pytest.mark.parametrize("as_text", [False, True])
+def test_pieces_equal_the_library(spark, as_text):
+    tokenizer = tokenizers.Tokenizer.from_file(VOCAB)
+    tokenizer.encode_special_tokens = as_text
+    rows = EDGE_ROWS + [(10, "I'll say \"it's\" 12.5%... <|endoftext|> A\x1cB a b ΣΑΣ ὈΔΥΣΣΕΎΣ İ"), (11, "x" * 5000),
+                        (12, "a<|endoftext|>b"), (13, "<|startoftext|>hi <|EndOfText|> <|end"), (14, "É,é--ñ² ª «ß» na\xadme")]
+    got = token_pieces(docs(spark, rows), VOCAB, max_tokens=64, encode_special_tokens=as_text).collect()
     want = []
     for i, t in rows:
         ids = tokenizer.encode(t or "", add_special_tokens=False).ids + [1]
