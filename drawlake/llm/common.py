@@ -39,7 +39,7 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def words_of(text: Column) -> Column:
     """Array of the text's words (native)."""
-    return F.filter(F.split(text, SPACE_PATTERN), lambda w: w != "")
+    return F.array_remove(F.split(text, SPACE_PATTERN), "")
 
 
 def partitions(spark: SparkSession) -> int:
