@@ -21,7 +21,9 @@ from __future__ import annotations
 import base64
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -82,52 +84,68 @@ def _split_words(words: bytes, lengths: np.ndarray) -> list[bytes]:
     return [words[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)] if ends else []
 
 
-class _Pieces(dict):
-    """Piece of text to its number in a block."""
-
-    def __init__(self, number):
-        super().__init__()
-        self.number = number
-
-    def __missing__(self, piece: str) -> int:
-        got = self[piece] = self.number(piece)
-        return got
+def _numbers() -> defaultdict:
+    """Keys to numbers in the order of first use."""
+    return defaultdict(count().__next__)
 
 
 class _Block:
     """Pre-tokens of some documents: distinct words, and each document's words as numbers.
 
     A text is cut at its single spaces first: a space between two characters
-    that are not white space always begins a pre-token, and what follows a
-    piece's last character, which is no white space, never changes the
-    pre-tokens before, so the pattern runs once per distinct piece. Documents
-    keep piece numbers; these become word numbers for the whole block at once.
+    that are not white space always begins a pre-token, and what follows such a
+    piece never changes the pre-tokens in it. Documents keep piece numbers; the
+    distinct pieces go through the pattern at the end, most of them in one
+    text, as they can be told apart by the spaces there too.
     """
 
     def __init__(self, find_all):
-        self.find_all, self.words, self.spelt = find_all, {}, []
-        self.heads, self.pieces = _Pieces(self._number), _Pieces(lambda p: self._number(" " + p))
+        self.find_all, self.words = find_all, _numbers()
+        self.heads, self.pieces = _numbers(), _numbers()  # first pieces of texts have no space before them
         self.doc_ids, self.numbers, self.chars = [], [], 0
 
-    def _number(self, piece: str) -> int:
-        words = self.words
-        self.spelt.append([words.setdefault(w, len(words)) for w in self.find_all(piece)])
-        return len(self.spelt) - 1
-
     def add(self, doc_id, text: str) -> None:
         first, *rest = _SINGLE_SPACE.split(text) if _BESIDE_SPACE.search(text) else text.split(" ")
         numbers = np.empty(1 + len(rest), dtype=np.int64)
-        numbers[0] = self.heads[first]
+        numbers[0] = ~self.heads[first]
         numbers[1:] = np.fromiter(map(self.pieces.__getitem__, rest), dtype=np.int64, count=len(rest))
         self.doc_ids.append(doc_id)
         self.numbers.append(numbers)
         self.chars += len(text)
 
+    def _spelt(self) -> tuple[np.ndarray, np.ndarray]:
+        """Word numbers of all pieces, and then of all heads, one after another; how many each has."""
+        pieces = list(self.pieces)
+        plain, joined = np.ones(len(pieces), dtype=bool), " ".join(pieces)
+        if _BESIDE_SPACE.search(f" {joined} "):  # some piece is empty or has white space at an end, or a space inside
+            plain = np.fromiter((bool(p) and " " not in p and not p[0].isspace() and not p[-1].isspace() for p in pieces),
+                                dtype=bool, count=len(pieces))
+            joined = " ".join([p for p, ok in zip(pieces, plain.tolist(), strict=True) if ok])
+        found = self.find_all(" " + joined) if joined else []
+        begins = np.flatnonzero(np.fromiter((w[0] == " " for w in found), dtype=bool, count=len(found)))
+        lengths = np.zeros(len(pieces) + len(self.heads), dtype=np.int64)
+        if len(begins) == plain.sum():
+            lengths[:len(pieces)][plain] = np.diff(np.append(begins, len(found)))
+            others = [(k, " " + pieces[k]) for k in np.flatnonzero(~plain).tolist()]
+        else:  # a pattern that does not begin a pre-token at each of those spaces: every piece by itself
+            found, plain[:] = [], False
+            others = [(k, " " + p) for k, p in enumerate(pieces)]
+        others += [(len(pieces) + k, p) for k, p in enumerate(self.heads)]
+        more = [self.find_all(p) for _, p in others]
+        lengths[[k for k, _ in others]] = list(map(len, more))
+        flat = np.empty(int(lengths.sum()), dtype=np.uint32)
+        starts = np.cumsum(lengths) - lengths
+        for own, words in ((np.flatnonzero(plain), found), (np.array([k for k, _ in others], dtype=np.int64),
+                                                            [w for m in more for w in m])):
+            flat[_ragged(starts[own], lengths[own])] = np.fromiter(map(self.words.__getitem__, words), dtype=np.uint32,
+                                                                   count=len(words))
+        return flat, lengths
+
     def _codes(self) -> tuple[np.ndarray, np.ndarray]:
         """Word numbers of all documents, one after another, and how many each has."""
-        lengths = np.fromiter(map(len, self.spelt), dtype=np.int64, count=len(self.spelt))
-        flat = np.array([w for piece in self.spelt for w in piece], dtype=np.uint32)
+        flat, lengths = self._spelt()
         numbers = np.concatenate(self.numbers) if self.numbers else np.empty(0, np.int64)
+        numbers = np.where(numbers < 0, len(self.pieces) + ~numbers, numbers)
         total = np.concatenate([[0], np.cumsum(lengths[numbers])])
         ends = np.cumsum([0, *map(len, self.numbers)])
         return flat[_ragged((np.cumsum(lengths) - lengths)[numbers], lengths[numbers])], np.diff(total[ends])
