@@ -1,28 +1,23 @@
 """Multi-label models over sliding features.
 
-The feature table is built in Spark (``sliding_features``), turned into
-``VectorUDT`` with ``array_to_vector``, scaled with MLlib's
-``StandardScaler`` and cached once; then one MLlib classifier per label is
-fitted. Each fit is itself a distributed job; a small driver thread pool
-submits several labels at once (the pattern ``CrossValidator`` uses for
-its ``parallelism``). Only per-label constants (two class weights) and the
-final per-label probabilities, both bounded by the number of labels, are
-brought to the driver.
+The feature table is written once and read by a handful of jobs that serve all
+labels together: one aggregate for the class weights, one for the scaler, and
+the fit itself (:mod:`drawlake.operators.forest`, :mod:`drawlake.operators.logistic`).
+Only per-label constants, sums of bounded size and the row to predict reach the
+driver.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import StandardScaler
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from drawlake.operators import logistic
+from drawlake.operators.forest import forest_probabilities
 from drawlake.schemas import DEFAULT_POOLS, Pool
+from drawlake.session import write_and_reread
 
 
 def targets_long(features: DataFrame, pools: Sequence[Pool] = DEFAULT_POOLS,
@@ -71,37 +66,6 @@ def split_last(features: DataFrame, mode: str = "holdout", seq_col: str = "seq",
             features.where(F.col(seq_col) == last))
 
 
-def _scaled(train: DataFrame, predict: DataFrame, missing: float) -> tuple[DataFrame, DataFrame]:
-    filled = F.transform("features", lambda x: F.coalesce(x, F.lit(float(missing))))
-    tr = train.withColumn("_raw", array_to_vector(filled))
-    pr = predict.withColumn("_raw", array_to_vector(filled))
-    scaler = StandardScaler(inputCol="_raw", outputCol="vec", withMean=True, withStd=True).fit(tr)
-    return scaler.transform(tr), scaler.transform(pr)
-
-
-def _fit_all(spark: SparkSession, train: DataFrame, predict_rows: list, labels, make_model,
-             parallelism: int) -> DataFrame:
-    """Fit one model per label on ``train`` (distributed) and score the few predict rows.
-
-    The rows to predict are one (or a handful of) feature vectors, so they
-    are scored on the driver with ``predictProbability`` instead of building
-    a plan that carries every fitted model into the tasks.
-    """
-    def run(label):
-        pool, number, idx, w_pos, w_neg, prior = label
-        if prior in (0.0, 1.0):  # one class only: nothing to fit
-            return [(seq, pool, number, prior) for seq, _ in predict_rows]
-        y = F.col(f"y_{pool}")[idx].cast("double")
-        data = train.select("vec", y.alias("label"),
-                            F.when(y == 1.0, F.lit(w_pos)).otherwise(F.lit(w_neg)).alias("w"))
-        model = make_model().fit(data)
-        return [(seq, pool, number, float(model.predictProbability(vec)[1])) for seq, vec in predict_rows]
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        rows = [r for part in ex.map(run, labels) for r in part]
-    return spark.createDataFrame(rows, "seq long, pool string, number int, probability double")
-
-
 def _labels(train: DataFrame, pools: Sequence[Pool], weighting: str):
     w = class_weights(targets_long(train, pools)).collect()  # one row per label
     by = {(r["pool"], r["number"]): r for r in w}
@@ -118,71 +82,89 @@ def _labels(train: DataFrame, pools: Sequence[Pool], weighting: str):
     return labels
 
 
-def _fit_multilabel(features: DataFrame, pools: Sequence[Pool], mode: str, weighting: str, make_model,
-                    parallelism: int, max_rows: int | None, missing: float, rows_per_partition: int = 10_000) -> DataFrame:
-    feats = features.persist()
-    held = []
-    try:
-        train, predict = split_last(feats, mode)
-        train, predict = _scaled(train, predict, missing)
-        train = train.select("seq", "vec", *[f"y_{p.name}" for p in pools])
-        # Weights, rates and the one-class decision count every row, whatever the classifiers see.
-        labels = _labels(train, pools, weighting)
-        if max_rows is not None:
-            train = train.orderBy(F.xxhash64("seq"), "seq").limit(max_rows)
-        # Partitions by the number of rows and one row order, so that a forest's bootstrap
-        # samples repeat at every run and size of cluster.
-        train = (train.repartition(max(4, math.ceil(train.count() / rows_per_partition)), "seq")
-                      .sortWithinPartitions("seq").persist())
-        held.append(train)
-        if max_rows is not None:  # a label with one class in the sample has nothing to fit either: its rate over all rows
-            mixed = {(r[0], r[1]) for r in targets_long(train, pools).groupBy("pool", "number")
-                     .agg(F.min("present").alias("lo"), F.max("present").alias("hi")).where("lo < hi").collect()}
-            fitted = [label for label in labels if label[:2] in mixed or label[-1] in (0.0, 1.0)]
-            rates = [label for label in labels if label not in fitted]
-        else:
-            fitted, rates = labels, []
-        # One row: the highest sequence number.
-        predict_rows = [(r["seq"], r["vec"]) for r in predict.select("seq", "vec").collect()]
-        spark = features.sparkSession
-        out = _fit_all(spark, train, predict_rows, fitted, make_model, parallelism)
-        return out.union(spark.createDataFrame([(seq, pool, number, prior) for pool, number, *_, prior in rates
-                                                for seq, _ in predict_rows], out.schema)) if rates else out
-    finally:
-        for d in held:
-            d.unpersist()
-        feats.unpersist()
-
-
-def fit_multilabel_forest(features: DataFrame, pools: Sequence[Pool] = DEFAULT_POOLS,
-                          mode: str = "holdout", num_trees: int = 100, seed: int = 42,
-                          max_depth: int = 10, parallelism: int = 8, max_rows: int | None = None,
-                          missing: float = 0.0) -> DataFrame:
-    """One random forest per label with balanced class weights.
-
-    Returns ``seq, pool, number, probability`` for the predicted row. Every draw
-    trains; ``max_rows`` can bound the draws that the trees see (the first by
-    hash), while scaling, class weights and rates still count all. A null lag
-    number counts as ``missing``; a label with one class only gets its rate.
-    MLlib trees are depth-limited (30 at most) where sklearn grows them
-    fully, so probabilities are not bit-equal to a sklearn run.
-    """
-    def make():
-        return RandomForestClassifier(featuresCol="vec", labelCol="label", weightCol="w",
-                                      numTrees=num_trees, seed=seed, maxDepth=max_depth,
-                                      featureSubsetStrategy="sqrt", maxMemoryInMB=1024,
-                                      cacheNodeIds=True)
-    return _fit_multilabel(features, pools, mode, "balanced", make, parallelism, max_rows, missing)
-
-
-def fit_multilabel_logistic(features: DataFrame, pools: Sequence[Pool] = DEFAULT_POOLS,
-                            mode: str = "holdout", max_iter: int = 100, reg_param: float = 0.0,
-                            parallelism: int = 8, max_rows: int | None = None, missing: float = 0.0) -> DataFrame:
-    """One weighted logistic regression per label: positives weighted by the
-    pool's (cells - positives) / positives, a one-layer BCE-with-pos-weight model (O67).
-    ``max_rows``, ``missing`` and one-class labels as in the forest."""
-    def make():
-        return LogisticRegression(featuresCol="vec", labelCol="label", weightCol="w",
-                                  maxIter=max_iter, regParam=reg_param)
-    return _fit_multilabel(features, pools, mode, "pos_weight", make, parallelism, max_rows, missing)
+def _written(features: DataFrame, pools: Sequence[Pool], missing: float) -> DataFrame:
+    """``seq, features, y_<pool>...`` written once; a null lag counts as ``missing``."""
+    filled = F.transform("features", lambda x: F.coalesce(x.cast("double"), F.lit(float(missing))))
+    return write_and_reread(features.select(F.col("seq").cast("long").alias("seq"), filled.alias("features"),
+                                            *[f"y_{p.name}" for p in pools]), "features")
 
+
+def _targets(labels: list[tuple]):
+    """The chosen labels' 0/1 targets as one array."""
+    return F.array(*[F.col(f"y_{pool}")[idx].cast("double") for pool, _, idx, *_ in labels]).alias("y")
+
+
+def _with_rates(scores: DataFrame, asked: DataFrame, fitted: list[tuple], labels: list[tuple]) -> DataFrame:
+    """Names for the fitted labels' numbers, and the plain rate for labels with one class."""
+    spark = scores.sparkSession
+    names = spark.createDataFrame([(k, pool, n) for k, (pool, n, *_) in enumerate(fitted)], "label int, pool string, number int")
+    one_class = asked.select("seq", F.inline(F.array(*[
+        F.struct(F.lit(pool).alias("pool"), F.lit(n).alias("number"), F.lit(rate).alias("probability"))
+        for pool, n, _, _, _, rate in labels if rate in (0.0, 1.0)]))) if len(fitted) < len(labels) else None
+    out = scores.join(F.broadcast(names), "label").select("seq", "pool", "number", "probability")  # one row per label
+    return out if one_class is None else out.unionByName(one_class)
+
+
+def fit_multilabel_forest(features: DataFrame, pools: Sequence[Pool] = DEFAULT_POOLS, mode: str = "holdout",
+                          num_trees: int = 100, seed: int = 42, max_depth: int = 10, max_samples: int | None = 2_048,
+                          missing: float = 0.0, take: int | None = None, bootstrap: bool = True) -> DataFrame:
+    """A random forest per label with balanced class weights.
+
+    Returns ``seq, pool, number, probability`` for the predicted row. Every
+    draw can be drawn by every tree, and class weights and rates count all; a
+    tree draws about ``max_samples`` draws with replacement (the reference's
+    whole history has fewer), ``None`` as many as there are. A null lag number
+    counts as ``missing``; a label with one class gets its rate. Trees do not
+    change with the scale of a feature, so none is scaled. Trees end at
+    ``max_depth``, and a split must improve, so probabilities are comparable
+    with, but not bit-equal to, those of a library that grows trees fully.
+    """
+    rows = _written(features, pools, missing)
+    train, predict = split_last(rows, mode, y_col=f"y_{pools[0].name}")
+    labels = _labels(train, pools, "balanced")
+    fitted = [label for label in labels if label[-1] not in (0.0, 1.0)]
+    if not fitted:
+        return _with_rates(features.sparkSession.createDataFrame([], "seq long, label int, probability double"), predict, fitted, labels)
+    scores = forest_probabilities(train.select("seq", "features", _targets(fitted)), predict.select("seq", "features"),
+                                  [(wp, wn) for _, _, _, wp, wn, _ in fitted], num_trees, seed, max_depth, max_samples, take, bootstrap)
+    return _with_rates(scores, predict, fitted, labels)
+
+
+def logistic_model(features: DataFrame, pools: Sequence[Pool] = DEFAULT_POOLS, mode: str = "holdout", reg_param: float = 1e-4,
+                   max_scans: int = 12, missing: float = 0.0) -> tuple[logistic.MultiLogistic | None, DataFrame, DataFrame, list, list]:
+    """The fitted model, its training rows (``seq, features, y``), the row to predict, the fitted labels and all labels."""
+    rows = _written(features, pools, missing)
+    train, predict = split_last(rows, mode, y_col=f"y_{pools[0].name}")
+    labels = _labels(train, pools, "pos_weight")
+    fitted = [label for label in labels if label[-1] not in (0.0, 1.0)]
+    train = train.select("seq", "features", _targets(fitted))
+    model = logistic.fit(train, [wp for _, _, _, wp, _, _ in fitted], reg_param, max_scans) if fitted else None
+    return model, train, predict, fitted, labels
+
+
+def fit_multilabel_logistic(features: DataFrame, pools: Sequence[Pool] = DEFAULT_POOLS, mode: str = "holdout",
+                            reg_param: float = 1e-4, max_scans: int = 12, missing: float = 0.0) -> DataFrame:
+    """A weighted logistic regression per label on standardised features, all labels in one scan per Newton step:
+    positives weigh the pool's (cells - positives) / positives, a one-layer net with that cross entropy (O64, O67).
+    Every draw trains; output, ``missing`` and one-class labels as in the forest."""
+    model, _, predict, fitted, labels = logistic_model(features, pools, mode, reg_param, max_scans, missing)
+    if model is None:
+        return _with_rates(features.sparkSession.createDataFrame([], "seq long, label int, probability double"), predict, fitted, labels)
+    scores = model.probabilities(predict.select("seq", "features")).select("seq", F.posexplode("probability").alias("label", "probability"))
+    return _with_rates(scores, predict, fitted, labels)
+
+
+def logistic_balance(features: DataFrame, pools: Sequence[Pool] = DEFAULT_POOLS, mode: str = "holdout",
+                     reg_param: float = 1e-4) -> DataFrame:
+    """``pool, number, predicted_weight``: per label, the sum over the training rows of weight times probability.
+
+    The intercept is not penalised, so at the optimum this equals the weight
+    of the positives; it does so only if the fit has converged on every row.
+    """
+    model, train, _, fitted, _ = logistic_model(features, pools, mode, reg_param)
+    cell = lambda p, k: F.struct(k.alias("label"), (p * F.when(F.col("y")[k] == 1.0, weight[k]).otherwise(1.0)).alias("w"))
+    weight = F.array(*[F.lit(wp) for _, _, _, wp, _, _ in fitted])
+    sums = (model.probabilities(train).select(F.inline(F.transform("probability", cell)))
+            .groupBy("label").agg(F.sum("w").alias("predicted_weight")))
+    names = train.sparkSession.createDataFrame([(k, pool, n) for k, (pool, n, *_) in enumerate(fitted)], "label int, pool string, number int")
+    return sums.join(F.broadcast(names), "label").select("pool", "number", "predicted_weight")

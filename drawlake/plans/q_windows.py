@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from drawlake.operators.features import (
     lag_long, multi_hot_long, next_features, sliding_features, start_index, window_stats,
 )
-from drawlake.operators.ml import class_weights, fit_multilabel_forest, fit_multilabel_logistic
+from drawlake.operators.ml import class_weights, fit_multilabel_forest, fit_multilabel_logistic, logistic_balance
 from drawlake.operators.picks import backtest_window_picks, pick_top_k
 from drawlake.operators.reshape import indicator_counts
 from drawlake.operators.rolling import rolling_frequency
@@ -208,6 +208,24 @@ def logistic_shape(spark, sf_dir):
         F.countDistinct("seq").alias("draws"))
 
 
+@register("logistic_balance", with_draws("""
+SELECT pool, number, round(positives * ((sum(total_rows) OVER (PARTITION BY pool) - sum(positives) OVER (PARTITION BY pool)) * 1.0
+         / sum(positives) OVER (PARTITION BY pool)), 2) AS predicted_weight
+FROM (
+  SELECT dom.pool, dom.number, count(DISTINCT CASE WHEN lg.seq IS NOT NULL THEN sd.seq END) AS positives,
+         (SELECT count(*) - 1 FROM sd WHERE seq >= 21) AS total_rows
+  FROM sd CROSS JOIN dom
+  LEFT JOIN lg ON lg.seq = sd.seq AND lg.pool = dom.pool AND lg.number = dom.number
+  WHERE sd.seq >= 21 AND sd.seq < (SELECT max(seq) FROM sd)
+  GROUP BY dom.pool, dom.number)
+"""))
+def logistic_balance_q(spark, sf_dir):
+    """Weight that the fitted model predicts for each label over all training rows (O67): at the optimum
+    the weight of the positives, which SQL can count."""
+    return logistic_balance(sliding_features(sequenced_draws(spark, sf_dir))).withColumn(
+        "predicted_weight", F.round("predicted_weight", 2))
+
+
 @register("ml_picks")
 def ml_picks(spark, sf_dir):
     """Top 5 + 2 labels by forest probability for the next, unseen draw (O59, D3 next mode)."""

@@ -1,4 +1,4 @@
-"""Model fits on small tables: one-class labels, null lags, which row is predicted, bounded samples."""
+"""Model fits on small tables: one-class labels, null lags, which row is predicted, every draw counted."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -23,17 +23,17 @@ def test_one_class_labels_and_null_lags(spark, sequence, mode, seq):
     pools = (Pool("main", ("ball_1",), 1, 3), Pool("star", ("lucky_star_1", "lucky_star_2"), 1, 3))
     features = sliding_features(sequence, lags=2, window=4, pools=pools, mode=mode)
     got = {}
-    for r in fit_multilabel_logistic(features, pools, mode=mode, max_iter=5, parallelism=2).collect():
+    for r in fit_multilabel_logistic(features, pools, mode=mode).collect():
         assert r.seq == seq and 0 <= r.probability <= 1
         got[(r.pool, r.number)] = r.probability
     assert set(got) == {(p, n) for p in ("main", "star") for n in (1, 2, 3)}
     assert got[("main", 3)] == 0.0 and got[("star", 2)] == 1.0 and got[("star", 3)] == 0.0  # one class: its rate
 
 
-def test_forest_and_bounded_sample(spark, sequence):
+def test_forest_does_not_depend_on_partitions(spark, sequence):
     features = sliding_features(sequence, lags=2, window=4, pools=FEW)
-    small = [tuple(r) for r in fit_multilabel_forest(features, FEW, num_trees=3, max_depth=2, max_rows=12, parallelism=1).collect()]
-    again = [tuple(r) for r in fit_multilabel_forest(features, FEW, num_trees=3, max_depth=2, max_rows=12, parallelism=2).collect()]
+    small = [tuple(r) for r in fit_multilabel_forest(features, FEW, num_trees=3, max_depth=2, max_samples=12).collect()]
+    again = [tuple(r) for r in fit_multilabel_forest(features.repartition(3), FEW, num_trees=3, max_depth=2, max_samples=12).collect()]
     assert sorted(small) == sorted(again) and len(small) == 5
 
 
@@ -45,9 +45,8 @@ def test_every_draw_trains(spark):
             for k, (_, d, *_) in enumerate(random_draws(n, unique_dates=True), 1)]
     pools = (Pool("main", ("ball_1",), 1, 3),)
     features = sliding_features(global_sequence(draws_df(spark, rows), ["draw_date", "draw_number"]), lags=1, window=2, pools=pools)
-    for bound in ({}, {"max_rows": 2_000}):
-        got = {r.number: r.probability for r in fit_multilabel_logistic(features, pools, max_iter=3, parallelism=2, **bound).collect()}
-        assert set(got) == {1, 2, 3} and 0 < got[3] < 1, bound
+    got = {r.number: r.probability for r in fit_multilabel_logistic(features, pools).collect()}
+    assert set(got) == {1, 2, 3} and 0 < got[3] < 1
 
 
 def test_split(spark, sequence):
