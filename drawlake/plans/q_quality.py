@@ -10,6 +10,8 @@ from drawlake.operators.reconcile import (
 )
 from drawlake.plans.catalog import register
 from drawlake.plans.derived import table
+from drawlake.session import scratch_path
+from drawlake.sources.snapshots import create_table, merge_into, read_latest
 
 ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 COMPARE = ORDER_COLS[1:]
@@ -164,6 +166,16 @@ def upsert_orders_shuffle(spark, sf_dir):
     return upsert(orders.select(*ORDER_COLS), order_updates(orders).hint("merge"), ["o_orderkey"])
 
 
+@register("merge_order_files", _UPSERT_SQL)
+def merge_order_files(spark, sf_dir):
+    """The same merge into a table of files: only files that hold a merged key are written again."""
+    orders = table(spark, sf_dir, "orders").select(*ORDER_COLS)
+    path = scratch_path(spark, "orders")
+    create_table(path, orders, ["o_orderkey"], file_rows=5_000)
+    merge_into(path, order_updates(orders), ["o_orderkey"], file_rows=5_000)
+    return read_latest(spark, path)
+
+
 @register("upsert_lines", """
 WITH src AS (
   SELECT o_orderkey AS l_orderkey, arg_max(o_totalprice, (coalesce(ord, -1), price)) AS l_extendedprice

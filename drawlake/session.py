@@ -76,12 +76,23 @@ def write_and_reread(df, name: str = "stage"):
     :func:`drop_scratch`.
     """
     spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("error").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path under the shared checkpoint folder, deleted like those of :func:`write_and_reread`."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/drawlake-{name}-{uuid.uuid4().hex}"
     if not _SCRATCH:
         atexit.register(_drop_at_exit, spark)
     _SCRATCH.append(path)
-    df.write.mode("error").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def partitions(spark: SparkSession) -> int:
+    """The session's number of shuffle partitions."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
