@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from drawlake.operators.digest import reconcile_by_digest, summary_by_digest
 from drawlake.operators.merge import upsert
 from drawlake.operators.reconcile import (
     check_constraints, find_duplicates, gate_status, only_in, reconcile, reconcile_summary,
@@ -114,6 +115,37 @@ def reconcile_status(spark, sf_dir):
     return _recon(spark, sf_dir).select("o_orderkey", "left_rows", "right_rows", "status")
 
 
+@register("reconcile_digest", "WITH " + _RECON_SQL.strip() + """
+SELECT o_orderkey, left_rows, right_rows, status, coalesce(mismatch, false) AS mismatch,
+       CASE WHEN status <> 'duplicate' THEN o_totalprice_left END AS o_totalprice_left FROM rec
+""")
+def reconcile_digest(spark, sf_dir):
+    """Every key of the reconcile, by a tree of digests that leaves equal parts where they are."""
+    orders = table(spark, sf_dir, "orders")
+    return reconcile_by_digest(orders.select(*ORDER_COLS), second_copy(orders), ["o_orderkey"], COMPARE).select(
+        "o_orderkey", "left_rows", "right_rows", "status", "mismatch", "o_totalprice_left")
+
+
+@register("reconcile_near_copy", """
+WITH lft AS (SELECT o_orderkey, o_custkey, o_totalprice FROM orders),
+rgt AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderdate = (SELECT max(o_orderdate) FROM orders) THEN o_totalprice + 1
+               ELSE o_totalprice END AS o_totalprice FROM orders WHERE o_orderdate > (SELECT min(o_orderdate) FROM orders))
+SELECT count(*) FILTER (WHERE r.o_orderkey IS NULL) AS left_only, count(*) FILTER (WHERE l.o_orderkey IS NULL) AS right_only,
+       count(*) FILTER (WHERE l.o_orderkey IS NOT NULL AND r.o_orderkey IS NOT NULL) AS both, 0::BIGINT AS duplicate,
+       count(*) FILTER (WHERE l.o_totalprice <> r.o_totalprice) AS mismatched,
+       count(*) FILTER (WHERE l.o_totalprice = r.o_totalprice) AS matched
+FROM lft l FULL JOIN rgt r USING (o_orderkey)
+""")
+def reconcile_near_copy(spark, sf_dir):
+    """Counts of two copies that differ on the first and the last day only: equal parts are never shuffled."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    first, last = orders.agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
+    day = F.col("o_orderdate")
+    copy = orders.where(day > F.lit(first)).withColumn(
+        "o_totalprice", F.when(day == F.lit(last), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    return summary_by_digest(orders, copy, ["o_orderkey"], ["o_custkey", "o_totalprice"])
+
+
 @register("only_left", "WITH " + _SECOND_COPY_SQL.strip() + """
 SELECT * FROM lft WHERE NOT EXISTS (SELECT 1 FROM rgt WHERE rgt.o_orderkey IS NOT DISTINCT FROM lft.o_orderkey)
 """)
