@@ -11,7 +11,7 @@ is 1 when the term never occurs without the entity and 0 when both are
 independent. Small counts are discounted: n(t, e) / n(t) enters by its lower
 confidence bound, and the coincidence must be unlikely among all terms tried.
 A value seen too rarely to tell anything about is also looked at as one of its
-group (domain, network, issuer, area). Counts are of whole documents, and
+group (domain, network, issuer, area). Counts are of whole different texts, and
 every occurrence of a term above the threshold becomes a span of the kind
 ``term`` in each document that holds its entity.
 """
@@ -120,10 +120,11 @@ def find(docs: DataFrame, threshold: float = 0.95, support: int = 1, shortest: i
     its estimate, and with fewer than one such coincidence expected among the
     terms of that entity's documents. Every occurrence counts that is not inside
     a pattern span, however far from the entity. ``support`` can ask for more documents that hold
-    both. Sorted by start and without repeats. Frequencies count all documents
-    and their whole texts. Copies are documents like any other. A term seen
-    with an entity in a single document tells no more than any other word used
-    once, so a value of one document is covered by its group alone.
+    both. Sorted by start and without repeats. Frequencies count all different
+    texts, whole: copies of a text say nothing new, so they are one text, and
+    what is marked in one is marked in all. A term seen with an entity in a
+    single text tells no more than any other word used once, so a value of one
+    text is covered by its group alone.
 
     Null or empty text: no spans. Null and repeated ids stay rows of their own.
     Extra columns are ignored. Empty table: empty result.
@@ -131,38 +132,44 @@ def find(docs: DataFrame, threshold: float = 0.95, support: int = 1, shortest: i
     spark = docs.sparkSession
     prepare(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    # Row numbers and spans are written once, with the texts that hold an entity and no others.
-    seen = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), "text",
-                       let(base_spans(F.col("text")), lambda s: s).alias("base"))
-    found = write_and_reread(seen.select("doc_id", "row", "base", F.when(F.size("base") > 0, F.col("text")).alias("text")),
+    # Spans are written once, with the texts that hold an entity and no others.
+    copy = F.struct(F.xxhash64("text").alias("a"), F.xxhash64(F.lit("again"), "text").alias("b"))
+    seen = docs.select("doc_id", "text", copy.alias("copy"), let(base_spans(F.col("text")), lambda s: s).alias("base"))
+    found = write_and_reread(seen.select("doc_id", "copy", "base", F.when(F.size("base") > 0, F.col("text")).alias("text")),
                              "mentions")
-    held = found.where(F.size("base") > 0)
-    holds = held.select("row", F.explode(F.array_distinct(F.flatten(F.transform("base", _entities)))).alias("entity"),
-                        F.size(_terms(F.col("text"), shortest)).alias("tried"))
-    # Terms tried per entity: those of its documents, repeats included. An entity of one document
-    # has no pair with evidence, and a pair of one document only has none either.
+    # Copies of a text are one text, here and in all counts.
+    held = write_and_reread(found.where(F.size("base") > 0).select("copy", "base", "text").dropDuplicates(["copy"])
+                            .withColumn("terms", _terms(F.col("text"), shortest)), "held")
+    holds = held.select("copy", F.explode(F.array_distinct(F.flatten(F.transform("base", _entities)))).alias("entity"),
+                        F.size("terms").alias("tried"))
+    # Terms tried per entity: those of its texts, repeats included. An entity of one text
+    # has no pair with evidence, and a pair of one text only has none either.
     entities = (holds.groupBy("entity").agg(F.count("*").alias("n_e"), F.sum("tried").alias("tried"))
                 .where(F.col("n_e") >= max(2, support)))
-    holds = holds.select("row", "entity").join(entities.select("entity"), "entity")
-    together = (holds.join(held.select("row", _terms(F.col("text"), shortest).alias("terms")), "row")
-                .select("entity", F.explode("terms").alias("term")).groupBy("entity", "term")
+    holds = write_and_reread(holds.select("copy", "entity").join(entities.select("entity"), "entity"), "holds")
+    occurring = held.select("copy", F.explode("terms").alias("term"))
+    together = (holds.join(occurring, "copy").groupBy("entity", "term")
                 .agg(F.count("*").alias("n_te")).where(F.col("n_te") >= max(2, support)).join(entities, "entity"))
     together = write_and_reread(together, "together")
-    # Document frequency of every term of the corpus: summed per task before it is dealt out by term.
-    frequency = docs.select(F.explode(_terms(F.col("text"), shortest)).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
-    n_docs = F.lit(float(found.count()))
+    # Number of texts of every term of the corpus: summed per task before it is dealt out by term.
+    frequency = (docs.select(copy.alias("copy"), "text").dropDuplicates(["copy"]).select(F.explode(_terms(F.col("text"), shortest)).alias("term"))
+                 .groupBy("term").agg(F.count("*").alias("n_t")))
+    n_docs = F.lit(float(found.select("copy").distinct().count()))
     counts = F.col("n_te"), F.greatest("n_t", "n_te"), F.col("n_e"), n_docs
-    telling = together.join(frequency, "term").where(
-        (_least_share(*counts) > threshold) & (_evidence(*counts) > F.log("tried"))).select("entity", "term")
-    told = holds.join(telling, "entity").select("row", "term").distinct()
+    telling = write_and_reread(together.join(frequency, "term").where(
+        (_least_share(*counts) > threshold) & (_evidence(*counts) > F.log("tried"))).select("entity", "term"), "telling")
+    # From the terms of a text to those that tell one of its own entities: never more rows than terms times entities of a text.
+    told = (occurring.join(telling.select("term").distinct(), "term", "left_semi").join(holds, "copy")
+            .join(telling, ["entity", "term"], "left_semi").select("copy", "term").distinct())
     outside = lambda m: ~F.exists("base", lambda s: (s["start"] <= m["start"]) & (m["end"] <= s["end"]))
-    places = (held.join(told.select("row").distinct(), "row", "left_semi")
-              .select("row", F.explode(F.filter(matches(F.col("text"), TERM_PATTERN), outside)).alias("m"))
-              .select("row", F.xxhash64(F.lower("m.value")).alias("term"), F.struct("m.start", "m.end").alias("place")))
-    spans = places.join(told, ["row", "term"]).groupBy("row").agg(F.sort_array(F.collect_set("place")).alias("added"))
+    places = (held.join(told.select("copy").distinct(), "copy", "left_semi")
+              .select("copy", F.explode(F.filter(matches(F.col("text"), TERM_PATTERN), outside)).alias("m"))
+              .select("copy", F.xxhash64(F.lower("m.value")).alias("term"), F.struct("m.start", "m.end").alias("place")))
+    spans = places.join(told, ["copy", "term"]).groupBy("copy").agg(F.sort_array(F.collect_set("place")).alias("added"))
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    return (found.select("doc_id", "row", "base").join(spans, "row", "left")
-            .select("doc_id", "base", F.coalesce("added", none).alias("added")))
+    rows = found.select("doc_id", "copy", "base")
+    return (rows.where(F.size("base") > 0).join(spans, "copy", "left").select("doc_id", "base", F.coalesce("added", none).alias("added"))
+            .unionByName(rows.where(F.size("base") == 0).select("doc_id", "base", none.alias("added"))))
 
 
 def sanitise(text: Column, base: Column, added: Column) -> Column:

@@ -120,6 +120,40 @@ def test_whole_documents(spark):
     assert all(got[i] == (["Dear", "Zebulon", "Zebulon"] if i % 10 == 0 else []) for i, _ in rows)
 
 
+def test_copies_are_no_evidence(spark):
+    """A text in many copies tells what one of it tells; a term marked in one copy is marked in all."""
+    rows = leaking()
+    once = {i: sorted(map(tuple, r)) for i, r in added(spark, rows).items()}
+    copied = rows + [(1000 + 100 * c + i, t) for c in range(3) for i, t in rows[:40]]
+    many = added(spark, copied)
+    assert {i: sorted(map(tuple, many[i])) for i, _ in rows} == once
+    assert all(many[1000 + 100 * c + i] == many[i] for c in range(3) for i in range(40))
+    alone = [(k, prose(k, 30)) for k in range(80)] + [(100 + k, "Xylomancer and a hash 9f8e7d6c write to q@rare.example") for k in range(20)]
+    assert not any(added(spark, alone).values())
+
+
+def added(spark, rows):
+    return {r.doc_id: list(r.added) for r in pii.find(docs(spark, rows)).collect()}
+
+
+def test_pairs_stay_linear_in_a_hot_domain(spark):
+    """One domain in half of the texts and a telling word in a quarter of those: spans, not texts times words."""
+    n = 2_000
+    rows = [(k, f"{prose(k, 6)} Name{k % 250}word k{k}@hot.example" if k % 2 else prose(k, 8)) for k in range(n)]
+    frame = pii.find(docs(spark, rows))
+    frame.collect()
+    words = sum(len(set(re.findall(r"\w{4,}", t.lower()))) for k, t in rows if k % 2)
+    made, todo = 0, [frame._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        todo += [node.executedPlan()] if name == "AdaptiveSparkPlan" else [node.plan()] if "QueryStage" in name else []
+        todo += [node.children().apply(k) for k in range(node.children().size())]
+        if "Join" in name:
+            made = max(made, node.metrics().apply("numOutputRows").value())
+    assert made <= 3 * words
+
+
 def test_sanitise(spark):
     frame = docs(spark, leaking() + [(900, "call +1 555 555 0100 or 1.2.3.4"), (901, "nothing"), (902, None)], extra=False)
     found = pii.find(frame)
