@@ -59,8 +59,8 @@ class CorpusStatistics:
 
 
 def statistics(docs: DataFrame) -> CorpusStatistics:
-    """Counted over every whole text of ``doc_id, text``; at most 128 x 128 pairs and
-    ``DICTIONARY_WORDS`` words (those that occur at least so often) reach the driver."""
+    """Counted over every whole text of ``doc_id, text``; at most 128 x 128 pairs and the
+    ``DICTIONARY_WORDS`` most frequent words reach the driver."""
     prepare(docs.sparkSession)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,16 +82,33 @@ def statistics(docs: DataFrame) -> CorpusStatistics:
         text.select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("word"))
         .where(F.length("word").between(SHORTEST, LONGEST)).groupBy("word").agg(F.count("*").alias("n"))
         .where("n > 1"), "words")
-    # The lowest power of two that few enough words reach, from one count per power.
-    power = F.floor(F.log2("n")).cast("int")
-    least, reached = 64, 0
-    for r in sorted(words.groupBy(power.alias("k")).agg(F.count("*").alias("n")).collect(), reverse=True):
-        reached += r["n"]
-        if reached > DICTIONARY_WORDS:
+    # The most frequent words, by powers of two of their counts; within the power that the bound falls into, the
+    # first by hash, so that the dictionary changes little when a count does. One row per power reaches the driver.
+    words = words.withColumn("power", F.floor(F.log2("n")).cast("int"))
+    sizes = sorted(((r["power"], r["n"]) for r in words.groupBy("power").agg(F.count("*").alias("n")).collect()), reverse=True)
+    room, whole, edge = DICTIONARY_WORDS, [], None
+    for k, n in sizes:
+        if n > room:
+            edge = (k, n)
             break
-        least = r["k"]
-    chosen = words.where(F.col("n") >= F.lit(2.0) ** least).select("word").collect()
-    return CorpusStatistics(np.log(count / count.sum(axis=1, keepdims=True)), frozenset(r["word"] for r in chosen))
+        whole.append(k)
+        room -= n
+    chosen = {r["word"] for r in words.where(F.col("power").isin(whole)).select("word").collect()}
+    if edge and room:
+        chosen |= {r["word"] for r in first_by_hash(words.where(F.col("power") == edge[0]).select("word"), ["word"], edge[1], room).collect()}
+    return CorpusStatistics(np.log(count / count.sum(axis=1, keepdims=True)), frozenset(chosen))
+
+
+def first_by_hash(rows: DataFrame, columns: list[str], n_rows: int, n: int) -> DataFrame:
+    """The ``n`` rows with the smallest hashes of the columns. Only rows below a hash that about ``2 n`` of the
+    ``n_rows`` rows reach take part, so that what tasks send for it does not grow with the table."""
+    h = F.xxhash64(*columns)
+    if n_rows > 4 * n:
+        reach = int(2 * n / n_rows * 2 ** 53)
+        low = rows.where(F.shiftrightunsigned(h, 11) < reach)
+        if low.count() >= n:
+            rows = low
+    return rows.orderBy(F.shiftrightunsigned(h, 11), *columns).limit(n)
 
 
 def _coverage(token: str, dictionary: frozenset[str]) -> float:
@@ -210,13 +227,12 @@ def made_up_findings(n: int = 300) -> list[tuple[str, str, str, int]]:
     return out
 
 
-def labelled_findings(docs: DataFrame, per_class: int = 5_000) -> list[tuple[str, str, str, int]]:
-    """About ``per_class`` different findings of either label in the corpus, the first by hash.
+_FINDING = "token string, before string, after string, label int"
 
-    Equal findings count once, so copies cannot crowd out others. How far by hash the
-    bound reaches is read off a histogram of 1024 hash ranges; only findings
-    below that come to the driver.
-    """
+
+def labelled_findings(docs: DataFrame, per_class: int = 5_000) -> DataFrame:
+    """``token, before, after, label``: at most ``per_class`` different findings of either label in the corpus,
+    the first by hash, of any length. Equal findings count once, so copies cannot crowd out others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -224,27 +240,17 @@ def labelled_findings(docs: DataFrame, per_class: int = 5_000) -> list[tuple[str
                 for s, e in candidates(text):
                     token, before, after = _beside(text, s, e)
                     label = rule_label(token, before, after)
-                    if label is not None and len(token) <= 256:
+                    if label is not None:
                         out.append((token, before, after, label))
             if out:
                 cols = list(zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.string()) for c in cols[:3]), pa.array(cols[3], pa.int32())],
                                                  names=["token", "before", "after", "label"])
 
-    found = write_and_reread(docs.select("text").mapInArrow(
-        run, "token string, before string, after string, label int").distinct(), "findings")
-    part = F.pmod(F.xxhash64("token", "before", "after"), F.lit(1024)).cast("int")
-    counts = {(r["label"], r["part"]): r["n"] for r in
-              found.groupBy("label", part.alias("part")).agg(F.count("*").alias("n")).collect()}
-    out = []
-    for k in (1, 0):
-        reach, n = 0, 0
-        while reach < 1024 and n < per_class:
-            n += counts.get((k, reach), 0)
-            reach += 1
-        rows = found.where((F.col("label") == k) & (part < reach)).collect()
-        out += sorted((r["token"], r["before"], r["after"], k) for r in rows)
-    return out
+    found = write_and_reread(docs.select("text").mapInArrow(run, _FINDING).distinct(), "findings")
+    counts = {r["label"]: r["n"] for r in found.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    chosen = [first_by_hash(found.where(F.col("label") == k), ["token", "before", "after"], counts.get(k, 0), per_class) for k in (1, 0)]
+    return write_and_reread(chosen[0].unionByName(chosen[1]), "sample")
 
 
 @dataclass(frozen=True)
@@ -308,9 +314,19 @@ def fit(docs: DataFrame, findings: list[tuple[str, str, str, int]] | None = None
     prepare(spark)
     docs = id_and_text(docs)
     stats = statistics(docs)
-    found = (labelled_findings(docs, per_class) if findings is None else list(findings)) + made_up_findings()
-    rows = [(float(label), describe(token, before, after, stats)) for token, before, after, label in found]
-    data = spark.createDataFrame(rows, "label double, x array<double>").select("label", array_to_vector("x").alias("features"))
+    found = labelled_findings(docs, per_class) if findings is None else spark.createDataFrame(list(findings), _FINDING)
+    found = found.unionByName(spark.createDataFrame(made_up_findings(), _FINDING))
+    sent = spark.sparkContext.broadcast(stats)
+
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = [describe(t, b, a, sent.value) for t, b, a in zip(*(batch.column(c).to_pylist() for c in ("token", "before", "after")), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("label").cast(pa.float64()), pa.array(x, pa.list_(pa.float64()))], names=["label", "x"])
+
+    described = found.mapInArrow(features, "label double, x array<double>")
+    # Of bounded size; one partition in one order, so that the forest is the same at every run.
+    data = write_and_reread(described.repartition(1).sortWithinPartitions("label", "x"), "described").select(
+        "label", array_to_vector("x").alias("features"))
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt").fit(data.coalesce(1))
     return SecretModel(stats, _trees(forest.toDebugString))
 

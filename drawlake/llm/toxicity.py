@@ -4,8 +4,10 @@ Spelling is compared by the gapped subsequence kernel: two strings are alike
 when they share short letter sequences in the same order, and every letter
 that lies between costs a factor. So ``i.d-i o t`` and an unseen ending of an
 insulting stem stay near their landmark. A linear machine on the Nyström map
-of the kernel gives every word a margin; a sentence is as toxic as its worst
-word and a document as its worst sentence.
+of the kernel gives every word a margin, and so every run of neighbouring
+pieces that together, and no fewer of them, hold all letters of a landmark
+(``st up id``); a sentence is as toxic as its worst of these and a document as
+its worst sentence.
 
 Training takes a bounded sample of labelled documents. Which sentence of a
 toxic document is the toxic one is not labelled, so the machine is trained in
@@ -33,12 +35,13 @@ from drawlake.llm.common import id_and_text, prepare
 #: Strings are compared in windows of so many characters, which overlap by half.
 WIDTH = 24
 #: Longest landmark, decay per letter of span, longest common subsequence counted.
-LANDMARK, DECAY, ORDER = 10, 0.6, 4
+LANDMARK, DECAY, ORDER = 10, 0.8, 4
 #: Marks both ends of a word, so that a stem at its beginning differs from the same letters inside.
 EDGE = "\x02"
 #: Pairs compared at a time; words remembered per worker.
 CHUNK, MEMO_WORDS = 512, 500_000
-_MEMO: dict[str, dict[str, float]] = {}
+#: Pieces that a landmark may be broken into, and letters that may stand between its own.
+MOST_PIECES, SPARE = 6, 4
 #: Cost of margin violations, summed over a class.
 COST = 50_000.0
 
@@ -46,11 +49,17 @@ _MARKS = re.compile(r"[\W_]+")
 _SENTENCE = re.compile(r"[.!?\n]+(?:\s|$)")
 
 
-def terms(text: str) -> list[str]:
-    """Lower-case words, without what is neither letter nor digit; single characters in a row are joined."""
+def pieces(text: str) -> list[str]:
+    """What stands between white space, in lower case and without what is neither letter nor digit."""
+    return [w for raw in text.lower().split() if (w := raw if raw.isalnum() else _MARKS.sub("", raw))]
+
+
+def words_of(pieces: list[str]) -> list[str]:
+    """The pieces as words: more than two single characters in a row are one word, fewer are none."""
+    if not any(len(w) == 1 for w in pieces):
+        return pieces
     out, run = [], []
-    for raw in text.lower().split():
-        w = raw if raw.isalnum() else _MARKS.sub("", raw)
+    for w in [*pieces, ""]:
         if len(w) == 1:
             run.append(w)
             continue
@@ -59,8 +68,72 @@ def terms(text: str) -> list[str]:
         run = []
         if w:
             out.append(w)
-    if len(run) > 2:
-        out.append("".join(run))
+    return out
+
+
+def terms(text: str) -> list[str]:
+    return words_of(pieces(text))
+
+
+class _PieceTable:
+    """Length and letters of every piece met so far, by number."""
+
+    def __init__(self):
+        self.number: dict[str, int] = {}
+        self.spelt: list[str] = []
+        self.length, self.mask = np.empty(0, np.int64), np.empty(0, np.uint64)
+
+    def numbers(self, pieces: list[str]) -> np.ndarray:
+        if len(self.number) > MEMO_WORDS:
+            self.__init__()
+        new = list(set(pieces).difference(self.number))
+        if new:
+            self.number.update(zip(new, range(len(self.spelt), len(self.spelt) + len(new)), strict=True))
+            self.spelt += new
+            self.length = np.append(self.length, np.fromiter(map(len, new), np.int64, len(new)))
+            own = np.zeros(len(new), dtype=np.uint64)
+            short = [k for k, w in enumerate(new) if len(w) <= LANDMARK + SPARE]  # longer ones are in no run
+            if short:
+                own[short] = _masks([new[k] for k in short])
+            self.mask = np.append(self.mask, own)
+        return np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
+
+
+def bridges(texts: list[list[str]], landmarks: list[str], table: _PieceTable) -> list[list[str]]:
+    """Per text (as pieces): the shortest runs of 2 to ``MOST_PIECES`` neighbouring pieces that hold all letters
+    of a landmark and at most ``SPARE`` characters more than it has, joined."""
+    out: list[list[str]] = [[] for _ in texts]
+    flat = [p for t in texts for p in t]
+    bare = [g.replace(EDGE, "") for g in landmarks[:64]]
+    if not flat or not bare:
+        return out
+    marks, room = _masks(bare), np.array([len(g) + SPARE for g in bare])
+    code = table.numbers(flat)
+    doc = np.repeat(np.arange(len(texts)), list(map(len, texts)))
+    total = np.concatenate([[0], np.cumsum(table.length[code])])
+
+    def covers(mask: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Bit set of the landmarks whose letters are all there, in not too long a run."""
+        bits = np.zeros(len(mask), dtype=np.uint64)
+        some = np.flatnonzero(size <= room.max())
+        mask, size, own = mask[some], size[some], np.zeros(len(some), dtype=np.uint64)
+        for k, (m, r) in enumerate(zip(marks, room.tolist(), strict=True)):
+            own |= np.where(((mask & m) == m) & (size <= r), np.uint64(1 << k), np.uint64(0))
+        bits[some] = own
+        return bits
+
+    mask = table.mask[code]
+    run, before = mask, covers(mask, table.length[code])
+    for m in range(2, MOST_PIECES + 1):
+        if len(code) < m:
+            break
+        run = run[:-1] | mask[m - 1:]
+        size = total[m:] - total[:-m]
+        size = np.where(doc[:-(m - 1)] == doc[m - 1:], size, LANDMARK + SPARE + 1)
+        now = covers(run, size)
+        for i in np.flatnonzero(now & ~(before[:-1] | before[1:])).tolist():
+            out[doc[i]].append("".join(flat[i:i + m]))
+        before = now | before[:-1] | before[1:]
     return out
 
 
@@ -160,8 +233,13 @@ class ToxicityModel:
         m = similarities([p for ps in parts for p in ps], list(self.landmarks)) @ self.weights + self.bias
         return np.maximum.reduceat(m, np.cumsum([0, *map(len, parts)])[:-1])
 
+    def text_margins(self, text: str) -> np.ndarray:
+        """Margins of a text's words and of its runs of pieces."""
+        own = pieces(text)
+        return self.margins(words_of(own) + bridges([own], list(self.landmarks), _PieceTable())[0])
+
     def probability(self, margins: np.ndarray) -> float:
-        """Of one document, from the margins of all its words."""
+        """Of one document, from the margins of all its words and runs of pieces."""
         z = float(np.dot([*_features(margins), 1.0], self.scale))
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
@@ -224,10 +302,13 @@ def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 30) -> np
 
 
 def _stretched(word: str, rng: np.random.Generator) -> list[str]:
-    """The word with a letter put into it, and with one letter twice."""
+    """The word with a letter put into it, with one letter twice, and twice with two letters put into it."""
+    def with_one(w: str) -> str:
+        cut = int(rng.integers(2, max(3, len(w) - 1)))  # inside the edges
+        return w[:cut] + "abcdefghijklmnopqrstuvwxyz"[int(rng.integers(0, 26))] + w[cut:]
+
     cut = int(rng.integers(1, max(2, len(word))))
-    other = "aeiourstnlxh"[int(rng.integers(0, 12))]
-    return [word[:cut] + other + word[cut:], word[:cut] + word[cut - 1] + word[cut:]]
+    return [with_one(word), word[:cut] + word[cut - 1] + word[cut:], with_one(with_one(word)), with_one(with_one(word))]
 
 
 def train(texts: list[str], labels: list[int], n_landmarks: int = 48, rounds: int = 6, seed: int = 7) -> ToxicityModel:
@@ -239,13 +320,20 @@ def train(texts: list[str], labels: list[int], n_landmarks: int = 48, rounds: in
         return flat
     rng = np.random.default_rng(seed)
     number: dict[str, int] = {}
-    bags = [[np.array([number.setdefault(p, len(number)) for p in ps], dtype=np.int32)
-             for s in _SENTENCE.split(t) if (ps := [p for w in terms(s) for p in windows(w)])] for t in texts]
+    numbered = lambda words: [number.setdefault(p, len(number)) for w in words for p in windows(w)]
+    said = [[ps for s in _SENTENCE.split(t) if (ps := pieces(s))] for t in texts]
+    bags = [[np.array(numbered(words_of(ps)), dtype=np.int32) for ps in ss] for ss in said]
     every = list(number)
     landmarks = _landmarks([[every[k] for k in np.unique(np.concatenate(ss)).tolist()] if ss else [] for ss in bags],
                            toxic, n_landmarks)
     if not landmarks:
         return flat
+    table = _PieceTable()
+    bags = [[own for s, runs in zip(ss, bridges(ps, landmarks, table), strict=True)
+             if len(own := np.append(s, np.array(numbered(runs), dtype=np.int32)).astype(np.int32))]
+            for ss, ps in zip(bags, said, strict=True)]
+    del said
+    every = list(number)
     gram = similarities(landmarks, landmarks).astype(float)
     gram = (gram + gram.T) / 2
     value, vector = np.linalg.eigh(gram + 1e-6 * np.eye(len(gram)))
@@ -297,15 +385,19 @@ def _logistic(features: np.ndarray, toxic: np.ndarray) -> np.ndarray:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, held_out: Column, per_class: int, max_chars: int) -> DataFrame:
-    """``doc_id, toxic, text`` of a bounded sample, the same at every run: per class the first
-    ``per_class`` ids by hash, whose texts have at most ``max_chars`` characters."""
+    """``doc_id, toxic, text`` of a bounded sample, the same at every run: per class the first ``per_class``
+    ids by hash of those whose texts have at most ``max_chars`` characters (in all rows of the id)."""
     spark = docs.sparkSession
+    short = (docs.select("doc_id", F.length("text").alias("n")).where("doc_id is not null")
+             .groupBy("doc_id").agg(F.max("n").alias("n")).where(F.col("n") <= max_chars).select("doc_id"))
     one = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
            .where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out)
-           .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+           .groupBy("doc_id").agg(F.max("toxic").alias("toxic")).join(short, "doc_id", "left_semi"))
+    one = one.persist()
     chosen = [one.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for k in (0, 1)]
     ids = spark.createDataFrame([(r[0], r[1]) for c in chosen for r in c.collect()], "doc_id long, toxic int")
-    return (docs.where(F.length("text") <= max_chars).join(F.broadcast(ids), "doc_id")
+    one.unpersist()
+    return (docs.join(F.broadcast(ids), "doc_id")
             .groupBy("doc_id", "toxic").agg(F.min("text").alias("text")))
 
 
@@ -352,14 +444,13 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", out_col
     docs = docs.drop(out_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
-        if key not in _MEMO:  # a worker keeps the memo of one model
-            _MEMO.clear()
-        memo = _MEMO.setdefault(key, {})
+        model, (memo, table) = sent.value, _worker_memo(key)
         for batch in batches:
             out: list[float] = []
             for lo in range(0, batch.num_rows, 512):
-                split = [terms(t or "") for t in batch.slice(lo, 512).column(text_col).to_pylist()]
+                split = [pieces(t or "") for t in batch.slice(lo, 512).column(text_col).to_pylist()]
+                runs = bridges(split, list(model.landmarks), table)
+                split = [words_of(ps) + rs for ps, rs in zip(split, runs, strict=True)]
                 if len(memo) > MEMO_WORDS:
                     memo.clear()
                 new = list(set().union(*split).difference(memo))
@@ -369,3 +460,14 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", out_col
                                              names=[*batch.schema.names, out_col])
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(out_col, DoubleType())]))
+
+
+_MEMO: dict[str, tuple[dict[str, float], _PieceTable]] = {}
+
+
+def _worker_memo(key: str) -> tuple[dict[str, float], _PieceTable]:
+    """The worker's margins and pieces under one model; kept from task to task (a module's function is not copied with one)."""
+    if key not in _MEMO:
+        _MEMO.clear()
+        _MEMO[key] = {}, _PieceTable()
+    return _MEMO[key]

@@ -98,3 +98,19 @@ def test_redact_and_edges(spark, model):
     assert text[1] is None and text[2] == "" and text[6] == EDGE_ROWS[7][1] and text[7] == EDGE_ROWS[8][1]
     assert secrets.scan(frame.limit(0), model).count() == 0
     assert secrets.fit(docs(spark, [])).trees
+
+
+def test_dictionary_is_filled_to_its_bound(spark, monkeypatch):
+    """The most frequent words are in whole; of the power of two that the bound cuts, as many as fit."""
+    monkeypatch.setattr(secrets, "DICTIONARY_WORDS", 12)
+    rows = [(k, " ".join([f"often{c}"[:10] for c in "abcd"] * 8 + [f"seldom{c}" for c in "abcdefghijklmnopqrst"])) for k in range(3)]
+    d = secrets.statistics(docs(spark, rows).select("doc_id", "text")).dictionary
+    assert {f"often{c}" for c in "abcd"} < d and len(d) == 12 and sum(w.startswith("seldom") for w in d) == 8
+
+
+def test_findings_are_bounded_exactly_and_of_any_length(spark):
+    rows = [(k, f'token = "{"aB3cD5eF7gH9" * 60}{k}x9"' if k % 10 == 0 else f'password = "q{k}Zr8Lm{k * 7}Wx4"') for k in range(300)]
+    found = secrets.labelled_findings(docs(spark, rows).select("doc_id", "text"), per_class=20).collect()
+    assert sum(r.label == 1 for r in found) == 20 and len({r.token for r in found}) == len(found)
+    every = secrets.labelled_findings(docs(spark, rows).select("doc_id", "text"), per_class=1000).collect()
+    assert max(len(r.token) for r in every) > 600 and sum(r.label == 1 for r in every) >= 290

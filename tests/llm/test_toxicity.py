@@ -63,10 +63,11 @@ def test_held_out_accuracy(spark, fitted):
 
 def test_odd_spellings(fitted):
     model = fitted[2]
-    score = lambda text: model.probability(model.margins(tox.terms(text)))
+    score = lambda text: model.probability(model.text_margins(text))
     plain = prose(5, 30)
     assert score(plain) < 0.5
-    for w in ("dimwit", "dim-wit", "d.i.m.w.i.t", "d i m w i t", "dimxwit", "dimmwit", "DIMWIT!!", "block*head"):
+    for w in ("dimwit", "dim-wit", "d.i.m.w.i.t", "d i m w i t", "dimxwit", "dimmwit", "DIMWIT!!", "block*head",
+              "dim wit", "di mw it", "dimw it", "d im wit", "block head", "bl oc kh ea d", "num skull", "dixmzwit", "blockqhyead"):
         assert score(f"{plain} {w} {plain}") >= 0.5, w
 
 
