@@ -20,9 +20,10 @@ from __future__ import annotations
 import pickle
 import re
 import uuid
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -49,91 +50,92 @@ _MARKS = re.compile(r"[\W_]+")
 _SENTENCE = re.compile(r"[.!?\n]+(?:\s|$)")
 
 
-def pieces(text: str) -> list[str]:
-    """What stands between white space, in lower case and without what is neither letter nor digit."""
-    return [w for raw in text.lower().split() if (w := raw if raw.isalnum() else _MARKS.sub("", raw))]
-
-
-def words_of(pieces: list[str]) -> list[str]:
-    """The pieces as words: more than two single characters in a row are one word, fewer are none."""
-    if not any(len(w) == 1 for w in pieces):
-        return pieces
-    out, run = [], []
-    for w in [*pieces, ""]:
-        if len(w) == 1:
-            run.append(w)
-            continue
-        if len(run) > 2:
-            out.append("".join(run))
-        run = []
-        if w:
-            out.append(w)
-    return out
-
+def _bare(raw: str) -> str:
+    """A token (lower case, between white space) without what is neither letter nor digit: its piece."""
+    return raw if raw.isalnum() else _MARKS.sub("", raw)
 
-def terms(text: str) -> list[str]:
-    return words_of(pieces(text))
 
+class _Table:
+    """Piece, length, letters and (with a model) margin of every token met so far, by number."""
 
-class _PieceTable:
-    """Length and letters of every piece met so far, by number."""
+    def __init__(self, model=None):
+        self.model = model
+        self.start()
 
-    def __init__(self):
-        self.number: dict[str, int] = {}
-        self.spelt: list[str] = []
-        self.length, self.mask = np.empty(0, np.int64), np.empty(0, np.uint64)
+    def start(self) -> None:
+        self.number: defaultdict = defaultdict(count().__next__)
+        self.piece: list[str] = []
+        self.length, self.mask, self.margin = np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0)
+        self.joined: dict[str, float] = {}
 
-    def numbers(self, pieces: list[str]) -> np.ndarray:
-        if len(self.number) > MEMO_WORDS:
-            self.__init__()
-        new = list(set(pieces).difference(self.number))
+    def codes(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of every token that has a piece, and its text's number, text by text."""
+        if len(self.number) + len(self.joined) > MEMO_WORDS:
+            self.start()
+        code = np.fromiter(map(self.number.__getitem__, chain.from_iterable(texts)), np.int64, sum(map(len, texts)))
+        new = [_bare(w) for w in islice(reversed(self.number), len(self.number) - len(self.piece))][::-1]
         if new:
-            self.number.update(zip(new, range(len(self.spelt), len(self.spelt) + len(new)), strict=True))
-            self.spelt += new
-            self.length = np.append(self.length, np.fromiter(map(len, new), np.int64, len(new)))
-            own = np.zeros(len(new), dtype=np.uint64)
-            short = [k for k, w in enumerate(new) if len(w) <= LANDMARK + SPARE]  # longer ones are in no run
-            if short:
-                own[short] = _masks([new[k] for k in short])
-            self.mask = np.append(self.mask, own)
-        return np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
-
-
-def bridges(texts: list[list[str]], landmarks: list[str], table: _PieceTable) -> list[list[str]]:
-    """Per text (as pieces): the shortest runs of 2 to ``MOST_PIECES`` neighbouring pieces that hold all letters
-    of a landmark and at most ``SPARE`` characters more than it has, joined."""
-    out: list[list[str]] = [[] for _ in texts]
-    flat = [p for t in texts for p in t]
+            length = np.fromiter(map(len, new), np.int64, len(new))
+            mask, margin = np.zeros(len(new), dtype=np.uint64), np.zeros(len(new))
+            short = np.flatnonzero((length > 0) & (length <= LANDMARK + SPARE))  # longer ones are in no run
+            if len(short):
+                mask[short] = _masks([new[k] for k in short.tolist()])
+            if self.model is not None:
+                words = np.flatnonzero(length > 1)
+                margin[words] = self.model.margins([new[k] for k in words.tolist()])
+            self.piece += new
+            self.length, self.mask, self.margin = (np.append(x, y) for x, y in (
+                (self.length, length), (self.mask, mask), (self.margin, margin)))
+        doc = np.repeat(np.arange(len(texts)), list(map(len, texts)))
+        some = self.length[code] > 0
+        return code[some], doc[some]
+
+    def margins_of(self, joined: list[str]) -> list[float]:
+        new = [w for w in set(joined) if w not in self.joined]
+        self.joined.update(zip(new, self.model.margins(new).tolist(), strict=True))
+        return [self.joined[w] for w in joined]
+
+
+def spelt(code: np.ndarray, doc: np.ndarray, table: _Table) -> list[tuple[int, str]]:
+    """(text, word) for more than two single characters in a row, which are one word; fewer are none."""
+    single = np.flatnonzero(table.length[code] == 1)
+    if len(single) < 3:
+        return []
+    apart = np.flatnonzero((np.diff(single) != 1) | (np.diff(doc[single]) != 0)) + 1
+    return [(int(doc[own[0]]), "".join([table.piece[k] for k in code[own].tolist()]))
+            for own in np.split(single, apart) if len(own) > 2]
+
+
+def bridges(code: np.ndarray, doc: np.ndarray, table: _Table, landmarks: tuple[str, ...]) -> list[tuple[int, str]]:
+    """(text, word) for the shortest runs of 2 to ``MOST_PIECES`` neighbouring pieces that hold all letters of one of
+    the (first 64) landmarks and at most ``SPARE`` characters more than it has."""
     bare = [g.replace(EDGE, "") for g in landmarks[:64]]
-    if not flat or not bare:
-        return out
-    marks, room = _masks(bare), np.array([len(g) + SPARE for g in bare])
-    code = table.numbers(flat)
-    doc = np.repeat(np.arange(len(texts)), list(map(len, texts)))
+    if not len(code) or not bare:
+        return []
+    marks, room = _masks(bare), [len(g) + SPARE for g in bare]
     total = np.concatenate([[0], np.cumsum(table.length[code])])
 
     def covers(mask: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Bit set of the landmarks whose letters are all there, in not too long a run."""
         bits = np.zeros(len(mask), dtype=np.uint64)
-        some = np.flatnonzero(size <= room.max())
+        some = np.flatnonzero(size <= max(room))
         mask, size, own = mask[some], size[some], np.zeros(len(some), dtype=np.uint64)
-        for k, (m, r) in enumerate(zip(marks, room.tolist(), strict=True)):
-            own |= np.where(((mask & m) == m) & (size <= r), np.uint64(1 << k), np.uint64(0))
+        for k, (m, r) in enumerate(zip(marks, room, strict=True)):
+            hit = np.flatnonzero((mask & m) == m)
+            own[hit[size[hit] <= r]] |= np.uint64(1 << k)
         bits[some] = own
         return bits
 
+    out = []
     mask = table.mask[code]
     run, before = mask, covers(mask, table.length[code])
-    for m in range(2, MOST_PIECES + 1):
-        if len(code) < m:
-            break
+    for m in range(2, min(MOST_PIECES, len(code)) + 1):
         run = run[:-1] | mask[m - 1:]
         size = total[m:] - total[:-m]
-        size = np.where(doc[:-(m - 1)] == doc[m - 1:], size, LANDMARK + SPARE + 1)
-        now = covers(run, size)
-        for i in np.flatnonzero(now & ~(before[:-1] | before[1:])).tolist():
-            out[doc[i]].append("".join(flat[i:i + m]))
-        before = now | before[:-1] | before[1:]
+        size[doc[:-(m - 1)] != doc[m - 1:]] = LANDMARK + SPARE + 1
+        now, before = covers(run, size), before[:-1] | before[1:]
+        out += [(int(doc[i]), "".join([table.piece[k] for k in code[i:i + m].tolist()])) for i in np.flatnonzero(now & ~before).tolist()]
+        before = now | before
     return out
 
 
@@ -208,12 +210,12 @@ def similarities(words: list[str], landmarks: list[str]) -> np.ndarray:
     return out
 
 
-def _features(margins: np.ndarray) -> list[float]:
-    """Of a document's word margins: the highest, how many are positive, and how dense those are."""
-    if not len(margins):
-        return [-2.0, 0.0, 0.0]
-    hits = int((margins > 0).sum())
-    return [float(np.clip(margins.max(), -2, 2)), float(np.log1p(hits)), float(np.log1p(100 * hits / len(margins)))]
+def _features(margins: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
+    """Of each document's margins (in any order): the highest, how many are positive, and how dense those are."""
+    most = np.full(n_docs, -2.0)
+    np.maximum.at(most, doc, margins)
+    hits = np.bincount(doc[margins > 0], minlength=n_docs)
+    return np.stack([np.clip(most, -2, 2), np.log1p(hits), np.log1p(100 * hits / np.maximum(np.bincount(doc, minlength=n_docs), 1))], axis=1)
 
 
 @dataclass(frozen=True)
@@ -233,15 +235,16 @@ class ToxicityModel:
         m = similarities([p for ps in parts for p in ps], list(self.landmarks)) @ self.weights + self.bias
         return np.maximum.reduceat(m, np.cumsum([0, *map(len, parts)])[:-1])
 
-    def text_margins(self, text: str) -> np.ndarray:
-        """Margins of a text's words and of its runs of pieces."""
-        own = pieces(text)
-        return self.margins(words_of(own) + bridges([own], list(self.landmarks), _PieceTable())[0])
-
-    def probability(self, margins: np.ndarray) -> float:
-        """Of one document, from the margins of all its words and runs of pieces."""
-        z = float(np.dot([*_features(margins), 1.0], self.scale))
-        return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+    def probabilities(self, texts: list[str], table: _Table | None = None) -> np.ndarray:
+        """Of each text, from the margins of all its words and runs of pieces."""
+        table = table or _Table(self)
+        code, doc = table.codes([t.lower().split() for t in texts])
+        more = spelt(code, doc, table) + bridges(code, doc, table, self.landmarks)
+        words = table.length[code] > 1
+        margins = np.concatenate([table.margin[code[words]], table.margins_of([w for _, w in more])])
+        doc = np.concatenate([doc[words], np.array([d for d, _ in more], dtype=np.int64)])
+        z = np.column_stack([_features(margins, doc, len(texts)), np.ones(len(texts))]) @ self.scale
+        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
 def _substrings(words: list[str]) -> list[str]:
@@ -321,17 +324,28 @@ def train(texts: list[str], labels: list[int], n_landmarks: int = 48, rounds: in
     rng = np.random.default_rng(seed)
     number: dict[str, int] = {}
     numbered = lambda words: [number.setdefault(p, len(number)) for w in words for p in windows(w)]
-    said = [[ps for s in _SENTENCE.split(t) if (ps := pieces(s))] for t in texts]
-    bags = [[np.array(numbered(words_of(ps)), dtype=np.int32) for ps in ss] for ss in said]
+    table = _Table()
+    said = [table.codes([ws for s in _SENTENCE.split(t) if (ws := s.lower().split())]) for t in texts]
+
+    def by_sentence(found: list[tuple[int, str]], n: int) -> list[list[str]]:
+        out: list[list[str]] = [[] for _ in range(n)]
+        for k, w in found:
+            out[k].append(w)
+        return out
+
+    bags = []
+    for code, sentence in said:
+        n = int(sentence.max()) + 1 if len(sentence) else 0
+        words = by_sentence([(k, table.piece[c]) for k, c in zip(sentence.tolist(), code.tolist(), strict=True) if table.length[c] > 1], n)
+        bags.append([np.array(numbered(ws + own), dtype=np.int32) for ws, own in zip(words, by_sentence(spelt(code, sentence, table), n), strict=True)])
     every = list(number)
     landmarks = _landmarks([[every[k] for k in np.unique(np.concatenate(ss)).tolist()] if ss else [] for ss in bags],
                            toxic, n_landmarks)
     if not landmarks:
         return flat
-    table = _PieceTable()
-    bags = [[own for s, runs in zip(ss, bridges(ps, landmarks, table), strict=True)
+    bags = [[own for s, runs in zip(ss, by_sentence(bridges(*at, table, tuple(landmarks)), len(ss)), strict=True)
              if len(own := np.append(s, np.array(numbered(runs), dtype=np.int32)).astype(np.int32))]
-            for ss, ps in zip(bags, said, strict=True)]
+            for ss, at in zip(bags, said, strict=True)]
     del said
     every = list(number)
     gram = similarities(landmarks, landmarks).astype(float)
@@ -366,7 +380,8 @@ def train(texts: list[str], labels: list[int], n_landmarks: int = 48, rounds: in
         w = _svm(np.column_stack([x, np.ones(len(x))]), y, cost)
         weights, bias = root @ w[:-1], float(w[-1])
         score, bar = sim @ weights + bias, 0.0
-    seen = np.array([_features(score[np.concatenate(ss)] if ss else np.empty(0)) for ss in bags])
+    whole = [score[np.concatenate(ss)] if ss else np.empty(0) for ss in bags]
+    seen = _features(np.concatenate(whole), np.repeat(np.arange(len(bags)), list(map(len, whole))), len(bags))
     return ToxicityModel(tuple(landmarks), weights, bias, _logistic(seen, toxic))
 
 
@@ -444,30 +459,24 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", out_col
     docs = docs.drop(out_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, (memo, table) = sent.value, _worker_memo(key)
+        table = _worker_table(key, sent)
         for batch in batches:
             out: list[float] = []
             for lo in range(0, batch.num_rows, 512):
-                split = [pieces(t or "") for t in batch.slice(lo, 512).column(text_col).to_pylist()]
-                runs = bridges(split, list(model.landmarks), table)
-                split = [words_of(ps) + rs for ps, rs in zip(split, runs, strict=True)]
-                if len(memo) > MEMO_WORDS:
-                    memo.clear()
-                new = list(set().union(*split).difference(memo))
-                memo.update(zip(new, model.margins(new).tolist(), strict=True))
-                out.extend(model.probability(np.fromiter(map(memo.__getitem__, ws), float, len(ws))) for ws in split)
+                texts = [t or "" for t in batch.slice(lo, 512).column(text_col).to_pylist()]
+                out.extend(table.model.probabilities(texts, table).tolist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())],
                                              names=[*batch.schema.names, out_col])
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(out_col, DoubleType())]))
 
 
-_MEMO: dict[str, tuple[dict[str, float], _PieceTable]] = {}
+_TABLES: dict[str, _Table] = {}
 
 
-def _worker_memo(key: str) -> tuple[dict[str, float], _PieceTable]:
-    """The worker's margins and pieces under one model; kept from task to task (a module's function is not copied with one)."""
-    if key not in _MEMO:
-        _MEMO.clear()
-        _MEMO[key] = {}, _PieceTable()
-    return _MEMO[key]
+def _worker_table(key: str, sent) -> _Table:
+    """The worker's tokens under one model; kept from task to task (a module's function is not copied with one)."""
+    if key not in _TABLES:
+        _TABLES.clear()
+        _TABLES[key] = _Table(sent.value)
+    return _TABLES[key]

@@ -44,7 +44,7 @@ def test_quality_stage(spark, stages):
 
 def test_toxicity_stage(spark, stages):
     model = toxicity.fit(stages[1], spark.read.parquet(f"{SF}/labels.parquet"))
-    want = {i for i, r in rows(stages[1]).items() if model.probability(model.text_margins(r.text or "")) < 0.5}
+    want = {i for i, r in rows(stages[1]).items() if model.probabilities([r.text or ""])[0] < 0.5}
     assert set(rows(stages[2])) == want
 
 

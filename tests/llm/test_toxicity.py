@@ -63,7 +63,7 @@ def test_held_out_accuracy(spark, fitted):
 
 def test_odd_spellings(fitted):
     model = fitted[2]
-    score = lambda text: model.probability(model.text_margins(text))
+    score = lambda text: model.probabilities([text])[0]
     plain = prose(5, 30)
     assert score(plain) < 0.5
     for w in ("dimwit", "dim-wit", "d.i.m.w.i.t", "d i m w i t", "dimxwit", "dimmwit", "DIMWIT!!", "block*head",
@@ -85,7 +85,7 @@ def test_score_reads_the_whole_text_and_nothing_else(spark, fitted):
 def test_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     model = tox.fit(docs(spark, EDGE_ROWS), none)
-    assert {r.score for r in tox.score(docs(spark, EDGE_ROWS), model).collect()} == {model.probability(np.empty(0))}
+    assert {r.score for r in tox.score(docs(spark, EDGE_ROWS), model).collect()} == {model.probabilities([""])[0]}
     assert tox.score(docs(spark, []), model).count() == 0
     one_class = spark.createDataFrame([(4, 1), (6, 1), (None, 0), (5, None)], "doc_id long, toxic int")
     assert tox.score(docs(spark, EDGE_ROWS), tox.fit(docs(spark, EDGE_ROWS), one_class)).count() == len(EDGE_ROWS)
