@@ -49,15 +49,15 @@ def densify(stats: DataFrame, pools: Sequence[Pool] = DEFAULT_POOLS,
     return out
 
 
-def indicator_counts(df: DataFrame, key: str, pool: Pool) -> DataFrame:
+def indicator_counts(df: DataFrame, key: str, pool: Pool, unique_key: bool = False) -> DataFrame:
     """Per draw key, how often each number of ``pool`` occurs (O43), dense over the domain.
 
-    Output ``key, number, cnt`` including zero rows. Hits (1) and a zero grid
-    (one generated row per key and domain number) go through one aggregation,
-    so the dense result costs a single partially-aggregated shuffle and no join.
+    Output ``key, number, cnt`` including zero rows. With ``unique_key`` every
+    draw is counted by itself in a projection, without a shuffle; otherwise
+    the counts of draws with one key are added up.
     """
-    hits = to_long(df, [pool], keep=[key]).select(key, "number", F.lit(1).alias("_c"))
-    zeros = df.select(key, F.explode(F.sequence(F.lit(pool.lo), F.lit(pool.hi))).alias("number"),
-                      F.lit(0).alias("_c"))
-    return (hits.unionByName(zeros).groupBy(key, "number")
-                .agg(F.sum("_c").cast("long").alias("cnt")))
+    numbers = F.array(*[F.col(c).cast("int") for c in pool.columns])
+    cells = F.transform(F.sequence(F.lit(pool.lo), F.lit(pool.hi)), lambda n: F.struct(
+        n.alias("number"), F.size(F.filter(numbers, lambda x: F.coalesce(x == n, F.lit(False)))).cast("long").alias("cnt")))
+    counted = df.select(key, F.inline(cells))
+    return counted if unique_key else counted.groupBy(key, "number").agg(F.sum("cnt").alias("cnt"))

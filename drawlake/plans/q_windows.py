@@ -12,8 +12,10 @@ from drawlake.operators.picks import backtest_window_picks, pick_top_k
 from drawlake.operators.reshape import indicator_counts
 from drawlake.operators.rolling import rolling_frequency
 from drawlake.plans.catalog import register
-from drawlake.plans.derived import sequenced_draws, with_draws
+from drawlake.plans.derived import DERIVED_ORDER, load_draws, sequenced_draws, with_draws
 from drawlake.schemas import STAR
+from drawlake.session import scratch_path, write_and_reread
+from drawlake.streaming.history import append_draws, read_history, stored_window_stats
 
 _STAR_GRID = """
 sgrid AS (
@@ -52,7 +54,7 @@ def rolling_star_frequency_chunked(spark, sf_dir):
 @register("star_indicator_counts", with_draws("SELECT seq, number, c AS cnt FROM sgrid", _STAR_GRID))
 def star_indicator_counts(spark, sf_dir):
     """How often each star stands in each draw, zeros included."""
-    return indicator_counts(sequenced_draws(spark, sf_dir), "seq", STAR)
+    return indicator_counts(sequenced_draws(spark, sf_dir), "seq", STAR, unique_key=True)
 
 
 @register("lag_features", with_draws("""
@@ -93,6 +95,31 @@ def window_recency(spark, sf_dir):
     return window_stats(sequenced_draws(spark, sf_dir)).select("seq", "pool", "number", "recency")
 
 
+def _batched_history(spark, sf_dir):
+    """All derived draws, added in three batches that each bring draws of every year."""
+    draws = write_and_reread(load_draws(spark, sf_dir), "derived")
+    path = scratch_path(spark, "history")
+    batch = F.pmod(F.xxhash64("draw_number"), F.lit(100))
+    for part in (batch < 60, batch.between(60, 97), batch > 97):
+        append_draws(path, draws.where(part), DERIVED_ORDER)
+    return path
+
+
+@register("batched_sequence", with_draws("SELECT seq, draw_number, draw_date, part, ball_1, lucky_star_1 FROM sd"))
+def batched_sequence(spark, sf_dir):
+    """Numbers of draws that arrive in batches, late ones among them."""
+    return read_history(spark, _batched_history(spark, sf_dir)).select(
+        "seq", "draw_number", "draw_date", "part", "ball_1", "lucky_star_1")
+
+
+@register("batched_windows", with_draws("""
+SELECT seq, pool, number, frequency, recency FROM wstat WHERE seq >= 21
+""", _WIN_GRID))
+def batched_windows(spark, sf_dir):
+    """Window frequency and recency, kept up to date while draws arrive in batches."""
+    return stored_window_stats(spark, _batched_history(spark, sf_dir))
+
+
 @register("multi_hot", with_draws("""
 SELECT sd.seq, dom.pool, dom.number,
        CASE WHEN EXISTS (SELECT 1 FROM lg WHERE lg.seq = sd.seq AND lg.pool = dom.pool

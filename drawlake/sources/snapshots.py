@@ -51,6 +51,7 @@ class Snapshot:
     writers: dict[str, list[int]] = field(default_factory=dict)  # name -> [last batch, its snapshot]
     rewritten: int = 0
     files: int = 0
+    settings: dict = field(default_factory=dict)  # fixed choices of a table that keeps more than rows
 
 
 def _join(*parts: str) -> str:
@@ -251,6 +252,13 @@ def merge_into(table_path: str, source: DataFrame, keys: Sequence[str], update_c
     raise CommitConflict(f"{table_path}: other writers committed first {attempts} times")
 
 
+def _named(spark: SparkSession, manifests: list[str]) -> DataFrame:
+    """Paths that manifests name: data files, and what a table keeps beside each."""
+    rows = spark.read.parquet(*manifests)
+    paths = [c for c in ("file", "features", "prints") if c in rows.columns]
+    return rows.select(F.explode(F.array_compact(F.array(*paths))).alias("file"))
+
+
 def expire_snapshots(spark: SparkSession, table_path: str, keep: int = 2) -> int:
     """Forget all but the newest ``keep`` snapshots and delete the files that only the others name; returns how many.
 
@@ -264,8 +272,8 @@ def expire_snapshots(spark: SparkSession, table_path: str, keep: int = 2) -> int
         return 0
     entries = [_entry(spark, table_path, n) for n in old]
     live_manifests = [_join(table_path, "manifests", _entry(spark, table_path, n).manifest) for n in live]
-    gone = (spark.read.parquet(*[_join(table_path, "manifests", e.manifest) for e in entries]).select("file").distinct()
-            .join(spark.read.parquet(*live_manifests).select("file"), "file", "left_anti"))
+    gone = (_named(spark, [_join(table_path, "manifests", e.manifest) for e in entries]).distinct()
+            .join(_named(spark, live_manifests), "file", "left_anti"))
     files = [r[0] for r in gone.collect()]
     for path in [*[_join(_LOG, f"{n:020d}.json") for n in old], *files, *[_join("manifests", e.manifest) for e in entries]]:
         fs, p = _fs(spark, _join(table_path, path))
