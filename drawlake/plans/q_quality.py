@@ -13,6 +13,7 @@ from drawlake.plans.catalog import register
 from drawlake.plans.derived import table
 from drawlake.session import scratch_path
 from drawlake.sources.snapshots import create_table, merge_into, read_latest
+from drawlake.sources.unique_keys import append_unique, repeated_keys, unique_report
 
 ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 COMPARE = ORDER_COLS[1:]
@@ -289,3 +290,30 @@ ORDER BY l_orderkey DESC, l_linenumber DESC LIMIT 2000
 def latest_duplicate_keys(spark, sf_dir):
     """The investigation report: newest 2000 duplicated keys (top-k is the feature)."""
     return find_duplicates(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], limit=2000)
+
+
+def _lines_in_batches(spark, sf_dir):
+    """All line items, added in three batches by ship date, with their key and its uniqueness kept."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+    path = scratch_path(spark, "lines")
+    year = F.year("l_shipdate")
+    for part in (year < 1995, year.between(1995, 1996), (year > 1996) | year.isNull()):
+        append_unique(path, lines.where(part), ["l_orderkey", "l_linenumber"])
+    return path
+
+
+@register("kept_unique_report", """
+SELECT 'lineitem' AS table_name, 'unique' AS rule, 'l_orderkey,l_linenumber' AS columns, count(*) AS violations FROM
+  (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1)
+""")
+def kept_unique_report(spark, sf_dir):
+    """Key violations of a table that grew in batches, from the record kept beside it."""
+    return unique_report(spark, _lines_in_batches(spark, sf_dir), "lineitem")
+
+
+@register("kept_duplicate_keys", """
+SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1
+""")
+def kept_duplicate_keys(spark, sf_dir):
+    """The repeated keys of the same table, without reading it."""
+    return repeated_keys(spark, _lines_in_batches(spark, sf_dir))
