@@ -52,6 +52,35 @@ def top_n_with_others(counts: DataFrame, n: int, by: Sequence[str] = (),
     return labelled.groupBy(*grp, label_col).agg(F.sum(count_col).alias(count_col))
 
 
+def top_values(counts: DataFrame, value_col: str, n: int, by: Sequence[str] = (), count_col: str = "frequency",
+               label_col: str = "label", others: str = "Others") -> DataFrame:
+    """The ``n`` largest counts per group, the rest as one ``others`` row, and every row's share (O39, O56), for a
+    domain of any size.
+
+    ``counts`` has one row per group and value. Each task keeps the ``n``
+    largest of each group before anything is shuffled (a rank that is filtered
+    by a limit), and group totals come from an aggregate, so no task sees a
+    group whole. Ties break on the smaller value; a null value is labelled
+    null and ranks as the least value. ``is_other`` tells the rest from a
+    value of that name. Output ``by..., label, is_other, count_col, share_pct``.
+    """
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.col(count_col).desc(), F.col(value_col)))
+    top = (counts.withColumn("_rank", rank).where(F.col("_rank") <= n)
+                 .select(*by, F.col(value_col).cast("string").alias(label_col), F.lit(0).alias("_whole"), F.col(count_col).alias("_n")))
+    whole = counts.groupBy(*by).agg(F.sum(count_col).alias("_n")).select(
+        *by, F.lit(None).cast("string").alias(label_col), F.lit(1).alias("_whole"), "_n").where(F.col("_n").isNotNull())
+    # At most n + 1 rows a group come together here.
+    cell = F.struct("_whole", label_col, "_n")
+    grouped = top.unionByName(whole).groupBy(*by).agg(
+        F.max(F.when(F.col("_whole") == 1, F.col("_n"))).alias("_total"), F.collect_list(cell).alias("_cells"))
+    kept = F.filter("_cells", lambda c: c["_whole"] == 0)
+    rest = F.col("_total") - F.aggregate(kept, F.lit(0).cast("long"), lambda a, c: a + c["_n"])
+    shown = F.transform(kept, lambda c: F.struct(c[label_col].alias(label_col), F.lit(False).alias("is_other"), c["_n"].alias(count_col)))
+    other = F.when(rest > 0, F.array(F.struct(F.lit(others).alias(label_col), F.lit(True).alias("is_other"), rest.alias(count_col))))
+    return (grouped.select(*by, "_total", F.inline(F.concat(shown, F.coalesce(other, F.slice(shown, 1, 0)))))
+                   .withColumn("share_pct", F.col(count_col) * F.lit(100.0) / F.col("_total")).drop("_total"))
+
+
 def frequency_matrix(long_df: DataFrame, pool: Pool, row_col: str | Column,
                      row_name: str = "year", prefix: str = "n_") -> DataFrame:
     """Row key x number count matrix over the full domain, zero filled.

@@ -63,6 +63,31 @@ def random_tickets(tickets: DataFrame, pools: Sequence[Pool] = DEFAULT_POOLS,
     return out
 
 
+def sample_numbers(rows: DataFrame, id_col: str, lo: int, hi: int, k: int, seed: int = 42, out_col: str = "numbers") -> DataFrame:
+    """k different numbers of ``lo..hi`` for every row, ascending, each set equally likely.
+
+    Floyd's selection: step i draws from the first ``n - k + i`` numbers, and a
+    number that is taken already stands for the newest one. So a row costs k
+    steps, whatever the size of the domain, and nothing but the k numbers is
+    built. The draw of step i is the first 60 bits of the md5 of
+    ``seed:id:i``, so that it does not depend on partitioning, retries or the
+    engine. A null id draws as the text ``null``; k above the domain raises.
+    """
+    n = hi - lo + 1
+    if not 0 <= k <= n:
+        raise ValueError(f"cannot draw {k} of {n} different numbers")
+
+    def step(taken: Column, i: Column) -> Column:
+        text = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), i.cast("string"))
+        newest = F.lit(n - k) + i
+        drawn = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long") % newest + 1
+        return F.concat(taken, F.array(F.when(F.array_contains(taken, drawn), newest).otherwise(drawn)))
+
+    chosen = F.aggregate(F.sequence(F.lit(1).cast("long"), F.lit(k).cast("long")) if k else F.array().cast("array<long>"),
+                         F.array().cast("array<long>"), step)
+    return rows.withColumn(out_col, F.array_sort(F.transform(chosen, lambda x: x + (lo - 1))))
+
+
 def score_picks(picks: DataFrame, draws: DataFrame, key: str,
                 pools: Sequence[Pool] = DEFAULT_POOLS) -> DataFrame:
     """Matches per pool between a pick and the actual draw sharing ``key``.

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from drawlake.operators.frequency import (
-    frequency, frequency_matrix, frequency_share, recency, top_n_with_others,
+    frequency, frequency_matrix, frequency_share, recency, top_n_with_others, top_values,
 )
-from drawlake.operators.picks import pick_top_k
+from drawlake.operators.picks import pick_top_k, sample_numbers
 from drawlake.operators.reshape import densify, to_long
 from drawlake.plans.catalog import register
-from drawlake.plans.derived import DERIVED_ORDER, load_draws, sequenced_draws, with_draws
+from drawlake.plans.derived import DERIVED_ORDER, load_draws, sequenced_draws, table, with_draws
 from drawlake.schemas import MAIN, STAR
 
 
@@ -67,6 +67,36 @@ def overall_top15_with_others(spark, sf_dir):
     return top_n_with_others(frequency(to_long(load_draws(spark, sf_dir))), 15)
 
 
+@register("parts_by_flag_share", """
+WITH c AS (SELECT l_returnflag, l_partkey, count(*) AS n FROM lineitem GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY n DESC, l_partkey) AS rk,
+             sum(n) OVER (PARTITION BY l_returnflag) AS total FROM c)
+SELECT l_returnflag, CASE WHEN rk <= 25 THEN CAST(l_partkey AS VARCHAR) ELSE 'Others' END AS label, rk > 25 AS is_other,
+       CAST(sum(n) AS BIGINT) AS frequency, sum(n) * 100.0 / any_value(total) AS share_pct
+FROM r GROUP BY 1, 2, 3
+""")
+def parts_by_flag_share(spark, sf_dir):
+    """Per return flag the 25 parts with most lines, all others together, with shares (O39, O56 over an open domain)."""
+    counts = table(spark, sf_dir, "lineitem").groupBy("l_returnflag", "l_partkey").agg(F.count(F.lit(1)).alias("frequency"))
+    return top_values(counts, "l_partkey", 25, by=["l_returnflag"])
+
+
+@register("order_samples", """
+WITH d AS (SELECT o_orderkey, i, ('0x' || substr(md5('42:' || o_orderkey || ':' || i), 1, 15))::BIGINT AS h
+           FROM orders, range(1, 5) t(i)),
+p AS (SELECT o_orderkey, max(h % 999997 + 1) FILTER (WHERE i = 1) AS a1, max(h % 999998 + 1) FILTER (WHERE i = 2) AS a2,
+             max(h % 999999 + 1) FILTER (WHERE i = 3) AS a3, max(h % 1000000 + 1) FILTER (WHERE i = 4) AS a4 FROM d GROUP BY 1),
+q AS (SELECT *, CASE WHEN a2 = a1 THEN 999998 ELSE a2 END AS b2 FROM p),
+s AS (SELECT *, CASE WHEN a3 IN (a1, b2) THEN 999999 ELSE a3 END AS b3 FROM q),
+t AS (SELECT *, CASE WHEN a4 IN (a1, b2, b3) THEN 1000000 ELSE a4 END AS b4 FROM s)
+SELECT o_orderkey, CAST(pos AS INTEGER) AS pos, list_sort([a1, b2, b3, b4])[pos + 1] AS number FROM t, range(0, 4) x(pos)
+""")
+def order_samples(spark, sf_dir):
+    """Four different numbers of a million for every order, in four steps each."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    return sample_numbers(orders, "o_orderkey", 1, 1_000_000, 4).select("o_orderkey", F.posexplode("numbers").alias("pos", "number"))
+
+
 def _matrix_sql(pool: str, hi: int) -> str:
     cols = ",\n  ".join(f"count(*) FILTER (WHERE number = {n}) AS n_{n}" for n in range(1, hi + 1))
     return with_draws(f"""
