@@ -1,14 +1,15 @@
 """The draw-history job: ingest, merge, validate, gate, publish, analyse, pick, export.
 
-One parameterised function composes the stages as DataFrames; the only
-hand-offs through storage are the inputs, the merged table and the results.
-The sequenced draw table is built once and shared by every order-dependent
-stage. Nothing is published before the gate has passed.
+One parameterised function composes the stages as DataFrames. Each stage is
+written once, in the folder of its run beside the output folder, and a rerun with the same inputs and
+parameters skips what has ended. The sequenced draw table is built once and
+shared by every order-dependent stage. One commit at the end publishes all
+outputs; nothing is published before the gate has passed.
 """
 
 from __future__ import annotations
 
-import os
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,8 +28,8 @@ from drawlake.operators.reshape import to_long
 from drawlake.operators.rolling import rolling_frequency
 from drawlake.operators.sequence import global_sequence
 from drawlake.operators.standardize import drop_null_rows, lower_case_columns, standardize
+from drawlake.plans.stages import Run
 from drawlake.schemas import CORE_COLUMNS, DEFAULT_POOLS, MAIN, NUMBER_COLUMNS, STAR
-from drawlake.session import write_and_reread
 from drawlake.sources.sinks import export_table
 
 STRATEGIES = ("most_frequent", "least_frequent", "most_overdue", "random", "forest", "logistic")
@@ -82,70 +83,71 @@ def numbered(draws: DataFrame) -> DataFrame:
     return global_sequence(draws, order, "draw_number").select("draw_number", *draws.columns)
 
 
-def run_draw_job(spark: SparkSession, cfg: JobConfig) -> dict:
-    """Run every stage; write each result as parquet under ``cfg.output_dir``.
+def _merged(cfg: JobConfig) -> DataFrame:
+    """Merge (O13): updates win on the draw date; columns that they lack keep their values."""
+    if cfg.target is None or cfg.updates is None:
+        return load_draws(cfg.target if cfg.target is not None else cfg.updates)
+    target, updates = load_draws(cfg.target), load_draws(cfg.updates)
+    for c in updates.columns:
+        if c not in target.columns:
+            target = target.withColumn(c, F.lit(None).cast(updates.schema[c].dataType))
+    return upsert(target, updates, [DRAW_KEY])
 
-    Returns the reconcile summary, the gate verdict and the output paths. A
-    failed gate raises before anything is written there.
+
+def _picks(spark: SparkSession, cfg: JobConfig, sd: DataFrame, counts: DataFrame, overdue: DataFrame) -> DataFrame:
+    """The strategy's picks."""
+    if cfg.strategy in ("most_frequent", "least_frequent"):
+        return pick_top_k(counts, "frequency", largest=cfg.strategy == "most_frequent")
+    if cfg.strategy == "most_overdue":
+        return pick_top_k(overdue, "draws_since", largest=True)
+    if cfg.strategy == "random":
+        return random_tickets(spark.range(1).withColumnRenamed("id", "ticket_id"), seed=cfg.seed)
+    history_guard(sd, mode="next")
+    features = sliding_features(sd).unionByName(next_features(sd))
+    scores = (fit_multilabel_forest(features, mode="next", seed=cfg.seed) if cfg.strategy == "forest"
+              else fit_multilabel_logistic(features, mode="next"))
+    return pick_top_k(scores, "probability")
+
+
+def run_draw_job(spark: SparkSession, cfg: JobConfig, after_stage: Callable[[str], None] | None = None) -> dict:
+    """Run every stage of the job and publish the outputs by one commit.
+
+    Returns the reconcile summary, the gate verdict, the output paths and the
+    stages that an earlier run with the same inputs and parameters had ended
+    (:mod:`drawlake.plans.stages`). A failed gate, or any other failure, leaves
+    what was published before. ``after_stage`` is called as each stage ends.
     """
     cfg.validate()
-    out: dict = {"outputs": {}}
-
-    def save(name: str, df: DataFrame) -> None:
-        path = os.path.join(cfg.output_dir, name)
-        df.write.mode("overwrite").parquet(path)
-        out["outputs"][name] = path
-
-    # Merge (O13): updates win on the draw date; columns that they lack keep their values.
-    if cfg.target is not None and cfg.updates is not None:
-        target, updates = load_draws(cfg.target), load_draws(cfg.updates)
-        for c in updates.columns:
-            if c not in target.columns:
-                target = target.withColumn(c, F.lit(None).cast(updates.schema[c].dataType))
-        merged = upsert(target, updates, [DRAW_KEY])
-    else:
-        merged = load_draws(cfg.target if cfg.target is not None else cfg.updates)
-    merged = numbered(write_and_reread(merged, "merged"))
+    run = Run(spark, cfg.output_dir, {"target": cfg.target, "updates": cfg.updates, "reference": cfg.reference_copy},
+              {k: getattr(cfg, k) for k in ("strategy", "weekday", "gate_limits", "top_n", "rolling_window", "seed", "export_format")},
+              after_stage)
+    out: dict = {}
+    raw = run.table("merged", lambda: _merged(cfg), output=False)
+    merged = run.table("draw_history", lambda: numbered(raw))
 
     # Validate + gate.
     if cfg.reference_copy is not None:
-        rec = reconcile(merged, load_draws(cfg.reference_copy), [DRAW_KEY], list(NUMBER_COLUMNS))
-        summary = reconcile_summary(rec)
-        out["summary"] = summary.first().asDict()
-        out["gate"] = quality_gate(summary, cfg.gate_limits)
-    save("draw_history", merged)
-    merged = spark.read.parquet(out["outputs"]["draw_history"])
+        def compare(_: str) -> dict:
+            rec = reconcile(merged, load_draws(cfg.reference_copy), [DRAW_KEY], list(NUMBER_COLUMNS))
+            return reconcile_summary(rec).first().asDict()
+
+        out["summary"] = run.stage("summary", compare)
+        out["gate"] = quality_gate(spark.createDataFrame([out["summary"]]), cfg.gate_limits)
     if cfg.export_format:
-        path = os.path.join(cfg.output_dir, f"export_{cfg.export_format}")
-        if export_table(merged, path, cfg.export_format):
-            out["outputs"]["export"] = path
+        if run.stage("export", lambda path: {"wrote": export_table(merged, path, cfg.export_format)})["wrote"]:
+            run.outputs["export"] = run._path("export")
 
     # Analyse (O38-O47, O51, O56) on the weekday-filtered history.
     draws = merged.select(*CORE_COLUMNS).where(is_weekday(DRAW_KEY, cfg.weekday))
-    sd = global_sequence(draws, ["draw_number"])
+    sd = run.table("sequence", lambda: global_sequence(draws, ["draw_number"]), output=False)
     long_df = to_long(sd, DEFAULT_POOLS, keep=["seq", DRAW_KEY])
-    counts = frequency(long_df)
-    save("frequency", frequency_share(counts))
+    counts = run.table("frequency", lambda: frequency_share(frequency(long_df)))
     yearly = frequency(long_df.withColumn("year", F.year(DRAW_KEY)), by=["year"])
-    save("top_with_others", top_n_with_others(yearly.where(F.col("pool") == MAIN.name), cfg.top_n, by=["year"]))
-    save("yearly_matrix_main", frequency_matrix(long_df, MAIN, F.year(DRAW_KEY)))
-    save("yearly_matrix_star", frequency_matrix(long_df, STAR, F.year(DRAW_KEY)))
-    save("rolling_star_frequency", rolling_frequency(sd, STAR, cfg.rolling_window))
-    rec_df = recency(sd)
-    save("recency", rec_df)
-
-    # Pick (O57-O60, O65).
-    if cfg.strategy in ("most_frequent", "least_frequent"):
-        picks = pick_top_k(counts, "frequency", largest=cfg.strategy == "most_frequent")
-    elif cfg.strategy == "most_overdue":
-        picks = pick_top_k(rec_df, "draws_since", largest=True)
-    elif cfg.strategy == "random":
-        picks = random_tickets(spark.range(1).withColumnRenamed("id", "ticket_id"), seed=cfg.seed)
-    else:
-        history_guard(sd, mode="next")
-        features = sliding_features(sd).unionByName(next_features(sd))
-        scores = (fit_multilabel_forest(features, mode="next", seed=cfg.seed) if cfg.strategy == "forest"
-                  else fit_multilabel_logistic(features, mode="next"))
-        picks = pick_top_k(scores, "probability")
-    save("picks", picks)
-    return out
+    run.table("top_with_others", lambda: top_n_with_others(yearly.where(F.col("pool") == MAIN.name), cfg.top_n, by=["year"]))
+    run.table("yearly_matrix_main", lambda: frequency_matrix(long_df, MAIN, F.year(DRAW_KEY)))
+    run.table("yearly_matrix_star", lambda: frequency_matrix(long_df, STAR, F.year(DRAW_KEY)))
+    run.table("rolling_star_frequency", lambda: rolling_frequency(sd, STAR, cfg.rolling_window))
+    overdue = run.table("recency", lambda: recency(sd))
+    run.table("picks", lambda: _picks(spark, cfg, sd, counts, overdue))
+    run.publish()
+    return {**out, "outputs": run.outputs, "skipped": run.done}
