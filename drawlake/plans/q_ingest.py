@@ -14,7 +14,7 @@ from drawlake.functions.dates import D_MON_Y, DMY_ABBR, ISO_DATE, day_name, is_w
 from drawlake.functions.text import (
     blank_to_null, clean_text, last_position, money_to_decimal, sigmoid, split_codes,
 )
-from drawlake.operators.connector import mask_columns, sparse_nonnull, with_sensitivity, with_xml, xml_values
+from drawlake.operators.connector import mask_columns, mask_derived, sparse_nonnull, with_sensitivity, with_xml, xml_values
 from drawlake.operators.merge import delete_keys
 from drawlake.operators.picks import random_tickets, score_picks
 from drawlake.operators.standardize import (
@@ -318,6 +318,25 @@ def masked_customer(spark, sf_dir):
     return mask_columns(c)
 
 
+_MASK_SQL = "regexp_replace(regexp_replace(regexp_replace({}, '[A-Z]', 'X', 'g'), '[a-z]', 'x', 'g'), '[0-9]', 'n', 'g')"
+
+
+@register("masked_descendants", f"""
+SELECT n_name, c_mktsegment, count(*) AS customers, {_MASK_SQL.format("max(c_name)")} AS last_name,
+       {_MASK_SQL.format("max(n_name || ' / ' || c_name)")} AS place, CAST(NULL AS INTEGER) AS longest,
+       max(length(c_mktsegment)) AS segment_length
+FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name, c_mktsegment
+""")
+def masked_descendants(spark, sf_dir):
+    """Renamed, joined, concatenated and aggregated columns: those that descend from a labelled one are masked (V7)."""
+    c = with_sensitivity(table(spark, sf_dir, "customer"), {"c_name": {"label": "Confidential", "information_type": "Name"}})
+    c = c.withColumnRenamed("c_name", "who").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    c = c.withColumn("at", F.concat_ws(" / ", "n_name", "who")).withColumn("size", F.length("who"))
+    return mask_derived(c.groupBy("n_name", "c_mktsegment").agg(
+        F.count(F.lit(1)).alias("customers"), F.max("who").alias("last_name"), F.max("at").alias("place"),
+        F.max("size").alias("longest"), F.max(F.length("c_mktsegment")).alias("segment_length")))
+
+
 @register("xml_roundtrip", "SELECT c_custkey, c_name, c_mktsegment FROM customer")
 def xml_roundtrip(spark, sf_dir):
     """Columns written to an XML column, and read back from it by XPath (V5)."""
