@@ -36,4 +36,4 @@ def all_oracles() -> dict[str, str]:
 
 def _load() -> None:
     # Importing the modules runs their @register decorators.
-    from drawlake.plans import q_analysis, q_ingest, q_quality, q_windows  # noqa: F401
+    from drawlake.plans import q_analysis, q_ingest, q_quality, q_tables, q_windows  # noqa: F401

@@ -55,12 +55,12 @@ SOURCE1_V1_SCHEMA = T.StructType(
     + [T.StructField(f"Ball {i}", T.IntegerType()) for i in range(1, 6)]
     + [T.StructField(f"Lucky Star {i}", T.IntegerType()) for i in range(1, 3)]
     + [T.StructField("UK Millionaire Maker", T.StringType()),
-       T.StructField("DrawNumber", T.IntegerType())]
+       T.StructField("DrawNumber", T.LongType())]
 )
 SOURCE1_V2_SCHEMA = T.StructType(
     SOURCE1_V1_SCHEMA.fields[:9]
     + [T.StructField("European Millionaire Maker", T.StringType()),
-       T.StructField("DrawNumber", T.IntegerType())]
+       T.StructField("DrawNumber", T.LongType())]
 )
 SOURCE1_RENAMES = {
     "DrawDate": "draw_date", "Ball 1": "ball_1", "Ball 2": "ball_2", "Ball 3": "ball_3",

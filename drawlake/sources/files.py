@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from drawlake.functions.dates import DMY_ABBR, ISO_DATE, parse_date
-from drawlake.operators.standardize import align_columns, lower_case_columns, union_aligned
+from drawlake.operators.standardize import align_columns, lower_case_columns
 from drawlake.schemas import (
     EXPORT_JSON_SCHEMA, SCRAPED_COLUMNS, SOURCE1_RENAMES, SOURCE1_V1_SCHEMA, SOURCE1_V2_SCHEMA,
     SOURCE2_RENAMES, SOURCE2_SCHEMA,
@@ -23,11 +23,12 @@ from drawlake.schemas import (
 def read_csv_table(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None,
                    sep: str = ",", header: bool = True, all_strings: bool = False,
                    null_value: str = "", mode: str = "PERMISSIVE",
-                   columns: Sequence[str] | None = None) -> DataFrame:
+                   columns: Sequence[str] | None = None, corrupt_col: str | None = None) -> DataFrame:
     """CSV with header; quoted cells may hold separators (multi-code cells) (O1-O3).
 
     ``all_strings`` reads every column as text (``columns`` names them when no
-    schema is given); empty cells become null.
+    schema is given); empty cells become null. ``corrupt_col`` holds the raw
+    text of lines that have more or fewer cells than the schema, else null.
     """
     if schema is None and all_strings:
         if columns is None:
@@ -36,6 +37,12 @@ def read_csv_table(spark: SparkSession, path: str | Sequence[str], schema: T.Str
     r = (spark.read.option("header", header).option("sep", sep).option("quote", '"')
                    .option("escape", '"').option("multiLine", False)
                    .option("nullValue", null_value).option("mode", mode))
+    if corrupt_col:
+        if schema is None:
+            raise ValueError("corrupt_col needs a schema or the column names")
+        schema = T.StructType(list(schema.fields) + [T.StructField(corrupt_col, T.StringType())])
+        # cells are counted only where the parser splits whole lines
+        r = r.option("columnNameOfCorruptRecord", corrupt_col).option("columnPruning", False)
     if schema is not None:
         r = r.schema(schema)
     return r.csv(path if isinstance(path, str) else list(path))
@@ -57,29 +64,21 @@ def read_json_table(spark: SparkSession, path: str | Sequence[str], schema: T.St
     return lower_case_columns(df) if lower else df
 
 
-def csv_header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
-    """Column names from the first line of a CSV file (reads one line)."""
-    first = spark.read.text(path).first()
-    if first is None:
-        return []
-    return [h.strip().strip('"') for h in first[0].split(sep)]
-
-
-def read_source1(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Source-1 draw history files in either layout, aligned and unioned.
+def read_source1(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Source-1 draw history files of both layouts in one scan.
 
-    Each file's header picks its declared schema (10 or 11 columns); columns
-    are renamed to the warehouse names, the extra columns are dropped, files
-    are unioned by name and ``dd-MMM-yyyy`` dates are parsed.
+    All files (or folders) are read with the names of the wider layout. A line
+    that ends one cell early is of the narrower one, so its cells are named by
+    that; no header is looked at, however many files there are. Columns are
+    renamed to the warehouse names, the extra column is dropped, and
+    ``dd-MMM-yyyy`` dates are parsed; a cell that is no number becomes null.
     """
-    frames = []
-    for p in paths:
-        names = csv_header(spark, p)
-        schema = SOURCE1_V2_SCHEMA if "European Millionaire Maker" in names else SOURCE1_V1_SCHEMA
-        df = read_csv_table(spark, p, schema)
-        frames.append(align_columns(df, SOURCE1_RENAMES,
-                                    drop=["European Millionaire Maker"]))
-    out = union_aligned(frames)
+    narrow, wide = SOURCE1_V1_SCHEMA.fields, SOURCE1_V2_SCHEMA.names
+    lines = read_csv_table(spark, paths, all_strings=True, columns=wide, corrupt_col="_line")
+    early = F.col("_line").isNotNull() & F.col(wide[-1]).isNull()
+    cells = [F.when(early, F.col(at)).otherwise(F.col(f.name)).try_cast(f.dataType).alias(f.name)
+             for f, at in zip(narrow, wide)]
+    out = align_columns(lines.select(*cells), SOURCE1_RENAMES)
     return out.withColumn("draw_date", parse_date("draw_date", DMY_ABBR))
 
 

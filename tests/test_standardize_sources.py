@@ -8,7 +8,7 @@ from drawlake.operators.standardize import (
     align_columns, lower_case_columns, require_columns, split_valid, standardize, tolerant_int,
     union_aligned,
 )
-from drawlake.sources.files import read_export_json, read_scraped, read_source1, read_source2
+from drawlake.sources.files import read_csv_table, read_export_json, read_scraped, read_source1, read_source2
 from drawlake.sources.jdbc import jdbc_url, read_jdbc_table, write_jdbc_table
 from drawlake.sources.sinks import export_table
 
@@ -51,6 +51,31 @@ def test_source1_two_layouts(spark, tmp_path):
     assert codes == 1
 
 
+def test_source1_reads_all_files_in_one_scan(spark, tmp_path):
+    for i in range(6):
+        _write(tmp_path, f"f{i}.csv", (SRC1_V1 if i % 2 else SRC1_V2).replace("90", f"9{i}"))
+    df = read_source1(spark, str(tmp_path))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("csv") == 1 and "Union" not in plan
+    assert sorted(r.draw_number for r in df.collect()) == sorted(
+        9000 + 100 * i + n for i in range(6) for n in ((1, 2) if i % 2 else (13, 14)))
+    # pruned to one column, and past the ends of both layouts
+    assert df.select("draw_number").where("draw_number is null").count() == 0
+    odd = SRC1_V2 + '04-Apr-2031,1,x,3,4,5,,2,"",,\n01-Apr-2031,1,2\n\n'
+    rows = {str(r.draw_date): r for r in read_source1(spark, [_write(tmp_path, "odd.csv", odd)]).collect()}
+    assert rows["2031-04-04"].ball_2 is None and rows["2031-04-04"].lucky_star_1 is None and rows["2031-04-04"].draw_number is None
+    assert rows["2031-04-01"].ball_2 == 2 and rows["2031-04-01"].ball_3 is None and len(rows) == 4
+    assert read_source1(spark, [_write(tmp_path, "none.csv", SRC1_V1.splitlines()[0] + "\n")]).count() == 0
+
+
+def test_csv_export_doubles_quotes_and_parts_by_any_sign(spark, tmp_path):
+    rows = [(1, 'a "b"; c'), (2, None), (3, "x,y"), (4, "back\\slash")]
+    for sep in (",", ";"):
+        out = str(tmp_path / f"out{ord(sep)}")
+        export_table(spark.createDataFrame(rows, "k int, s string"), out, sep=sep)
+        assert sorted(map(tuple, read_csv_table(spark, out, schema="k int, s string", sep=sep).collect())) == rows
+
+
 def test_source2_and_scraped(spark, tmp_path):
     df = read_source2(spark, _write(tmp_path, "s2.csv", SRC2))
     r = df.orderBy("draw_date").first()
