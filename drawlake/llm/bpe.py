@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from drawlake.llm.common import broadcast_file, id_and_text, partitions, prepare
+from drawlake.llm.common import broadcast_file, id_and_text, kept_by_worker, partitions, prepare
 
 #: A block ends after so many characters or documents.
 BLOCK_CHARS, BLOCK_DOCS = 5_000_000, 4_096
@@ -302,16 +302,13 @@ class _Strings:
         return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
-_STRINGS: dict[tuple, tuple[_Strings, _Strings]] = {}
-
-
 def _worker_strings(key: tuple, vocab) -> tuple[_Strings, _Strings]:
-    """The worker's tables of token bytes and of ids in decimal with a comma (kept from task to task)."""
-    if key not in _STRINGS:
+    """The worker's tables of token bytes and of ids in decimal with a comma, kept from task to task."""
+    def make() -> tuple[_Strings, _Strings]:
         ranks = read_ranks(vocab.value)
-        _STRINGS.clear()
-        _STRINGS[key] = _Strings({r: t for t, r in ranks.items()}), _Strings({r: b"%d," % r for r in ranks.values()})
-    return _STRINGS[key]
+        return _Strings({r: t for t, r in ranks.items()}), _Strings({r: b"%d," % r for r in ranks.values()})
+
+    return kept_by_worker(("token strings", *key), make)
 
 
 def decode(encoded: DataFrame, vocab_path: str, ids_col: str = "ids", out_col: str = "decoded",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable, Hashable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 SPACE_PATTERN = r"[\x20\x09-\x0D]+"
 
 __all__ = ["WORD_PATTERN", "SPACE_PATTERN", "broadcast_file", "id_and_text", "words_of",
-           "partitions", "table", "prepare", "write_and_reread"]
+           "partitions", "table", "prepare", "kept_by_worker", "forget_kept", "write_and_reread"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,3 +53,24 @@ def broadcast_file(spark: SparkSession, path: str, max_bytes: int = 64 << 20):
         raise ValueError(f"{path} is larger than the {max_bytes} bytes allowed for a broadcast vocabulary")
     with open(path, "rb") as f:
         return spark.sparkContext.broadcast(f.read())
+
+
+_KEPT: dict[Hashable, object] = {}
+
+
+def kept_by_worker(key: Hashable, make: Callable[[], object]) -> object:
+    """``make()``, which a Python worker keeps from task to task until another key is asked for.
+
+    All operators share this one place, so a worker that serves one after
+    another holds the largest of their tables and not the sum of them. (A
+    module's function is not copied with a task, so the place outlives it.)
+    """
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def forget_kept() -> None:
+    """Free what an earlier operator's tasks left in this worker."""
+    _KEPT.clear()

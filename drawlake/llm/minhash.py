@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from drawlake.llm.common import id_and_text, prepare, write_and_reread
+from drawlake.llm.common import forget_kept, id_and_text, prepare, write_and_reread
 
 #: 40 bands of 5 minima: a pair at similarity 0.8 shares no band with probability (1 - 0.8^5)^40 = 1.2e-7.
 BANDS, ROWS = 40, 5
@@ -92,6 +92,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
     without words; ``row_hash`` identifies the text itself.
     """
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         import xxhash
         a, b = _universal(BANDS * ROWS)
         memo: dict[bytes, int] = {}
@@ -148,6 +149,7 @@ def _least_agreement(percent: int) -> int:
 def _class_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     """``node, shingles``: the full sets of the given classes, from the text of one member each."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         import xxhash
         memo: dict[bytes, int] = {}
         for batch in batches:
@@ -323,6 +325,7 @@ def _cross_pairs(rows: DataFrame, classes: DataFrame, samples: DataFrame, least:
     met = blocks.join(ahead, ["bucket", "block"]).select("band", "own", "other")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         for batch in batches:
             for k in range(batch.num_rows):
                 sides = [_Block(batch.column(side)[k].values) for side in ("own", "other")]

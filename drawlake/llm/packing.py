@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from drawlake.llm.common import broadcast_file, id_and_text, prepare, write_and_reread
+from drawlake.llm.common import broadcast_file, id_and_text, kept_by_worker, prepare, write_and_reread
 
 #: Bound of each of a worker's two memos: of words between spaces and of pre-tokens.
 MEMO_WORDS = 400_000
@@ -105,16 +105,13 @@ class _WordEncoder:
         return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
 
-_ENCODERS: dict[tuple, _WordEncoder] = {}
-
-
 def _worker_encoder(key: tuple, vocab) -> _WordEncoder:
-    """The worker's encoder of a vocabulary; it outlives a task (a module's function is not copied with one)."""
-    if key not in _ENCODERS:
+    """The worker's encoder of a vocabulary, kept from task to task."""
+    def make() -> _WordEncoder:
         from tokenizers import Tokenizer
-        _ENCODERS.clear()
-        _ENCODERS[key] = _WordEncoder(Tokenizer.from_str(vocab.value.decode()), key[-1])
-    return _ENCODERS[key]
+        return _WordEncoder(Tokenizer.from_str(vocab.value.decode()), key[-1])
+
+    return kept_by_worker(("words", *key), make)
 
 
 def token_pieces(docs: DataFrame, vocab_path: str, max_tokens: int = 4096, end_id: int = 1,

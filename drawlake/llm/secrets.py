@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from drawlake.llm.common import id_and_text, prepare, write_and_reread
+from drawlake.llm.common import forget_kept, id_and_text, prepare, write_and_reread
 
 #: What a candidate is, and words that speak for or against a secret beside it.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/=_-]{16,}")
@@ -64,6 +64,7 @@ def statistics(docs: DataFrame) -> CorpusStatistics:
     prepare(docs.sparkSession)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         count = np.zeros(128 * 128, dtype=np.int64)
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
@@ -234,6 +235,7 @@ def labelled_findings(docs: DataFrame, per_class: int = 5_000) -> DataFrame:
     """``token, before, after, label``: at most ``per_class`` different findings of either label in the corpus,
     the first by hash, of any length. Equal findings count once, so copies cannot crowd out others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         for batch in batches:
             out = []
             for text in batch.column("text").to_pylist():
@@ -319,6 +321,7 @@ def fit(docs: DataFrame, findings: list[tuple[str, str, str, int]] | None = None
     sent = spark.sparkContext.broadcast(stats)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         for batch in batches:
             x = [describe(t, b, a, sent.value) for t, b, a in zip(*(batch.column(c).to_pylist() for c in ("token", "before", "after")), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("label").cast(pa.float64()), pa.array(x, pa.list_(pa.float64()))], names=["label", "x"])
@@ -348,6 +351,7 @@ def scan(docs: DataFrame, model: SecretModel, threshold: float = 0.5, text_col:
     arrow = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("probability", pa.float64()), ("kept", pa.bool_())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         model = sent.value
         for batch in batches:
             out = []

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from drawlake.llm.common import id_and_text, prepare
+from drawlake.llm.common import forget_kept, id_and_text, kept_by_worker, prepare
 
 #: Strings are compared in windows of so many characters, which overlap by half.
 WIDTH = 24
@@ -434,6 +434,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1000, max_chars: in
     sample = training_sample(id_and_text(docs), labels, held_out_column(), per_class, max_chars)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         texts, toxic = [], []
         for batch in batches:
             texts += batch.column("text").to_pylist()
@@ -459,7 +460,7 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", out_col
     docs = docs.drop(out_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _worker_table(key, sent)
+        table = kept_by_worker(key, lambda: _Table(sent.value))
         for batch in batches:
             out: list[float] = []
             for lo in range(0, batch.num_rows, 512):
@@ -469,14 +470,3 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", out_col
                                              names=[*batch.schema.names, out_col])
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(out_col, DoubleType())]))
-
-
-_TABLES: dict[str, _Table] = {}
-
-
-def _worker_table(key: str, sent) -> _Table:
-    """The worker's tokens under one model; kept from task to task (a module's function is not copied with one)."""
-    if key not in _TABLES:
-        _TABLES.clear()
-        _TABLES[key] = _Table(sent.value)
-    return _TABLES[key]
