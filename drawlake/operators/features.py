@@ -9,12 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from drawlake.operators.reshape import to_long
 from drawlake.operators.sequence import scatter
-from drawlake.operators.windows import CHUNK, domain_cells, window_arrays
+from drawlake.operators.windows import CHUNK, Windows, by_chunks, domain_rows, list_column, window_arrays
 from drawlake.schemas import DEFAULT_POOLS, Pool
 
 LAGS = 5
@@ -84,35 +87,28 @@ def window_stats(seq_draws: DataFrame, window: int = WINDOW, lags: int = LAGS,
     """
     cols = [c for p in pools for c in p.columns]
     rows = window_arrays(_with_next(seq_draws, cols, seq_col, mode), window, pools, seq_col, chunk=chunk)
-    arrays = ["frequency", "recency"]
-    if include_current:
-        rows = rows.withColumn("present", F.concat(*[_presence(_numbers(p), p.lo, p.hi) for p in pools]))
-        arrays.append("present")
-    return (rows.where(F.col(seq_col) >= start_index(lags, window))
-                .select(seq_col, F.inline(domain_cells(pools, *arrays)))
-                .withColumn("frequency", F.col("frequency").cast("long")))
+    cells = domain_rows(rows.where(F.col(seq_col) >= start_index(lags, window)),
+                        [seq_col, *(cols if include_current else [])], pools, ["frequency", "recency"])
+    return cells.select(seq_col, "pool", "number", F.col("frequency").cast("long").alias("frequency"), "recency",
+                        *([_present(pools).alias("present")] if include_current else []))
 
 
-def _numbers(p: Pool) -> Column:
-    """The known numbers of a pool's columns."""
-    return F.array_compact(F.array(*[F.col(c).cast("int") for c in p.columns]))
-
-
-def _presence(arr: Column, lo: int, hi: int, pool_name: str | None = None) -> Column:
-    """Array over ``lo..hi`` of 0/1 presence (or structs with pool/number when named)."""
-    def cell(n):
-        hit = F.array_contains(arr, n).cast("int")
-        if pool_name is None:
-            return hit
-        return F.struct(F.lit(pool_name).alias("pool"), n.alias("number"), hit.alias("present"))
-    return F.transform(F.sequence(F.lit(lo), F.lit(hi)), cell)
+def _present(pools: Sequence[Pool]) -> Column:
+    """0/1: ``number`` of ``pool`` stands in one of the pool's columns."""
+    hit = F.lit(False)
+    for p in pools:
+        stands = F.lit(False)
+        for c in p.columns:
+            stands = stands | F.coalesce(F.col(c).cast("int") == F.col("number"), F.lit(False))
+        hit = hit | ((F.col("pool") == p.name) & stands)
+    return hit.cast("int")
 
 
 def multi_hot_long(seq_draws: DataFrame, pools: Sequence[Pool] = DEFAULT_POOLS,
                    seq_col: str = "seq") -> DataFrame:
     """0/1 presence of every domain number in each draw (O53), long form, no shuffle."""
-    cells = [_presence(_numbers(p), p.lo, p.hi, p.name) for p in pools]
-    return seq_draws.select(seq_col, F.inline(F.flatten(F.array(*cells))))
+    cols = [c for p in pools for c in p.columns]
+    return domain_rows(seq_draws, [seq_col, *cols], pools, []).select(seq_col, "pool", "number", _present(pools).alias("present"))
 
 
 def sliding_features(seq_draws: DataFrame, lags: int = LAGS, window: int = WINDOW,
@@ -131,13 +127,21 @@ def sliding_features(seq_draws: DataFrame, lags: int = LAGS, window: int = WINDO
     known draws including the latest one.
     """
     cols = [c for p in pools for c in p.columns]
-    rows = window_arrays(_with_next(seq_draws, cols, seq_col, mode), window, pools, seq_col, lags=lags, chunk=chunk)
-    lagged = F.transform("lagged", lambda x: F.when(~F.isnan(x), x))
-    both = F.flatten(F.zip_with("frequency", "recency", lambda f, r: F.array(f.cast("double"), r.cast("double"))))
-    known = F.coalesce(*[F.col(c) for c in cols]).isNotNull()
-    return (rows.where(F.col(seq_col) >= start_index(lags, window))
-                .select(seq_col, F.concat(lagged, both).alias("features"),
-                        *[F.when(known, _presence(_numbers(p), p.lo, p.hi)).alias(f"y_{p.name}") for p in pools]))
+
+    def build(w: Windows, home: np.ndarray) -> list:
+        both = np.stack([w.frequency()[home], w.recency()[home]], axis=2).reshape(len(home), 2 * w.counts.shape[1]).astype(float)
+        features = np.concatenate([w.lagged(lags)[home], both], axis=1)
+        present, at, out = (w.counts[home] > 0).astype(np.int32), 0, [list_column(features, nan_is_null=True)]
+        unknown = pa.array(np.isnan(w.numbers[home]).all(axis=1))
+        for p in pools:
+            y = list_column(present[:, at:at + p.size])
+            out.append(pc.if_else(unknown, pa.scalar(None, y.type), y))
+            at += p.size
+        return out
+
+    rows = by_chunks(_with_next(seq_draws, cols, seq_col, mode), window, pools, seq_col, max(window, lags, 1), (), chunk, build,
+                     ", ".join(["features array<double>", *[f"y_{p.name} array<int>" for p in pools]]))
+    return rows.where(F.col(seq_col) >= start_index(lags, window)).select(seq_col, "features", *[f"y_{p.name}" for p in pools])
 
 
 def next_features(seq_draws: DataFrame, lags: int = LAGS, window: int = WINDOW,

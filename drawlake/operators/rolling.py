@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from drawlake.operators.windows import CHUNK, domain_cells, window_arrays
+from drawlake.operators.windows import CHUNK, domain_rows, window_arrays
 from drawlake.schemas import STAR, Pool
 
 
@@ -19,6 +19,5 @@ def rolling_frequency(seq_draws: DataFrame, pool: Pool = STAR, window: int = 50,
     every window length (see :mod:`drawlake.operators.windows`).
     """
     rows = window_arrays(seq_draws, window, [pool], seq_col, inclusive=True, keep=[date_col], chunk=chunk)
-    return (rows.where(F.col(seq_col) >= window)
-                .select(seq_col, date_col, F.inline(domain_cells([pool], "frequency")))
+    return (domain_rows(rows.where(F.col(seq_col) >= window), [seq_col, date_col], [pool], ["frequency"])
                 .select(seq_col, date_col, "number", F.col("frequency").cast("long").alias("frequency")))

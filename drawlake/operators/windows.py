@@ -9,10 +9,10 @@ array operations; its size does not grow with the data.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +26,9 @@ CHUNK = 10_000
 def counts_per_row(numbers: np.ndarray, lo: int, hi: int) -> np.ndarray:
     """How often each of ``lo..hi`` stands in each row; nulls (NaN) and other values count nowhere."""
     out = np.zeros((len(numbers), hi - lo + 1), dtype=np.int32)
-    row, col = np.nonzero((numbers >= lo) & (numbers <= hi))
-    np.add.at(out, (row, numbers[row, col].astype(int) - lo), 1)
+    for column in numbers.T:  # a row stands once in a column, so nothing is added twice to one place
+        row = np.flatnonzero((column >= lo) & (column <= hi))
+        out[row, column[row].astype(int) - lo] += 1
     return out
 
 
@@ -41,11 +42,70 @@ def trailing_counts(counts: np.ndarray, window: int, inclusive: bool) -> np.ndar
 def rows_since(counts: np.ndarray, window: int) -> np.ndarray:
     """Rows between each row and the last earlier one that holds the number (0: the row before);
     ``window + 1`` if it is not among the ``window`` rows before."""
-    at = np.arange(len(counts))[:, None]
-    seen = np.maximum.accumulate(np.where(counts > 0, at, -window - 2), axis=0)
-    before = np.concatenate([np.full((1, counts.shape[1]), -window - 2), seen[:-1]])[:len(counts)]
+    at, never = np.arange(len(counts), dtype=np.int32)[:, None], np.int32(-window - 2)
+    seen = np.maximum.accumulate(np.where(counts > 0, at, never), axis=0)
+    before = np.concatenate([np.full((1, counts.shape[1]), never), seen[:-1]])[:len(counts)]
     gap = at - before - 1
-    return np.where(gap < window, gap, window + 1).astype(np.int32)
+    return np.where(gap < window, gap, np.int32(window + 1))
+
+
+class Windows:
+    """The draws of one chunk in order: their numbers, and what lies before each of them."""
+
+    def __init__(self, numbers: np.ndarray, spans: list[tuple[int, int, int]], window: int):
+        self.numbers, self.window, at, parts = numbers, window, 0, []
+        for n, lo, hi in spans:
+            parts.append(counts_per_row(numbers[:, at:at + n], lo, hi))
+            at += n
+        self.counts = np.concatenate(parts, axis=1)
+
+    def frequency(self, inclusive: bool = False) -> np.ndarray:
+        return trailing_counts(self.counts, self.window, inclusive)
+
+    def recency(self) -> np.ndarray:
+        return rows_since(self.counts, self.window)
+
+    def lagged(self, lags: int) -> np.ndarray:
+        """The number columns of the rows 1 to ``lags`` before; NaN marks a null or a row before the first."""
+        width = self.numbers.shape[1]
+        out = np.full((len(self.numbers), lags * width), np.nan)
+        for k in range(1, lags + 1):
+            out[k:, (k - 1) * width:k * width] = self.numbers[:-k]
+        return out
+
+
+def list_column(values: np.ndarray, nan_is_null: bool = False) -> pa.ListArray:
+    """One list per row of a matrix."""
+    flat = pa.array(values.reshape(-1), mask=np.isnan(values.reshape(-1)) if nan_is_null else None)
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1, dtype=np.int32) * np.int32(values.shape[1])), flat)
+
+
+def by_chunks(seq_draws: DataFrame, window: int, pools: Sequence[Pool], seq_col: str, reach: int,
+              keep: Sequence[str], chunk: int, build: Callable[[Windows, np.ndarray], list], columns: str) -> DataFrame:
+    """``seq, keep..., <number columns>`` of every draw, and the ``columns`` that ``build`` makes of a chunk.
+
+    ``build`` gets the :class:`Windows` of a chunk, with the ``reach`` draws
+    before it, and the places of the chunk's own draws, for which it returns
+    one Arrow array per column.
+    """
+    if chunk < 1:
+        raise ValueError("chunk must be positive")
+    ship_package(seq_draws.sparkSession)
+    cols = [c for p in pools for c in p.columns]
+    wide = seq_draws.select(F.col(seq_col).cast("long").alias(seq_col), *keep, *[F.col(c).cast("int").alias(c) for c in cols])
+    spans = [(len(p.columns), p.lo, p.hi) for p in pools]
+    names = [seq_col, *keep, *cols]
+    own_names = [c.split()[0] for c in columns.split(", ")]
+
+    def compute(group: pa.Table) -> pa.Table:
+        group = group.take(pa.array(np.argsort(group.column(seq_col).to_numpy(), kind="stable")))
+        numbers = np.stack([group.column(c).to_numpy().astype(float) for c in cols], axis=1)
+        home = np.flatnonzero(group.column("_home").to_numpy())
+        own = group.select(names).take(pa.array(home))  # a chunk may hold no row of its own
+        return pa.table([*own.columns, *build(Windows(numbers, spans, window), home)], names=[*names, *own_names])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wide.schema.fields) + f", {columns}"
+    return chunk_overlap(wide, seq_col, reach, chunk).groupBy("_chunk").applyInArrow(compute, schema)
 
 
 def window_arrays(seq_draws: DataFrame, window: int, pools: Sequence[Pool] = DEFAULT_POOLS, seq_col: str = "seq",
@@ -59,44 +119,21 @@ def window_arrays(seq_draws: DataFrame, window: int, pools: Sequence[Pool] = DEF
     Draws at the start have shorter windows; filter by ``seq`` where full ones
     are wanted. The result does not depend on ``chunk``.
     """
-    if chunk < 1:
-        raise ValueError("chunk must be positive")
-    ship_package(seq_draws.sparkSession)
-    cols = [c for p in pools for c in p.columns]
-    reach = max(window, lags, 1)
-    wide = seq_draws.select(F.col(seq_col).cast("long").alias(seq_col), *keep, *[F.col(c).cast("int").alias(c) for c in cols])
-    copies = chunk_overlap(wide, seq_col, reach, chunk)
-    spans = [(list(p.columns), p.lo, p.hi) for p in pools]
-
-    def compute(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(seq_col, ignore_index=True)
-        numbers = pdf[cols].to_numpy(dtype=float)
-        counts = np.concatenate([counts_per_row(pdf[c].to_numpy(dtype=float), lo, hi) for c, lo, hi in spans], axis=1)
-        lagged = np.full((len(pdf), lags * len(cols)), np.nan)
-        for k in range(1, lags + 1):
-            lagged[k:, (k - 1) * len(cols):k * len(cols)] = numbers[:-k]
-        home = pdf["_home"].to_numpy(dtype=bool)
-        out = pdf.loc[home, [seq_col, *keep, *cols]].reset_index(drop=True)
-        for name, values in (("lagged", lagged), ("frequency", trailing_counts(counts, window, inclusive)),
-                             ("recency", rows_since(counts, window))):
-            out[name] = pd.Series(list(values[home]), dtype=object)  # a chunk may hold no row of its own
-        return out
+    def build(w: Windows, home: np.ndarray) -> list:
+        return [list_column(w.lagged(lags)[home]), list_column(w.frequency(inclusive)[home]), list_column(w.recency()[home])]
 
-    schema = (", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wide.schema.fields)
-              + ", lagged array<double>, frequency array<int>, recency array<int>")
-    return copies.groupBy("_chunk").applyInPandas(compute, schema)
+    return by_chunks(seq_draws, window, pools, seq_col, max(window, lags, 1), keep, chunk, build,
+                     "lagged array<double>, frequency array<int>, recency array<int>")
 
 
-def domain_cells(pools: Sequence[Pool], *arrays: str):
-    """array<struct<pool, number, a, b, ...>>: the arrays over all pools' numbers, cell by cell."""
-    def cell(p: Pool, first: int):
-        def of(n):
-            place = n - p.lo + first + 1
-            return F.struct(F.lit(p.name).alias("pool"), n.alias("number"), *[F.element_at(a, place).alias(a) for a in arrays])
-        return of
+def domain_rows(rows: DataFrame, keep: Sequence[str], pools: Sequence[Pool], arrays: Sequence[str]) -> DataFrame:
+    """``keep..., pool, number, a, b, ...``: the arrays over all pools' numbers, one row per cell.
 
-    at, cells = 0, []
-    for p in pools:
-        cells.append(F.transform(F.sequence(F.lit(p.lo), F.lit(p.hi)), cell(p, at)))
-        at += p.size
-    return F.flatten(F.array(*cells))
+    The domain is a constant that each row is combined with, and a cell is
+    looked up by its place, so that no array of cells is built per row.
+    """
+    numbers = [(p.name, n) for p in pools for n in range(p.lo, p.hi + 1)]
+    cells = F.array(*[F.struct(F.lit(pool).alias("pool"), F.lit(n).alias("number"), F.lit(at).alias("_place"))
+                      for at, (pool, n) in enumerate(numbers)])
+    return (rows.select(*keep, *[F.col(a).alias(f"_of_{a}") for a in arrays], F.inline(cells))
+            .select(*keep, "pool", "number", *[F.get(f"_of_{a}", F.col("_place")).alias(a) for a in arrays]))

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from drawlake.operators.features import LAGS, WINDOW, start_index
-from drawlake.operators.windows import CHUNK, domain_cells, window_arrays
+from drawlake.operators.windows import CHUNK, domain_rows, window_arrays
 from drawlake.schemas import DEFAULT_POOLS, Pool
 from drawlake.session import ship_package, write_and_reread
 from drawlake.sources.snapshots import (
@@ -264,6 +264,5 @@ def stored_window_stats(spark: SparkSession, path: str, number: int | None = Non
     entry, _, _ = _opened(spark, path, number)
     pools = [Pool(name, tuple(columns), lo, hi) for name, columns, lo, hi in entry.settings["pools"]]
     first = start_index(entry.settings["lags"], entry.settings["window"])
-    return (read_windows(spark, path, number).where(F.col("seq") >= first)
-            .select("seq", F.inline(domain_cells(pools, "frequency", "recency")))
+    return (domain_rows(read_windows(spark, path, number).where(F.col("seq") >= first), ["seq"], pools, ["frequency", "recency"])
             .withColumn("frequency", F.col("frequency").cast("long")))
