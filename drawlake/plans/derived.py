@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from drawlake.operators.sequence import global_sequence
 from drawlake.schemas import ORDER_COLUMNS
+from drawlake.session import write_and_reread
 
 DERIVED_ORDER = (*ORDER_COLUMNS, "part")
 _LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
@@ -50,8 +51,12 @@ def load_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sequenced_draws(spark: SparkSession, sf_dir: str, seq_col: str = "seq") -> DataFrame:
-    """Derived draws with a dense 1..N sequence ordered by (draw_date, draw_number, part)."""
-    return global_sequence(load_draws(spark, sf_dir), list(DERIVED_ORDER), seq_col)
+    """Derived draws with a dense 1..N sequence ordered by (draw_date, draw_number, part).
+
+    They are written first: the range bounds are sampled from what is numbered,
+    which would otherwise be derived a second time for the sample.
+    """
+    return global_sequence(write_and_reread(load_draws(spark, sf_dir), "derived"), list(DERIVED_ORDER), seq_col)
 
 
 # DuckDB form of the same derivation, shared by the oracle SQL strings.
