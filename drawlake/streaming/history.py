@@ -92,22 +92,30 @@ def _placed(batch: DataFrame, segments: list[dict], order_cols: Sequence[str], f
     half full. Each row is looked up among the files' least keys, which travel
     with the task: one per data file.
     """
+    if not segments:
+        return batch.withColumn(_SEGMENT, F.lit(0))
     key_cols = [*order_cols, _TIE]
     lows = [rank(s["lo"]) for s in segments]
-    end = rank(segments[-1]["hi"]) if segments else None
-    beyond = len(segments) - (1 if segments and segments[-1]["rows"] < file_rows / 2 else 0)
+    end = rank(segments[-1]["hi"])
+    beyond = len(segments) - (1 if segments[-1]["rows"] < file_rows / 2 else 0)
     names = [*batch.columns, _TIE, _SEGMENT]
 
     def place(parts):
         for part in parts:
             at = []
             for key in map(rank, zip(*[part.column(c).to_pylist() for c in key_cols])):
-                at.append(beyond if end is None or key > end else max(bisect_right(lows, key) - 1, 0))
+                at.append(beyond if key > end else max(bisect_right(lows, key) - 1, 0))
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(at, pa.int32())], names=names)
 
     tied = batch.withColumn(_TIE, F.xxhash64(*batch.columns))
     schema = T.StructType([*[T.StructField(f.name, f.dataType) for f in tied.schema.fields], T.StructField(_SEGMENT, T.IntegerType())])
-    return tied.mapInArrow(place, schema).drop(_TIE)
+    # Written: its rows are counted, sampled for range bounds and sorted.
+    return write_and_reread(tied.mapInArrow(place, schema).drop(_TIE), "placed")
+
+
+def _file_name(parts: int):
+    """The last parts of the path of the file that a row was read from."""
+    return F.substring_index(F.col("_metadata.file_path"), "/", -parts)
 
 
 def _rows_of(spark: SparkSession, path: str, schema: T.StructType, wanted: list[tuple], names: str) -> DataFrame:
@@ -116,8 +124,7 @@ def _rows_of(spark: SparkSession, path: str, schema: T.StructType, wanted: list[
     if not wanted:
         return spark.createDataFrame([], schema).withColumn(_AT, F.lit(0).cast("long")).crossJoin(values.drop(_FILE))
     read = spark.read.schema(schema).parquet(*[_join(path, w[0]) for w in wanted])
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"(data/[0-9a-f]+/_segment=\d+/[^/]+)$", 1)
-    return (read.select("*", name.alias(_FILE), F.col("_metadata.row_index").alias(_AT))
+    return (read.select("*", _file_name(4).alias(_FILE), F.col("_metadata.row_index").alias(_AT))
                 .join(values, _FILE).drop(_FILE))
 
 
@@ -130,9 +137,12 @@ def _write_draws(rows: DataFrame, path: str, order_cols: Sequence[str], parts: i
          .write.partitionBy(_SEGMENT).parquet(_join(path, "data", folder)))
     schema = T.StructType([f for f in rows.schema.fields if f.name != _SEGMENT])
     written = spark.read.schema(schema).parquet(_join(path, "data", folder))
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"(data/[0-9a-f]+/.*)$", 1)
-    files = (written.select(name.alias("file"), _key(order_cols, columns).alias("key"))
-             .groupBy("file").agg(F.count("*").alias("rows"), F.min("key").alias("lo"), F.max("key").alias("hi")))
+    # Files are sorted, so the least and the greatest key stand at their ends.
+    placed = written.select("*", _file_name(4).alias("file"), F.col("_metadata.row_index").alias(_AT))
+    sizes = placed.groupBy("file").agg(F.count("*").alias("rows"))
+    ends = placed.join(F.broadcast(sizes), "file").where((F.col(_AT) == 0) | (F.col(_AT) == F.col("rows") - 1))  # sizes: one row per file
+    files = (ends.select("file", "rows", _key(order_cols, columns).alias("key"))
+             .groupBy("file", "rows").agg(F.min("key").alias("lo"), F.max("key").alias("hi")))
     return [r.asDict() for r in files.collect()]
 
 
@@ -166,7 +176,7 @@ def _write_windows(spark: SparkSession, path: str, schema: T.StructType, segment
     numbered = rows.withColumn("seq", F.col("before") + F.col(_AT) + 1)
     arrays = window_arrays(numbered, window, pools, "seq", lags=lags, keep=[_PIECE, _AT], chunk=chunk)
     (arrays.where(F.col(_PIECE) >= 0).select(_PIECE, _AT, "lagged", "frequency", "recency")
-           .repartition(_PIECE, F.floor(F.col(_AT) / chunk)).write.partitionBy(_PIECE).parquet(_join(path, "features", folder)))
+           .write.partitionBy(_PIECE).parquet(_join(path, "features", folder)))
     return [{**s, "features": f"features/{folder}/{_PIECE}={i}"} if stale[i] else s for i, s in enumerate(segments)]
 
 
@@ -251,7 +261,7 @@ def read_windows(spark: SparkSession, path: str, number: int | None = None) -> D
     if not segments:
         return spark.createDataFrame([], _WINDOWS.replace("_at", "seq"))
     read = spark.read.schema(_WINDOWS).parquet(*[_join(path, s["features"]) for s in segments])
-    folder = F.regexp_extract(F.col("_metadata.file_path"), r"(features/[0-9a-f]+/_piece=\d+)/[^/]+$", 1)
+    folder = F.substring_index(_file_name(4), "/", 3)
     return (read.select("*", folder.alias("_folder")).join(values, "_folder")
                 .select((F.col("_before") + F.col(_AT) + 1).alias("seq"), "lagged", "frequency", "recency"))
 
