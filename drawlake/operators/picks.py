@@ -50,16 +50,16 @@ def random_tickets(tickets: DataFrame, pools: Sequence[Pool] = DEFAULT_POOLS,
     the order of the md5 of ``seed:pool:id:number``, so the same ticket id
     gives the same numbers on any partitioning, retry or engine.
     """
-    def key(p: Pool):
-        return lambda n: F.struct(
-            F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit(p.name), F.col(id_col).cast("string"), n.cast("string"))).alias("h"),
-            n.alias("n"))
-
     out = tickets
     for p in pools:
-        keyed = F.transform(F.sequence(F.lit(p.lo), F.lit(p.hi)), key(p))
-        chosen = F.slice(F.array_sort(keyed), 1, k[p.name])
-        out = out.withColumn(f"{p.name}_numbers", F.array_sort(F.transform(chosen, lambda s: s["n"])))
+        numbers = range(p.lo, p.hi + 1)
+        endings = F.array(*[F.struct(F.lit(f":{n}").alias("end"), F.lit(n).alias("n")) for n in numbers])
+        prefix = F.concat_ws(":", F.lit(str(seed)), F.lit(p.name), F.col(id_col).cast("string"))
+        key = lambda pre: F.transform(endings, lambda e: F.struct(F.md5(F.concat(pre, e["end"])).alias("h"), e["n"].alias("n")))
+        # sort_array compares keys without an expression per comparison, as array_sort would.
+        keyed = F.sort_array(F.element_at(F.transform(F.array(prefix), key), 1))
+        chosen = F.slice(keyed, 1, k[p.name])
+        out = out.withColumn(f"{p.name}_numbers", F.sort_array(F.transform(chosen, lambda s: s["n"])))
     return out
 
 
