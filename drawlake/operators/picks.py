@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from drawlake.operators.windows import CHUNK, Windows, by_chunks
 from drawlake.schemas import DEFAULT_POOLS, MAIN, STAR, Pool
 
 # Picks per pool in one ticket: 5 main numbers and 2 stars.
@@ -114,21 +117,24 @@ def backtest_window_picks(seq_draws: DataFrame, stat: str = "frequency", largest
     previous ``window`` draws (ties to the smaller number) and count how
     many are in that draw. Output ``seq, <pool>_matches...``.
 
-    Plan: the windows' arrays (one shuffle of the wide draws); ranking and
-    matching then stay inside each row.
+    Plan: one shuffle of the wide draws by chunks of the sequence; ranking
+    and matching stay inside each chunk.
     """
     from drawlake.operators.features import start_index
-    from drawlake.operators.windows import window_arrays
 
-    rows = window_arrays(seq_draws, window, pools, seq_col).where(F.col(seq_col) >= start_index(window=window))
-    def ranked_cell(p: Pool):
-        return lambda v, i: F.struct((-v if largest else v).alias("v"), (i + p.lo).alias("number"))
-
-    out, at = [F.col(seq_col)], 0
-    for p in pools:
-        ranked = F.array_sort(F.transform(F.slice(stat, at + 1, p.size), ranked_cell(p)))
-        picked = F.transform(F.slice(ranked, 1, k[p.name]), lambda s: s["number"])
-        actual = F.array_compact(F.array(*[F.col(c) for c in p.columns]))
-        out.append(F.size(F.array_intersect(picked, actual)).alias(f"{p.name}_matches"))
-        at += p.size
-    return rows.select(*out)
+    if stat not in ("frequency", "recency"):
+        raise ValueError("stat must be 'frequency' or 'recency'")
+
+    def build(w: Windows, home: np.ndarray) -> list:
+        values = (w.frequency() if stat == "frequency" else w.recency())[home].astype(np.int64)
+        drawn, at, out = w.counts[home] > 0, 0, []
+        for p in pools:
+            own = values[:, at:at + p.size]
+            order = np.argsort((-own if largest else own) * p.size + np.arange(p.size), axis=1)[:, :k[p.name]]
+            out.append(pa.array(np.take_along_axis(drawn[:, at:at + p.size], order, axis=1).sum(axis=1).astype(np.int32)))
+            at += p.size
+        return out
+
+    names = [f"{p.name}_matches" for p in pools]
+    rows = by_chunks(seq_draws, window, pools, seq_col, window, (), CHUNK, build, ", ".join(f"{n} int" for n in names))
+    return rows.where(F.col(seq_col) >= start_index(window=window)).select(seq_col, *names)
