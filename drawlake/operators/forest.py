@@ -196,14 +196,14 @@ def forest_probabilities(train: DataFrame, asked: DataFrame, weights: list[tuple
                 m = part.column("features").flatten().to_numpy().reshape(part.num_rows, width)
                 y = part.column("y").flatten().to_numpy().reshape(part.num_rows, -1).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("seq"), pa.array([r.tobytes() for r in binned(m)], pa.binary()),
-                     pa.array([r.tobytes() for r in y], pa.binary())], names=["seq", "bins", "y"])
-
-    rows = train.select("seq", "features", "y").mapInArrow(to_bins, "seq long, bins binary, y binary")
-    if bootstrap:
-        rows = drawn_trees(rows, "seq", num_trees, share, seed)
-    else:
-        rows = rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(num_trees - 1))))
+                    [part.column("seq"), part.column("tree"), pa.array([r.tobytes() for r in binned(m)], pa.binary()),
+                     pa.array([r.tobytes() for r in y], pa.binary())], names=["seq", "tree", "bins", "y"])
+
+    # Drawn by the number alone, so only rows that some tree drew are binned.
+    rows = train.select("seq", "features", "y")
+    rows = (drawn_trees(rows, "seq", num_trees, share, seed) if bootstrap
+            else rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(num_trees - 1)))))
+    rows = rows.select("seq", "tree", "features", "y").mapInArrow(to_bins, "seq long, tree int, bins binary, y binary")
 
     def fit(group: pa.Table) -> pa.Table:
         tree = group.column("tree")[0].as_py()
