@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from drawlake.operators import logistic
 from drawlake.operators.forest import forest_probabilities
+from drawlake.operators.windows import domain_rows
 from drawlake.schemas import DEFAULT_POOLS, Pool
 from drawlake.session import write_and_reread
 
@@ -23,12 +24,9 @@ from drawlake.session import write_and_reread
 def targets_long(features: DataFrame, pools: Sequence[Pool] = DEFAULT_POOLS,
                  seq_col: str = "seq") -> DataFrame:
     """``seq, pool, number, present`` from the ``y_<pool>`` arrays of known draws (one pass)."""
-    def cell(p: Pool):
-        return lambda v, i: F.struct(F.lit(p.name).alias("pool"),
-                                     (i + F.lit(p.lo)).alias("number"), v.alias("present"))
-    cells = [F.transform(F.col(f"y_{p.name}"), cell(p)) for p in pools]
-    return (features.where(F.col(f"y_{pools[0].name}").isNotNull())
-                    .select(seq_col, F.inline(F.concat(*cells))))
+    known = features.where(F.col(f"y_{pools[0].name}").isNotNull())
+    present = F.concat(*[F.col(f"y_{p.name}") for p in pools]).alias("present")
+    return domain_rows(known.select(seq_col, present), [seq_col], pools, ["present"])
 
 
 def class_weights(targets: DataFrame) -> DataFrame:
@@ -162,9 +160,9 @@ def logistic_balance(features: DataFrame, pools: Sequence[Pool] = DEFAULT_POOLS,
     of the positives; it does so only if the fit has converged on every row.
     """
     model, train, _, fitted, _ = logistic_model(features, pools, mode, reg_param)
-    cell = lambda p, k: F.struct(k.alias("label"), (p * F.when(F.col("y")[k] == 1.0, weight[k]).otherwise(1.0)).alias("w"))
-    weight = F.array(*[F.lit(wp) for _, _, _, wp, _, _ in fitted])
-    sums = (model.probabilities(train).select(F.inline(F.transform("probability", cell)))
+    weight = F.get(F.array(*[F.lit(wp) for _, _, _, wp, _, _ in fitted]), F.col("label"))
+    cells = model.probabilities(train).select(F.posexplode(F.arrays_zip("probability", "y")).alias("label", "cell"))
+    sums = (cells.select("label", (F.col("cell.probability") * F.when(F.col("cell.y") == 1.0, weight).otherwise(1.0)).alias("w"))
             .groupBy("label").agg(F.sum("w").alias("predicted_weight")))
     names = train.sparkSession.createDataFrame([(k, pool, n) for k, (pool, n, *_) in enumerate(fitted)], "label int, pool string, number int")
     return sums.join(F.broadcast(names), "label").select("pool", "number", "predicted_weight")
