@@ -9,6 +9,7 @@ fixed threshold decides on every document without any draw.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -111,43 +112,64 @@ class QualityModel:
             F.aggregate(p, F.lit(0.0), step) / (2 * F.size(p) - 1)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, buckets: int = 4096) -> QualityModel:
-    """Count both multinomials and set the threshold, from every document and every label.
+def _one_label(labels: DataFrame) -> DataFrame:
+    """``doc_id, quality`` of the labelled ids; of several labels of one id the lower counts."""
+    return (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
+            .where("doc_id is not null and quality in (0, 1)")
+            .groupBy("doc_id").agg(F.min("quality").alias("quality")))
 
-    The raw-corpus counts cover all documents, the trusted ones all labelled
-    ``quality = 1``. The threshold lies halfway between the lowest two hundredth
-    of the trusted scores and the median of the scores of documents labelled 0,
-    and never above the first. Counts are smoothed by one per bucket. Without
-    trusted documents every document passes. Of several labels of one id the
-    lower counts. The driver holds one count per bucket and four scores.
-    """
-    docs = id_and_text(docs)
-    one = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
-           .where("doc_id is not null and quality in (0, 1)")
-           .groupBy("doc_id").agg(F.min("quality").alias("quality")))
-    labelled = write_and_reread(docs.join(one, "doc_id"), "labelled")
 
+def _ratios(docs: DataFrame, one: DataFrame, buckets: int) -> QualityModel:
+    """The model that passes everything, with the log ratios of both multinomials (none without trusted documents).
+
+    The texts are shuffled once, beside the trusted ids, and not sorted: only
+    the ids are held in memory. The hint keeps it so at every size.
+    """
     def counted(rows: DataFrame) -> list[int]:
         out = [1] * buckets
         for r in gram_buckets(rows, buckets).groupBy("bucket").count().collect():  # one row per bucket at most
             out[r["bucket"]] += r["count"]
         return out
 
-    good = counted(labelled.where("quality = 1"))
+    good = counted(docs.join(one.where("quality = 1").hint("shuffle_hash"), "doc_id", "left_semi"))
     if sum(good) == buckets:
         return QualityModel((), -math.inf)
     raw = counted(docs)
     n_raw, n_good = sum(raw), sum(good)
-    model = QualityModel(tuple(round(math.log(g / n_good) - math.log(r / n_raw), 6) for g, r in zip(good, raw, strict=True)), 0.0)
-    text = F.col("text")
-    judged = (labelled.where(F.size(words_of(text)) >= LEAST_WORDS)
-              .select("quality", model.score(text).alias("score"), "doc_id"))
+    return QualityModel(tuple(round(math.log(g / n_good) - math.log(r / n_raw), 6) for g, r in zip(good, raw, strict=True)), -math.inf)
+
+
+def _threshold(scored: DataFrame, one: DataFrame) -> float:
+    """The score under which a document is rejected, from ``doc_id, score`` of all documents that can be judged."""
+    judged = scored.join(one.hint("shuffle_hash"), "doc_id").select("quality", "score", "doc_id")
     low = class_quantiles(judged, {1: 0.005, 0: 0.5})
     if 1 not in low:
-        return QualityModel(model.log_ratio, -math.inf)
+        return -math.inf
     edge = low[1]
     middle = (edge + low[0]) / 2 if 0 in low else edge - 0.2
-    return QualityModel(model.log_ratio, min(edge, middle))
+    return min(edge, middle)
+
+
+def fit(docs: DataFrame, labels: DataFrame, buckets: int = 4096) -> QualityModel:
+    """Count both multinomials and set the threshold, from every document and every label.
+
+    The raw-corpus counts cover all documents, the trusted ones all labelled
+    ``quality = 1``. The threshold lies halfway between the lowest two hundredth
+    of the trusted scores and the median of the scores of documents labelled 0,
+    and never above the first. Counts are smoothed by one per bucket. Without
+    trusted documents every document passes. Of several labels of one id the
+    lower counts. The driver holds one count per bucket and four scores.
+
+    For the threshold every document is scored where it is read, so that no
+    text is written and only ids and scores meet the labels.
+    """
+    docs, one = id_and_text(docs), _one_label(labels)
+    model = _ratios(docs, one, buckets)
+    if not model.log_ratio:
+        return model
+    text = F.col("text")
+    scored = docs.where(F.size(words_of(text)) >= LEAST_WORDS).select("doc_id", model.score(text).alias("score"))
+    return QualityModel(model.log_ratio, _threshold(scored, one))
 
 
 def class_quantiles(judged: DataFrame, wanted: dict[int, float]) -> dict[int, float]:
@@ -164,6 +186,26 @@ def class_quantiles(judged: DataFrame, wanted: dict[int, float]) -> dict[int, fl
     return {k: at[math.floor(x)] + (x - math.floor(x)) * (at[math.ceil(x)] - at[math.floor(x)]) for k, x in spot.items()}
 
 
+def _measures(text: Column, model: QualityModel, scored: Callable[[Column], Column]) -> Column:
+    """The base counts, ``base_failed`` and, where ``scored`` says so of them, the score of a text."""
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return let(base_counts(text), lambda c: F.struct(
+        *(c[name].alias(name) for name in counts), _failed(c).alias("base_failed"),
+        F.when(scored(c), model.score(text)).alias("score")))
+
+
+def _failed(c: Column) -> Column:
+    return (c["n_words"] < LEAST_WORDS) | (100 * c["n_repeat_words"] > MOST_REPEATED * c["n_words"])
+
+
+def _verdict(m: Column, threshold: float) -> Column:
+    """The measures, with a score only where the base rules pass, and ``kept``."""
+    score = F.when(~m["base_failed"], m["score"])
+    return F.struct(*(m[name].alias(name) for name in (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")),
+        score.alias("score"), F.coalesce(score >= threshold, F.lit(False)).alias("kept"))
+
+
 def judge(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` and a struct ``quality_rules`` with the base counts, ``base_failed``,
     ``score`` and ``kept``, one row per input row.
@@ -172,10 +214,5 @@ def judge(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col
     ``quality_rules`` is replaced; the id is not used.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    failed = lambda c: (c["n_words"] < LEAST_WORDS) | (100 * c["n_repeat_words"] > MOST_REPEATED * c["n_words"])
-    return docs.withColumn("quality_rules", let(base_counts(text), lambda c: let(
-        F.when(failed(c), F.lit(None).cast("double")).otherwise(model.score(text)),
-        lambda s: F.struct(c["n_words"].alias("n_words"), c["word_chars"].alias("word_chars"),
-                           c["n_symbols"].alias("n_symbols"), c["n_dup_lines"].alias("n_dup_lines"),
-                           c["n_repeat_words"].alias("n_repeat_words"), failed(c).alias("base_failed"),
-                           s.alias("score"), F.coalesce(s >= model.threshold, F.lit(False)).alias("kept")))))
+    return docs.withColumn("quality_rules", let(_measures(text, model, lambda c: ~_failed(c)),
+                                                lambda m: _verdict(m, model.threshold)))

@@ -99,3 +99,24 @@ def test_without_trusted_documents_all_pass(spark):
         assert all(r.quality_rules.kept for r in quality.judge(docs(spark, rows), model).collect())
     empty = docs(spark, [])
     assert quality.judge(empty, quality.fit(empty, spark.createDataFrame([(1, 1)], "doc_id long, quality int"))).count() == 0
+
+
+def test_texts_move_once_at_every_size(spark, capsys, monkeypatch):
+    """fit() writes no text, and neither broadcasts nor sorts beside texts even where the labels are few."""
+    counted, written = [], []
+    buckets, write = quality.gram_buckets, quality.write_and_reread
+    monkeypatch.setattr(quality, "gram_buckets", lambda rows, *a: counted.append(rows) or buckets(rows, *a))
+    monkeypatch.setattr(quality, "write_and_reread", lambda df, *a: written.append(df) or write(df, *a))
+    rows = [(k, prose(k, 30)) for k in range(40)] + [(None, prose(50, 30)), (7, prose(51, 30))]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(30)], "doc_id long, quality int")
+    model = quality.fit(docs(spark, rows), labels, buckets=64)
+    assert len(model.log_ratio) == 64 and model.threshold > -math.inf
+    assert written and not any("text" in df.columns for df in written)
+    assert sum(df.count() for df in written) == 31  # each labelled row is scored, a repeated id's rows too
+    plans = []
+    for df in counted + written:
+        df.explain()
+        plans.append(capsys.readouterr().out)
+    assert sum("ShuffledHashJoin" in p for p in plans) == 2
+    assert not any("Broadcast" in p or "SortMerge" in p for p in plans)
+    assert counted[0].count() == 16 and counted[1].count() == len(rows)
