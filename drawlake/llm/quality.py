@@ -216,3 +216,19 @@ def judge(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.withColumn("quality_rules", let(_measures(text, model, lambda c: ~_failed(c)),
                                                 lambda m: _verdict(m, model.threshold)))
+
+
+def judge_by_labels(docs: DataFrame, labels: DataFrame, buckets: int = 4096) -> DataFrame:
+    """``doc_id`` and the struct ``quality_rules`` of :func:`judge` by the model of :func:`fit`, one row per input row.
+
+    Every text is scored once: the scores that set the threshold are written
+    with the counts (and without texts), and judged by it.
+    """
+    rows, one = id_and_text(docs), _one_label(labels)
+    model = _ratios(rows, one, buckets)
+    measured = write_and_reread(rows.select("doc_id", _measures(
+        F.col("text"), model, lambda c: c["n_words"] >= LEAST_WORDS).alias("m")), "measured")
+    threshold = -math.inf
+    if model.log_ratio:
+        threshold = _threshold(measured.where("m.score is not null").select("doc_id", "m.score"), one)
+    return measured.select("doc_id", _verdict(F.col("m"), threshold).alias("quality_rules"))

@@ -117,9 +117,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_quality_rules")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.judge(docs, model).select("doc_id", "quality_rules.*")
+    judged = quality.judge_by_labels(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "quality_rules.*")
 
 
 @query("op9_personal_data")

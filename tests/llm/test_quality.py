@@ -120,3 +120,20 @@ def test_texts_move_once_at_every_size(spark, capsys, monkeypatch):
     assert sum("ShuffledHashJoin" in p for p in plans) == 2
     assert not any("Broadcast" in p or "SortMerge" in p for p in plans)
     assert counted[0].count() == 16 and counted[1].count() == len(rows)
+
+
+def test_scored_once_is_judged_the_same(spark, monkeypatch):
+    """judge_by_labels() gives what fit() and judge() give, and scores each text once."""
+    again = " ".join([prose(3, 10)] * 9)
+    rows = EDGE_ROWS[:-1] + [(100 + k, prose(k, 30)) for k in range(40)] + [(200 + k, junk(k)) for k in range(20)] + [(300, again), (100, again)]
+    frame = docs(spark, rows)
+    for labels in ([(100 + k, 1) for k in range(30)] + [(200 + k, 0) for k in range(15)] + [(300, 1), (None, 1), (100, 0), (101, None)],
+                   [(300, 1), (100, 1)], [(200, 0)], [(4, 1)]):
+        marks = spark.createDataFrame(labels, "doc_id long, quality int")
+        pick = lambda df: sorted(df.select("doc_id", "quality_rules.*").collect(), key=str)
+        old = pick(quality.judge(frame, quality.fit(frame, marks, 64)))
+        written, write = [], quality.write_and_reread
+        with monkeypatch.context() as m:
+            m.setattr(quality, "write_and_reread", lambda df, *a: written.append(df) or write(df, *a))
+            assert pick(quality.judge_by_labels(frame, marks, 64)) == old
+        assert not any("text" in df.columns for df in written)
