@@ -104,15 +104,15 @@ def _with_rates(scores: DataFrame, asked: DataFrame, fitted: list[tuple], labels
 
 
 def fit_multilabel_forest(features: DataFrame, pools: Sequence[Pool] = DEFAULT_POOLS, mode: str = "holdout",
-                          num_trees: int = 100, seed: int = 42, max_depth: int = 10, max_samples: int | None = 2_048,
+                          num_trees: int = 100, seed: int = 42, max_depth: int = 10, max_samples: int | None = None,
                           missing: float = 0.0, take: int | None = None, bootstrap: bool = True) -> DataFrame:
     """A random forest per label with balanced class weights.
 
     Returns ``seq, pool, number, probability`` for the predicted row. Every
-    draw can be drawn by every tree, and class weights and rates count all; a
-    tree draws about ``max_samples`` draws with replacement (the reference's
-    whole history has fewer), ``None`` as many as there are. A null lag number
-    counts as ``missing``; a label with one class gets its rate. Trees do not
+    tree draws as many draws as there are, with replacement, from all of them
+    (about ``max_samples``, if that is given); class weights, rates and split
+    points count all draws. A null lag number counts as ``missing``; a label
+    with one class gets its rate. Trees do not
     change with the scale of a feature, so none is scaled. Trees end at
     ``max_depth``, and a split must improve, so probabilities are comparable
     with, but not bit-equal to, those of a library that grows trees fully.
