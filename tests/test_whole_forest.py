@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from drawlake.operators import forest as T
 from drawlake.operators.features import sliding_features
 from drawlake.operators.ml import fit_multilabel_forest
+from drawlake.operators.picks import pick_top_k
 from drawlake.operators.sequence import global_sequence
 from drawlake.schemas import Pool
 from tests.conftest import draws_df, random_draws
@@ -86,3 +87,13 @@ def test_a_tree_does_not_depend_on_which_nodes_are_counted_together(monkeypatch,
     monkeypatch.setattr(T, "LARGE", large)
     monkeypatch.setattr(T, "TOGETHER", together)
     assert T.grow(np.asfortranarray(bins), y, (2.5, 0.625), 42, 0, 1, 7, 4, times, 9) == expected and len(expected) > 50
+
+
+def test_picks_of_the_next_draw_come_from_all_draws(long_sequence):
+    features = sliding_features(long_sequence, lags=1, window=2, pools=FEW, mode="next")
+    scores = {k: fit_multilabel_forest(features, FEW, mode="next", num_trees=3, max_depth=3, **kwargs)
+              for k, kwargs in {"default": {}, "all": {"max_samples": None}, "some": {"max_samples": 2_048}}.items()}
+    rows = {k: sorted(map(tuple, v.collect())) for k, v in scores.items()}
+    assert rows["default"] == rows["all"] != rows["some"] and {r[0] for r in rows["all"]} == {2_401}
+    assert (sorted(map(tuple, pick_top_k(scores["default"], "probability").collect()))
+            == sorted(map(tuple, pick_top_k(scores["all"], "probability").collect())))
